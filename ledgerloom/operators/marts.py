@@ -21,10 +21,10 @@ ratios are exact HALF_UP roundings (``half_up_quotient``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.calendar import MONTH_END_FROM_DAY
+from ledgerloom.functions.calendar import MONTH_END_FROM_DAY, month_index
 from ledgerloom.functions.numeric import as_double, half_up_quotient, money_mean
 from ledgerloom.operators.ranking import top_per_group
 
@@ -112,31 +112,30 @@ def top_category(facts: DataFrame, ties: str = "one") -> DataFrame:
     return top.select(*MONTH, F.col("merchant_category").alias("top_category"))
 
 
-def monthly_summary(facts: DataFrame, ties: str = "one", stamp: bool = False) -> DataFrame:
-    """K3: one row per customer-month with debits (``ties="all"`` may repeat a
-    month when categories tie, as the reference does).
+def _month_measures(debit_rows) -> list:
+    """Month-level aggregates over facts rows (shared by K3 and K4)."""
+    return [
+        F.sum("debit_amount").alias("spend"),
+        F.sum("debit_ids").alias("debit_txn_count"),
+        F.count_distinct(F.when(debit_rows, F.col("merchant_name"))).alias("unique_merchants"),
+        F.max("debit_max").alias("max_spend"),
+        F.sum("debit_rows").alias("n_debits"),
+        F.sum("credit_amount").alias("income"),
+        F.sum("credit_ids").alias("credit_ids"),
+        F.sum("credit_rows").alias("n_credits"),
+        F.sum("month_end_amount").alias("month_end"),
+    ]
 
-    Same values as the reference's join form: months with credits only are
-    absent (Q2); month-end spend and its ratio are NULL without spend from the
-    month-end day (Q3); income, credit count and spend-to-income are NULL in a
-    month without credits (Q4).
-    """
-    debit_rows = F.col("debit_rows") > 0
-    month = (facts.groupBy(*MONTH).agg(
-                F.sum("debit_amount").alias("spend"),
-                F.sum("debit_ids").alias("debit_txn_count"),
-                F.count_distinct(F.when(debit_rows, F.col("merchant_name"))).alias("unique_merchants"),
-                F.max("debit_max").alias("max_spend"),
-                F.sum("debit_rows").alias("n_debits"),
-                F.sum("credit_amount").alias("income"),
-                F.sum("credit_ids").alias("credit_ids"),
-                F.sum("credit_rows").alias("n_credits"),
-                F.sum("month_end_amount").alias("month_end"))
-             .filter(F.col("n_debits") > 0))
-    top = top_category(facts, ties)
-    joined = month.join(top, MONTH, "left")
+
+def _best(value: str, label: str, where) -> F.Column:
+    """The ``label`` with the highest ``value`` (smallest label on ties, NULL label
+    first) among rows satisfying ``where``: ``min(struct(-value, label))``."""
+    return F.min(F.when(where, F.struct((-F.col(value)).alias("v"), F.col(label).alias("label"))))
+
+
+def _month_columns() -> list:
     has_credit = F.col("n_credits") > 0
-    out = joined.select(
+    return [
         *MONTH,
         as_double("spend").alias("total_spend"),
         "debit_txn_count",
@@ -149,7 +148,36 @@ def monthly_summary(facts: DataFrame, ties: str = "one", stamp: bool = False) ->
         "top_category",
         half_up_quotient("month_end", "spend", RATIO_SCALE).alias("month_end_stress_ratio"),
         half_up_quotient("spend", "income", RATIO_SCALE).alias("spend_to_income_ratio"),
-    )
+    ]
+
+
+def monthly_summary(facts: DataFrame, ties: str = "one", stamp: bool = False) -> DataFrame:
+    """K3: one row per customer-month with debits.
+
+    Same values as the reference's join form: months with credits only are
+    absent (Q2); month-end spend and its ratio are NULL without spend from the
+    month-end day (Q3); income, credit count and spend-to-income are NULL in a
+    month without credits (Q4).
+
+    ``ties="one"`` (default) is a single pipeline over ``facts``: a window adds
+    each row's category spend, and the month aggregate picks the top category
+    alongside the other measures -- no join, no second pass.  ``ties="all"``
+    reproduces ``rank() == 1`` and repeats a month once per tied category; it is
+    the reference's join form, so ``facts`` feeds two branches.
+    """
+    debit_rows = F.col("debit_rows") > 0
+    if ties == "all":
+        month = facts.groupBy(*MONTH).agg(*_month_measures(debit_rows)).filter(F.col("n_debits") > 0)
+        joined = month.join(top_category(facts, "all"), MONTH, "left")
+    else:
+        w_cat = Window.partitionBy(*MONTH, "merchant_category")
+        rows = facts.withColumn("cat_spend", F.sum("debit_amount").over(w_cat))
+        joined = (rows.groupBy(*MONTH)
+                  .agg(*_month_measures(debit_rows),
+                       _best("cat_spend", "merchant_category", debit_rows).alias("_top"))
+                  .filter(F.col("n_debits") > 0)
+                  .withColumn("top_category", F.col("_top.label")))
+    out = joined.select(*_month_columns())
     return out.withColumn("_gold_processed_at", F.current_timestamp()) if stamp else out
 
 
@@ -177,6 +205,26 @@ def preferred_channel(facts: DataFrame, ties: str = "one") -> DataFrame:
     return top.select("customer_id", F.col("channel").alias("preferred_channel"))
 
 
+def _stress_measures() -> list:
+    r_dec = "decimal(20,4)"
+    return [
+        F.sum(F.col("month_end_stress_ratio").cast(r_dec)).alias("_s_sum"),
+        F.count("month_end_stress_ratio").alias("_s_n"),
+        F.sum(F.col("spend_to_income_ratio").cast(r_dec)).alias("_i_sum"),
+        F.count("spend_to_income_ratio").alias("_i_n"),
+    ]
+
+
+def _stress_columns(threshold: float) -> list:
+    return [
+        F.when(F.col("_s_n") > 0, money_mean("_s_sum", "_s_n")).alias("avg_stress_ratio"),
+        F.when(F.col("_i_n") > 0, money_mean("_i_sum", "_i_n")).alias("avg_spend_to_income"),
+        F.when(F.col("_s_n") > 0,
+               F.col("_s_sum") > F.lit(threshold).cast("decimal(10,4)") * F.col("_s_n"))
+         .alias("is_financially_stressed"),
+    ]
+
+
 def stress_by_customer(monthly: DataFrame, threshold: float = STRESS_THRESHOLD) -> DataFrame:
     """A11 + F8: mean month-end ratio and mean spend-to-income ratio per customer
     (NULL months skipped), and the strict ``> threshold`` flag.
@@ -185,32 +233,90 @@ def stress_by_customer(monthly: DataFrame, threshold: float = STRESS_THRESHOLD)
     compares ``sum > threshold * count`` -- a customer whose months average
     exactly 0.6 is never flagged through floating-point drift.
     """
-    r_dec = "decimal(20,4)"
-    agg = monthly.groupBy("customer_id").agg(
-        F.sum(F.col("month_end_stress_ratio").cast(r_dec)).alias("_s_sum"),
-        F.count("month_end_stress_ratio").alias("_s_n"),
-        F.sum(F.col("spend_to_income_ratio").cast(r_dec)).alias("_i_sum"),
-        F.count("spend_to_income_ratio").alias("_i_n"))
-    return agg.select(
+    return (monthly.groupBy("customer_id").agg(*_stress_measures())
+            .select("customer_id", *_stress_columns(threshold)))
+
+
+PROFILE_MEASURES = ["lifetime_spend", "lifetime_txn_count", "avg_txn_value", "category_diversity",
+                    "preferred_channel", "avg_stress_ratio", "avg_spend_to_income", "is_financially_stressed"]
+
+
+def customer_measures(facts: DataFrame, threshold: float = STRESS_THRESHOLD) -> DataFrame:
+    """Every lifetime measure of K4 for customers with at least one debit, in one
+    pipeline over ``facts`` (ties="one").
+
+    Three windows annotate the facts rows inside the customer partitioning --
+    category spend of the month, the customer's debit count per channel, and the
+    first debit row of each (customer, category) -- then one aggregate per
+    customer-month (the K3 measures) and one per customer finish the job.  No
+    exchange follows the facts shuffle.
+    """
+    debit_rows = F.col("debit_rows") > 0
+    w_cat = Window.partitionBy(*MONTH, "merchant_category")
+    w_chan = Window.partitionBy("customer_id", "channel")
+    w_first = (Window.partitionBy("customer_id", "merchant_category")
+               .orderBy(F.col("debit_rows").desc(), "txn_year", "txn_month", "merchant_name", "channel"))
+    rows = facts.withColumns({
+        "cat_spend": F.sum("debit_amount").over(w_cat),
+        "chan_cnt": F.sum("debit_rows").over(w_chan),
+        "_first_cat": (F.row_number().over(w_first) == 1) & debit_rows
+                      & F.col("merchant_category").isNotNull(),
+    })
+    months = (rows.groupBy(*MONTH)
+              .agg(*_month_measures(debit_rows),
+                   _best("cat_spend", "merchant_category", debit_rows).alias("_top"),
+                   _best("chan_cnt", "channel", debit_rows).alias("_chan"),
+                   F.count_if("_first_cat").alias("_new_cats"))
+              .filter(F.col("n_debits") > 0)
+              .withColumn("top_category", F.col("_top.label")))
+    monthly = months.select(*_month_columns(), "spend", "n_debits", "_chan", "_new_cats")
+    per_customer = monthly.groupBy("customer_id").agg(
+        F.sum("spend").alias("spend"),
+        F.sum("debit_txn_count").alias("lifetime_txn_count"),
+        F.sum("n_debits").alias("n_debits"),
+        F.sum("_new_cats").alias("category_diversity"),
+        F.min("_chan").alias("_chan"),
+        F.count(F.lit(1)).alias("active_months"),
+        F.min(month_index("txn_year", "txn_month")).alias("first_month"),
+        F.max(month_index("txn_year", "txn_month")).alias("last_month"),
+        *_stress_measures())
+    return per_customer.select(
         "customer_id",
-        F.when(F.col("_s_n") > 0, money_mean("_s_sum", "_s_n")).alias("avg_stress_ratio"),
-        F.when(F.col("_i_n") > 0, money_mean("_i_sum", "_i_n")).alias("avg_spend_to_income"),
-        F.when(F.col("_s_n") > 0,
-               F.col("_s_sum") > F.lit(threshold).cast("decimal(10,4)") * F.col("_s_n"))
-         .alias("is_financially_stressed"))
+        as_double("spend").alias("lifetime_spend"),
+        "lifetime_txn_count",
+        money_mean("spend", "n_debits").alias("avg_txn_value"),
+        "category_diversity",
+        F.col("_chan.label").alias("preferred_channel"),
+        *_stress_columns(threshold),
+        "active_months", "first_month", "last_month")
+
+
+ACTIVITY = ["active_months", "first_month", "last_month"]
 
 
 def customer_profile(customers: DataFrame, facts: DataFrame, ties: str = "one",
-                     monthly: DataFrame | None = None, stamp: bool = False) -> DataFrame:
+                     stamp: bool = False, threshold: float = STRESS_THRESHOLD,
+                     activity: bool = False) -> DataFrame:
     """K4: every Silver customer with lifetime measures, preferred channel and
-    stress (NULLs for customers without debits, J4).
+    stress (NULL measures for customers without debits, J4).
+
+    ``activity=True`` keeps three extra columns: months with debits and the first
+    and last such month (as ``year * 12 + month - 1``), used by C7 and K5.
 
-    ``monthly`` may be a stored monthly summary (K4 then does not recompute it);
-    by default it is derived from the same ``facts``.
+    ``ties="all"`` is the reference's form: rank-based channel and category
+    (a customer with tied channels appears once per channel, and tied categories
+    repeat months inside the stress mean), assembled by three left joins.
     """
-    monthly = monthly if monthly is not None else monthly_summary(facts, ties)
-    out = (customers.join(lifetime_stats(facts), "customer_id", "left")
-           .join(preferred_channel(facts, ties), "customer_id", "left")
-           .join(stress_by_customer(monthly), "customer_id", "left"))
-    out = out.drop("_silver_processed_at") if not stamp else out
-    return out.withColumn("_gold_processed_at", F.current_timestamp()) if stamp else out
+    if ties == "all":
+        monthly = monthly_summary(facts, "all")
+        out = (customers.join(lifetime_stats(facts), "customer_id", "left")
+               .join(preferred_channel(facts, "all"), "customer_id", "left")
+               .join(stress_by_customer(monthly, threshold), "customer_id", "left"))
+    else:
+        measures = customer_measures(facts, threshold)
+        if not activity:
+            measures = measures.drop(*ACTIVITY)
+        out = customers.join(measures, "customer_id", "left")
+    if not stamp:
+        return out.drop("_silver_processed_at")
+    return out.withColumn("_gold_processed_at", F.current_timestamp())

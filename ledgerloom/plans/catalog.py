@@ -1,8 +1,9 @@
 """The registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
-Every query reads the driver tables of ``sf_dir`` (through the canonical
-bindings) and runs over them whole.  Processing stamps are left out so results
-are deterministic.
+Every query reads the driver tables of ``sf_dir`` through the canonical
+bindings and runs over them whole.  Processing stamps are left out so results
+are deterministic; storage queries write to fresh locations under the shared
+folder (``spark.checkpoint.dir``) and read back what they wrote.
 """
 
 from __future__ import annotations
@@ -10,11 +11,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.operators import curate, marts
+from ledgerloom.operators import curate, marts, quality, signals
+from ledgerloom.plans import insights
+from ledgerloom.session import scratch_path
+from ledgerloom.sources import contracts, landing, tables
 from ledgerloom.sources.bindings import DriverTables
+from ledgerloom.streaming.landing_stream import land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(name: str):
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+    return register
 
 
 class Layers:
@@ -36,11 +50,317 @@ class Layers:
     def facts(self) -> DataFrame:
         return marts.spend_facts(self.silver_txn())
 
+    def profile(self, ties: str = "one", activity: bool = False) -> DataFrame:
+        return marts.customer_profile(self.silver_customers(), self.facts(), ties, activity=activity)
+
+
+def _layers(spark: SparkSession, sf_dir: str) -> Layers:
+    return Layers(spark, sf_dir)
+
+
+# ------------------------------------------------------------------ Silver (K1, K2)
+
+@query("dedup_transactions")
+def q_dedup(spark, sf_dir):
+    return curate.dedup_transactions(_layers(spark, sf_dir).tables.raw_ledger())
+
+
+@query("standardise_text")
+def q_standardise(spark, sf_dir):
+    raw = _layers(spark, sf_dir).tables.raw_ledger()
+    return curate.standardise_transactions(curate.dedup_transactions(raw))
+
+
+@query("date_parts")
+def q_date_parts(spark, sf_dir):
+    ev = _layers(spark, sf_dir).silver_events()
+    return ev.select("transaction_id", "txn_year", "txn_month", "txn_day", "txn_day_of_week", "txn_hour",
+                     "is_weekend")
+
+
+@query("calendar_flags")
+def q_calendar_flags(spark, sf_dir):
+    ev = _layers(spark, sf_dir).silver_events()
+    return ev.select("transaction_id", "txn_day", "is_month_end", "is_salary_period", "is_weekend")
+
+
+@query("clean_transactions")
+def q_clean_transactions(spark, sf_dir):
+    return _layers(spark, sf_dir).silver_txn()
+
+
+@query("clean_events")
+def q_clean_events(spark, sf_dir):
+    return _layers(spark, sf_dir).silver_events()
+
+
+@query("clean_customers")
+def q_clean_customers(spark, sf_dir):
+    return _layers(spark, sf_dir).silver_customers()
+
+
+# ------------------------------------------------------------------ Gold parts and marts (K3, K4)
+
+@query("monthly_spend")
+def q_monthly_spend(spark, sf_dir):
+    return marts.monthly_spend(_layers(spark, sf_dir).facts())
+
+
+@query("monthly_income")
+def q_monthly_income(spark, sf_dir):
+    return marts.monthly_income(_layers(spark, sf_dir).facts())
+
+
+@query("month_end_spend")
+def q_month_end_spend(spark, sf_dir):
+    return marts.month_end_spend(_layers(spark, sf_dir).facts())
+
+
+@query("category_spend")
+def q_category_spend(spark, sf_dir):
+    return marts.category_spend(_layers(spark, sf_dir).facts())
+
+
+@query("top_category")
+def q_top_category(spark, sf_dir):
+    return marts.top_category(_layers(spark, sf_dir).facts(), "one")
+
+
+@query("top_category_ties")
+def q_top_category_ties(spark, sf_dir):
+    return marts.top_category(_layers(spark, sf_dir).facts(), "all")
+
+
+@query("preferred_channel")
+def q_preferred_channel(spark, sf_dir):
+    return marts.preferred_channel(_layers(spark, sf_dir).facts(), "one")
+
+
+@query("preferred_channel_ties")
+def q_preferred_channel_ties(spark, sf_dir):
+    return marts.preferred_channel(_layers(spark, sf_dir).facts(), "all")
+
+
+@query("lifetime_stats")
+def q_lifetime_stats(spark, sf_dir):
+    return marts.lifetime_stats(_layers(spark, sf_dir).facts())
+
+
+@query("stress_by_customer")
+def q_stress_by_customer(spark, sf_dir):
+    return marts.stress_by_customer(marts.monthly_summary(_layers(spark, sf_dir).facts()))
+
+
+@query("monthly_summary")
+def q_monthly_summary(spark, sf_dir):
+    return marts.monthly_summary(_layers(spark, sf_dir).facts())
+
+
+@query("monthly_summary_ties")
+def q_monthly_summary_ties(spark, sf_dir):
+    return marts.monthly_summary(_layers(spark, sf_dir).facts(), ties="all")
+
+
+@query("monthly_summary_events")
+def q_monthly_summary_events(spark, sf_dir):
+    return marts.monthly_summary(marts.spend_facts(_layers(spark, sf_dir).silver_events()))
+
+
+@query("customer_profile")
+def q_customer_profile(spark, sf_dir):
+    return _layers(spark, sf_dir).profile()
+
+
+@query("customer_profile_ties")
+def q_customer_profile_ties(spark, sf_dir):
+    return _layers(spark, sf_dir).profile(ties="all")
+
+
+# ------------------------------------------------------------------ insights
+
+@query("spend_by_segment")
+def q_spend_by_segment(spark, sf_dir):
+    return insights.spend_by_segment(_layers(spark, sf_dir).profile(activity=True), months=None)
+
+
+@query("stress_by_province")
+def q_stress_by_province(spark, sf_dir):
+    return insights.stress_by_province(_layers(spark, sf_dir).profile())
+
+
+@query("category_totals")
+def q_category_totals(spark, sf_dir):
+    return insights.category_totals(_layers(spark, sf_dir).silver_txn())
+
+
+@query("monthly_volume")
+def q_monthly_volume(spark, sf_dir):
+    return insights.monthly_volume(_layers(spark, sf_dir).silver_txn())
+
+
+@query("stress_report")
+def q_stress_report(spark, sf_dir):
+    return insights.stress_report(_layers(spark, sf_dir).profile())
+
+
+@query("stress_by_segment")
+def q_stress_by_segment(spark, sf_dir):
+    return insights.stress_by_segment(_layers(spark, sf_dir).profile())
+
+
+# ------------------------------------------------------------------ quality
+
+@query("null_report")
+def q_null_report(spark, sf_dir):
+    return quality.null_report(_layers(spark, sf_dir).silver_txn(), contracts.LEDGER_COLUMNS)
+
+
+@query("numeric_profile")
+def q_numeric_profile(spark, sf_dir):
+    return quality.numeric_profile(_layers(spark, sf_dir).silver_txn(), ["amount", "txn_day", "txn_hour"])
+
+
+@query("amount_quartiles")
+def q_amount_quartiles(spark, sf_dir):
+    return quality.quartile_profile(_layers(spark, sf_dir).silver_txn(), "amount")
+
+
+@query("type_split")
+def q_type_split(spark, sf_dir):
+    return quality.value_counts(_layers(spark, sf_dir).silver_txn(), "transaction_type")
+
+
+@query("segment_mix")
+def q_segment_mix(spark, sf_dir):
+    return quality.relative_frequency(_layers(spark, sf_dir).silver_customers(), "segment")
+
+
+@query("top_merchants")
+def q_top_merchants(spark, sf_dir):
+    txn = _layers(spark, sf_dir).silver_txn()
+    return quality.top_values(txn.filter(F.col("transaction_type") == "DEBIT"), "merchant_name", 10)
+
+
+@query("credits_by_day")
+def q_credits_by_day(spark, sf_dir):
+    return quality.day_histogram(_layers(spark, sf_dir).silver_txn(), "CREDIT")
+
+
+@query("quality_gate")
+def q_quality_gate(spark, sf_dir):
+    return quality.quality_gate(_layers(spark, sf_dir).silver_txn())
+
+
+# ------------------------------------------------------------------ signals
+
+@query("salary_earners")
+def q_salary_earners(spark, sf_dir):
+    return signals.salary_earners(_layers(spark, sf_dir).silver_txn())
+
+
+@query("grant_recipients")
+def q_grant_recipients(spark, sf_dir):
+    return signals.grant_recipients(_layers(spark, sf_dir).silver_txn())
+
+
+@query("category_spikes")
+def q_category_spikes(spark, sf_dir):
+    return signals.category_spikes(_layers(spark, sf_dir).silver_txn())
+
+
+@query("income_bands")
+def q_income_bands(spark, sf_dir):
+    return signals.income_band(_layers(spark, sf_dir).silver_customers())
+
+
+@query("favourite_category")
+def q_favourite_category(spark, sf_dir):
+    return signals.favourite_category(_layers(spark, sf_dir).facts())
+
+
+@query("avg_monthly_spend")
+def q_avg_monthly_spend(spark, sf_dir):
+    return signals.average_monthly_spend(_layers(spark, sf_dir).facts())
+
+
+@query("merchant_categories")
+def q_merchant_categories(spark, sf_dir):
+    txn = _layers(spark, sf_dir).silver_txn()
+    assigned = signals.assign_categories(txn, signals.merchant_dimension(txn))
+    return assigned.select("transaction_id", "merchant_name", "merchant_category", "assigned_category")
+
+
+@query("reference_merchant_lookup")
+def q_reference_merchant_lookup(spark, sf_dir):
+    txn = _layers(spark, sf_dir).silver_txn()
+    dim = signals.reference_merchants(spark).withColumnRenamed("display_name", "merchant_name")
+    assigned = signals.assign_categories(txn, dim, small=True)
+    return assigned.groupBy("assigned_category").agg(F.count(F.lit(1)).alias("transactions"))
+
+
+# ------------------------------------------------------------------ storage (S1-S12) and streaming
+
+LEDGER_SOURCE = "lineitem+orders+part+supplier"
+EVENT_SOURCE = "events"
+
+
+@query("bronze_roundtrip")
+def q_bronze_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "bronze")
+    landing.land(_layers(spark, sf_dir).tables.raw_ledger(), path, "b1", LEDGER_SOURCE)
+    back = landing.read_bronze(spark, path)
+    return back.select(*contracts.LEDGER_COLUMNS, "_source_file", "_batch_id")
+
+
+def _replayed(spark, sf_dir) -> DataFrame:
+    t = _layers(spark, sf_dir).tables
+    path = scratch_path(spark, "bronze")
+    landing.land(t.raw_ledger(), path, "b1", LEDGER_SOURCE)
+    landing.land(t.raw_event_ledger(), path, "b2", EVENT_SOURCE)
+    landing.land(t.raw_ledger(), path, "b1", LEDGER_SOURCE)   # replay: replaces b1, adds nothing
+    return landing.read_bronze(spark, path)
+
+
+@query("batch_replay")
+def q_batch_replay(spark, sf_dir):
+    return _replayed(spark, sf_dir).select("transaction_id", "customer_id", "amount", "_batch_id")
+
+
+@query("as_of_batch")
+def q_as_of_batch(spark, sf_dir):
+    return landing.as_of(_replayed(spark, sf_dir), "b1").select("transaction_id", "customer_id", "amount",
+                                                               "_batch_id")
+
+
+PRUNED_PERIOD = tables.last_months((1998, 12), 3)
+
+
+@query("pruned_read")
+def q_pruned_read(spark, sf_dir):
+    path = scratch_path(spark, "silver")
+    tables.write_table(_layers(spark, sf_dir).silver_txn(), path, partition_by=["txn_year", "txn_month"])
+    start, end = PRUNED_PERIOD
+    back = tables.read_period(spark, path, start, end)
+    return back.select("transaction_id", "customer_id", "amount", "txn_year", "txn_month", "txn_day")
+
 
-def q_monthly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.monthly_summary(Layers(spark, sf_dir).facts())
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    raw = _layers(spark, sf_dir).tables.raw_ledger()
+    tables.export_csv(raw.withColumn("transaction_date", F.col("transaction_date").cast("timestamp")), path)
+    back = landing.read_csv(spark, path, contracts.RAW_TRANSACTIONS)
+    good, _bad = landing.quarantine_corrupt(back)
+    return good.select(*[c for c in contracts.LEDGER_COLUMNS if c != "transaction_date"],
+                       F.col("transaction_date").cast("timestamp_ntz").alias("transaction_date"))
 
 
-QUERIES: dict[str, Query] = {
-    "monthly_summary": q_monthly_summary,
-}
+@query("stream_landing")
+def q_stream_landing(spark, sf_dir):
+    raw = _layers(spark, sf_dir).tables.raw_ledger()
+    landing_dir = scratch_path(spark, "landing")
+    raw.write.mode("overwrite").parquet(landing_dir)
+    bronze = scratch_path(spark, "bronze")
+    land_stream(spark, landing_dir, raw.schema, bronze, scratch_path(spark, "stream-checkpoint"),
+                max_files_per_trigger=2)
+    return landing.read_bronze(spark, bronze).select(*contracts.LEDGER_COLUMNS)

@@ -33,7 +33,7 @@ def half_up(x: str, scale: int) -> str:
 def initcap(s: str) -> str:
     """Spark's initcap: first letter of each space-separated word upper, rest lower."""
     return (f"array_to_string(list_transform(string_split({s}, ' '), "
-            f"w -> upper(left(w, 1)) || lower(substr(w, 2))), ' ')")
+            f"lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ')")
 
 
 RAW_LEDGER = """
@@ -165,3 +165,253 @@ def with_ctes(*parts: str, body: str) -> str:
 ORACLE: dict[str, str] = {
     "monthly_summary": with_ctes(silver_ctes(), monthly_ctes("one"), body="SELECT * FROM monthly"),
 }
+
+
+# ---------------------------------------------------------------------------- the rest
+
+def _raw_named(name: str, events: bool) -> str:
+    return (RAW_EVENTS if events else RAW_LEDGER).replace("raw_ledger AS (", f"{name} AS (", 1)
+
+
+def _silver(body: str, events: bool = False) -> str:
+    return with_ctes(silver_ctes(events), body=body)
+
+
+def _monthly(body: str, ties: str = "one", events: bool = False) -> str:
+    return with_ctes(silver_ctes(events), monthly_ctes(ties), body=body)
+
+
+PROFILE_CTES = f"""
+p_spend AS (
+  SELECT customer_id, SUM(amount) AS spend, COUNT(transaction_id) AS lifetime_txn_count, COUNT(*) AS n_debits,
+         COUNT(DISTINCT merchant_category) AS category_diversity
+  FROM silver WHERE transaction_type = 'DEBIT' GROUP BY customer_id),
+p_chan_counts AS (
+  SELECT customer_id, channel, COUNT(*) AS cnt FROM silver WHERE transaction_type = 'DEBIT'
+  GROUP BY customer_id, channel),
+p_chan_one AS (
+  SELECT customer_id, channel AS preferred_channel FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY cnt DESC, channel ASC NULLS FIRST) AS rk
+    FROM p_chan_counts) t WHERE rk = 1),
+p_chan_all AS (
+  SELECT customer_id, channel AS preferred_channel FROM (
+    SELECT *, rank() OVER (PARTITION BY customer_id ORDER BY cnt DESC) AS rk FROM p_chan_counts) t WHERE rk = 1),
+p_stress AS (
+  SELECT customer_id,
+         CASE WHEN COUNT(month_end_stress_ratio) > 0 THEN
+           CAST(SUM(CAST(month_end_stress_ratio AS DECIMAL(20,4))) AS DOUBLE) / COUNT(month_end_stress_ratio) END
+           AS avg_stress_ratio,
+         CASE WHEN COUNT(spend_to_income_ratio) > 0 THEN
+           CAST(SUM(CAST(spend_to_income_ratio AS DECIMAL(20,4))) AS DOUBLE) / COUNT(spend_to_income_ratio) END
+           AS avg_spend_to_income,
+         CASE WHEN COUNT(month_end_stress_ratio) > 0 THEN
+           SUM(CAST(month_end_stress_ratio AS DECIMAL(20,4))) > 0.6 * COUNT(month_end_stress_ratio) END
+           AS is_financially_stressed
+  FROM monthly GROUP BY customer_id)"""
+
+
+def _profile_body(ties: str = "one") -> str:
+    chan = "p_chan_one" if ties == "one" else "p_chan_all"
+    return f"""
+profile AS (
+  SELECT c.customer_id, c.segment, c.province, c.monthly_income,
+         CAST(s.spend AS DOUBLE) AS lifetime_spend, s.lifetime_txn_count,
+         CAST(s.spend AS DOUBLE) / s.n_debits AS avg_txn_value, s.category_diversity,
+         ch.preferred_channel, st.avg_stress_ratio, st.avg_spend_to_income, st.is_financially_stressed
+  FROM customers_silver c
+  LEFT JOIN p_spend s USING (customer_id)
+  LEFT JOIN {chan} ch USING (customer_id)
+  LEFT JOIN p_stress st USING (customer_id))"""
+
+
+def _profile(body: str, ties: str = "one") -> str:
+    return with_ctes(silver_ctes(), CUSTOMERS, monthly_ctes(ties), PROFILE_CTES, _profile_body(ties), body=body)
+
+
+MONTH_IDX = "(txn_year * 12 + txn_month - 1)"
+
+ORACLE.update({
+    # ---------------- Silver
+    "dedup_transactions": _silver("SELECT * FROM dedup"),
+    "standardise_text": _silver("SELECT * FROM standard"),
+    "date_parts": _silver("SELECT transaction_id, txn_year, txn_month, txn_day, txn_day_of_week, txn_hour, "
+                          "is_weekend FROM silver", events=True),
+    "calendar_flags": _silver("SELECT transaction_id, txn_day, is_month_end, is_salary_period, is_weekend "
+                              "FROM silver", events=True),
+    "clean_transactions": _silver("SELECT * FROM silver"),
+    "clean_events": _silver("SELECT * FROM silver", events=True),
+    "clean_customers": with_ctes(CUSTOMERS, body="SELECT * FROM customers_silver"),
+    # ---------------- Gold parts
+    "monthly_spend": _monthly("SELECT customer_id, txn_year, txn_month, CAST(spend AS DOUBLE) AS total_spend, "
+                              "debit_txn_count, unique_merchants, CAST(spend AS DOUBLE) / n_debits AS avg_txn_amount, "
+                              "CAST(max_spend AS DOUBLE) AS max_txn_amount FROM m_spend"),
+    "monthly_income": _monthly("SELECT customer_id, txn_year, txn_month, CAST(income AS DOUBLE) AS "
+                               "total_income_received, credit_txn_count FROM m_income"),
+    "month_end_spend": _monthly("SELECT customer_id, txn_year, txn_month, CAST(month_end AS DOUBLE) AS "
+                                "month_end_spend FROM m_end"),
+    "category_spend": _monthly("SELECT customer_id, txn_year, txn_month, merchant_category, "
+                               "CAST(cat_spend AS DOUBLE) AS cat_spend FROM m_cat"),
+    "top_category": _monthly("SELECT * FROM m_top"),
+    "top_category_ties": _monthly("SELECT * FROM m_top", ties="all"),
+    "preferred_channel": _profile("SELECT * FROM p_chan_one"),
+    "preferred_channel_ties": _profile("SELECT * FROM p_chan_all"),
+    "lifetime_stats": _profile("SELECT customer_id, CAST(spend AS DOUBLE) AS lifetime_spend, lifetime_txn_count, "
+                               "CAST(spend AS DOUBLE) / n_debits AS avg_txn_value, category_diversity FROM p_spend"),
+    "stress_by_customer": _profile("SELECT * FROM p_stress"),
+    "monthly_summary_ties": _monthly("SELECT * FROM monthly", ties="all"),
+    "monthly_summary_events": _monthly("SELECT * FROM monthly", events=True),
+    "customer_profile": _profile("SELECT * FROM profile"),
+    "customer_profile_ties": _profile("SELECT * FROM profile", ties="all"),
+    # ---------------- insights
+    "spend_by_segment": _profile(f"""
+SELECT segment,
+       {ratio('SUM(CAST(lifetime_spend AS DECIMAL(28,2)))',
+              'COUNT(lifetime_spend) * (SELECT max(' + MONTH_IDX + ') - min(' + MONTH_IDX + ') + 1 FROM silver '
+              "WHERE transaction_type = 'DEBIT')", 2)} AS avg_monthly_spend,
+       COUNT(customer_id) AS customer_count
+FROM profile GROUP BY segment"""),
+    "stress_by_province": _profile(f"""
+SELECT province, {half_up('AVG(avg_stress_ratio) * 100.0', 1)} AS avg_stress_pct,
+       CAST(SUM(CAST(is_financially_stressed AS INTEGER)) AS BIGINT) AS stressed_customers,
+       COUNT(customer_id) AS total_customers
+FROM profile GROUP BY province"""),
+    "category_totals": _silver(f"""
+SELECT merchant_category, {ratio('SUM(amount)', '1000000', 2)} AS total_spend_millions
+FROM silver WHERE transaction_type = 'DEBIT' GROUP BY merchant_category"""),
+    "monthly_volume": _silver(f"""
+SELECT txn_year, txn_month, COUNT(transaction_id) AS txn_count,
+       {ratio('SUM(amount)', '1000000', 2)} AS total_volume_millions,
+       printf('%04d-%02d', txn_year, txn_month) AS period
+FROM silver GROUP BY txn_year, txn_month"""),
+    "stress_report": _profile("""
+SELECT total_customers, stressed_customers, total_customers - stressed_customers AS not_stressed_customers,
+       CASE WHEN total_customers > 0 THEN tenths / 10.0 END AS stressed_pct,
+       CASE WHEN total_customers > 0 THEN (1000 - tenths) / 10.0 END AS not_stressed_pct
+FROM (SELECT *, (stressed_customers * 2000 + total_customers) // (total_customers * 2) AS tenths
+      FROM (SELECT COUNT(*) AS total_customers,
+                   COUNT(*) FILTER (WHERE is_financially_stressed) AS stressed_customers FROM profile) a) b"""),
+    "stress_by_segment": _profile(f"""
+SELECT segment, CAST(SUM(CAST(is_financially_stressed AS INTEGER)) AS BIGINT) AS stressed,
+       COUNT(customer_id) AS total, {half_up('AVG(avg_stress_ratio) * 100.0', 1)} AS avg_stress_pct
+FROM profile GROUP BY segment"""),
+    # ---------------- quality
+    "null_report": _silver("SELECT " + ", ".join(
+        f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}" for c in
+        ["transaction_id", "customer_id", "transaction_date", "amount", "transaction_type", "merchant_name",
+         "merchant_category", "channel"]) + " FROM silver"),
+    "numeric_profile": _silver(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT({c}) AS count, {mean} AS mean, "
+        f"{half_up(f'stddev_samp(CAST({c} AS DOUBLE))', 6)} AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
+        f"CAST(MAX({c}) AS DOUBLE) AS max FROM silver"
+        for c, mean in [("amount", "CAST(SUM(amount) AS DOUBLE) / COUNT(amount)"),
+                        ("txn_day", "AVG(CAST(txn_day AS DOUBLE))"),
+                        ("txn_hour", "AVG(CAST(txn_hour AS DOUBLE))")])),
+    "amount_quartiles": _silver(f"""
+SELECT COUNT(amount) AS count, {ratio('SUM(amount)', 'COUNT(amount)', 2)} AS mean,
+       {half_up('stddev_samp(CAST(amount AS DOUBLE))', 2)} AS std,
+       CAST(MIN(amount) AS DOUBLE) AS min,
+       CAST(quantile_disc(amount, 0.25) AS DOUBLE) AS p25, CAST(quantile_disc(amount, 0.5) AS DOUBLE) AS p50,
+       CAST(quantile_disc(amount, 0.75) AS DOUBLE) AS p75, CAST(MAX(amount) AS DOUBLE) AS max
+FROM silver"""),
+    "type_split": _silver("SELECT transaction_type, COUNT(*) AS count FROM silver GROUP BY transaction_type"),
+    "segment_mix": with_ctes(CUSTOMERS, body=f"""
+SELECT segment, count, {ratio('count * 100', 'SUM(count) OVER ()', 1, unit=1)} AS share_pct
+FROM (SELECT segment, COUNT(*) AS count FROM customers_silver GROUP BY segment) t"""),
+    "top_merchants": _silver("""
+SELECT merchant_name, COUNT(*) AS count FROM silver
+WHERE transaction_type = 'DEBIT' AND merchant_name IS NOT NULL
+GROUP BY merchant_name ORDER BY count DESC, merchant_name ASC LIMIT 10"""),
+    "credits_by_day": _silver("SELECT txn_day, COUNT(*) AS count FROM silver WHERE transaction_type = 'CREDIT' "
+                              "GROUP BY txn_day"),
+    "quality_gate": _silver("""
+SELECT *, (null_transaction_id = 0 AND null_customer_id = 0 AND null_amount = 0 AND null_transaction_date = 0
+           AND null_merchant_category = 0) AS passed
+FROM (SELECT """ + ", ".join(f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_{c}" for c in
+                              ["transaction_id", "customer_id", "amount", "transaction_date", "merchant_category"]) + """,
+        COUNT(*) AS rows, CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS amount_mean,
+        """ + half_up("stddev_samp(CAST(amount AS DOUBLE))", 6) + """ AS amount_stddev,
+        CAST(MIN(amount) AS DOUBLE) AS amount_min, CAST(MAX(amount) AS DOUBLE) AS amount_max
+      FROM silver) g"""),
+    # ---------------- signals
+    "salary_earners": _silver("""
+SELECT customer_id, COUNT(*) AS active_months, COUNT(*) FILTER (WHERE hit) AS pay_months,
+       COUNT(*) FILTER (WHERE hit) * 100 >= COUNT(*) * 50 AS is_salaried
+FROM (SELECT customer_id, txn_year, txn_month,
+             bool_or(transaction_type = 'CREDIT' AND is_salary_period) AS hit
+      FROM silver GROUP BY customer_id, txn_year, txn_month) m
+GROUP BY customer_id"""),
+    "grant_recipients": _silver("""
+SELECT customer_id, COUNT(*) AS active_months, COUNT(*) FILTER (WHERE hit) AS pay_months,
+       COUNT(*) FILTER (WHERE hit) * 100 >= COUNT(*) * 50 AS is_grant_recipient
+FROM (SELECT customer_id, txn_year, txn_month,
+             bool_or(transaction_type = 'CREDIT' AND txn_day = 1) AS hit
+      FROM silver GROUP BY customer_id, txn_year, txn_month) m
+GROUP BY customer_id"""),
+    "category_spikes": _silver(f"""
+SELECT merchant_category, txn_year, txn_month, share_units / 10000.0 AS share,
+       CASE WHEN t_n > 0 THEN t_sum / (t_n * 10000.0) END AS trailing_share,
+       {ratio('share_units * t_n', 't_sum', 4, unit=1)} AS spike_ratio,
+       CASE WHEN t_sum > 0 THEN share_units * t_n * 100 >= t_sum * 150 END AS is_spike
+FROM (
+  SELECT *, SUM(share_units) OVER w AS t_sum, COUNT(share_units) OVER w AS t_n
+  FROM (
+    SELECT merchant_category, txn_year, txn_month, {MONTH_IDX} AS idx,
+           (CAST(cat * 100 AS HUGEINT) * 20000 + CAST(total * 100 AS HUGEINT))
+             // (CAST(total * 100 AS HUGEINT) * 2) AS share_units
+    FROM (SELECT *, SUM(cat) OVER (PARTITION BY txn_year, txn_month) AS total
+          FROM (SELECT txn_year, txn_month, merchant_category, SUM(amount) AS cat FROM silver
+                WHERE transaction_type = 'DEBIT' GROUP BY txn_year, txn_month, merchant_category) c) t) s
+  WINDOW w AS (PARTITION BY merchant_category ORDER BY idx RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING)) r"""),
+    "income_bands": with_ctes(CUSTOMERS, body="""
+SELECT *, CASE WHEN monthly_income < 5000 THEN 'low' WHEN monthly_income < 18000 THEN 'middle'
+               WHEN monthly_income IS NOT NULL THEN 'high' END AS income_band
+FROM customers_silver"""),
+    "favourite_category": _silver("""
+SELECT customer_id, merchant_category AS favourite_category FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY spend DESC, merchant_category ASC NULLS FIRST) AS rk
+  FROM (SELECT customer_id, merchant_category, SUM(amount) AS spend FROM silver
+        WHERE transaction_type = 'DEBIT' GROUP BY customer_id, merchant_category) c) t
+WHERE rk = 1"""),
+    "avg_monthly_spend": _silver(f"""
+SELECT customer_id, COUNT(*) AS active_months, {ratio('SUM(spend)', 'COUNT(*)', 2)} AS avg_monthly_spend
+FROM (SELECT customer_id, txn_year, txn_month, SUM(amount) AS spend FROM silver
+      WHERE transaction_type = 'DEBIT' GROUP BY customer_id, txn_year, txn_month) m
+GROUP BY customer_id"""),
+    "merchant_categories": _silver("""
+SELECT s.transaction_id, s.merchant_name, s.merchant_category,
+       COALESCE(d.category, s.merchant_category) AS assigned_category
+FROM silver s LEFT JOIN (
+  SELECT merchant_name, merchant_category AS category FROM (
+    SELECT *, row_number() OVER (PARTITION BY merchant_name ORDER BY n DESC, merchant_category ASC) AS rk
+    FROM (SELECT merchant_name, merchant_category, COUNT(*) AS n FROM silver
+          WHERE transaction_type = 'DEBIT' AND merchant_name IS NOT NULL AND merchant_category IS NOT NULL
+          GROUP BY merchant_name, merchant_category) c) t
+  WHERE rk = 1) d ON upper(trim(s.merchant_name)) = upper(trim(d.merchant_name))"""),
+    # ---------------- storage and streaming
+    "bronze_roundtrip": with_ctes(RAW_LEDGER, body="SELECT *, 'lineitem+orders+part+supplier' AS _source_file, "
+                                                   "'b1' AS _batch_id FROM raw_ledger"),
+    "batch_replay": with_ctes(_raw_named("raw_a", False), _raw_named("raw_b", True), body="""
+SELECT transaction_id, customer_id, amount, 'b1' AS _batch_id FROM raw_a
+UNION ALL SELECT transaction_id, customer_id, amount, 'b2' AS _batch_id FROM raw_b"""),
+    "as_of_batch": with_ctes(RAW_LEDGER, body="SELECT transaction_id, customer_id, amount, 'b1' AS _batch_id "
+                                              "FROM raw_ledger"),
+    "pruned_read": _silver("SELECT transaction_id, customer_id, amount, txn_year, txn_month, txn_day FROM silver "
+                           "WHERE txn_year * 12 + txn_month BETWEEN 1998 * 12 + 10 AND 1998 * 12 + 12"),
+    "csv_roundtrip": with_ctes(RAW_LEDGER, body="""
+SELECT transaction_id, CAST(customer_id AS VARCHAR) AS customer_id, amount, transaction_type, merchant_name,
+       merchant_category, channel, transaction_date FROM raw_ledger"""),
+    "stream_landing": with_ctes(RAW_LEDGER, body="SELECT * FROM raw_ledger"),
+})
+
+
+def _reference_lookup_sql() -> str:
+    from ledgerloom.operators.signals import REFERENCE_MERCHANTS
+    values = ", ".join("('{}', '{}')".format(cat, name.replace("'", "''")) for cat, name, _code in REFERENCE_MERCHANTS)
+    return _silver(f"""
+SELECT COALESCE(d.category, s.merchant_category) AS assigned_category, COUNT(*) AS transactions
+FROM silver s LEFT JOIN (VALUES {values}) d(category, display_name)
+  ON upper(trim(s.merchant_name)) = upper(trim(d.display_name))
+GROUP BY 1""")
+
+
+ORACLE["reference_merchant_lookup"] = _reference_lookup_sql()

@@ -78,6 +78,8 @@ def land(df: DataFrame, bronze_path: str, batch_id: str, source: str | None = No
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     """The whole Bronze table, audit columns included."""
     df = spark.read.parquet(bronze_path)
+    # Partition discovery types an all-digit id (the default yyyyMMddHHmmss) as a number.
+    df = df.withColumn(BATCH_COLUMN, F.col(BATCH_COLUMN).cast("string"))
     return require_schema(df, list(BRONZE_AUDIT), "bronze table")
 
 
