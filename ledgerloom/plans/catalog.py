@@ -1,7 +1,10 @@
 """The registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
-Every query reads the driver tables of ``sf_dir`` through the canonical
-bindings and runs over them whole.  Processing stamps are left out so results
+Every query runs over the whole driver tables of ``sf_dir``.  As in the
+layered pipeline, each layer reads the one below it: the Silver operators run
+on the raw tables (through the canonical bindings); Gold operators run on the
+Silver tables, and reports on the Gold tables, which ``Lake`` materialises
+from the same inputs on first use.  Processing stamps are left out so results
 are deterministic; storage queries write to fresh locations under the shared
 folder (``spark.checkpoint.dir``) and read back what they wrote.
 """
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import curate, marts, quality, signals
 from ledgerloom.plans import insights
+from ledgerloom.plans.lake import Lake
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import contracts, landing, tables
 from ledgerloom.sources.bindings import DriverTables
@@ -103,62 +107,62 @@ def q_clean_customers(spark, sf_dir):
 
 @query("monthly_spend")
 def q_monthly_spend(spark, sf_dir):
-    return marts.monthly_spend(_layers(spark, sf_dir).facts())
+    return marts.monthly_spend(Lake(spark, sf_dir).facts())
 
 
 @query("monthly_income")
 def q_monthly_income(spark, sf_dir):
-    return marts.monthly_income(_layers(spark, sf_dir).facts())
+    return marts.monthly_income(Lake(spark, sf_dir).facts())
 
 
 @query("month_end_spend")
 def q_month_end_spend(spark, sf_dir):
-    return marts.month_end_spend(_layers(spark, sf_dir).facts())
+    return marts.month_end_spend(Lake(spark, sf_dir).facts())
 
 
 @query("category_spend")
 def q_category_spend(spark, sf_dir):
-    return marts.category_spend(_layers(spark, sf_dir).facts())
+    return marts.category_spend(Lake(spark, sf_dir).facts())
 
 
 @query("top_category")
 def q_top_category(spark, sf_dir):
-    return marts.top_category(_layers(spark, sf_dir).facts(), "one")
+    return marts.top_category(Lake(spark, sf_dir).facts(), "one")
 
 
 @query("top_category_ties")
 def q_top_category_ties(spark, sf_dir):
-    return marts.top_category(_layers(spark, sf_dir).facts(), "all")
+    return marts.top_category(Lake(spark, sf_dir).facts(), "all")
 
 
 @query("preferred_channel")
 def q_preferred_channel(spark, sf_dir):
-    return marts.preferred_channel(_layers(spark, sf_dir).facts(), "one")
+    return marts.preferred_channel(Lake(spark, sf_dir).facts(), "one")
 
 
 @query("preferred_channel_ties")
 def q_preferred_channel_ties(spark, sf_dir):
-    return marts.preferred_channel(_layers(spark, sf_dir).facts(), "all")
+    return marts.preferred_channel(Lake(spark, sf_dir).facts(), "all")
 
 
 @query("lifetime_stats")
 def q_lifetime_stats(spark, sf_dir):
-    return marts.lifetime_stats(_layers(spark, sf_dir).facts())
+    return marts.lifetime_stats(Lake(spark, sf_dir).facts())
 
 
 @query("stress_by_customer")
 def q_stress_by_customer(spark, sf_dir):
-    return marts.stress_by_customer(marts.monthly_summary(_layers(spark, sf_dir).facts()))
+    return marts.stress_by_customer(Lake(spark, sf_dir).monthly_summary())
 
 
 @query("monthly_summary")
 def q_monthly_summary(spark, sf_dir):
-    return marts.monthly_summary(_layers(spark, sf_dir).facts())
+    return marts.monthly_summary(Lake(spark, sf_dir).facts())
 
 
 @query("monthly_summary_ties")
 def q_monthly_summary_ties(spark, sf_dir):
-    return marts.monthly_summary(_layers(spark, sf_dir).facts(), ties="all")
+    return marts.monthly_summary(Lake(spark, sf_dir).facts(), ties="all")
 
 
 @query("monthly_summary_events")
@@ -168,131 +172,138 @@ def q_monthly_summary_events(spark, sf_dir):
 
 @query("customer_profile")
 def q_customer_profile(spark, sf_dir):
-    return _layers(spark, sf_dir).profile()
+    lake = Lake(spark, sf_dir)
+    return marts.customer_profile(lake.customers(), lake.facts())
 
 
 @query("customer_profile_ties")
 def q_customer_profile_ties(spark, sf_dir):
-    return _layers(spark, sf_dir).profile(ties="all")
+    lake = Lake(spark, sf_dir)
+    return marts.customer_profile(lake.customers(), lake.facts(), ties="all")
 
 
 # ------------------------------------------------------------------ insights
 
+def _profile(spark, sf_dir) -> DataFrame:
+    """The Gold profile table, as the reports read it (without activity columns)."""
+    return Lake(spark, sf_dir).customer_profile().drop(*marts.ACTIVITY)
+
+
 @query("spend_by_segment")
 def q_spend_by_segment(spark, sf_dir):
-    return insights.spend_by_segment(_layers(spark, sf_dir).profile(activity=True), months=None)
+    return insights.spend_by_segment(Lake(spark, sf_dir).customer_profile(), months=None)
 
 
 @query("stress_by_province")
 def q_stress_by_province(spark, sf_dir):
-    return insights.stress_by_province(_layers(spark, sf_dir).profile())
+    return insights.stress_by_province(_profile(spark, sf_dir))
 
 
 @query("category_totals")
 def q_category_totals(spark, sf_dir):
-    return insights.category_totals(_layers(spark, sf_dir).silver_txn())
+    return insights.category_totals(Lake(spark, sf_dir).txn())
 
 
 @query("monthly_volume")
 def q_monthly_volume(spark, sf_dir):
-    return insights.monthly_volume(_layers(spark, sf_dir).silver_txn())
+    return insights.monthly_volume(Lake(spark, sf_dir).txn())
 
 
 @query("stress_report")
 def q_stress_report(spark, sf_dir):
-    return insights.stress_report(_layers(spark, sf_dir).profile())
+    return insights.stress_report(_profile(spark, sf_dir))
 
 
 @query("stress_by_segment")
 def q_stress_by_segment(spark, sf_dir):
-    return insights.stress_by_segment(_layers(spark, sf_dir).profile())
+    return insights.stress_by_segment(_profile(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ quality
 
 @query("null_report")
 def q_null_report(spark, sf_dir):
-    return quality.null_report(_layers(spark, sf_dir).silver_txn(), contracts.LEDGER_COLUMNS)
+    return quality.null_report(Lake(spark, sf_dir).txn(), contracts.LEDGER_COLUMNS)
 
 
 @query("numeric_profile")
 def q_numeric_profile(spark, sf_dir):
-    return quality.numeric_profile(_layers(spark, sf_dir).silver_txn(), ["amount", "txn_day", "txn_hour"])
+    return quality.numeric_profile(Lake(spark, sf_dir).txn(), ["amount", "txn_day", "txn_hour"])
 
 
 @query("amount_quartiles")
 def q_amount_quartiles(spark, sf_dir):
-    return quality.quartile_profile(_layers(spark, sf_dir).silver_txn(), "amount")
+    return quality.quartile_profile(Lake(spark, sf_dir).txn(), "amount")
 
 
 @query("type_split")
 def q_type_split(spark, sf_dir):
-    return quality.value_counts(_layers(spark, sf_dir).silver_txn(), "transaction_type")
+    return quality.value_counts(Lake(spark, sf_dir).txn(), "transaction_type")
 
 
 @query("segment_mix")
 def q_segment_mix(spark, sf_dir):
-    return quality.relative_frequency(_layers(spark, sf_dir).silver_customers(), "segment")
+    return quality.relative_frequency(Lake(spark, sf_dir).customers(), "segment")
 
 
 @query("top_merchants")
 def q_top_merchants(spark, sf_dir):
-    txn = _layers(spark, sf_dir).silver_txn()
+    txn = Lake(spark, sf_dir).txn()
     return quality.top_values(txn.filter(F.col("transaction_type") == "DEBIT"), "merchant_name", 10)
 
 
 @query("credits_by_day")
 def q_credits_by_day(spark, sf_dir):
-    return quality.day_histogram(_layers(spark, sf_dir).silver_txn(), "CREDIT")
+    return quality.day_histogram(Lake(spark, sf_dir).txn(), "CREDIT")
 
 
 @query("quality_gate")
 def q_quality_gate(spark, sf_dir):
-    return quality.quality_gate(_layers(spark, sf_dir).silver_txn())
+    return quality.quality_gate(Lake(spark, sf_dir).txn())
 
 
 # ------------------------------------------------------------------ signals
 
 @query("salary_earners")
 def q_salary_earners(spark, sf_dir):
-    return signals.salary_earners(_layers(spark, sf_dir).silver_txn())
+    return signals.salary_earners(Lake(spark, sf_dir).txn())
 
 
 @query("grant_recipients")
 def q_grant_recipients(spark, sf_dir):
-    return signals.grant_recipients(_layers(spark, sf_dir).silver_txn())
+    return signals.grant_recipients(Lake(spark, sf_dir).txn())
 
 
 @query("category_spikes")
 def q_category_spikes(spark, sf_dir):
-    return signals.category_spikes(_layers(spark, sf_dir).silver_txn())
+    return signals.category_spikes(Lake(spark, sf_dir).txn())
 
 
 @query("income_bands")
 def q_income_bands(spark, sf_dir):
-    return signals.income_band(_layers(spark, sf_dir).silver_customers())
+    return signals.income_band(Lake(spark, sf_dir).customers())
 
 
 @query("favourite_category")
 def q_favourite_category(spark, sf_dir):
-    return signals.favourite_category(_layers(spark, sf_dir).facts())
+    return signals.favourite_category(Lake(spark, sf_dir).facts())
 
 
 @query("avg_monthly_spend")
 def q_avg_monthly_spend(spark, sf_dir):
-    return signals.average_monthly_spend(_layers(spark, sf_dir).facts())
+    return signals.average_monthly_spend(Lake(spark, sf_dir).facts())
 
 
 @query("merchant_categories")
 def q_merchant_categories(spark, sf_dir):
-    txn = _layers(spark, sf_dir).silver_txn()
+    txn = Lake(spark, sf_dir).txn()
     assigned = signals.assign_categories(txn, signals.merchant_dimension(txn))
     return assigned.select("transaction_id", "merchant_name", "merchant_category", "assigned_category")
 
 
 @query("reference_merchant_lookup")
 def q_reference_merchant_lookup(spark, sf_dir):
-    txn = _layers(spark, sf_dir).silver_txn()
+    txn = Lake(spark, sf_dir).txn()
     dim = signals.reference_merchants(spark).withColumnRenamed("display_name", "merchant_name")
     assigned = signals.assign_categories(txn, dim, small=True)
     return assigned.groupBy("assigned_category").agg(F.count(F.lit(1)).alias("transactions"))
@@ -337,8 +348,7 @@ PRUNED_PERIOD = tables.last_months((1998, 12), 3)
 
 @query("pruned_read")
 def q_pruned_read(spark, sf_dir):
-    path = scratch_path(spark, "silver")
-    tables.write_table(_layers(spark, sf_dir).silver_txn(), path, partition_by=["txn_year", "txn_month"])
+    path = Lake(spark, sf_dir).silver_transactions_path()
     start, end = PRUNED_PERIOD
     back = tables.read_period(spark, path, start, end)
     return back.select("transaction_id", "customer_id", "amount", "txn_year", "txn_month", "txn_day")

@@ -46,11 +46,35 @@ DRIVER_SCHEMAS = {
 }
 
 
+#: Fact tables (every row becomes a transaction, so per-row work happens on
+#: them) and a high-cardinality column of each to spread rows by.
+FACT_TABLES = {"lineitem": "l_orderkey", "events": "event_id"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in DRIVER_SCHEMAS:
         reader = reader.schema(DRIVER_SCHEMAS[name])
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, FACT_TABLES[name]) if name in FACT_TABLES else df
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Give an under-split scan at least one partition per core.
+
+    A Parquet file holding a single row group is read by one task, so every
+    per-row step before the first shuffle (dimension joins, id building, the
+    map-side half of de-duplication) would run on one core.  When the scan
+    yields fewer partitions than the default parallelism, rows are hashed on
+    ``key`` into that many partitions first (hash, not round-robin: no sort
+    is needed to make a retried task produce the same split).  An input split
+    into many files or row groups -- any large input -- already has enough
+    partitions and is returned unchanged, so at scale this adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
 
 
 def ledger_from_tpch(lineitem: DataFrame, orders: DataFrame, part: DataFrame,

@@ -30,9 +30,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         out = out.hint("rebalance", *partition_by)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
-    writer = out.write.mode("overwrite")
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    # Explicit either way: the session default is dynamic (for batch landing),
+    # and only a static overwrite leaves the table's _SUCCESS marker at its root.
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
