@@ -39,11 +39,14 @@ def test_top_category_uses_group_limit(spark):
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
-    plan = plan_of(spark, "category_totals")
-    # columns no query step needs are never read
+    raw = plan_of(spark, "clean_transactions")
+    # columns no step needs are never read from the raw tables
     for unused in ("l_quantity", "l_discount", "l_tax", "l_shipdate", "o_totalprice", "p_name", "s_acctbal"):
-        assert unused not in plan
-    assert "PushedFilters: [IsNotNull(o_orderkey)]" in plan
+        assert unused not in raw
+    assert "PushedFilters: [IsNotNull(o_orderkey)]" in raw
+    report = plan_of(spark, "category_totals")
+    assert "ReadSchema: struct<amount:decimal(18,2),transaction_type:string,merchant_category:string>" in report
+    assert "EqualTo(transaction_type,DEBIT)" in report
 
 
 def test_entry_smoke(spark):
