@@ -28,6 +28,8 @@ from ledgerloom.sources import tables
 from ledgerloom.sources.bindings import DriverTables
 
 LEDGER_INPUTS = ["lineitem", "orders", "part", "supplier", "customer", "nation", "region"]
+#: Session setting naming the folder lakes live in (default: the shared folder).
+LAKE_DIR_CONF = "spark.ledgerloom.lakeDir"
 _PACKAGE_DIR = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -71,7 +73,8 @@ class Lake:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.raw = DriverTables(spark, sf_dir)
-        self.root = f"{shared_dir(spark)}/lake-{fingerprint(spark, sf_dir)}"
+        base = spark.conf.get(LAKE_DIR_CONF, None) or shared_dir(spark)
+        self.root = f"{base.rstrip('/')}/lake-{fingerprint(spark, sf_dir)}"
 
     def _table(self, rel: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
         path = f"{self.root}/{rel}"
