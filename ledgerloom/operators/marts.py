@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.calendar import MONTH_END_FROM_DAY, month_index
 from ledgerloom.functions.numeric import as_double, half_up_quotient, money_mean
 from ledgerloom.operators.ranking import top_per_group
+from ledgerloom.session import shared_dir
 
 MONTH = ["customer_id", "txn_year", "txn_month"]
 STRESS_THRESHOLD = 0.6      # fixed value: profile flag is avg month-end ratio > 0.6 (strict)
@@ -63,6 +64,18 @@ def spend_facts(txn: DataFrame, month_end_from: int | None = None, partition: bo
     return facts.repartition("customer_id") if partition else facts
 
 
+def shared(facts: DataFrame) -> DataFrame:
+    """Facts that several branches of one plan read (the ``ties="all"`` join forms).
+
+    Column pruning gives each branch its own copy of the facts plan, so nothing
+    would be reused; a reliable checkpoint (in ``spark.checkpoint.dir``) computes
+    them once, keeps their customer partitioning and cuts the lineage.  A frame
+    """
+    if facts.sparkSession.sparkContext.getCheckpointDir() is None:
+        shared_dir(facts.sparkSession)
+    return facts.checkpoint(eager=True)
+
+
 # ---------------------------------------------------------------- monthly parts
 
 
@@ -167,6 +180,7 @@ def monthly_summary(facts: DataFrame, ties: str = "one", stamp: bool = False) ->
     """
     debit_rows = F.col("debit_rows") > 0
     if ties == "all":
+        facts = shared(facts)
         month = facts.groupBy(*MONTH).agg(*_month_measures(debit_rows)).filter(F.col("n_debits") > 0)
         joined = month.join(top_category(facts, "all"), MONTH, "left")
     else:
@@ -308,6 +322,7 @@ def customer_profile(customers: DataFrame, facts: DataFrame, ties: str = "one",
     repeat months inside the stress mean), assembled by three left joins.
     """
     if ties == "all":
+        facts = shared(facts)
         monthly = monthly_summary(facts, "all")
         out = (customers.join(lifetime_stats(facts), "customer_id", "left")
                .join(preferred_channel(facts, "all"), "customer_id", "left")

@@ -64,8 +64,11 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set(CHECKPOINT_CONF, current)
         spark.sparkContext.setCheckpointDir(current)
+        try:
+            spark.conf.set(CHECKPOINT_CONF, current)
+        except Exception:  # noqa: BLE001 - core confs may be read-only at run time
+            pass
     return current.rstrip("/")
 
 
