@@ -102,3 +102,11 @@ def flag_nulls(df: DataFrame, columns: list[str] | None = None, name: str = "_nu
     cols = columns or df.columns
     flags = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in cols]))
     return df.withColumn(name, flags)
+
+
+def ledger_by_time(txn: DataFrame) -> DataFrame:
+    """The ledger in time order (ties by id).  A global sort: Spark samples
+    the keys and range-partitions, so every task sorts one slice of the time
+    line; use ``tables.write_table(..., sort_within=...)`` when per-file order is
+    enough."""
+    return txn.orderBy(F.col("transaction_date").asc_nulls_first(), F.col("transaction_id").asc_nulls_first())

@@ -114,3 +114,14 @@ def quality_gate(txn: DataFrame, columns: list[str] | None = None) -> DataFrame:
         cond = F.col(f"null_{c}") == 0
         passed = cond if passed is None else passed & cond
     return out.withColumn("passed", passed)
+
+
+def row_count(df: DataFrame) -> int:
+    """Number of rows (an action; prefer ``tables.write_table``'s observed
+    count when the rows are being written anyway)."""
+    return df.count()
+
+
+def preview(df: DataFrame, n: int = 10, columns: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows of a column subset, for display."""
+    return (df.select(*columns) if columns else df).limit(n)

@@ -98,6 +98,24 @@ def q_clean_events(spark, sf_dir):
     return _layers(spark, sf_dir).silver_events()
 
 
+@query("quarantined_transactions")
+def q_quarantined(spark, sf_dir):
+    return curate.quarantined_transactions(_layers(spark, sf_dir).tables.raw_ledger())
+
+
+@query("null_flags")
+def q_null_flags(spark, sf_dir):
+    raw = _layers(spark, sf_dir).tables.raw_ledger()
+    flagged = curate.flag_nulls(curate.dedup_transactions(raw), contracts.LEDGER_COLUMNS)
+    return flagged.select("transaction_id", F.size("_null_flags").alias("null_fields"))
+
+
+@query("ledger_by_time")
+def q_ledger_by_time(spark, sf_dir):
+    return curate.ledger_by_time(Lake(spark, sf_dir).txn()).select(
+        "transaction_id", "transaction_date", "customer_id", "amount")
+
+
 @query("clean_customers")
 def q_clean_customers(spark, sf_dir):
     return _layers(spark, sf_dir).silver_customers()

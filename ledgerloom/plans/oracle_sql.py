@@ -241,6 +241,14 @@ ORACLE.update({
     "clean_transactions": _silver("SELECT * FROM silver"),
     "clean_events": _silver("SELECT * FROM silver", events=True),
     "clean_customers": with_ctes(CUSTOMERS, body="SELECT * FROM customers_silver"),
+    "quarantined_transactions": _silver("SELECT * FROM standard WHERE amount > 0 AND customer_id IS NOT NULL "
+                                        "AND transaction_date IS NULL"),
+    "null_flags": _silver("SELECT transaction_id, CAST(" + " + ".join(
+        f"CAST({c} IS NULL AS INTEGER)" for c in
+        ["transaction_id", "customer_id", "transaction_date", "amount", "transaction_type", "merchant_name",
+         "merchant_category", "channel"]) + " AS INTEGER) AS null_fields FROM dedup"),
+    "ledger_by_time": _silver("SELECT transaction_id, transaction_date, customer_id, amount FROM silver "
+                              "ORDER BY transaction_date, transaction_id"),
     # ---------------- Gold parts
     "monthly_spend": _monthly("SELECT customer_id, txn_year, txn_month, CAST(spend AS DOUBLE) AS total_spend, "
                               "debit_txn_count, unique_merchants, CAST(spend AS DOUBLE) / n_debits AS avg_txn_amount, "
