@@ -60,7 +60,7 @@ def quartile_profile(df: DataFrame, column: str, accuracy: int = 10_000, scale:
 
     ``accuracy`` bounds each task's sketch (relative rank error 1/accuracy) and
     the cost of merging the per-partition sketches in the final step; the
-    answer is exact while a partition holds fewer rows than ``accuracy``."""
+    answer is exact while the row count stays below about ``accuracy / 2``."""
     c = F.col(column)
     q = F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
     stats = df.agg(F.count(c).alias("count"),

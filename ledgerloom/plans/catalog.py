@@ -251,7 +251,7 @@ def q_numeric_profile(spark, sf_dir):
 
 @query("amount_quartiles")
 def q_amount_quartiles(spark, sf_dir):
-    # Exact at the test scales (fewer rows than the accuracy); at cluster scale
+    # Exact at the test scales (rows < accuracy / 2); at cluster scale
     # the library default (10,000) keeps the final sketch merge cheap.
     return quality.quartile_profile(Lake(spark, sf_dir).txn(), "amount", accuracy=1_000_000)
 
