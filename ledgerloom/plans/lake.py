@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,9 +80,26 @@ class Lake:
     def _table(self, rel: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
         path = f"{self.root}/{rel}"
         if not path_exists(self.spark, f"{path}/_SUCCESS"):
-            tables.write_table(build(), path, partition_by=partition_by)
+            path = self._build(path, build, partition_by)
         return self.spark.read.parquet(path)
 
+    def _build(self, path: str, build: Callable[[], DataFrame], partition_by: list[str] | None) -> str:
+        """Write the table beside its final place, then rename it in (atomic on
+        HDFS and local disks): a concurrent reader or builder never sees half a
+        table.  A leftover without ``_SUCCESS`` is overwritten in place."""
+        if path_exists(self.spark, path):
+            tables.write_table(build(), path, partition_by=partition_by)
+            return path
+        staging = f"{path}.staging-{uuid.uuid4().hex[:12]}"
+        tables.write_table(build(), staging, partition_by=partition_by)
+        fs, final = _hadoop_fs(self.spark, path)
+        jvm = self.spark.sparkContext._jvm
+        fs.mkdirs(final.getParent())
+        if fs.rename(jvm.org.apache.hadoop.fs.Path(staging), final):
+            return path
+        # Another builder got there first: use its table if complete, else ours.
+        return path if path_exists(self.spark, f"{path}/_SUCCESS") else staging
+
     # ---------------------------------------------------------------- Silver
     def silver_transactions(self) -> DataFrame:
         return self._table("silver/transactions",
