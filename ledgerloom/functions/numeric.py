@@ -48,11 +48,31 @@ def half_up(col, scale: int) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * F.lit(k) + F.lit(0.5)) / F.lit(k)
 
 
-def money_mean(total, count) -> Column:
-    """Mean of money as double: exact decimal sum divided by the count."""
+def exact_mean(total, count) -> Column:
+    """Mean as double: an exact (decimal or integral) sum divided by the count."""
     return _c(total).cast("double") / _c(count)
 
 
+def to_cents(col) -> Column:
+    """Money (decimal with 2 places) as an exact long number of cents.
+
+    Sums of longs run in generated code on primitive buffers, where decimal
+    sums above 18 digits go through ``BigDecimal``; both are exact.
+    """
+    return (_c(col) * F.lit(100)).cast("long")
+
+
+def from_cents(col) -> Column:
+    """Cents back to money as double: the correctly rounded value, the same
+    number a decimal-to-double cast of the amount gives."""
+    return _c(col) / F.lit(100.0)
+
+
+def cents_mean(total, count) -> Column:
+    """Mean amount as double from a sum of cents and a count."""
+    return from_cents(total) / _c(count)
+
+
 def as_double(col) -> Column:
     """Leave the exact domain at the output edge."""
     return _c(col).cast("double")

@@ -15,8 +15,8 @@ only the aggregated facts, hash-partitioned by customer; every later grouping
 rank windows and the joins between them require a distribution that this
 partitioning already satisfies, so Spark plans them without another exchange.
 
-Money stays decimal through every sum and becomes double at the output edge;
-ratios are exact HALF_UP roundings (``half_up_quotient``).
+Money is summed exactly as long cents (``to_cents``) and becomes double at the
+output edge; ratios are exact HALF_UP roundings (``half_up_quotient``).
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import MONTH_END_FROM_DAY, month_index
-from ledgerloom.functions.numeric import as_double, half_up_quotient, money_mean
+from ledgerloom.functions.numeric import cents_mean, exact_mean, from_cents, half_up_quotient, to_cents
 from ledgerloom.operators.ranking import top_per_group
 from ledgerloom.session import shared_dir
 
@@ -51,13 +51,14 @@ def spend_facts(txn: DataFrame, month_end_from: int | None = None, partition: bo
     """
     debit, credit = _is_debit(), _is_credit()
     month_end = (F.col("txn_day") >= month_end_from) if month_end_from is not None else F.col("is_month_end")
+    cents = to_cents("amount")
     facts = txn.groupBy(*MONTH, "merchant_category", "merchant_name", "channel").agg(
-        F.sum(F.when(debit, F.col("amount"))).alias("debit_amount"),
+        F.sum(F.when(debit, cents)).alias("debit_cents"),
         F.count(F.when(debit, F.col("transaction_id"))).alias("debit_ids"),
         F.count_if(debit).alias("debit_rows"),
-        F.max(F.when(debit, F.col("amount"))).alias("debit_max"),
-        F.sum(F.when(debit & month_end, F.col("amount"))).alias("month_end_amount"),
-        F.sum(F.when(credit, F.col("amount"))).alias("credit_amount"),
+        F.max(F.when(debit, cents)).alias("debit_max_cents"),
+        F.sum(F.when(debit & month_end, cents)).alias("month_end_cents"),
+        F.sum(F.when(credit, cents)).alias("credit_cents"),
         F.count(F.when(credit, F.col("transaction_id"))).alias("credit_ids"),
         F.count_if(credit).alias("credit_rows"),
     )
@@ -82,41 +83,41 @@ def shared(facts: DataFrame) -> DataFrame:
 def monthly_spend(facts: DataFrame) -> DataFrame:
     """Debit totals per customer-month (months with at least one debit)."""
     return (facts.groupBy(*MONTH).agg(
-                F.sum("debit_amount").alias("total_spend"),
+                F.sum("debit_cents").alias("total_spend"),
                 F.sum("debit_ids").alias("debit_txn_count"),
                 F.count_distinct(F.when(F.col("debit_rows") > 0, F.col("merchant_name"))).alias("unique_merchants"),
-                F.max("debit_max").alias("max_txn_amount"),
+                F.max("debit_max_cents").alias("max_txn_amount"),
                 F.sum("debit_rows").alias("_debit_rows"))
             .filter(F.col("_debit_rows") > 0)
-            .select(*MONTH, as_double("total_spend").alias("total_spend"), "debit_txn_count",
+            .select(*MONTH, from_cents("total_spend").alias("total_spend"), "debit_txn_count",
                     "unique_merchants",
-                    money_mean("total_spend", "_debit_rows").alias("avg_txn_amount"),
-                    as_double("max_txn_amount").alias("max_txn_amount")))
+                    cents_mean("total_spend", "_debit_rows").alias("avg_txn_amount"),
+                    from_cents("max_txn_amount").alias("max_txn_amount")))
 
 
 def monthly_income(facts: DataFrame) -> DataFrame:
     """Credit totals per customer-month (months with at least one credit)."""
     return (facts.groupBy(*MONTH).agg(
-                F.sum("credit_amount").alias("total_income_received"),
+                F.sum("credit_cents").alias("total_income_received"),
                 F.sum("credit_ids").alias("credit_txn_count"),
                 F.sum("credit_rows").alias("_credit_rows"))
             .filter(F.col("_credit_rows") > 0)
-            .select(*MONTH, as_double("total_income_received").alias("total_income_received"),
+            .select(*MONTH, from_cents("total_income_received").alias("total_income_received"),
                     "credit_txn_count"))
 
 
 def month_end_spend(facts: DataFrame) -> DataFrame:
     """Debit spend from the month-end day on, per customer-month that has some."""
-    return (facts.groupBy(*MONTH).agg(F.sum("month_end_amount").alias("month_end_spend"))
+    return (facts.groupBy(*MONTH).agg(F.sum("month_end_cents").alias("month_end_spend"))
             .filter(F.col("month_end_spend").isNotNull())
-            .select(*MONTH, as_double("month_end_spend").alias("month_end_spend")))
+            .select(*MONTH, from_cents("month_end_spend").alias("month_end_spend")))
 
 
 def category_spend(facts: DataFrame, exact: bool = False) -> DataFrame:
-    """Debit spend per customer-month-category."""
+    """Debit spend per customer-month-category (``exact=True``: in cents)."""
     out = (facts.filter(F.col("debit_rows") > 0)
-           .groupBy(*MONTH, "merchant_category").agg(F.sum("debit_amount").alias("cat_spend")))
-    return out if exact else out.withColumn("cat_spend", as_double("cat_spend"))
+           .groupBy(*MONTH, "merchant_category").agg(F.sum("debit_cents").alias("cat_spend")))
+    return out if exact else out.withColumn("cat_spend", from_cents("cat_spend"))
 
 
 def top_category(facts: DataFrame, ties: str = "one") -> DataFrame:
@@ -133,15 +134,15 @@ def _month_measures(debit_rows, marked: bool = False) -> list:
     merchants = (F.count_if("_first_merchant") if marked
                  else F.count_distinct(F.when(debit_rows, F.col("merchant_name"))))
     return [
-        F.sum("debit_amount").alias("spend"),
+        F.sum("debit_cents").alias("spend"),
         F.sum("debit_ids").alias("debit_txn_count"),
         merchants.alias("unique_merchants"),
-        F.max("debit_max").alias("max_spend"),
+        F.max("debit_max_cents").alias("max_spend"),
         F.sum("debit_rows").alias("n_debits"),
-        F.sum("credit_amount").alias("income"),
+        F.sum("credit_cents").alias("income"),
         F.sum("credit_ids").alias("credit_ids"),
         F.sum("credit_rows").alias("n_credits"),
-        F.sum("month_end_amount").alias("month_end"),
+        F.sum("month_end_cents").alias("month_end"),
     ]
 
 
@@ -155,7 +156,7 @@ def _month_markers(facts: DataFrame) -> dict:
     w_cat = Window.partitionBy(*MONTH, "merchant_category")
     w_merchant = Window.partitionBy(*MONTH, "merchant_name").orderBy(F.col("debit_rows").desc())
     return {
-        "cat_spend": F.sum("debit_amount").over(w_cat),
+        "cat_spend": F.sum("debit_cents").over(w_cat),
         "_first_merchant": (F.row_number().over(w_merchant) == 1) & debit_rows
                            & F.col("merchant_name").isNotNull(),
     }
@@ -171,14 +172,14 @@ def _month_columns() -> list:
     has_credit = F.col("n_credits") > 0
     return [
         *MONTH,
-        as_double("spend").alias("total_spend"),
+        from_cents("spend").alias("total_spend"),
         "debit_txn_count",
         "unique_merchants",
-        money_mean("spend", "n_debits").alias("avg_txn_amount"),
-        as_double("max_spend").alias("max_txn_amount"),
-        as_double("income").alias("total_income_received"),
+        cents_mean("spend", "n_debits").alias("avg_txn_amount"),
+        from_cents("max_spend").alias("max_txn_amount"),
+        from_cents("income").alias("total_income_received"),
         F.when(has_credit, F.col("credit_ids")).alias("credit_txn_count"),
-        as_double("month_end").alias("month_end_spend"),
+        from_cents("month_end").alias("month_end_spend"),
         "top_category",
         half_up_quotient("month_end", "spend", RATIO_SCALE).alias("month_end_stress_ratio"),
         half_up_quotient("spend", "income", RATIO_SCALE).alias("spend_to_income_ratio"),
@@ -222,14 +223,14 @@ def monthly_summary(facts: DataFrame, ties: str = "one", stamp: bool = False) ->
 def lifetime_stats(facts: DataFrame) -> DataFrame:
     """A10: lifetime debit measures per customer with at least one debit."""
     return (facts.groupBy("customer_id").agg(
-                F.sum("debit_amount").alias("spend"),
+                F.sum("debit_cents").alias("spend"),
                 F.sum("debit_ids").alias("lifetime_txn_count"),
                 F.sum("debit_rows").alias("n_debits"),
                 F.count_distinct(F.when(F.col("debit_rows") > 0, F.col("merchant_category")))
                  .alias("category_diversity"))
             .filter(F.col("n_debits") > 0)
-            .select("customer_id", as_double("spend").alias("lifetime_spend"), "lifetime_txn_count",
-                    money_mean("spend", "n_debits").alias("avg_txn_value"), "category_diversity"))
+            .select("customer_id", from_cents("spend").alias("lifetime_spend"), "lifetime_txn_count",
+                    cents_mean("spend", "n_debits").alias("avg_txn_value"), "category_diversity"))
 
 
 def preferred_channel(facts: DataFrame, ties: str = "one") -> DataFrame:
@@ -252,8 +253,8 @@ def _stress_measures() -> list:
 
 def _stress_columns(threshold: float) -> list:
     return [
-        F.when(F.col("_s_n") > 0, money_mean("_s_sum", "_s_n")).alias("avg_stress_ratio"),
-        F.when(F.col("_i_n") > 0, money_mean("_i_sum", "_i_n")).alias("avg_spend_to_income"),
+        F.when(F.col("_s_n") > 0, exact_mean("_s_sum", "_s_n")).alias("avg_stress_ratio"),
+        F.when(F.col("_i_n") > 0, exact_mean("_i_sum", "_i_n")).alias("avg_spend_to_income"),
         F.when(F.col("_s_n") > 0,
                F.col("_s_sum") > F.lit(threshold).cast("decimal(10,4)") * F.col("_s_n"))
          .alias("is_financially_stressed"),
@@ -315,9 +316,9 @@ def customer_measures(facts: DataFrame, threshold: float = STRESS_THRESHOLD) ->
         *_stress_measures())
     return per_customer.select(
         "customer_id",
-        as_double("spend").alias("lifetime_spend"),
+        from_cents("spend").alias("lifetime_spend"),
         "lifetime_txn_count",
-        money_mean("spend", "n_debits").alias("avg_txn_value"),
+        cents_mean("spend", "n_debits").alias("avg_txn_value"),
         "category_diversity",
         F.col("_chan.label").alias("preferred_channel"),
         *_stress_columns(threshold),

@@ -144,7 +144,7 @@ def income_band(customers: DataFrame, cuts: tuple[int, int] = INCOME_BAND_CUTS)
 def favourite_category(facts: DataFrame, ties: str = "one") -> DataFrame:
     """The category with the highest lifetime debit spend per customer."""
     spend = (facts.filter(F.col("debit_rows") > 0)
-             .groupBy("customer_id", "merchant_category").agg(F.sum("debit_amount").alias("_spend")))
+             .groupBy("customer_id", "merchant_category").agg(F.sum("debit_cents").alias("_spend")))
     top = top_per_group(spend, ["customer_id"], "_spend", "merchant_category", ties)
     return top.select("customer_id", F.col("merchant_category").alias("favourite_category"))
 
