@@ -145,3 +145,17 @@ def test_invariants_on_driver_tables(spark):
     customers = layers.silver_customers()
     profile = marts.customer_profile(customers, f)
     assert profile.count() == customers.count()
+
+
+def test_hot_id_and_hot_customer(raw_txn):
+    # one id repeated many times, one customer holding most rows
+    rows = [txn_row("hot", "big", "2024-01-05 10:00:00", f"{1 + i % 7}.00") for i in range(300)]
+    rows += [txn_row(f"t{i}", "big", f"2024-01-{1 + i % 28:02d} 10:00:00", "2.00", merchant=f"M{i % 3}")
+             for i in range(200)]
+    rows += [txn_row("x", "small", "2024-01-05 10:00:00", "3.00")]
+    s = silver(raw_txn, rows)
+    assert s.filter("transaction_id = 'hot'").count() == 1
+    assert float(s.filter("transaction_id = 'hot'").first().amount) == 1.0
+    out = by_key(marts.monthly_summary(marts.spend_facts(s)), "customer_id")
+    assert out[("big",)].debit_txn_count == 201 and out[("big",)].total_spend == 401.0
+    assert out[("big",)].unique_merchants == 4 and out[("small",)].total_spend == 3.0

@@ -53,3 +53,15 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "month_end_stress_ratio" in df.columns
+
+
+def test_dedup_combines_map_side_before_its_shuffle(spark):
+    plan = plan_of(spark, "dedup_transactions")
+    below_exchange = plan.split("Exchange hashpartitioning(transaction_id")[1]
+    assert "partial_min" in below_exchange                 # copies of a hot id shrink in each map task
+
+
+def test_facts_aggregate_partially_before_shuffle(spark):
+    plan = plan_of(spark, "monthly_summary")
+    below_exchange = plan.split("ENSURE_REQUIREMENTS")[-1]
+    assert "partial_sum" in below_exchange
