@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.calendar import month_index
 from ledgerloom.functions.numeric import cents_mean, exact_mean, from_cents, half_up_quotient, to_cents
 from ledgerloom.operators.ranking import top_per_group
-from ledgerloom.session import shared_dir
+from ledgerloom.session import materialize
 
 MONTH = ["customer_id", "txn_year", "txn_month"]
 STRESS_THRESHOLD = 0.6      # fixed value: profile flag is avg month-end ratio > 0.6 (strict)
@@ -72,9 +72,7 @@ def shared(facts: DataFrame) -> DataFrame:
     would be reused; a reliable checkpoint (in ``spark.checkpoint.dir``) computes
     them once, keeps their customer partitioning and cuts the lineage.  A frame
     """
-    if facts.sparkSession.sparkContext.getCheckpointDir() is None:
-        shared_dir(facts.sparkSession)
-    return facts.checkpoint(eager=True)
+    return materialize(facts)
 
 
 # ---------------------------------------------------------------- monthly parts

@@ -1,19 +1,22 @@
 """Quality checks and source profiles.
 
-All of them are single aggregations: per-column statistics are computed in one
-pass and unpivoted afterwards, frequency tables are grouped counts.  Quantiles
-use Spark's mergeable sketch (``percentile_approx``) so memory stays bounded per
-task whatever the data size; with ``accuracy`` above the row count the sketch
-keeps every value and the answer is exact.
+Per-column statistics are computed in one pass and unpivoted afterwards,
+frequency tables are grouped counts.  Quantiles are exact and distributed: a
+histogram of distinct values, sorted by range partitioning, ranked with
+per-partition offsets (``exact_quantiles``) -- no sketch merged in one task and
+no collection of the values anywhere.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, NumericType
 
-from ledgerloom.functions.numeric import half_up, half_up_quotient
+from ledgerloom.functions.numeric import half_up, half_up_quotient, int_div
+from ledgerloom.session import materialize
 
 #: Key columns the Silver gate expects to be complete.
 GATE_COLUMNS = ["transaction_id", "customer_id", "amount", "transaction_date", "merchant_category"]
@@ -53,25 +56,60 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return wide.select(rows.alias("r")).select("r.*")
 
 
-def quartile_profile(df: DataFrame, column: str, accuracy: int = 10_000, scale: int = 2) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, probs: tuple[float, ...] = (0.25, 0.5, 0.75),
+                    names: tuple[str, ...] = ("p25", "p50", "p75")) -> DataFrame:
+    """Lower quantiles -- the value of rank ``ceil(p * n)`` -- computed exactly and
+    with no step that holds the data in one task.  One row, one column per ``p``.
+
+    1. a histogram of distinct values (aggregated map-side, so a value held by a
+       third of the rows is one row per task);
+    2. the histogram sorted by value (range-partitioned by Spark) and stored
+       once with its partition numbers; each partition's count total, with the
+       totals of the partitions before it, makes an offset table of one row
+       per partition -- bounded by the partition count, so it is broadcast;
+    3. offset + running count inside the partition = each value's cumulative
+       rank; the quantile of ``p`` is the value whose rank range holds
+       ``ceil(p * n)`` (integer arithmetic on exact fractions of ``p``).
+    """
+    c = F.col(column)
+    hist = df.filter(c.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    # Materialised: both branches below must see the same partition numbers.
+    ranged = materialize(hist.orderBy(column).withColumn("_part", F.spark_partition_id()))
+    parts = ranged.groupBy("_part").agg(F.sum("_n").alias("_pn"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("_part", F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off"),
+                           F.sum("_pn").over(Window.partitionBy()).alias("_total"))
+    running = Window.partitionBy("_part").orderBy(column).rowsBetween(Window.unboundedPreceding,
+                                                                      Window.currentRow)
+    ranked = (ranged.join(F.broadcast(offsets), "_part")
+              .withColumn("_cum", F.col("_off") + F.sum("_n").over(running)))
+    picks = []
+    for p, name in zip(probs, names):
+        frac = Fraction(str(p))
+        k = int_div(F.col("_total") * F.lit(frac.numerator) + F.lit(frac.denominator - 1),
+                    F.lit(frac.denominator))
+        hit = (F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k)
+        picks.append(F.min(F.when(hit, c)).alias(name))
+    return ranked.agg(*picks)
+
+
+def quartile_profile(df: DataFrame, column: str, scale: int = 2) -> DataFrame:
     """Count, mean, std, min, 25/50/75 % and max of one column, rounded to
-    ``scale`` decimals (pandas ``describe().round(2)``).  Quartiles are lower
-    quantiles (an actual value of the column).
-
-    ``accuracy`` bounds each task's sketch (relative rank error 1/accuracy) and
-    the cost of merging the per-partition sketches in the final step; the
-    answer is exact while the row count stays below about ``accuracy / 2``."""
+    ``scale`` decimals (pandas ``describe().round(2)``).  Quartiles are exact
+    lower quantiles (``exact_quantiles``), attached to the one-row statistics
+    as a single scalar subquery."""
     c = F.col(column)
-    q = F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
+    q = exact_quantiles(df, column)
+    quartiles = q.select(F.array("p25", "p50", "p75")).scalar()
     stats = df.agg(F.count(c).alias("count"),
                    half_up_quotient(F.sum(c), F.count(c), scale).alias("mean"),
                    F.stddev_samp(c.cast("double")).alias("std"),
-                   F.min(c).alias("min"), q.alias("q"), F.max(c).alias("max"))
-    return stats.select(
+                   F.min(c).alias("min"), F.max(c).alias("max"))
+    return stats.withColumn("_q", quartiles).select(
         "count", "mean", half_up("std", scale).alias("std"),
         F.col("min").cast("double").alias("min"),
-        F.col("q")[0].cast("double").alias("p25"), F.col("q")[1].cast("double").alias("p50"),
-        F.col("q")[2].cast("double").alias("p75"), F.col("max").cast("double").alias("max"))
+        *[F.col("_q")[i].cast("double").alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
+        F.col("max").cast("double").alias("max"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

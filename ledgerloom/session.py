@@ -84,3 +84,14 @@ def is_local_path(path: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared folder (a reliable checkpoint) and
+    return a frame over the stored rows: later branches of a plan read the same
+    rows -- including any partition-dependent values -- instead of recomputing
+    them, and the lineage stops here, so a lost executor costs a re-read."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        shared_dir(spark)
+    return df.checkpoint(eager=True)

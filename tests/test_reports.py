@@ -96,3 +96,21 @@ def test_merchant_lookup(raw_txn, spark):
     got = {r.transaction_id: r.assigned_category for r in signals.assign_categories(s, dim, small=True).collect()}
     assert got == {"a": "grocery", "b": "misc"}
     assert len(signals.REFERENCE_MERCHANTS) == 42
+
+
+def test_exact_quantiles_against_brute_force(spark):
+    import math
+    import random
+    rng = random.Random(7)
+    values = [rng.choice([5, 5, 5, 5]) if i % 3 == 0 else rng.randint(1, 400) for i in range(2000)]
+    values += [None] * 10
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(13)
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    try:
+        got = quality.exact_quantiles(df, "v", (0.1, 0.25, 0.5, 0.75, 0.99, 1.0),
+                                      ("a", "b", "c", "d", "e", "f")).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    clean = sorted(v for v in values if v is not None)
+    expect = [clean[math.ceil(p * len(clean)) - 1] for p in (0.1, 0.25, 0.5, 0.75, 0.99, 1.0)]
+    assert list(got) == expect
