@@ -56,8 +56,22 @@ def _source_digest() -> str:
     return h.hexdigest()
 
 
+_FINGERPRINTS: dict[tuple[str, str, tuple[str, ...]], str] = {}
+
+
 def fingerprint(spark: SparkSession, sf_dir: str, inputs: list[str] = LEDGER_INPUTS) -> str:
-    """Stable id of (input files, library source)."""
+    """Stable id of (input files, library source).
+
+    The input listing runs once per application and directory (a large table
+    has many files; listing them on every query would cost the driver more
+    than the query)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(inputs))
+    if key not in _FINGERPRINTS:
+        _FINGERPRINTS[key] = _fingerprint(spark, sf_dir, inputs)
+    return _FINGERPRINTS[key]
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str, inputs: list[str]) -> str:
     h = hashlib.sha1(_source_digest().encode())
     for name in inputs:
         path = f"{sf_dir.rstrip('/')}/{name}.parquet"
