@@ -159,3 +159,27 @@ def test_hot_id_and_hot_customer(raw_txn):
     out = by_key(marts.monthly_summary(marts.spend_facts(s)), "customer_id")
     assert out[("big",)].debit_txn_count == 201 and out[("big",)].total_spend == 401.0
     assert out[("big",)].unique_merchants == 4 and out[("small",)].total_spend == 3.0
+
+
+def test_empty_input_gives_typed_empty_gold(raw_txn, raw_customers):
+    f = facts(raw_txn, [])
+    monthly = marts.monthly_summary(f)
+    assert monthly.count() == 0
+    assert dict(monthly.dtypes)["month_end_stress_ratio"] == "double"
+    customers = curate.clean_customers(raw_customers([("c1", "s", "p", "10")]), stamp=False)
+    profile = marts.customer_profile(customers, f)
+    r = profile.first()
+    assert profile.count() == 1 and r.lifetime_spend is None and r.is_financially_stressed is None
+    from ledgerloom.plans import insights
+    report = insights.stress_report(profile.limit(0)).first()
+    assert (report.total_customers, report.stressed_customers, report.stressed_pct) == (0, 0, None)
+
+
+def test_profile_ties_all_fans_out_like_rank(raw_txn, raw_customers):
+    rows = [txn_row("a", "c1", "2024-01-05 10:00:00", "10.00", channel="ATM"),
+            txn_row("b", "c1", "2024-01-06 10:00:00", "10.00", channel="POS")]
+    f = facts(raw_txn, rows)
+    customers = curate.clean_customers(raw_customers([("c1", "s", "p", "10")]), stamp=False)
+    assert marts.customer_profile(customers, f).count() == 1
+    fanned = marts.customer_profile(customers, f, ties="all").collect()
+    assert sorted(r.preferred_channel for r in fanned) == ["ATM", "POS"]
