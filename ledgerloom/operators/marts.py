@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.calendar import month_index
 from ledgerloom.functions.numeric import cents_mean, exact_mean, from_cents, half_up_quotient, to_cents
 from ledgerloom.operators.ranking import top_per_group
-from ledgerloom.session import materialize
 
 MONTH = ["customer_id", "txn_year", "txn_month"]
 STRESS_THRESHOLD = 0.6      # fixed value: profile flag is avg month-end ratio > 0.6 (strict)
@@ -65,16 +64,6 @@ def spend_facts(txn: DataFrame, month_end_from: int | None = None, partition: bo
     return facts.repartition("customer_id") if partition else facts
 
 
-def shared(facts: DataFrame) -> DataFrame:
-    """Facts that several branches of one plan read (the ``ties="all"`` join forms).
-
-    Column pruning gives each branch its own copy of the facts plan, so nothing
-    would be reused; a reliable checkpoint (in ``spark.checkpoint.dir``) computes
-    them once, keeps their customer partitioning and cuts the lineage.  A frame
-    """
-    return materialize(facts)
-
-
 # ---------------------------------------------------------------- monthly parts
 
 
@@ -160,6 +149,21 @@ def _month_markers(facts: DataFrame) -> dict:
     }
 
 
+def _tied_rows(facts: DataFrame) -> DataFrame:
+    """Facts rows with the K3 markers and the month's highest category spend."""
+    debit_rows = F.col("debit_rows") > 0
+    rows = facts.withColumns(_month_markers(facts))
+    return rows.withColumn("_max_cat", F.max(F.when(debit_rows, F.col("cat_spend")))
+                           .over(Window.partitionBy(*MONTH)))
+
+
+def _tied_categories() -> F.Column:
+    """The categories tied for the month's highest spend, as a set of one-field
+    structs (so a NULL category survives).  Bounded by the category list."""
+    tied = (F.col("debit_rows") > 0) & (F.col("cat_spend") == F.col("_max_cat"))
+    return F.collect_set(F.when(tied, F.struct(F.col("merchant_category").alias("c"))))
+
+
 def _best(value: str, label: str, where) -> F.Column:
     """The ``label`` with the highest ``value`` (smallest label on ties, NULL label
     first) among rows satisfying ``where``: ``min(struct(-value, label))``."""
@@ -195,15 +199,20 @@ def monthly_summary(facts: DataFrame, ties: str = "one", stamp: bool = False) ->
     ``ties="one"`` (default) is a single pipeline over ``facts``: windows add
     each row's category spend and a first-of-merchant marker, and the month
     aggregate picks the top category alongside the other measures -- no join,
-    no DISTINCT aggregate, no second pass.  ``ties="all"``
-    reproduces ``rank() == 1`` and repeats a month once per tied category; it is
-    the reference's join form, so ``facts`` feeds two branches.
+    no DISTINCT aggregate, no second pass.  ``ties="all"`` reproduces
+    ``rank() == 1``: a month repeats once per category tied for the highest
+    spend.  It is the same pipeline; the month aggregate keeps the set of tied
+    categories (at most the category list of one customer-month) and the rows
+    are exploded from it.
     """
     debit_rows = F.col("debit_rows") > 0
     if ties == "all":
-        facts = shared(facts)
-        month = facts.groupBy(*MONTH).agg(*_month_measures(debit_rows)).filter(F.col("n_debits") > 0)
-        joined = month.join(top_category(facts, "all"), MONTH, "left")
+        rows = _tied_rows(facts)
+        joined = (rows.groupBy(*MONTH)
+                  .agg(*_month_measures(debit_rows, marked=True), _tied_categories().alias("_tops"))
+                  .filter(F.col("n_debits") > 0)
+                  .withColumn("_tied", F.explode("_tops"))
+                  .withColumn("top_category", F.col("_tied.c")))
     else:
         rows = facts.withColumns(_month_markers(facts))
         joined = (rows.groupBy(*MONTH)
@@ -239,14 +248,17 @@ def preferred_channel(facts: DataFrame, ties: str = "one") -> DataFrame:
     return top.select("customer_id", F.col("channel").alias("preferred_channel"))
 
 
-def _stress_measures() -> list:
+def _stress_measures(weight: str | None = None) -> list:
+    """Exact sums and counts of the monthly ratios; ``weight`` counts a month
+    that many times (the tied-category fan-out of ``ties="all"``)."""
     r_dec = "decimal(20,4)"
-    return [
-        F.sum(F.col("month_end_stress_ratio").cast(r_dec)).alias("_s_sum"),
-        F.count("month_end_stress_ratio").alias("_s_n"),
-        F.sum(F.col("spend_to_income_ratio").cast(r_dec)).alias("_i_sum"),
-        F.count("spend_to_income_ratio").alias("_i_n"),
-    ]
+    w = F.col(weight) if weight else F.lit(1)
+    out = []
+    for ratio, tag in (("month_end_stress_ratio", "_s"), ("spend_to_income_ratio", "_i")):
+        r = F.col(ratio)
+        out += [F.sum(r.cast(r_dec) * w).alias(f"{tag}_sum"),
+                F.sum(F.when(r.isNotNull(), w).otherwise(F.lit(0))).alias(f"{tag}_n")]
+    return out
 
 
 def _stress_columns(threshold: float) -> list:
@@ -275,50 +287,72 @@ PROFILE_MEASURES = ["lifetime_spend", "lifetime_txn_count", "avg_txn_value", "ca
                     "preferred_channel", "avg_stress_ratio", "avg_spend_to_income", "is_financially_stressed"]
 
 
-def customer_measures(facts: DataFrame, threshold: float = STRESS_THRESHOLD) -> DataFrame:
+def customer_measures(facts: DataFrame, threshold: float = STRESS_THRESHOLD, ties: str = "one") -> DataFrame:
     """Every lifetime measure of K4 for customers with at least one debit, in one
-    pipeline over ``facts`` (ties="one").
+    pipeline over ``facts``.
 
     Windows annotate the facts rows inside the customer partitioning -- the
     monthly markers of K3, the customer's debit count per channel, and the first
     debit row of each (customer, category) -- then one aggregate per
     customer-month (the K3 measures) and one per customer finish the job.  No
     exchange follows the facts shuffle.
+
+    ``ties="all"`` gives the reference's rank semantics: the preferred channel
+    is the set of channels tied for the most debits (one output row each, set
+    bounded by the channel list), and a month whose top categories tie counts
+    once per tied category in the stress means, as the reference's joined rows
+    do.
     """
     debit_rows = F.col("debit_rows") > 0
     w_chan = Window.partitionBy("customer_id", "channel")
     w_first = (Window.partitionBy("customer_id", "merchant_category")
                .orderBy(F.col("debit_rows").desc(), "txn_year", "txn_month", "merchant_name", "channel"))
-    rows = facts.withColumns(_month_markers(facts)).withColumns({
+    rows = (_tied_rows(facts) if ties == "all" else facts.withColumns(_month_markers(facts))).withColumns({
         "chan_cnt": F.sum("debit_rows").over(w_chan),
         "_first_cat": (F.row_number().over(w_first) == 1) & debit_rows
                       & F.col("merchant_category").isNotNull(),
     })
+    extra = []
+    if ties == "all":
+        top_chan = F.max(F.when(debit_rows, F.col("chan_cnt"))).over(Window.partitionBy("customer_id"))
+        rows = rows.withColumn("_max_chan", top_chan)
+        tied_chan = debit_rows & (F.col("chan_cnt") == F.col("_max_chan"))
+        extra = [F.size(_tied_categories()).alias("_weight"),
+                 F.collect_set(F.when(tied_chan, F.struct(F.col("channel").alias("c")))).alias("_chans")]
+    else:
+        extra = [_best("chan_cnt", "channel", debit_rows).alias("_chan"), F.lit(1).alias("_weight")]
     months = (rows.groupBy(*MONTH)
               .agg(*_month_measures(debit_rows, marked=True),
                    _best("cat_spend", "merchant_category", debit_rows).alias("_top"),
-                   _best("chan_cnt", "channel", debit_rows).alias("_chan"),
-                   F.count_if("_first_cat").alias("_new_cats"))
+                   F.count_if("_first_cat").alias("_new_cats"), *extra)
               .filter(F.col("n_debits") > 0)
               .withColumn("top_category", F.col("_top.label")))
-    monthly = months.select(*_month_columns(), "spend", "n_debits", "_chan", "_new_cats")
+    carried = ["_chans"] if ties == "all" else ["_chan"]
+    monthly = months.select(*_month_columns(), "spend", "n_debits", "_new_cats", "_weight", *carried)
+    channel = ([F.array_distinct(F.flatten(F.collect_set("_chans"))).alias("_chans")] if ties == "all"
+               else [F.min("_chan").alias("_chan")])
     per_customer = monthly.groupBy("customer_id").agg(
         F.sum("spend").alias("spend"),
         F.sum("debit_txn_count").alias("lifetime_txn_count"),
         F.sum("n_debits").alias("n_debits"),
         F.sum("_new_cats").alias("category_diversity"),
-        F.min("_chan").alias("_chan"),
+        *channel,
         F.count(F.lit(1)).alias("active_months"),
         F.min(month_index("txn_year", "txn_month")).alias("first_month"),
         F.max(month_index("txn_year", "txn_month")).alias("last_month"),
-        *_stress_measures())
+        *_stress_measures("_weight"))
+    if ties == "all":
+        per_customer = per_customer.withColumn("_chan", F.explode("_chans"))
+        preferred = F.col("_chan.c")
+    else:
+        preferred = F.col("_chan.label")
     return per_customer.select(
         "customer_id",
         from_cents("spend").alias("lifetime_spend"),
         "lifetime_txn_count",
         cents_mean("spend", "n_debits").alias("avg_txn_value"),
         "category_diversity",
-        F.col("_chan.label").alias("preferred_channel"),
+        preferred.alias("preferred_channel"),
         *_stress_columns(threshold),
         "active_months", "first_month", "last_month")
 
@@ -335,21 +369,14 @@ def customer_profile(customers: DataFrame, facts: DataFrame, ties: str = "one",
     ``activity=True`` keeps three extra columns: months with debits and the first
     and last such month (as ``year * 12 + month - 1``), used by C7 and K5.
 
-    ``ties="all"`` is the reference's form: rank-based channel and category
-    (a customer with tied channels appears once per channel, and tied categories
-    repeat months inside the stress mean), assembled by three left joins.
+    ``ties="all"`` is the reference's rank semantics: a customer with tied
+    channels appears once per channel, and tied categories repeat months inside
+    the stress mean -- computed by the same single pipeline.
     """
-    if ties == "all":
-        facts = shared(facts)
-        monthly = monthly_summary(facts, "all")
-        out = (customers.join(lifetime_stats(facts), "customer_id", "left")
-               .join(preferred_channel(facts, "all"), "customer_id", "left")
-               .join(stress_by_customer(monthly, threshold), "customer_id", "left"))
-    else:
-        measures = customer_measures(facts, threshold)
-        if not activity:
-            measures = measures.drop(*ACTIVITY)
-        out = customers.join(measures, "customer_id", "left")
+    measures = customer_measures(facts, threshold, ties)
+    if not activity:
+        measures = measures.drop(*ACTIVITY)
+    out = customers.join(measures, "customer_id", "left")
     if not stamp:
         return out.drop("_silver_processed_at")
     return out.withColumn("_gold_processed_at", F.current_timestamp())
