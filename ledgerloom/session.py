@@ -58,11 +58,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for written tables and checkpoints.
 
     Read from ``spark.checkpoint.dir`` (which the cluster names).  Only when it
-    is unset -- local runs and tests -- a private folder is created and
-    registered, so later calls in the same session reuse it.
+    is unset in a local session -- tests, a laptop -- a private folder is
+    created and registered, so later calls in the same session reuse it; on a
+    cluster an unset folder is an error, never a machine-local fallback.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            # A driver-local folder is invisible to executors on other machines.
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
         current = tempfile.mkdtemp(prefix="ledgerloom-")
         spark.sparkContext.setCheckpointDir(current)
         try:
