@@ -11,9 +11,10 @@ Here both start from one fine-grained aggregate, ``spend_facts``:
 The first shuffle moves map-side-combined rows, so a customer (or id) holding
 a third of all transactions is reduced inside each map task.  The second moves
 only the aggregated facts, hash-partitioned by customer; every later grouping
-(customer-month, customer-month-category, customer-channel, customer), both
-rank windows and the joins between them require a distribution that this
-partitioning already satisfies, so Spark plans them without another exchange.
+(customer-month, customer-month-category, customer-channel, customer) and
+every window requires a distribution that this partitioning already
+satisfies, so Spark plans them without another exchange -- and without joins:
+the top category and preferred channel are picked inside the aggregates.
 
 Money is summed exactly as long cents (``to_cents``) and becomes double at the
 output edge; ratios are exact HALF_UP roundings (``half_up_quotient``).
@@ -113,17 +114,13 @@ def top_category(facts: DataFrame, ties: str = "one") -> DataFrame:
     return top.select(*MONTH, F.col("merchant_category").alias("top_category"))
 
 
-def _month_measures(debit_rows, marked: bool = False) -> list:
-    """Month-level aggregates over facts rows (shared by K3 and K4).
-
-    ``marked=True`` counts distinct merchants through the ``_first_merchant``
-    marker of ``_month_markers`` instead of a DISTINCT aggregate."""
-    merchants = (F.count_if("_first_merchant") if marked
-                 else F.count_distinct(F.when(debit_rows, F.col("merchant_name"))))
+def _month_measures() -> list:
+    """Month-level aggregates over facts rows carrying ``_month_markers`` (shared
+    by K3 and K4); distinct merchants are counted through the marker."""
     return [
         F.sum("debit_cents").alias("spend"),
         F.sum("debit_ids").alias("debit_txn_count"),
-        merchants.alias("unique_merchants"),
+        F.count_if("_first_merchant").alias("unique_merchants"),
         F.max("debit_max_cents").alias("max_spend"),
         F.sum("debit_rows").alias("n_debits"),
         F.sum("credit_cents").alias("income"),
@@ -209,14 +206,14 @@ def monthly_summary(facts: DataFrame, ties: str = "one", stamp: bool = False) ->
     if ties == "all":
         rows = _tied_rows(facts)
         joined = (rows.groupBy(*MONTH)
-                  .agg(*_month_measures(debit_rows, marked=True), _tied_categories().alias("_tops"))
+                  .agg(*_month_measures(), _tied_categories().alias("_tops"))
                   .filter(F.col("n_debits") > 0)
                   .withColumn("_tied", F.explode("_tops"))
                   .withColumn("top_category", F.col("_tied.c")))
     else:
         rows = facts.withColumns(_month_markers(facts))
         joined = (rows.groupBy(*MONTH)
-                  .agg(*_month_measures(debit_rows, marked=True),
+                  .agg(*_month_measures(),
                        _best("cat_spend", "merchant_category", debit_rows).alias("_top"))
                   .filter(F.col("n_debits") > 0)
                   .withColumn("top_category", F.col("_top.label")))
@@ -322,7 +319,7 @@ def customer_measures(facts: DataFrame, threshold: float = STRESS_THRESHOLD, tie
     else:
         extra = [_best("chan_cnt", "channel", debit_rows).alias("_chan"), F.lit(1).alias("_weight")]
     months = (rows.groupBy(*MONTH)
-              .agg(*_month_measures(debit_rows, marked=True),
+              .agg(*_month_measures(),
                    _best("cat_spend", "merchant_category", debit_rows).alias("_top"),
                    F.count_if("_first_cat").alias("_new_cats"), *extra)
               .filter(F.col("n_debits") > 0)
