@@ -113,3 +113,19 @@ def test_pipeline_end_to_end(spark, raw_txn, raw_customers):
     r = gold.first()
     assert r.total_spend == 40.0 and r.month_end_stress_ratio == 0.75
     assert "_gold_processed_at" in gold.columns
+
+
+def test_csv_infer_mode_and_export(spark):
+    path = scratch_path(spark, "raw") + "/customers.csv"
+    _write(path, "customer_id,segment,province,monthly_income,income_day,spending_intensity,account_opened\n"
+                 "CUS000001,salaried_professional,Gauteng,23145.77,25.0,high,2021-03-04\n"
+                 "CUS000002,informal_income,Limpopo,3000.00,,low,2020-02-01\n")
+    inferred = landing.read_csv(spark, path, infer=True)
+    types = dict(inferred.dtypes)
+    assert types["monthly_income"] == "double" and types["income_day"] == "double"
+    typed = landing.read_csv(spark, path, contracts.RAW_CUSTOMERS)
+    assert dict(typed.dtypes)["account_opened"] == "date"
+    out = scratch_path(spark, "export")
+    tables.export_csv(typed.drop("_corrupt_record"), out)
+    back = landing.read_csv(spark, out, contracts.RAW_CUSTOMERS, keep_corrupt=False)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, typed.drop("_corrupt_record").collect()))
