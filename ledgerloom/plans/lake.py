@@ -57,6 +57,7 @@ def _source_digest() -> str:
 
 
 _FINGERPRINTS: dict[tuple[str, str, tuple[str, ...]], str] = {}
+_READS: dict[tuple[str, str], DataFrame] = {}
 
 
 def fingerprint(spark: SparkSession, sf_dir: str, inputs: list[str] = LEDGER_INPUTS) -> str:
@@ -93,9 +94,14 @@ class Lake:
 
     def _table(self, rel: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
         path = f"{self.root}/{rel}"
-        if not path_exists(self.spark, f"{path}/_SUCCESS"):
-            path = self._build(path, build, partition_by)
-        return self.spark.read.parquet(path)
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _READS:
+            if not path_exists(self.spark, f"{path}/_SUCCESS"):
+                path = self._build(path, build, partition_by)
+            # A lake table never changes under its fingerprint, so the frame --
+            # with its file listing and schema -- is reused by later queries.
+            _READS[key] = self.spark.read.parquet(path)
+        return _READS[key]
 
     def _build(self, path: str, build: Callable[[], DataFrame], partition_by: list[str] | None) -> str:
         """Write the table beside its final place, then rename it in (atomic on
