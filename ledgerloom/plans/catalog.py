@@ -88,6 +88,13 @@ def q_calendar_flags(spark, sf_dir):
     return ev.select("transaction_id", "txn_day", "is_month_end", "is_salary_period", "is_weekend")
 
 
+@query("filter_valid")
+def q_filter_valid(spark, sf_dir):
+    raw = _layers(spark, sf_dir).tables.raw_ledger()
+    valid = curate.valid_transactions(curate.standardise_transactions(raw))
+    return valid.select("transaction_id", "customer_id", "amount", "transaction_type")
+
+
 @query("clean_transactions")
 def q_clean_transactions(spark, sf_dir):
     return _layers(spark, sf_dir).silver_txn()

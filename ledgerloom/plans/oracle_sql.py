@@ -238,6 +238,9 @@ ORACLE.update({
                           "is_weekend FROM silver", events=True),
     "calendar_flags": _silver("SELECT transaction_id, txn_day, is_month_end, is_salary_period, is_weekend "
                               "FROM silver", events=True),
+    "filter_valid": with_ctes(RAW_LEDGER, body="""
+SELECT transaction_id, customer_id, amount, upper(trim(transaction_type)) AS transaction_type FROM raw_ledger
+WHERE amount > 0 AND transaction_id IS NOT NULL AND customer_id IS NOT NULL AND transaction_date IS NOT NULL"""),
     "clean_transactions": _silver("SELECT * FROM silver"),
     "clean_events": _silver("SELECT * FROM silver", events=True),
     "clean_customers": with_ctes(CUSTOMERS, body="SELECT * FROM customers_silver"),
