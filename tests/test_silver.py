@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from conftest import txn_row
-from pyspark.sql import functions as F
 
 from ledgerloom.operators import curate
 from ledgerloom.operators.dedup import keep_first

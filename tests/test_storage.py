@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import functions as F
 
 from ledgerloom.plans.pipeline import Layout, run_pipeline
 from ledgerloom.session import scratch_path
