@@ -31,3 +31,21 @@ def id_text(column: Column) -> Column:
 def fold(doc_id: Column) -> Column:
     """crc32(doc_id as text) mod 3; 1 is held out."""
     return F.crc32(id_text(doc_id).cast("binary")) % 3
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
+    """(doc_id, text, n_chars, y) of at most ``per_class`` documents of each label.
+
+    Only rows outside the held-out fold count, the lowest by hash of doc_id; an
+    id with two different labels is left out.  The bound is what a model may
+    learn labels from; everything else covers all rows.
+    """
+    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    marks = marks.filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & (fold(F.col("doc_id")) != 1))
+    marks = marks.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("most")).filter("y = most").drop("most")
+    pick = lambda y: marks.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+    n_chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       n_chars.alias("n_chars"))
+    # At most 2 * per_class rows of two numbers.
+    return rows.join(F.broadcast(pick(0).unionByName(pick(1))), "doc_id").filter(F.col("text").isNotNull())

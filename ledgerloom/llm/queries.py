@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, mixing, secret_scan
+from ledgerloom.llm import chat, mixing, quality_fm, quality_rules, secret_scan, shards
 from ledgerloom.llm.common import table
 
 
+def op1_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_mix(spark, sf_dir):
     mixed = mixing.allocation(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
@@ -17,11 +22,20 @@ def op4_secrets(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_fm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_fm.score(docs, quality_fm.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_shards(spark, sf_dir):
+    return shards.assign(table(spark, sf_dir, "documents"))
+
+
 def op10_chat(spark, sf_dir):
     return chat.digests(chat.format_turns(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix, op4_secrets, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op4_secrets, op6_quality_fm, op8_shards, op10_chat)}
 
 _MIX = r"""
 WITH d AS (
