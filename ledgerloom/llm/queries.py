@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, mixing, quality_fm, quality_rules, secret_scan, shards
+from ledgerloom.llm import chat, minhash, mixing, quality_fm, quality_rules, secret_scan, shards
 from ledgerloom.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_mix(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
 
 
+def op3_minhash(spark, sf_dir):
+    return minhash.duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_chat(spark, sf_dir):
     return chat.digests(chat.format_turns(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op4_secrets, op6_quality_fm, op8_shards, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op3_minhash, op4_secrets, op6_quality_fm, op8_shards, op10_chat)}
 
 _MIX = r"""
 WITH d AS (
@@ -133,4 +137,21 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLE = {"op2_mix": _MIX, "op4_secrets": _secrets_sql(), "op10_chat": _CHAT}
+_MINHASH = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                                 ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS sh
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 85 * (na.n + nb.n - common)),
+r(node, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.reached FROM r JOIN e ON r.node = e.a),
+c AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+ORACLE = {"op2_mix": _MIX, "op3_minhash": _MINHASH, "op4_secrets": _secrets_sql(), "op10_chat": _CHAT}
