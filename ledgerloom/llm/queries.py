@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, minhash, mixing, quality_fm, quality_rules, secret_scan, shards
+from ledgerloom.llm import chat, minhash, mixing, packing, quality_fm, quality_rules, secret_scan, shards
 from ledgerloom.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_secrets(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_fm(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality_fm.score(docs, quality_fm.train(docs, table(spark, sf_dir, "labels")))
@@ -39,7 +43,7 @@ def op10_chat(spark, sf_dir):
     return chat.digests(chat.format_turns(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op3_minhash, op4_secrets, op6_quality_fm, op8_shards, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op3_minhash, op4_secrets, op5_packing, op6_quality_fm, op8_shards, op10_chat)}
 
 _MIX = r"""
 WITH d AS (
