@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, minhash, mixing, packing, quality_fm, quality_rules, secret_scan, shards
+from ledgerloom.llm import chat, minhash, mixing, packing, quality_fm, quality_rules, secret_scan, shards, toxicity
 from ledgerloom.llm.common import table
 
 
@@ -39,11 +39,16 @@ def op8_shards(spark, sf_dir):
     return shards.assign(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_chat(spark, sf_dir):
     return chat.digests(chat.format_turns(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op3_minhash, op4_secrets, op5_packing, op6_quality_fm, op8_shards, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op3_minhash, op4_secrets, op5_packing, op6_quality_fm, op8_shards, op9_toxicity, op10_chat)}
 
 _MIX = r"""
 WITH d AS (
