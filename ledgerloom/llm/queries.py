@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, minhash, mixing, packing, quality_fm, quality_rules, secret_scan, shards, toxicity
+from ledgerloom.llm import chat, itq, minhash, mixing, packing, quality_fm, quality_rules, secret_scan, shards, toxicity
 from ledgerloom.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op6_quality_fm(spark, sf_dir):
     return quality_fm.score(docs, quality_fm.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_itq(spark, sf_dir):
+    return itq.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_shards(spark, sf_dir):
     return shards.assign(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_chat(spark, sf_dir):
     return chat.digests(chat.format_turns(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op3_minhash, op4_secrets, op5_packing, op6_quality_fm, op8_shards, op9_toxicity, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op3_minhash, op4_secrets, op5_packing, op6_quality_fm, op7_itq, op8_shards, op9_toxicity, op10_chat)}
 
 _MIX = r"""
 WITH d AS (
@@ -163,4 +167,20 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_i
 FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
-ORACLE = {"op2_mix": _MIX, "op3_minhash": _MINHASH, "op4_secrets": _secrets_sql(), "op10_chat": _CHAT}
+_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+e AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+r(node, reached) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT e.b, r.reached FROM r JOIN e ON r.node = e.a),
+c AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM embeddings v JOIN c ON c.node = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+"""
+
+ORACLE = {"op2_mix": _MIX, "op3_minhash": _MINHASH, "op4_secrets": _secrets_sql(), "op7_itq": _VECTORS, "op10_chat": _CHAT}
