@@ -47,14 +47,14 @@ from ledgerloom.llm.graph import components
 from ledgerloom.llm.text import LOWER, PRIME, hashes, mix, slices, spans, windows
 
 SHINGLE = 5
-HASHES, BITS = 256, 2
+HASHES, BITS = 512, 2
 BANDS, BAND_ROWS = 28, 6
 LANES = HASHES * BITS // 64
 PERCENT = 85
-#: 4.5 standard deviations of the estimate at the threshold.
 CHANCE = 2.0 ** -BITS
 _MATCH = CHANCE + (1 - CHANCE) * PERCENT / 100
-MARGIN = 4.5 * (_MATCH * (1 - _MATCH) / HASHES) ** 0.5 / (1 - CHANCE)
+#: Four standard deviations of the estimate at the threshold.
+MARGIN = 4 * (_MATCH * (1 - _MATCH) / HASHES) ** 0.5 / (1 - CHANCE)
 _RANDOM = np.random.RandomState(85).randint(1, 2**63 - 1, (2, HASHES), dtype=np.int64).astype(np.uint64)
 FACTORS = (_RANDOM[0] << np.uint64(1)) | np.uint64(1)
 OFFSETS = _RANDOM[1]
