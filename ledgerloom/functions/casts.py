@@ -9,18 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, DecimalType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DecimalType, TimestampType
 
-#: Money is exact inside the pipeline: decimal(18,2), double only at the edge.
-MONEY = DecimalType(18, 2)
+#: Money is exact inside the pipeline, double only at the edge: 18
+#: digits before the point, four behind.  What is positive but has no such form
+#: (1e18 and more, under 0.00005) goes to quarantine, see ``operators.curate``.
+MONEY = DecimalType(22, 4)
 
 
 def to_money(col: str, dtype: DataType) -> Column:
-    """Amount -> decimal(18,2); unparsable text -> NULL."""
+    """Amount -> decimal(22,4); unparsable text -> NULL."""
     c = F.col(col)
-    if dtype == MONEY:
-        return c
-    return c.try_cast(MONEY)
+    return c if dtype == MONEY else c.try_cast(MONEY)
 
 
 def to_double(col: str) -> Column:
@@ -29,16 +29,13 @@ def to_double(col: str) -> Column:
 
 
 def to_timestamp(col: str, dtype: DataType) -> Column:
-    """transaction_date -> timestamp.
+    """transaction_date -> timestamp without zone.
 
-    Text goes through ``try_to_timestamp`` (NULL on garbage).  Columns that are
-    already timestamps (``timestamp`` or ``timestamp_ntz``, as the driver's
-    Parquet tables are) are kept as they are: their calendar fields do not depend
-    on the session zone.
+    Text is read as the wall-clock time it shows (NULL on garbage).  A stored
+    instant becomes its UTC wall-clock time.  Either way the calendar parts
+    never depend on the session's time zone.
     """
     c = F.col(col)
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return c
-    if isinstance(dtype, DateType):
-        return c.cast("timestamp_ntz")
-    return F.try_to_timestamp(c.cast("string"))
+    if isinstance(dtype, TimestampType):
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+    return c.try_cast("timestamp_ntz")

@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: From here on a double has no room for 4 decimals, and an exact quotient in units of 10^-4 none in a long.
+_EXACT_BELOW = 9e13
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -25,16 +28,19 @@ def int_div(a, b) -> Column:
 def half_up_quotient(num, den, scale: int) -> Column:
     """``round(num / den, scale)`` with HALF_UP on the exact quotient, as double.
 
-    ``num`` and ``den`` are exact (decimal or integral) columns.  The quotient is
-    formed with integral division, so no intermediate rounding occurs.  NULL when
-    either side is NULL or the divisor is zero (the reference, with ANSI off, also
-    gave NULL there).
+    ``num`` and ``den`` are exact (decimal or integral) columns of any size.  The
+    quotient is formed with integral division of decimals, so no intermediate
+    rounding occurs.  Quotients of 9e13 and more, whose doubles are coarser than
+    4 decimals, are the plain double quotient.  NULL when either side is NULL or
+    the divisor is zero (the reference, with ANSI off, also gave NULL there).
     """
     n, d = _c(num), _c(den)
     k = 10 ** scale
-    quotient = int_div(F.abs(n) * F.lit(2 * k) + F.abs(d), F.abs(d) * F.lit(2))
-    signed = F.when((n < 0) != (d < 0), -quotient).otherwise(quotient)
-    return F.when(d != 0, signed / F.lit(float(k)))
+    wide = lambda x, factor: F.abs(x).cast("decimal(38,4)") * F.lit(factor)
+    quotient = int_div(wide(n, 2 * k) + F.abs(d), wide(d, 2))
+    signed = F.when((n < 0) != (d < 0), -quotient).otherwise(quotient) / F.lit(float(k))
+    plain = n.cast("double") / d.cast("double")
+    return F.when(d != 0, F.when(F.abs(plain) < _EXACT_BELOW, signed).otherwise(plain))
 
 
 def half_up(col, scale: int) -> Column:
@@ -51,28 +57,3 @@ def half_up(col, scale: int) -> Column:
 def exact_mean(total, count) -> Column:
     """Mean as double: an exact (decimal or integral) sum divided by the count."""
     return _c(total).cast("double") / _c(count)
-
-
-def to_cents(col) -> Column:
-    """Money (decimal with 2 places) as an exact long number of cents.
-
-    Sums of longs run in generated code on primitive buffers, where decimal
-    sums above 18 digits go through ``BigDecimal``; both are exact.
-    """
-    return (_c(col) * F.lit(100)).cast("long")
-
-
-def from_cents(col) -> Column:
-    """Cents back to money as double: the correctly rounded value, the same
-    number a decimal-to-double cast of the amount gives."""
-    return _c(col) / F.lit(100.0)
-
-
-def cents_mean(total, count) -> Column:
-    """Mean amount as double from a sum of cents and a count."""
-    return from_cents(total) / _c(count)
-
-
-def as_double(col) -> Column:
-    """Leave the exact domain at the output edge."""
-    return _c(col).cast("double")

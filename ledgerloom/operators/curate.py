@@ -6,7 +6,8 @@ deliberate differences, both documented in the README:
 
 * the survivor of a duplicate id is deterministic (``keep_first``);
 * rows whose date is NULL or unparsable are quarantined instead of flowing on
-  with NULL year/month (SURVEY Q10); ``quarantined_transactions`` returns them.
+  with NULL year/month (SURVEY Q10), and so are amounts that money can't hold;
+  ``quarantined_transactions`` returns both.
 
 The NULL-id filter is applied before de-duplication: all NULL ids would collapse
 into one row that the reference drops afterwards anyway, so the result is the
@@ -23,20 +24,35 @@ from ledgerloom.functions.casts import to_double, to_money, to_timestamp
 from ledgerloom.functions.text import lower_trim, title_trim, upper_trim
 from ledgerloom.operators.dedup import keep_first
 
-#: Tie-break among copies of one transaction id (then every other column).
-TXN_TIEBREAK = ["transaction_date", "amount", "merchant_name", "merchant_category",
-                "transaction_type", "channel", "customer_id"]
-#: Tie-break among copies of one customer id.
-CUSTOMER_TIEBREAK = ["segment", "province", "monthly_income"]
+#: Tie-break among copies of one transaction id: after a usable copy the typed date and amount, then these.
+TXN_TIEBREAK = ["merchant_name", "merchant_category", "transaction_type", "channel", "customer_id"]
+#: Tie-break among copies of one customer id, after a usable copy.
+CUSTOMER_TIEBREAK = ["segment", "province"]
 
 
 def _dtype(df: DataFrame, name: str):
     return df.schema[name].dataType
 
 
+def _typed(df: DataFrame) -> tuple[F.Column, F.Column]:
+    """Amount and date as Silver types them."""
+    return (to_money("amount", _dtype(df, "amount")) if "amount" in df.columns else F.lit(None).cast("decimal(22,4)"),
+            to_timestamp("transaction_date", _dtype(df, "transaction_date")) if "transaction_date" in df.columns
+            else F.lit(None).cast("timestamp_ntz"))
+
+
 def dedup_transactions(df: DataFrame) -> DataFrame:
-    """One row per non-NULL ``transaction_id``."""
-    return keep_first(df.filter(F.col("transaction_id").isNotNull()), "transaction_id", TXN_TIEBREAK)
+    """One row per non-NULL ``transaction_id``.
+
+    A copy that Silver can use (positive amount, date, customer) wins over one
+    that it would drop; among equals the earliest date and the smallest amount,
+    compared as typed values whatever the input's types, NULLs last.
+    """
+    amount, date = _typed(df)
+    customer = F.col("customer_id").isNotNull() if "customer_id" in df.columns else F.lit(True)
+    unusable = ~(F.coalesce(amount > 0, F.lit(False)) & date.isNotNull() & customer)
+    return keep_first(df.filter(F.col("transaction_id").isNotNull()), "transaction_id",
+                      [unusable, date, amount, *TXN_TIEBREAK])
 
 
 def standardise_transactions(df: DataFrame) -> DataFrame:
@@ -68,30 +84,42 @@ def valid_transactions(df: DataFrame) -> DataFrame:
 
 
 def clean_transactions(df: DataFrame, month_end_from: int = MONTH_END_FROM_DAY,
-                       salary_days: tuple[int, int] = SALARY_PERIOD_DAYS, stamp: bool = True) -> DataFrame:
-    """K1: raw or Bronze transactions -> Silver transactions."""
-    out = valid_transactions(add_calendar(standardise_transactions(dedup_transactions(df)),
-                                          month_end_from, salary_days))
+                       salary_days: tuple[int, int] = SALARY_PERIOD_DAYS, stamp: bool = True,
+                       dedup: bool = True) -> DataFrame:
+    """K1: raw or Bronze transactions -> Silver transactions.  ``dedup=False`` for input whose ids are unique."""
+    rows = dedup_transactions(df) if dedup else df.filter(F.col("transaction_id").isNotNull())
+    out = valid_transactions(add_calendar(standardise_transactions(rows), month_end_from, salary_days))
     return out.withColumn("_silver_processed_at", F.current_timestamp()) if stamp else out
 
 
-def quarantined_transactions(df: DataFrame) -> DataFrame:
-    """Q10: de-duplicated rows that pass every Silver rule except a usable date."""
-    out = standardise_transactions(dedup_transactions(df))
-    return out.filter((F.col("amount") > 0) & F.col("customer_id").isNotNull()
-                      & F.col("transaction_date").isNull())
+def quarantined_transactions(df: DataFrame, dedup: bool = True) -> DataFrame:
+    """Q10: de-duplicated rows that Silver can't hold, with the ``reason``:
+
+    ``amount``  a positive number that has no exact form as money (too large, or under half of its last digit);
+    ``date``    every other rule passes, but the date is missing or unparsable.
+
+    Columns keep their raw types and values.
+    """
+    rows = dedup_transactions(df) if dedup else df.filter(F.col("transaction_id").isNotNull())
+    amount, date = _typed(rows)
+    positive = F.coalesce(F.col("amount").try_cast("double") > 0, F.lit(False))
+    held = F.coalesce(amount > 0, F.lit(False))
+    reason = F.when(positive & ~held, F.lit("amount")).when(held & date.isNull(), F.lit("date"))
+    return rows.filter(F.col("customer_id").isNotNull()).withColumn("reason", reason).filter("reason IS NOT NULL")
 
 
 def clean_customers(df: DataFrame, stamp: bool = True) -> DataFrame:
     """K2: dedup on customer_id, ``initcap`` province, lower segment, income to
-    double, keep positive incomes."""
-    out = keep_first(df.filter(F.col("customer_id").isNotNull()), "customer_id", CUSTOMER_TIEBREAK)
+    double, keep positive incomes.  A copy with a positive income wins over others."""
+    income = to_double("monthly_income")
+    out = keep_first(df.filter(F.col("customer_id").isNotNull()), "customer_id",
+                     [~F.coalesce(income > 0, F.lit(False)), *CUSTOMER_TIEBREAK, income])
     cols = {}
     if "province" in out.columns:
         cols["province"] = title_trim("province")
     if "segment" in out.columns:
         cols["segment"] = lower_trim("segment")
-    cols["monthly_income"] = to_double("monthly_income")
+    cols["monthly_income"] = income
     out = out.withColumns(cols).filter(F.col("monthly_income") > 0)
     return out.withColumn("_silver_processed_at", F.current_timestamp()) if stamp else out
 

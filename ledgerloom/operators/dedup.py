@@ -2,8 +2,8 @@
 
 ``dropDuplicates([key])`` keeps an arbitrary row per key, so two runs over the
 same input may keep different rows (SURVEY D1, Q11).  ``keep_first`` keeps the
-row whose ``(order_by..., remaining columns)`` tuple is smallest -- the same row
-on every run and in every engine.
+row whose ``(order_by..., remaining columns)`` tuple is smallest, NULLs last --
+the same row on every run and in every engine.
 
 It is an aggregation, not a window: ``min(struct(...))`` is combined map-side
 before the shuffle, so a key repeated millions of times (a replayed batch, a
@@ -13,25 +13,20 @@ reducer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, key: str | list[str], order_by: list[str] | None = None) -> DataFrame:
-    """One row per ``key``: the smallest by ``order_by`` (ascending, NULLs first),
-    then by every other column.  Column order of ``df`` is preserved."""
+def keep_first(df: DataFrame, key: str | list[str], order_by: list[str | Column] | None = None) -> DataFrame:
+    """One row per ``key``: the smallest by ``order_by`` (names or expressions, ascending, NULLs
+    last), then by every other column.  Column order of ``df`` is preserved."""
     keys = [key] if isinstance(key, str) else list(key)
-    order = [c for c in (order_by or []) if c in df.columns and c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    fields = order + rest
-    if not fields:
+    order = [F.col(c) if isinstance(c, str) else c for c in (order_by or [])
+             if not isinstance(c, str) or (c in df.columns and c not in keys)]
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
         return df.select(*keys).distinct()
-    packed = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(fields)])
+    ranks = [x for i, c in enumerate(order) for x in (c.isNull().alias(f"n{i}"), c.alias(f"o{i}"))]
+    packed = F.struct(*ranks, *[x for i, c in enumerate(rest) for x in (F.col(c).isNull().alias(f"m{i}"), F.col(c).alias(f"f{i}"))])
     winners = df.groupBy(*keys).agg(F.min(packed).alias("_w"))
-    return winners.select(*[F.col(c) if c in keys else F.col(f"_w.f{fields.index(c)}").alias(c)
-                            for c in df.columns])
-
-
-def drop_duplicates_arbitrary(df: DataFrame, key: str | list[str]) -> DataFrame:
-    """The reference's exact operator (arbitrary survivor); for identical copies only."""
-    return df.dropDuplicates([key] if isinstance(key, str) else list(key))
+    return winners.select(*[F.col(c) if c in keys else F.col(f"_w.f{rest.index(c)}").alias(c) for c in df.columns])

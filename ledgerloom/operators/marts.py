@@ -1,32 +1,34 @@
 """Gold: monthly summary (K3) and lifetime profile (K4), with their parts.
 
-The reference derives the monthly summary from four separate scans of the
-transactions joined back together, and the profile from six (SURVEY 3.3).
-Here both start from one fine-grained aggregate, ``spend_facts``:
-
-    Silver txn --(partial agg | shuffle | final agg)--> facts
-               (customer, year, month, category, merchant, channel)
-    facts --repartition(customer_id)--> every Gold measure
-
-The first shuffle moves map-side-combined rows, so a customer (or id) holding
-a third of all transactions is reduced inside each map task.  The second moves
-only the aggregated facts, hash-partitioned by customer; every later grouping
-(customer-month, customer-month-category, customer-channel, customer) and
-every window requires a distribution that this partitioning already
-satisfies, so Spark plans them without another exchange -- and without joins:
-the top category and preferred channel are picked inside the aggregates.
-
-Money is summed exactly as long cents (``to_cents``) and becomes double at the
-output edge; ratios are exact HALF_UP roundings (``half_up_quotient``).
+Every part filters Silver to its transaction type first, so the filter and the
+columns it needs reach the Parquet scan, and aggregates on its own keys only:
+one exchange, after a map-side combine, or two where values are counted
+distinct.
+
+The monthly summary reads Silver twice instead of the four joined scans of the
+plain definition:
+
+    Silver --(partial | exchange month+category | final)--> category totals
+           --(partial | exchange month | final)--> month measures and top category
+    Silver debits --(distinct month+merchant, exchange)--> merchants per month
+
+Each exchange is on month keys and follows a partial aggregation, so a customer
+with a third of all rows is combined inside each map task and spread over its
+months and categories; no step brings one customer's rows together.  The
+profile groups the stored monthly table and three small aggregates by customer,
+which are again combined before they are shuffled.
+
+Money is summed as exact decimals and becomes double at the output edge; ratios
+are exact HALF_UP roundings (``half_up_quotient``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import month_index
-from ledgerloom.functions.numeric import cents_mean, exact_mean, from_cents, half_up_quotient, to_cents
+from ledgerloom.functions.numeric import exact_mean, half_up_quotient
 from ledgerloom.operators.ranking import top_per_group
 
 MONTH = ["customer_id", "txn_year", "txn_month"]
@@ -34,240 +36,137 @@ STRESS_THRESHOLD = 0.6      # fixed value: profile flag is avg month-end ratio >
 RATIO_SCALE = 4             # fixed value: ratios rounded to 4 decimals
 
 
-def _is_debit() -> F.Column:
-    return F.col("transaction_type") == "DEBIT"
+def debits(txn: DataFrame) -> DataFrame:
+    return txn.filter(F.col("transaction_type") == "DEBIT")
 
 
-def _is_credit() -> F.Column:
-    return F.col("transaction_type") == "CREDIT"
+def credits(txn: DataFrame) -> DataFrame:
+    return txn.filter(F.col("transaction_type") == "CREDIT")
 
 
-def spend_facts(txn: DataFrame, month_end_from: int | None = None, partition: bool = True) -> DataFrame:
-    """One row per (customer, year, month, category, merchant, channel) of Silver
-    transactions with the conditional measures every Gold table is built from.
-
-    ``month_end_from`` recomputes the month-end flag from ``txn_day`` instead of
-    reading Silver's ``is_month_end``.
-    """
-    debit, credit = _is_debit(), _is_credit()
-    month_end = (F.col("txn_day") >= month_end_from) if month_end_from is not None else F.col("is_month_end")
-    cents = to_cents("amount")
-    facts = txn.groupBy(*MONTH, "merchant_category", "merchant_name", "channel").agg(
-        F.sum(F.when(debit, cents)).alias("debit_cents"),
-        F.count(F.when(debit, F.col("transaction_id"))).alias("debit_ids"),
-        F.count_if(debit).alias("debit_rows"),
-        F.max(F.when(debit, cents)).alias("debit_max_cents"),
-        F.sum(F.when(debit & month_end, cents)).alias("month_end_cents"),
-        F.sum(F.when(credit, cents)).alias("credit_cents"),
-        F.count(F.when(credit, F.col("transaction_id"))).alias("credit_ids"),
-        F.count_if(credit).alias("credit_rows"),
-    )
-    return facts.repartition("customer_id") if partition else facts
+def _month_end(month_end_from: int | None) -> F.Column:
+    """Silver's flag, or the rule again with another first day."""
+    return F.col("is_month_end") if month_end_from is None else F.col("txn_day") >= month_end_from
 
 
 # ---------------------------------------------------------------- monthly parts
 
 
-def monthly_spend(facts: DataFrame) -> DataFrame:
-    """Debit totals per customer-month (months with at least one debit)."""
-    return (facts.groupBy(*MONTH).agg(
-                F.sum("debit_cents").alias("total_spend"),
-                F.sum("debit_ids").alias("debit_txn_count"),
-                F.count_distinct(F.when(F.col("debit_rows") > 0, F.col("merchant_name"))).alias("unique_merchants"),
-                F.max("debit_max_cents").alias("max_txn_amount"),
-                F.sum("debit_rows").alias("_debit_rows"))
-            .filter(F.col("_debit_rows") > 0)
-            .select(*MONTH, from_cents("total_spend").alias("total_spend"), "debit_txn_count",
-                    "unique_merchants",
-                    cents_mean("total_spend", "_debit_rows").alias("avg_txn_amount"),
-                    from_cents("max_txn_amount").alias("max_txn_amount")))
+def monthly_spend(txn: DataFrame) -> DataFrame:
+    """Debit totals per customer-month (months with at least one debit).
 
+    Silver has no NULL ids, so counting ids is counting rows."""
+    return debits(txn).groupBy(*MONTH).agg(
+        F.sum("amount").cast("double").alias("total_spend"),
+        F.count(F.lit(1)).alias("debit_txn_count"),
+        F.count_distinct("merchant_name").alias("unique_merchants"),
+        exact_mean(F.sum("amount"), F.count(F.lit(1))).alias("avg_txn_amount"),
+        F.max("amount").cast("double").alias("max_txn_amount"))
 
-def monthly_income(facts: DataFrame) -> DataFrame:
+
+def monthly_income(txn: DataFrame) -> DataFrame:
     """Credit totals per customer-month (months with at least one credit)."""
-    return (facts.groupBy(*MONTH).agg(
-                F.sum("credit_cents").alias("total_income_received"),
-                F.sum("credit_ids").alias("credit_txn_count"),
-                F.sum("credit_rows").alias("_credit_rows"))
-            .filter(F.col("_credit_rows") > 0)
-            .select(*MONTH, from_cents("total_income_received").alias("total_income_received"),
-                    "credit_txn_count"))
+    return credits(txn).groupBy(*MONTH).agg(
+        F.sum("amount").cast("double").alias("total_income_received"),
+        F.count(F.lit(1)).alias("credit_txn_count"))
 
 
-def month_end_spend(facts: DataFrame) -> DataFrame:
+def month_end_spend(txn: DataFrame, month_end_from: int | None = None) -> DataFrame:
     """Debit spend from the month-end day on, per customer-month that has some."""
-    return (facts.groupBy(*MONTH).agg(F.sum("month_end_cents").alias("month_end_spend"))
-            .filter(F.col("month_end_spend").isNotNull())
-            .select(*MONTH, from_cents("month_end_spend").alias("month_end_spend")))
+    return debits(txn).filter(_month_end(month_end_from)).groupBy(*MONTH).agg(
+        F.sum("amount").cast("double").alias("month_end_spend"))
 
 
-def category_spend(facts: DataFrame, exact: bool = False) -> DataFrame:
-    """Debit spend per customer-month-category (``exact=True``: in cents)."""
-    out = (facts.filter(F.col("debit_rows") > 0)
-           .groupBy(*MONTH, "merchant_category").agg(F.sum("debit_cents").alias("cat_spend")))
-    return out if exact else out.withColumn("cat_spend", from_cents("cat_spend"))
+def category_spend(txn: DataFrame, exact: bool = False) -> DataFrame:
+    """Debit spend per customer-month-category (``exact=True``: as decimal)."""
+    total = F.sum("amount")
+    return debits(txn).groupBy(*MONTH, "merchant_category").agg(
+        (total if exact else total.cast("double")).alias("cat_spend"))
 
 
-def top_category(facts: DataFrame, ties: str = "one") -> DataFrame:
+def top_category(txn: DataFrame, ties: str = "one") -> DataFrame:
     """The highest-spend category of each customer-month."""
-    top = top_per_group(category_spend(facts, exact=True), MONTH, "cat_spend", "merchant_category", ties)
+    top = top_per_group(category_spend(txn, exact=True), MONTH, "cat_spend", "merchant_category", ties)
     return top.select(*MONTH, F.col("merchant_category").alias("top_category"))
 
 
-def _month_measures() -> list:
-    """Month-level aggregates over facts rows carrying ``_month_markers`` (shared
-    by K3 and K4); distinct merchants are counted through the marker."""
-    return [
-        F.sum("debit_cents").alias("spend"),
-        F.sum("debit_ids").alias("debit_txn_count"),
-        F.count_if("_first_merchant").alias("unique_merchants"),
-        F.max("debit_max_cents").alias("max_spend"),
-        F.sum("debit_rows").alias("n_debits"),
-        F.sum("credit_cents").alias("income"),
-        F.sum("credit_ids").alias("credit_ids"),
-        F.sum("credit_rows").alias("n_credits"),
-        F.sum("month_end_cents").alias("month_end"),
-    ]
-
-
-def _month_markers(facts: DataFrame) -> dict:
-    """Window columns for the one-pipeline monthly aggregate, evaluated inside the
-    customer partitioning (no exchange): each row's category spend of the month,
-    and whether the row is the first debit row of its (month, merchant) -- which
-    counts distinct merchants without a DISTINCT aggregate (that one would plan
-    as four sort-based aggregation steps)."""
-    debit_rows = F.col("debit_rows") > 0
-    w_cat = Window.partitionBy(*MONTH, "merchant_category")
-    w_merchant = Window.partitionBy(*MONTH, "merchant_name").orderBy(F.col("debit_rows").desc())
-    return {
-        "cat_spend": F.sum("debit_cents").over(w_cat),
-        "_first_merchant": (F.row_number().over(w_merchant) == 1) & debit_rows
-                           & F.col("merchant_name").isNotNull(),
-    }
-
-
-def _tied_rows(facts: DataFrame) -> DataFrame:
-    """Facts rows with the K3 markers and the month's highest category spend."""
-    debit_rows = F.col("debit_rows") > 0
-    rows = facts.withColumns(_month_markers(facts))
-    return rows.withColumn("_max_cat", F.max(F.when(debit_rows, F.col("cat_spend")))
-                           .over(Window.partitionBy(*MONTH)))
-
-
-def _tied_categories() -> F.Column:
-    """The categories tied for the month's highest spend, as a set of one-field
-    structs (so a NULL category survives).  Bounded by the category list."""
-    tied = (F.col("debit_rows") > 0) & (F.col("cat_spend") == F.col("_max_cat"))
-    return F.collect_set(F.when(tied, F.struct(F.col("merchant_category").alias("c"))))
-
-
-def _best(value: str, label: str, where) -> F.Column:
-    """The ``label`` with the highest ``value`` (smallest label on ties, NULL label
-    first) among rows satisfying ``where``: ``min(struct(-value, label))``."""
-    return F.min(F.when(where, F.struct((-F.col(value)).alias("v"), F.col(label).alias("label"))))
-
-
-def _month_columns() -> list:
-    has_credit = F.col("n_credits") > 0
-    return [
-        *MONTH,
-        from_cents("spend").alias("total_spend"),
-        "debit_txn_count",
-        "unique_merchants",
-        cents_mean("spend", "n_debits").alias("avg_txn_amount"),
-        from_cents("max_spend").alias("max_txn_amount"),
-        from_cents("income").alias("total_income_received"),
-        F.when(has_credit, F.col("credit_ids")).alias("credit_txn_count"),
-        from_cents("month_end").alias("month_end_spend"),
-        "top_category",
-        half_up_quotient("month_end", "spend", RATIO_SCALE).alias("month_end_stress_ratio"),
-        half_up_quotient("spend", "income", RATIO_SCALE).alias("spend_to_income_ratio"),
-    ]
+def _category_totals(txn: DataFrame, month_end_from: int | None) -> DataFrame:
+    """Every additive measure of the month, per customer-month-category."""
+    debit, credit = F.col("transaction_type") == "DEBIT", F.col("transaction_type") == "CREDIT"
+    amount = F.col("amount")
+    return txn.filter(debit | credit).groupBy(*MONTH, "merchant_category").agg(
+        F.sum(F.when(debit, amount)).alias("spend"), F.count_if(debit).alias("n_debits"),
+        F.max(F.when(debit, amount)).alias("max_spend"),
+        F.sum(F.when(debit & _month_end(month_end_from), amount)).alias("month_end"),
+        F.sum(F.when(credit, amount)).alias("income"), F.count_if(credit).alias("n_credits"))
 
 
-def monthly_summary(facts: DataFrame, ties: str = "one", stamp: bool = False) -> DataFrame:
+def monthly_summary(txn: DataFrame, ties: str = "one", stamp: bool = False,
+                    month_end_from: int | None = None) -> DataFrame:
     """K3: one row per customer-month with debits.
 
-    Same values as the reference's join form: months with credits only are
-    absent (Q2); month-end spend and its ratio are NULL without spend from the
-    month-end day (Q3); income, credit count and spend-to-income are NULL in a
-    month without credits (Q4).
-
-    ``ties="one"`` (default) is a single pipeline over ``facts``: windows add
-    each row's category spend and a first-of-merchant marker, and the month
-    aggregate picks the top category alongside the other measures -- no join,
-    no DISTINCT aggregate, no second pass.  ``ties="all"`` reproduces
-    ``rank() == 1``: a month repeats once per category tied for the highest
-    spend.  It is the same pipeline; the month aggregate keeps the set of tied
-    categories (at most the category list of one customer-month) and the rows
-    are exploded from it.
+    Same values as the plain join form: months with credits only are absent
+    (Q2); month-end spend and its ratio are NULL without spend from the
+    month-end day (Q3; ``fill_zero`` turns them into zeros); income, credit
+    count and spend-to-income are NULL in a month without credits (Q4).
+
+    ``ties="one"`` (default) keeps one top category, the smallest on ties;
+    ``ties="all"`` reproduces ``rank() == 1``: a month repeats once per category
+    tied for the highest spend, by a join of the months with their category
+    totals.
     """
-    debit_rows = F.col("debit_rows") > 0
+    if ties not in ("one", "all"):
+        raise ValueError("ties must be 'one' or 'all'")
+    cats = _category_totals(txn, month_end_from)
+    has_debit = F.col("n_debits") > 0
+    months = cats.groupBy(*MONTH).agg(
+        F.sum("spend").alias("spend"), F.sum("n_debits").alias("debit_txn_count"), F.max("max_spend").alias("max_spend"),
+        F.sum("month_end").alias("month_end"), F.sum("income").alias("income"), F.sum("n_credits").alias("n_credits"),
+        F.min(F.when(has_debit, F.struct((-F.col("spend")).alias("v"), F.col("merchant_category").alias("label")))).alias("_top"),
+    ).filter("debit_txn_count > 0")
+    merchants = debits(txn).groupBy(*MONTH).agg(F.count_distinct("merchant_name").alias("unique_merchants"))
+    joined = months.join(merchants, MONTH)
     if ties == "all":
-        rows = _tied_rows(facts)
-        joined = (rows.groupBy(*MONTH)
-                  .agg(*_month_measures(), _tied_categories().alias("_tops"))
-                  .filter(F.col("n_debits") > 0)
-                  .withColumn("_tied", F.explode("_tops"))
-                  .withColumn("top_category", F.col("_tied.c")))
+        tops = cats.filter(has_debit).select(*MONTH, F.col("spend").alias("_cat"), F.col("merchant_category").alias("top_category"))
+        joined = joined.join(tops, MONTH).filter(F.col("_cat") == -F.col("_top.v"))
     else:
-        rows = facts.withColumns(_month_markers(facts))
-        joined = (rows.groupBy(*MONTH)
-                  .agg(*_month_measures(),
-                       _best("cat_spend", "merchant_category", debit_rows).alias("_top"))
-                  .filter(F.col("n_debits") > 0)
-                  .withColumn("top_category", F.col("_top.label")))
-    out = joined.select(*_month_columns())
+        joined = joined.withColumn("top_category", F.col("_top.label"))
+    out = joined.select(
+        *MONTH, F.col("spend").cast("double").alias("total_spend"), "debit_txn_count", "unique_merchants",
+        exact_mean("spend", "debit_txn_count").alias("avg_txn_amount"),
+        F.col("max_spend").cast("double").alias("max_txn_amount"),
+        F.col("income").cast("double").alias("total_income_received"),
+        F.when(F.col("n_credits") > 0, F.col("n_credits")).alias("credit_txn_count"),
+        F.col("month_end").cast("double").alias("month_end_spend"), "top_category",
+        half_up_quotient("month_end", "spend", RATIO_SCALE).alias("month_end_stress_ratio"),
+        half_up_quotient("spend", "income", RATIO_SCALE).alias("spend_to_income_ratio"))
     return out.withColumn("_gold_processed_at", F.current_timestamp()) if stamp else out
 
 
+def fill_zero(monthly: DataFrame) -> DataFrame:
+    """Q3: months without month-end spend get 0 for the spend and its ratio."""
+    return monthly.fillna(0.0, subset=["month_end_spend", "month_end_stress_ratio"])
+
+
 # ---------------------------------------------------------------- profile parts
 
 
-def lifetime_stats(facts: DataFrame) -> DataFrame:
+def lifetime_stats(txn: DataFrame) -> DataFrame:
     """A10: lifetime debit measures per customer with at least one debit."""
-    return (facts.groupBy("customer_id").agg(
-                F.sum("debit_cents").alias("spend"),
-                F.sum("debit_ids").alias("lifetime_txn_count"),
-                F.sum("debit_rows").alias("n_debits"),
-                F.count_distinct(F.when(F.col("debit_rows") > 0, F.col("merchant_category")))
-                 .alias("category_diversity"))
-            .filter(F.col("n_debits") > 0)
-            .select("customer_id", from_cents("spend").alias("lifetime_spend"), "lifetime_txn_count",
-                    cents_mean("spend", "n_debits").alias("avg_txn_value"), "category_diversity"))
-
-
-def preferred_channel(facts: DataFrame, ties: str = "one") -> DataFrame:
+    return debits(txn).groupBy("customer_id").agg(
+        F.sum("amount").cast("double").alias("lifetime_spend"),
+        F.count(F.lit(1)).alias("lifetime_txn_count"),
+        exact_mean(F.sum("amount"), F.count(F.lit(1))).alias("avg_txn_value"),
+        F.count_distinct("merchant_category").alias("category_diversity"))
+
+
+def preferred_channel(txn: DataFrame, ties: str = "one") -> DataFrame:
     """The channel with the most debits per customer."""
-    counts = (facts.groupBy("customer_id", "channel").agg(F.sum("debit_rows").alias("cnt"))
-              .filter(F.col("cnt") > 0))
+    counts = debits(txn).groupBy("customer_id", "channel").agg(F.count(F.lit(1)).alias("cnt"))
     top = top_per_group(counts, ["customer_id"], "cnt", "channel", ties)
     return top.select("customer_id", F.col("channel").alias("preferred_channel"))
 
 
-def _stress_measures(weight: str | None = None) -> list:
-    """Exact sums and counts of the monthly ratios; ``weight`` counts a month
-    that many times (the tied-category fan-out of ``ties="all"``)."""
-    r_dec = "decimal(20,4)"
-    w = F.col(weight) if weight else F.lit(1)
-    out = []
-    for ratio, tag in (("month_end_stress_ratio", "_s"), ("spend_to_income_ratio", "_i")):
-        r = F.col(ratio)
-        out += [F.sum(r.cast(r_dec) * w).alias(f"{tag}_sum"),
-                F.sum(F.when(r.isNotNull(), w).otherwise(F.lit(0))).alias(f"{tag}_n")]
-    return out
-
-
-def _stress_columns(threshold: float) -> list:
-    return [
-        F.when(F.col("_s_n") > 0, exact_mean("_s_sum", "_s_n")).alias("avg_stress_ratio"),
-        F.when(F.col("_i_n") > 0, exact_mean("_i_sum", "_i_n")).alias("avg_spend_to_income"),
-        F.when(F.col("_s_n") > 0,
-               F.col("_s_sum") > F.lit(threshold).cast("decimal(10,4)") * F.col("_s_n"))
-         .alias("is_financially_stressed"),
-    ]
-
-
 def stress_by_customer(monthly: DataFrame, threshold: float = STRESS_THRESHOLD) -> DataFrame:
     """A11 + F8: mean month-end ratio and mean spend-to-income ratio per customer
     (NULL months skipped), and the strict ``> threshold`` flag.
@@ -276,104 +175,50 @@ def stress_by_customer(monthly: DataFrame, threshold: float = STRESS_THRESHOLD)
     compares ``sum > threshold * count`` -- a customer whose months average
     exactly 0.6 is never flagged through floating-point drift.
     """
-    return (monthly.groupBy("customer_id").agg(*_stress_measures())
-            .select("customer_id", *_stress_columns(threshold)))
+    exact = lambda c: F.sum(F.col(c).cast("decimal(28,4)"))
+    sums = monthly.groupBy("customer_id").agg(
+        exact("month_end_stress_ratio").alias("_s_sum"), F.count("month_end_stress_ratio").alias("_s_n"),
+        exact("spend_to_income_ratio").alias("_i_sum"), F.count("spend_to_income_ratio").alias("_i_n"))
+    return sums.select(
+        "customer_id",
+        F.when(F.col("_s_n") > 0, exact_mean("_s_sum", "_s_n")).alias("avg_stress_ratio"),
+        F.when(F.col("_i_n") > 0, exact_mean("_i_sum", "_i_n")).alias("avg_spend_to_income"),
+        F.when(F.col("_s_n") > 0, F.col("_s_sum") > F.lit(threshold).cast("decimal(10,4)") * F.col("_s_n"))
+         .alias("is_financially_stressed"))
 
 
 PROFILE_MEASURES = ["lifetime_spend", "lifetime_txn_count", "avg_txn_value", "category_diversity",
                     "preferred_channel", "avg_stress_ratio", "avg_spend_to_income", "is_financially_stressed"]
+ACTIVITY = ["active_months", "first_month", "last_month"]
 
 
-def customer_measures(facts: DataFrame, threshold: float = STRESS_THRESHOLD, ties: str = "one") -> DataFrame:
-    """Every lifetime measure of K4 for customers with at least one debit, in one
-    pipeline over ``facts``.
-
-    Windows annotate the facts rows inside the customer partitioning -- the
-    monthly markers of K3, the customer's debit count per channel, and the first
-    debit row of each (customer, category) -- then one aggregate per
-    customer-month (the K3 measures) and one per customer finish the job.  No
-    exchange follows the facts shuffle.
-
-    ``ties="all"`` gives the reference's rank semantics: the preferred channel
-    is the set of channels tied for the most debits (one output row each, set
-    bounded by the channel list), and a month whose top categories tie counts
-    once per tied category in the stress means, as the reference's joined rows
-    do.
-    """
-    debit_rows = F.col("debit_rows") > 0
-    w_chan = Window.partitionBy("customer_id", "channel")
-    w_first = (Window.partitionBy("customer_id", "merchant_category")
-               .orderBy(F.col("debit_rows").desc(), "txn_year", "txn_month", "merchant_name", "channel"))
-    rows = (_tied_rows(facts) if ties == "all" else facts.withColumns(_month_markers(facts))).withColumns({
-        "chan_cnt": F.sum("debit_rows").over(w_chan),
-        "_first_cat": (F.row_number().over(w_first) == 1) & debit_rows
-                      & F.col("merchant_category").isNotNull(),
-    })
-    extra = []
-    if ties == "all":
-        top_chan = F.max(F.when(debit_rows, F.col("chan_cnt"))).over(Window.partitionBy("customer_id"))
-        rows = rows.withColumn("_max_chan", top_chan)
-        tied_chan = debit_rows & (F.col("chan_cnt") == F.col("_max_chan"))
-        extra = [F.size(_tied_categories()).alias("_weight"),
-                 F.collect_set(F.when(tied_chan, F.struct(F.col("channel").alias("c")))).alias("_chans")]
-    else:
-        extra = [_best("chan_cnt", "channel", debit_rows).alias("_chan"), F.lit(1).alias("_weight")]
-    months = (rows.groupBy(*MONTH)
-              .agg(*_month_measures(),
-                   _best("cat_spend", "merchant_category", debit_rows).alias("_top"),
-                   F.count_if("_first_cat").alias("_new_cats"), *extra)
-              .filter(F.col("n_debits") > 0)
-              .withColumn("top_category", F.col("_top.label")))
-    carried = ["_chans"] if ties == "all" else ["_chan"]
-    monthly = months.select(*_month_columns(), "spend", "n_debits", "_new_cats", "_weight", *carried)
-    channel = ([F.array_distinct(F.flatten(F.collect_set("_chans"))).alias("_chans")] if ties == "all"
-               else [F.min("_chan").alias("_chan")])
-    per_customer = monthly.groupBy("customer_id").agg(
-        F.sum("spend").alias("spend"),
-        F.sum("debit_txn_count").alias("lifetime_txn_count"),
-        F.sum("n_debits").alias("n_debits"),
-        F.sum("_new_cats").alias("category_diversity"),
-        *channel,
-        F.count(F.lit(1)).alias("active_months"),
-        F.min(month_index("txn_year", "txn_month")).alias("first_month"),
-        F.max(month_index("txn_year", "txn_month")).alias("last_month"),
-        *_stress_measures("_weight"))
-    if ties == "all":
-        per_customer = per_customer.withColumn("_chan", F.explode("_chans"))
-        preferred = F.col("_chan.c")
-    else:
-        preferred = F.col("_chan.label")
-    return per_customer.select(
-        "customer_id",
-        from_cents("spend").alias("lifetime_spend"),
-        "lifetime_txn_count",
-        cents_mean("spend", "n_debits").alias("avg_txn_value"),
-        "category_diversity",
-        preferred.alias("preferred_channel"),
-        *_stress_columns(threshold),
-        "active_months", "first_month", "last_month")
-
-
-ACTIVITY = ["active_months", "first_month", "last_month"]
+def activity(monthly: DataFrame) -> DataFrame:
+    """Months with debits and the first and last of them (``year * 12 + month - 1``), per customer."""
+    month = month_index("txn_year", "txn_month")
+    return monthly.groupBy("customer_id").agg(
+        F.count_distinct("txn_year", "txn_month").alias("active_months"),
+        F.min(month).alias("first_month"), F.max(month).alias("last_month"))
 
 
-def customer_profile(customers: DataFrame, facts: DataFrame, ties: str = "one",
+def customer_profile(customers: DataFrame, txn: DataFrame, monthly: DataFrame | None = None, ties: str = "one",
                      stamp: bool = False, threshold: float = STRESS_THRESHOLD,
-                     activity: bool = False) -> DataFrame:
+                     with_activity: bool = False) -> DataFrame:
     """K4: every Silver customer with lifetime measures, preferred channel and
     stress (NULL measures for customers without debits, J4).
 
-    ``activity=True`` keeps three extra columns: months with debits and the first
-    and last such month (as ``year * 12 + month - 1``), used by C7 and K5.
+    ``monthly`` is the stored monthly summary (made with the same ``ties``);
+    without it the summary is computed here.  ``with_activity=True`` keeps three
+    extra columns used by K5.
 
-    ``ties="all"`` is the reference's rank semantics: a customer with tied
-    channels appears once per channel, and tied categories repeat months inside
-    the stress mean -- computed by the same single pipeline.
+    ``ties="all"`` is the rank semantics: a customer with tied channels appears
+    once per channel, and tied categories repeat months inside the stress means.
     """
-    measures = customer_measures(facts, threshold, ties)
-    if not activity:
-        measures = measures.drop(*ACTIVITY)
-    out = customers.join(measures, "customer_id", "left")
+    monthly = monthly_summary(txn, ties) if monthly is None else monthly
+    out = customers.join(lifetime_stats(txn), "customer_id", "left")
+    out = out.join(preferred_channel(txn, ties), "customer_id", "left")
+    out = out.join(stress_by_customer(monthly, threshold), "customer_id", "left")
+    if with_activity:
+        out = out.join(activity(monthly), "customer_id", "left")
     if not stamp:
         return out.drop("_silver_processed_at")
     return out.withColumn("_gold_processed_at", F.current_timestamp())

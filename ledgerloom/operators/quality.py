@@ -2,9 +2,9 @@
 
 Per-column statistics are computed in one pass and unpivoted afterwards,
 frequency tables are grouped counts.  Quantiles are exact and distributed: a
-histogram of distinct values, sorted by range partitioning, ranked with
-per-partition offsets (``exact_quantiles``) -- no sketch merged in one task and
-no collection of the values anywhere.
+histogram of distinct values, ranked within buckets of a fixed logarithmic grid
+on top of the buckets' running totals (``ranks``) -- no sketch merged in one
+task, no collection of the values, and no job before the result is asked for.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, NumericType
 
 from ledgerloom.functions.numeric import half_up, half_up_quotient, int_div
-from ledgerloom.session import materialize
 
 #: Key columns the Silver gate expects to be complete.
 GATE_COLUMNS = ["transaction_id", "customer_id", "amount", "transaction_date", "merchant_category"]
@@ -56,60 +55,73 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return wide.select(rows.alias("r")).select("r.*")
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: tuple[float, ...] = (0.25, 0.5, 0.75),
-                    names: tuple[str, ...] = ("p25", "p50", "p75")) -> DataFrame:
-    """Lower quantiles -- the value of rank ``ceil(p * n)`` -- computed exactly and
-    with no step that holds the data in one task.  One row, one column per ``p``.
-
-    1. a histogram of distinct values (aggregated map-side, so a value held by a
-       third of the rows is one row per task);
-    2. the histogram sorted by value (range-partitioned by Spark) and stored
-       once with its partition numbers; each partition's count total, with the
-       totals of the partitions before it, makes an offset table of one row
-       per partition -- bounded by the partition count, so it is broadcast;
-    3. offset + running count inside the partition = each value's cumulative
-       rank; the quantile of ``p`` is the value whose rank range holds
-       ``ceil(p * n)`` (integer arithmetic on exact fractions of ``p``).
+#: Steps of the logarithmic grid that quantile buckets lie on, per factor e.
+GRID_PER_E = 64
+
+
+def histogram(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values with their counts (``_n``) and a bucket that never falls
+    when the value rises: a logarithmic grid on either side of zero.  Counts are
+    combined map-side, so a value held by a third of the rows is one row per task."""
+    x = F.col(column).cast("double")
+    step = F.floor(F.log(F.abs(x)) * F.lit(float(GRID_PER_E))) + F.lit(1 << 20)   # positive for every double
+    bucket = F.when(x > 0, step).when(x < 0, -step).otherwise(F.lit(0)).cast("long")
+    return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n")).withColumn("_bucket", bucket)
+
+
+def ranks(hist: DataFrame, column: str) -> DataFrame:
+    """The histogram with every value's last rank (``_cum``) and the number of rows (``_total``).
+
+    Ranks are running counts within a bucket on top of the counts of the buckets
+    below; the grid has at most some 180,000 buckets over all doubles, whatever
+    the input, so the one-task window over bucket totals is bounded.
     """
-    c = F.col(column)
-    hist = df.filter(c.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    # Materialised: both branches below must see the same partition numbers.
-    ranged = materialize(hist.orderBy(column).withColumn("_part", F.spark_partition_id()))
-    parts = ranged.groupBy("_part").agg(F.sum("_n").alias("_pn"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select("_part", F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off"),
-                           F.sum("_pn").over(Window.partitionBy()).alias("_total"))
-    running = Window.partitionBy("_part").orderBy(column).rowsBetween(Window.unboundedPreceding,
-                                                                      Window.currentRow)
-    ranked = (ranged.join(F.broadcast(offsets), "_part")
-              .withColumn("_cum", F.col("_off") + F.sum("_n").over(running)))
-    picks = []
+    below = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = hist.groupBy("_bucket").agg(F.sum("_n").alias("_bn")).select(
+        "_bucket", F.coalesce(F.sum("_bn").over(below), F.lit(0)).alias("_off"),
+        F.sum("_bn").over(Window.partitionBy()).alias("_total"))
+    running = Window.partitionBy("_bucket").orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return hist.join(offsets, "_bucket").withColumn("_cum", F.col("_off") + F.sum("_n").over(running))
+
+
+def _picks(column: str, probs: tuple[float, ...], names: tuple[str, ...]) -> list:
+    """Aggregates over ``ranks``: the value of rank ceil(p * n), in exact fractions."""
+    out = []
     for p, name in zip(probs, names):
         frac = Fraction(str(p))
-        k = int_div(F.col("_total") * F.lit(frac.numerator) + F.lit(frac.denominator - 1),
-                    F.lit(frac.denominator))
+        k = int_div(F.col("_total") * F.lit(frac.numerator) + F.lit(frac.denominator - 1), F.lit(frac.denominator))
         hit = (F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k)
-        picks.append(F.min(F.when(hit, c)).alias(name))
-    return ranked.agg(*picks)
+        out.append(F.min(F.when(hit, F.col(column))).alias(name))
+    return out
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: tuple[float, ...] = (0.25, 0.5, 0.75),
+                    names: tuple[str, ...] = ("p25", "p50", "p75")) -> DataFrame:
+    """Lower quantiles -- the value of rank ``ceil(p * n)`` -- computed exactly and
+    with no step that holds the data in one task.  One row, one column per ``p``."""
+    return ranks(histogram(df, column), column).agg(*_picks(column, probs, names))
 
 
 def quartile_profile(df: DataFrame, column: str, scale: int = 2) -> DataFrame:
     """Count, mean, std, min, 25/50/75 % and max of one column, rounded to
-    ``scale`` decimals (pandas ``describe().round(2)``).  Quartiles are exact
-    lower quantiles (``exact_quantiles``), attached to the one-row statistics
-    as a single scalar subquery."""
-    c = F.col(column)
-    q = exact_quantiles(df, column)
-    quartiles = q.select(F.array("p25", "p50", "p75")).scalar()
-    stats = df.agg(F.count(c).alias("count"),
-                   half_up_quotient(F.sum(c), F.count(c), scale).alias("mean"),
-                   F.stddev_samp(c.cast("double")).alias("std"),
-                   F.min(c).alias("min"), F.max(c).alias("max"))
-    return stats.withColumn("_q", quartiles).select(
-        "count", "mean", half_up("std", scale).alias("std"),
-        F.col("min").cast("double").alias("min"),
-        *[F.col("_q")[i].cast("double").alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
-        F.col("max").cast("double").alias("max"))
+    ``scale`` decimals (pandas ``describe().round(2)``), all from one histogram
+    and so from one scan (the two uses of the histogram share its exchange)."""
+    c, n = F.col(column), F.col("_n")
+    hist = histogram(df, column)
+    ranked = ranks(hist, column)
+    wide = F.sum(c.cast("decimal(34,4)") * n)
+    mean = hist.agg(F.sum(c.cast("double") * n) / F.sum("_n")).scalar()
+    moments = ranked.groupBy("_total").agg(
+        F.sum("_n").alias("count"), wide.alias("_sum"), F.min(c).alias("min"), F.max(c).alias("max"),
+        F.sum((c.cast("double") - mean) * (c.cast("double") - mean) * n).alias("_squares"),
+        *_picks(column, (0.25, 0.5, 0.75), ("p25", "p50", "p75")))
+    m = F.col("count").cast("double")
+    one = F.lit(1).alias("_one")
+    out = df.sparkSession.range(1).select(one).join(moments.withColumn("_one", F.lit(1)), "_one", "left")
+    return out.select(
+        F.coalesce("count", F.lit(0)).alias("count"), half_up_quotient("_sum", "count", scale).alias("mean"),
+        half_up(F.when(m > 1, F.sqrt(F.col("_squares") / (m - 1))), scale).alias("std"),
+        *[F.col(x).cast("double").alias(x) for x in ("min", "p25", "p50", "p75", "max")])
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -121,11 +133,10 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def relative_frequency(df: DataFrame, column: str, decimals: int = 1) -> DataFrame:
     """Share of rows per value in percent, ``decimals`` places (the
     reference: ``value_counts(normalize=True).round(3) * 100``).  The total is a
-    window over the grouped rows -- one row per distinct value."""
+    scalar subquery, so the distinct values are never brought into one task."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
-    return (counts.select(column, "count",
-                          half_up_quotient(F.col("count") * F.lit(100), total, decimals).alias("share_pct"))
+    total = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
+    return (counts.select(column, "count", half_up_quotient(F.col("count") * F.lit(100), total, decimals).alias("share_pct"))
             .orderBy(F.col("count").desc(), F.col(column).asc_nulls_first()))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.calendar import month_index
 from ledgerloom.functions.numeric import half_up_quotient
 from ledgerloom.functions.text import upper_trim
-from ledgerloom.operators.marts import customer_measures
+from ledgerloom.operators.marts import MONTH, debits
 from ledgerloom.operators.ranking import top_per_group
 
 # Income band cuts, from the reference's segment income ranges
@@ -141,20 +141,19 @@ def income_band(customers: DataFrame, cuts: tuple[int, int] = INCOME_BAND_CUTS)
     return customers.withColumn("income_band", band)
 
 
-def favourite_category(facts: DataFrame, ties: str = "one") -> DataFrame:
+def favourite_category(txn: DataFrame, ties: str = "one") -> DataFrame:
     """The category with the highest lifetime debit spend per customer."""
-    spend = (facts.filter(F.col("debit_rows") > 0)
-             .groupBy("customer_id", "merchant_category").agg(F.sum("debit_cents").alias("_spend")))
+    spend = debits(txn).groupBy("customer_id", "merchant_category").agg(F.sum("amount").alias("_spend"))
     top = top_per_group(spend, ["customer_id"], "_spend", "merchant_category", ties)
     return top.select("customer_id", F.col("merchant_category").alias("favourite_category"))
 
 
-def average_monthly_spend(facts: DataFrame) -> DataFrame:
+def average_monthly_spend(txn: DataFrame) -> DataFrame:
     """Lifetime debit spend / months with debits, 2 dp, per customer."""
-    m = customer_measures(facts)
-    return m.select("customer_id", "active_months",
-                    half_up_quotient(F.col("lifetime_spend").cast("decimal(28,2)"), F.col("active_months"), 2)
-                    .alias("avg_monthly_spend"))
+    months = debits(txn).groupBy(*MONTH).agg(F.sum("amount").alias("_spend"))
+    return months.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("active_months"),
+        half_up_quotient(F.sum("_spend"), F.count(F.lit(1)), 2).alias("avg_monthly_spend"))
 
 
 def reference_merchants(spark: SparkSession) -> DataFrame:
@@ -173,17 +172,16 @@ def merchant_dimension(txn: DataFrame) -> DataFrame:
 
 
 def assign_categories(txn: DataFrame, dimension: DataFrame, key: str = "merchant_name",
-                      dim_key: str = "merchant_name", small: bool = False) -> DataFrame:
+                      dim_key: str = "merchant_name") -> DataFrame:
     """``assigned_category`` from a merchant dimension (left join on the
     standardised name), falling back to the transaction's own category.
 
-    ``small=True`` broadcasts the dimension: only for dimensions of known bounded
-    size such as ``reference_merchants``; a learned dimension grows with the
-    number of merchants and is left to the planner (AQE switches to a broadcast
-    at run time when it turns out small).
+    Spellings of the dimension that standardise to one name are one row (the
+    smallest category), so a transaction never fans out.  Whether to broadcast
+    the dimension is left to the planner and, at run time, to its real size.
     """
     dim = dimension.select(upper_trim(dim_key).alias("_dim_key"), F.col("category").alias("_dim_category"))
-    dim = F.broadcast(dim) if small else dim
+    dim = dim.filter("_dim_key IS NOT NULL").groupBy("_dim_key").agg(F.min("_dim_category").alias("_dim_category"))
     joined = txn.join(dim, upper_trim(key) == F.col("_dim_key"), "left")
     return (joined.withColumn("assigned_category", F.coalesce(F.col("_dim_category"), F.col("merchant_category")))
             .drop("_dim_key", "_dim_category"))

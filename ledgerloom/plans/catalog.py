@@ -15,9 +15,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom.operators import curate, marts, quality, signals
-from ledgerloom.plans import insights
+from ledgerloom.plans import insights, messy
 from ledgerloom.plans.lake import Lake
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import contracts, landing, tables
@@ -36,14 +37,14 @@ def query(name: str):
 
 
 class Layers:
-    """Silver and Gold views over one scale-factor directory, built lazily."""
+    """Silver views over one scale-factor directory, built lazily."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.tables = DriverTables(spark, sf_dir)
 
     def silver_txn(self) -> DataFrame:
-        return curate.clean_transactions(self.tables.raw_ledger(), stamp=False)
+        return curate.clean_transactions(self.tables.unique_ledger(), stamp=False, dedup=False)
 
     def silver_events(self) -> DataFrame:
         return curate.clean_transactions(self.tables.raw_event_ledger(), stamp=False)
@@ -51,69 +52,58 @@ class Layers:
     def silver_customers(self) -> DataFrame:
         return curate.clean_customers(self.tables.raw_customers(), stamp=False)
 
-    def facts(self) -> DataFrame:
-        return marts.spend_facts(self.silver_txn())
-
-    def profile(self, ties: str = "one", activity: bool = False) -> DataFrame:
-        return marts.customer_profile(self.silver_customers(), self.facts(), ties, activity=activity)
-
-
-def _layers(spark: SparkSession, sf_dir: str) -> Layers:
-    return Layers(spark, sf_dir)
-
 
 # ------------------------------------------------------------------ Silver (K1, K2)
 
 @query("dedup_transactions")
 def q_dedup(spark, sf_dir):
-    return curate.dedup_transactions(_layers(spark, sf_dir).tables.raw_ledger())
+    return Layers(spark, sf_dir).tables.unique_ledger()
 
 
 @query("standardise_text")
 def q_standardise(spark, sf_dir):
-    raw = _layers(spark, sf_dir).tables.raw_ledger()
-    return curate.standardise_transactions(curate.dedup_transactions(raw))
+    return curate.standardise_transactions(Layers(spark, sf_dir).tables.unique_ledger())
 
 
 @query("date_parts")
 def q_date_parts(spark, sf_dir):
-    ev = _layers(spark, sf_dir).silver_events()
+    ev = Layers(spark, sf_dir).silver_events()
     return ev.select("transaction_id", "txn_year", "txn_month", "txn_day", "txn_day_of_week", "txn_hour",
                      "is_weekend")
 
 
 @query("calendar_flags")
 def q_calendar_flags(spark, sf_dir):
-    ev = _layers(spark, sf_dir).silver_events()
+    ev = Layers(spark, sf_dir).silver_events()
     return ev.select("transaction_id", "txn_day", "is_month_end", "is_salary_period", "is_weekend")
 
 
 @query("filter_valid")
 def q_filter_valid(spark, sf_dir):
-    raw = _layers(spark, sf_dir).tables.raw_ledger()
+    raw = Layers(spark, sf_dir).tables.raw_ledger()
     valid = curate.valid_transactions(curate.standardise_transactions(raw))
     return valid.select("transaction_id", "customer_id", "amount", "transaction_type")
 
 
 @query("clean_transactions")
 def q_clean_transactions(spark, sf_dir):
-    return _layers(spark, sf_dir).silver_txn()
+    return Layers(spark, sf_dir).silver_txn()
 
 
 @query("clean_events")
 def q_clean_events(spark, sf_dir):
-    return _layers(spark, sf_dir).silver_events()
+    return Layers(spark, sf_dir).silver_events()
 
 
 @query("quarantined_transactions")
 def q_quarantined(spark, sf_dir):
-    return curate.quarantined_transactions(_layers(spark, sf_dir).tables.raw_ledger())
+    return curate.quarantined_transactions(Layers(spark, sf_dir).tables.unique_ledger(), dedup=False)
 
 
 @query("null_flags")
 def q_null_flags(spark, sf_dir):
-    raw = _layers(spark, sf_dir).tables.raw_ledger()
-    flagged = curate.flag_nulls(curate.dedup_transactions(raw), contracts.LEDGER_COLUMNS)
+    raw = Layers(spark, sf_dir).tables.unique_ledger()
+    flagged = curate.flag_nulls(raw, contracts.LEDGER_COLUMNS)
     return flagged.select("transaction_id", F.size("_null_flags").alias("null_fields"))
 
 
@@ -125,54 +115,54 @@ def q_ledger_by_time(spark, sf_dir):
 
 @query("clean_customers")
 def q_clean_customers(spark, sf_dir):
-    return _layers(spark, sf_dir).silver_customers()
+    return Layers(spark, sf_dir).silver_customers()
 
 
 # ------------------------------------------------------------------ Gold parts and marts (K3, K4)
 
 @query("monthly_spend")
 def q_monthly_spend(spark, sf_dir):
-    return marts.monthly_spend(Lake(spark, sf_dir).facts())
+    return marts.monthly_spend(Lake(spark, sf_dir).txn())
 
 
 @query("monthly_income")
 def q_monthly_income(spark, sf_dir):
-    return marts.monthly_income(Lake(spark, sf_dir).facts())
+    return marts.monthly_income(Lake(spark, sf_dir).txn())
 
 
 @query("month_end_spend")
 def q_month_end_spend(spark, sf_dir):
-    return marts.month_end_spend(Lake(spark, sf_dir).facts())
+    return marts.month_end_spend(Lake(spark, sf_dir).txn())
 
 
 @query("category_spend")
 def q_category_spend(spark, sf_dir):
-    return marts.category_spend(Lake(spark, sf_dir).facts())
+    return marts.category_spend(Lake(spark, sf_dir).txn())
 
 
 @query("top_category")
 def q_top_category(spark, sf_dir):
-    return marts.top_category(Lake(spark, sf_dir).facts(), "one")
+    return marts.top_category(Lake(spark, sf_dir).txn(), "one")
 
 
 @query("top_category_ties")
 def q_top_category_ties(spark, sf_dir):
-    return marts.top_category(Lake(spark, sf_dir).facts(), "all")
+    return marts.top_category(Lake(spark, sf_dir).txn(), "all")
 
 
 @query("preferred_channel")
 def q_preferred_channel(spark, sf_dir):
-    return marts.preferred_channel(Lake(spark, sf_dir).facts(), "one")
+    return marts.preferred_channel(Lake(spark, sf_dir).txn(), "one")
 
 
 @query("preferred_channel_ties")
 def q_preferred_channel_ties(spark, sf_dir):
-    return marts.preferred_channel(Lake(spark, sf_dir).facts(), "all")
+    return marts.preferred_channel(Lake(spark, sf_dir).txn(), "all")
 
 
 @query("lifetime_stats")
 def q_lifetime_stats(spark, sf_dir):
-    return marts.lifetime_stats(Lake(spark, sf_dir).facts())
+    return marts.lifetime_stats(Lake(spark, sf_dir).txn())
 
 
 @query("stress_by_customer")
@@ -182,29 +172,29 @@ def q_stress_by_customer(spark, sf_dir):
 
 @query("monthly_summary")
 def q_monthly_summary(spark, sf_dir):
-    return marts.monthly_summary(Lake(spark, sf_dir).facts())
+    return marts.monthly_summary(Lake(spark, sf_dir).txn())
 
 
 @query("monthly_summary_ties")
 def q_monthly_summary_ties(spark, sf_dir):
-    return marts.monthly_summary(Lake(spark, sf_dir).facts(), ties="all")
+    return marts.monthly_summary(Lake(spark, sf_dir).txn(), ties="all")
 
 
 @query("monthly_summary_events")
 def q_monthly_summary_events(spark, sf_dir):
-    return marts.monthly_summary(marts.spend_facts(_layers(spark, sf_dir).silver_events()))
+    return marts.monthly_summary(Layers(spark, sf_dir).silver_events())
 
 
 @query("customer_profile")
 def q_customer_profile(spark, sf_dir):
     lake = Lake(spark, sf_dir)
-    return marts.customer_profile(lake.customers(), lake.facts())
+    return marts.customer_profile(lake.customers(), lake.txn(), lake.monthly_summary())
 
 
 @query("customer_profile_ties")
 def q_customer_profile_ties(spark, sf_dir):
     lake = Lake(spark, sf_dir)
-    return marts.customer_profile(lake.customers(), lake.facts(), ties="all")
+    return marts.customer_profile(lake.customers(), lake.txn(), lake.monthly_summary("all"), ties="all")
 
 
 # ------------------------------------------------------------------ insights
@@ -311,12 +301,12 @@ def q_income_bands(spark, sf_dir):
 
 @query("favourite_category")
 def q_favourite_category(spark, sf_dir):
-    return signals.favourite_category(Lake(spark, sf_dir).facts())
+    return signals.favourite_category(Lake(spark, sf_dir).txn())
 
 
 @query("avg_monthly_spend")
 def q_avg_monthly_spend(spark, sf_dir):
-    return signals.average_monthly_spend(Lake(spark, sf_dir).facts())
+    return signals.average_monthly_spend(Lake(spark, sf_dir).txn())
 
 
 @query("merchant_categories")
@@ -330,10 +320,56 @@ def q_merchant_categories(spark, sf_dir):
 def q_reference_merchant_lookup(spark, sf_dir):
     txn = Lake(spark, sf_dir).txn()
     dim = signals.reference_merchants(spark).withColumnRenamed("display_name", "merchant_name")
-    assigned = signals.assign_categories(txn, dim, small=True)
+    assigned = signals.assign_categories(txn, dim)
     return assigned.groupBy("assigned_category").agg(F.count(F.lit(1)).alias("transactions"))
 
 
+# ------------------------------------------------------------------ rules on input that triggers them
+
+@query("messy_clean")
+def q_messy_clean(spark, sf_dir):
+    return curate.clean_transactions(messy.messy_ledger(DriverTables(spark, sf_dir)), stamp=False)
+
+
+@query("messy_dedup")
+def q_messy_dedup(spark, sf_dir):
+    return curate.dedup_transactions(messy.messy_ledger(DriverTables(spark, sf_dir))).select(*contracts.LEDGER_COLUMNS)
+
+
+@query("messy_quarantine")
+def q_messy_quarantine(spark, sf_dir):
+    rows = curate.quarantined_transactions(messy.messy_ledger(DriverTables(spark, sf_dir)))
+    return rows.select("transaction_id", "amount", "transaction_date", "reason")
+
+
+@query("messy_null_flags")
+def q_messy_null_flags(spark, sf_dir):
+    flagged = curate.flag_nulls(messy.messy_ledger(DriverTables(spark, sf_dir)), contracts.LEDGER_COLUMNS)
+    return flagged.select("transaction_id", F.array_join("_null_flags", ",").alias("null_fields"))
+
+
+@query("messy_customers")
+def q_messy_customers(spark, sf_dir):
+    return curate.clean_customers(messy.messy_customers(DriverTables(spark, sf_dir)), stamp=False)
+
+
+@query("tied_top_category")
+def q_tied_top_category(spark, sf_dir):
+    return marts.top_category(messy.tied(Lake(spark, sf_dir).txn()), "all")
+
+
+@query("tied_monthly_summary")
+def q_tied_monthly_summary(spark, sf_dir):
+    return marts.monthly_summary(messy.tied(Lake(spark, sf_dir).txn()), ties="all")
+
+
+@query("catalogue_lookup")
+def q_catalogue_lookup(spark, sf_dir):
+    txn = messy.catalogue_named(Lake(spark, sf_dir).txn())
+    dim = signals.reference_merchants(spark).withColumnRenamed("display_name", "merchant_name")
+    return signals.assign_categories(txn, dim).select("transaction_id", "merchant_name", "assigned_category")
+
+
 # ------------------------------------------------------------------ storage (S1-S12) and streaming
 
 LEDGER_SOURCE = "lineitem+orders+part+supplier"
@@ -343,29 +379,34 @@ EVENT_SOURCE = "events"
 @query("bronze_roundtrip")
 def q_bronze_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "bronze")
-    landing.land(_layers(spark, sf_dir).tables.raw_ledger(), path, "b1", LEDGER_SOURCE)
+    landing.land(Layers(spark, sf_dir).tables.raw_ledger(), path, "b1", LEDGER_SOURCE)
     back = landing.read_bronze(spark, path)
     return back.select(*contracts.LEDGER_COLUMNS, "_source_file", "_batch_id")
 
 
-def _replayed(spark, sf_dir) -> DataFrame:
-    t = _layers(spark, sf_dir).tables
-    path = scratch_path(spark, "bronze")
-    landing.land(t.raw_ledger(), path, "b1", LEDGER_SOURCE)
-    landing.land(t.raw_event_ledger(), path, "b2", EVENT_SOURCE)
-    landing.land(t.raw_ledger(), path, "b1", LEDGER_SOURCE)   # replay: replaces b1, adds nothing
-    return landing.read_bronze(spark, path)
-
-
 @query("batch_replay")
 def q_batch_replay(spark, sf_dir):
-    return _replayed(spark, sf_dir).select("transaction_id", "customer_id", "amount", "_batch_id")
+    """b1 is landed, then corrected by a replay; b2 is landed and emptied by a replay; b10 stays."""
+    raw = Lake(spark, sf_dir).txn().select(*contracts.LEDGER_COLUMNS)
+    path = scratch_path(spark, "bronze")
+    landing.land(raw, path, "b1", LEDGER_SOURCE)
+    landing.land(raw, path, "b2", LEDGER_SOURCE)
+    landing.land(Layers(spark, sf_dir).tables.raw_event_ledger(), path, "b10", EVENT_SOURCE)
+    landing.land(raw.withColumn("amount", (F.col("amount") + 1).cast(contracts.MONEY)), path, "b1", LEDGER_SOURCE)
+    landing.land(raw.limit(0), path, "b2", LEDGER_SOURCE)
+    return landing.read_bronze(spark, path).select("transaction_id", "customer_id", "amount", "_batch_id")
 
 
 @query("as_of_batch")
 def q_as_of_batch(spark, sf_dir):
-    return landing.as_of(_replayed(spark, sf_dir), "b1").select("transaction_id", "customer_id", "amount",
-                                                               "_batch_id")
+    """Landed in the order 007, b10, b2: as of b10 the first two are there, whatever their ids' order."""
+    raw = Lake(spark, sf_dir).txn().select(*contracts.LEDGER_COLUMNS)
+    path = scratch_path(spark, "bronze")
+    landing.land(raw, path, "007", LEDGER_SOURCE)
+    landing.land(Layers(spark, sf_dir).tables.raw_event_ledger(), path, "b10", EVENT_SOURCE)
+    landing.land(raw, path, "b2", LEDGER_SOURCE)
+    return landing.as_of(landing.read_bronze(spark, path), "b10").select(
+        "transaction_id", "customer_id", "amount", "_batch_id")
 
 
 PRUNED_PERIOD = tables.last_months((1998, 12), 3)
@@ -382,20 +423,21 @@ def q_pruned_read(spark, sf_dir):
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    raw = _layers(spark, sf_dir).tables.raw_ledger()
-    tables.export_csv(raw.withColumn("transaction_date", F.col("transaction_date").cast("timestamp")), path)
-    back = landing.read_csv(spark, path, contracts.RAW_TRANSACTIONS)
-    good, _bad = landing.quarantine_corrupt(back)
-    return good.select(*[c for c in contracts.LEDGER_COLUMNS if c != "transaction_date"],
-                       F.col("transaction_date").cast("timestamp_ntz").alias("transaction_date"))
+    tables.export_csv(Layers(spark, sf_dir).tables.raw_ledger(), path)
+    schema = StructType([f for f in contracts.RAW_TRANSACTIONS.fields if f.name in contracts.LEDGER_COLUMNS])
+    good, _bad = landing.quarantine_corrupt(landing.read_csv(spark, path, schema))
+    return good.select(*[c for c in contracts.LEDGER_COLUMNS if c != "amount"],
+                       F.col("amount").cast(contracts.MONEY).alias("amount"))
 
 
 @query("stream_landing")
 def q_stream_landing(spark, sf_dir):
-    raw = _layers(spark, sf_dir).tables.raw_ledger()
-    landing_dir = scratch_path(spark, "landing")
-    raw.write.mode("overwrite").parquet(landing_dir)
-    bronze = scratch_path(spark, "bronze")
-    land_stream(spark, landing_dir, raw.schema, bronze, scratch_path(spark, "stream-checkpoint"),
-                max_files_per_trigger=4)
+    """Two feeds, each with its own checkpoint, into one table; the first is run again without new files."""
+    layers, bronze = Layers(spark, sf_dir), scratch_path(spark, "bronze")
+    feeds = [(layers.tables.raw_ledger(), scratch_path(spark, "feed-a"), scratch_path(spark, "stream-a")),
+             (layers.tables.raw_event_ledger(), scratch_path(spark, "feed-b"), scratch_path(spark, "stream-b"))]
+    for rows, files, checkpoint in [*feeds, (None, *feeds[0][1:])]:
+        if rows is not None:
+            rows.withColumn("customer_id", F.col("customer_id").cast("long")).write.parquet(files)
+        land_stream(spark, files, spark.read.parquet(files).schema, bronze, checkpoint, max_files_per_trigger=4)
     return landing.read_bronze(spark, bronze).select(*contracts.LEDGER_COLUMNS)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.calendar import period_label
 from ledgerloom.functions.numeric import half_up, half_up_quotient, int_div
 
-MONEY_SUM = "decimal(28,2)"
+MONEY_SUM = "decimal(32,4)"
 MILLION = 1_000_000
 
 
@@ -24,7 +24,7 @@ def spend_by_segment(profile: DataFrame, months: int | None = 24) -> DataFrame:
 
     The reference divides by a hard-coded 24, its data window.  ``months=None``
     takes the window from the data instead: first to last month with debits over
-    all customers, from a profile built with ``activity=True``.  That global
+    all customers, from a profile built with ``with_activity=True``.  That global
     span is a window over the per-segment rows (one per segment), so it costs
     neither a join nor another pass.
     """
@@ -71,7 +71,7 @@ def monthly_volume(txn: DataFrame) -> DataFrame:
     """K8: transactions of every type per month: count and volume in millions
     (2 dp), with a ``yyyy-MM`` label; in calendar order."""
     return (txn.groupBy("txn_year", "txn_month")
-            .agg(F.count("transaction_id").alias("txn_count"),
+            .agg(F.count(F.lit(1)).alias("txn_count"),
                  half_up_quotient(F.sum("amount"), F.lit(MILLION), 2).alias("total_volume_millions"))
             .withColumn("period", period_label("txn_year", "txn_month"))
             .orderBy("txn_year", "txn_month"))

@@ -2,84 +2,38 @@
 
 The layered design reads each layer from the table below it, never from the
 raw files: Gold is built from the Silver table, reports read Gold (SURVEY 3.3,
-7.5).  ``Lake`` builds those tables on first use under the shared folder
-(``spark.checkpoint.dir``) and serves them afterwards:
-
-* the location is keyed by a fingerprint of the input files (path, length,
-  modification time) and of this library's source, so a changed input or a
-  changed rule gets fresh tables, never stale ones;
-* a table counts as present only when its ``_SUCCESS`` marker is -- a build
-  cut short by a lost executor or driver is simply rebuilt;
-* written tables cut the lineage: a lost executor later costs a re-read of a
-  file, not a recomputation from the raw tables.
+7.5).  ``Lake`` writes those tables on first use with plain overwrites into a
+scratch folder of the application and remembers where; they belong to the state
+of the input files (path, length, modification time) as they are listed when the
+``Lake`` is made, so changed input means new tables.
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.operators import curate, marts
-from ledgerloom.session import shared_dir
+from ledgerloom.session import scratch_path
 from ledgerloom.sources import tables
 from ledgerloom.sources.bindings import DriverTables
 
 LEDGER_INPUTS = ["lineitem", "orders", "part", "supplier", "customer", "nation", "region"]
-#: Session setting naming the folder lakes live in (default: the shared folder).
-LAKE_DIR_CONF = "spark.ledgerloom.lakeDir"
-_PACKAGE_DIR = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+#: (application, input state, table) -> where it was written.
+_WRITTEN: dict[tuple, str] = {}
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop_fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def _source_digest() -> str:
-    h = hashlib.sha1()
-    for root, _dirs, files in sorted(os.walk(_PACKAGE_DIR)):
-        for name in sorted(files):
-            if name.endswith(".py"):
-                with open(os.path.join(root, name), "rb") as fh:
-                    h.update(name.encode())
-                    h.update(fh.read())
-    return h.hexdigest()
-
-
-_FINGERPRINTS: dict[tuple[str, str, tuple[str, ...]], str] = {}
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
-def fingerprint(spark: SparkSession, sf_dir: str, inputs: list[str] = LEDGER_INPUTS) -> str:
-    """Stable id of (input files, library source).
-
-    The input listing runs once per application and directory (a large table
-    has many files; listing them on every query would cost the driver more
-    than the query)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(inputs))
-    if key not in _FINGERPRINTS:
-        _FINGERPRINTS[key] = _fingerprint(spark, sf_dir, inputs)
-    return _FINGERPRINTS[key]
-
-
-def _fingerprint(spark: SparkSession, sf_dir: str, inputs: list[str]) -> str:
-    h = hashlib.sha1(_source_digest().encode())
+def input_state(spark: SparkSession, sf_dir: str, inputs: list[str]) -> tuple:
+    """Every data file of the inputs, with its length and modification time."""
+    jvm, files = spark.sparkContext._jvm, []
     for name in inputs:
-        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        fs, p = _hadoop_fs(spark, path)
-        for status in fs.listStatus(p):
-            h.update(f"{status.getPath()}|{status.getLen()}|{status.getModificationTime()}".encode())
-    return h.hexdigest()[:16]
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        listed = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+        while listed.hasNext():
+            status = listed.next()
+            files.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(files))
 
 
 class Lake:
@@ -87,78 +41,47 @@ class Lake:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.sf_dir = sf_dir.rstrip("/")
         self.raw = DriverTables(spark, sf_dir)
-        base = spark.conf.get(LAKE_DIR_CONF, None) or shared_dir(spark)
-        self.root = f"{base.rstrip('/')}/lake-{fingerprint(spark, sf_dir)}"
-
-    def _table(self, rel: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
-        path = f"{self.root}/{rel}"
-        key = (self.spark.sparkContext.applicationId, path)
-        if key not in _READS:
-            if not path_exists(self.spark, f"{path}/_SUCCESS"):
-                path = self._build(path, build, partition_by)
-            # A lake table never changes under its fingerprint, so the frame --
-            # with its file listing and schema -- is reused by later queries.
-            _READS[key] = self.spark.read.parquet(path)
-        return _READS[key]
-
-    def _build(self, path: str, build: Callable[[], DataFrame], partition_by: list[str] | None) -> str:
-        """Write the table beside its final place, then rename it in (atomic on
-        HDFS and local disks): a concurrent reader or builder never sees half a
-        table.  A leftover without ``_SUCCESS`` is overwritten in place."""
-        if path_exists(self.spark, path):
+        self.state = (spark.sparkContext.applicationId, input_state(spark, self.raw.sf_dir, LEDGER_INPUTS))
+
+    def _path(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> str:
+        key = (*self.state, name)
+        if key not in _WRITTEN:
+            path = scratch_path(self.spark, name)
             tables.write_table(build(), path, partition_by=partition_by)
-            return path
-        staging = f"{path}.staging-{uuid.uuid4().hex[:12]}"
-        tables.write_table(build(), staging, partition_by=partition_by)
-        fs, final = _hadoop_fs(self.spark, path)
-        jvm = self.spark.sparkContext._jvm
-        fs.mkdirs(final.getParent())
-        if fs.rename(jvm.org.apache.hadoop.fs.Path(staging), final):
-            return path
-        # Another builder got there first: use its table if complete, else ours.
-        return path if path_exists(self.spark, f"{path}/_SUCCESS") else staging
+            _WRITTEN[key] = path
+        return _WRITTEN[key]
 
     # ---------------------------------------------------------------- Silver
-    def silver_transactions(self) -> DataFrame:
-        return self._table("silver/transactions",
-                           lambda: curate.clean_transactions(self.raw.raw_ledger()),
-                           partition_by=["txn_year", "txn_month"])
-
     def silver_transactions_path(self) -> str:
-        self.silver_transactions()
-        return f"{self.root}/silver/transactions"
+        return self._path("silver-transactions", lambda: curate.clean_transactions(self.raw.unique_ledger(), dedup=False),
+                          partition_by=["txn_year", "txn_month"])
 
     def silver_customers(self) -> DataFrame:
-        return self._table("silver/customers", lambda: curate.clean_customers(self.raw.raw_customers()))
+        return tables.read_table(self.spark, self._path(
+            "silver-customers", lambda: curate.clean_customers(self.raw.raw_customers())))
 
     def txn(self) -> DataFrame:
         """Silver transactions without the processing stamp."""
-        return self.silver_transactions().drop("_silver_processed_at")
+        return tables.read_table(self.spark, self.silver_transactions_path()).drop("_silver_processed_at")
 
     def customers(self) -> DataFrame:
         return self.silver_customers().drop("_silver_processed_at")
 
-    def facts(self) -> DataFrame:
-        return marts.spend_facts(self.txn())
-
     # ---------------------------------------------------------------- Gold
-    def monthly_summary(self) -> DataFrame:
-        return self._table("gold/customer_monthly_summary",
-                           lambda: marts.monthly_summary(self.facts(), stamp=True),
-                           partition_by=["txn_year", "txn_month"]).drop("_gold_processed_at")
+    def monthly_summary(self, ties: str = "one") -> DataFrame:
+        path = self._path(f"gold-customer-monthly-summary-{ties}",
+                          lambda: marts.monthly_summary(self.txn(), ties, stamp=True),
+                          partition_by=["txn_year", "txn_month"])
+        return tables.read_table(self.spark, path).drop("_gold_processed_at")
 
     def customer_profile(self) -> DataFrame:
         """Gold profile, with the activity columns (months with debits, first and last)."""
-        return self._table("gold/customer_profile",
-                           lambda: marts.customer_profile(self.silver_customers(), self.facts(), stamp=True,
-                                                          activity=True)
-                           ).drop("_gold_processed_at", "_silver_processed_at")
+        path = self._path("gold-customer-profile", lambda: marts.customer_profile(
+            self.silver_customers(), self.txn(), self.monthly_summary(), stamp=True, with_activity=True))
+        return tables.read_table(self.spark, path).drop("_gold_processed_at", "_silver_processed_at")
 
     def build(self) -> None:
         """Materialise every layer now (a pipeline run)."""
-        self.silver_transactions()
         self.silver_customers()
-        self.monthly_summary()
         self.customer_profile()

@@ -14,9 +14,9 @@ by counts.
 from __future__ import annotations
 
 
-def ratio(a: str, b: str, scale: int, unit: int = 100) -> str:
+def ratio(a: str, b: str, scale: int, unit: int = 10000) -> str:
     """Exact HALF_UP rounding of ``a / b`` to ``scale`` decimals, as DOUBLE (NULL if b = 0).
-    ``unit`` turns the decimal operands into integers (100 for money)."""
+    ``unit`` turns the decimal operands into integers (10,000 for money)."""
     k = 10 ** scale
     ai = f"abs(CAST(({a}) * {unit} AS HUGEINT))"
     bi = f"abs(CAST(({b}) * {unit} AS HUGEINT))"
@@ -41,7 +41,7 @@ raw_ledger AS (
   SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS transaction_id,
          o.o_custkey AS customer_id,
          o.o_orderdate AS transaction_date,
-         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount,
+         CAST(l.l_extendedprice AS DECIMAL(22,4)) AS amount,
          CASE WHEN l.l_returnflag = 'R' THEN 'CREDIT' ELSE 'DEBIT' END AS transaction_type,
          s.s_name AS merchant_name,
          p.p_type AS merchant_category,
@@ -51,31 +51,49 @@ raw_ledger AS (
   LEFT JOIN part p ON l.l_partkey = p.p_partkey
   LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey)"""
 
+#: One line per (order, line number): a positive amount first, then the smallest values.
+UNIQUE_LINES = """
+lines AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY CASE WHEN TRY_CAST(l_extendedprice AS DECIMAL(22,4)) > 0 THEN 0 ELSE 1 END,
+                 TRY_CAST(l_extendedprice AS DECIMAL(22,4)) ASC NULLS LAST, l_suppkey ASC NULLS LAST,
+                 l_partkey ASC NULLS LAST, l_returnflag ASC NULLS LAST) AS rn
+    FROM lineitem) x
+  WHERE rn = 1)"""
+UNIQUE_LEDGER = UNIQUE_LINES + "," + RAW_LEDGER.replace("FROM lineitem l", "FROM lines l")
+
 RAW_EVENTS = """
 raw_ledger AS (
   SELECT CAST(event_id AS VARCHAR) AS transaction_id,
          user_id AS customer_id,
          ts AS transaction_date,
-         CAST(value AS DECIMAL(18,2)) AS amount,
+         CAST(value AS DECIMAL(22,4)) AS amount,
          CASE WHEN event_type = 'signup' THEN 'CREDIT' ELSE 'DEBIT' END AS transaction_type,
          json_extract_string(props, '$.k') AS merchant_name,
          event_type AS merchant_category,
          (['POS', 'MOBILE', 'ONLINE', 'ATM'])[(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 4) + 1] AS channel
   FROM events)"""
 
+#: A usable copy first, then typed date and amount, then the rest; NULLs last.
 DEDUP = """
 dedup AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY transaction_id
-        ORDER BY transaction_date ASC NULLS FIRST, amount ASC NULLS FIRST, merchant_name ASC NULLS FIRST,
-                 merchant_category ASC NULLS FIRST, transaction_type ASC NULLS FIRST, channel ASC NULLS FIRST,
-                 customer_id ASC NULLS FIRST) AS rn
+        ORDER BY CASE WHEN TRY_CAST(amount AS DECIMAL(22,4)) > 0 AND TRY_CAST(transaction_date AS TIMESTAMP) IS NOT NULL
+                           AND customer_id IS NOT NULL THEN 0 ELSE 1 END,
+                 TRY_CAST(transaction_date AS TIMESTAMP) ASC NULLS LAST, TRY_CAST(amount AS DECIMAL(22,4)) ASC NULLS LAST,
+                 merchant_name ASC NULLS LAST, merchant_category ASC NULLS LAST, transaction_type ASC NULLS LAST,
+                 channel ASC NULLS LAST, customer_id ASC NULLS LAST, amount ASC NULLS LAST) AS rn
     FROM raw_ledger WHERE transaction_id IS NOT NULL) d
   WHERE rn = 1)"""
+UNIQUE_DEDUP = """
+dedup AS (SELECT * FROM raw_ledger WHERE transaction_id IS NOT NULL)"""
 
 STANDARD = """
 standard AS (
-  SELECT transaction_id, customer_id, transaction_date, amount,
+  SELECT transaction_id, customer_id, TRY_CAST(transaction_date AS TIMESTAMP) AS transaction_date,
+         TRY_CAST(amount AS DECIMAL(22,4)) AS amount,
          upper(trim(transaction_type)) AS transaction_type,
          upper(trim(merchant_name)) AS merchant_name,
          lower(trim(merchant_category)) AS merchant_category,
@@ -112,13 +130,15 @@ customers_silver AS (
   SELECT customer_id, lower(trim(segment)) AS segment, {initcap('trim(province)')} AS province,
          CAST(monthly_income AS DOUBLE) AS monthly_income
   FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
-               ORDER BY segment ASC NULLS FIRST, province ASC NULLS FIRST, monthly_income ASC NULLS FIRST) AS rn
+               ORDER BY CASE WHEN monthly_income > 0 THEN 0 ELSE 1 END, segment ASC NULLS LAST,
+                        province ASC NULLS LAST, monthly_income ASC NULLS LAST) AS rn
         FROM raw_customers WHERE customer_id IS NOT NULL) c
   WHERE rn = 1 AND monthly_income > 0)"""
 
 
 def silver_ctes(events: bool = False) -> str:
-    return ",".join([RAW_EVENTS if events else RAW_LEDGER, DEDUP, STANDARD, CALENDAR, SILVER])
+    raw = [RAW_EVENTS, DEDUP] if events else [UNIQUE_LEDGER, UNIQUE_DEDUP]
+    return ",".join([*raw, STANDARD, CALENDAR, SILVER])
 
 
 def monthly_ctes(ties: str = "one") -> str:
@@ -228,6 +248,13 @@ def _profile(body: str, ties: str = "one") -> str:
     return with_ctes(silver_ctes(), CUSTOMERS, monthly_ctes(ties), PROFILE_CTES, _profile_body(ties), body=body)
 
 
+QUARANTINE = """
+SELECT * FROM (
+  SELECT *, CASE WHEN TRY_CAST(amount AS DOUBLE) > 0 AND NOT coalesce(TRY_CAST(amount AS DECIMAL(22,4)) > 0, false) THEN 'amount'
+                 WHEN TRY_CAST(amount AS DECIMAL(22,4)) > 0 AND TRY_CAST(transaction_date AS TIMESTAMP) IS NULL THEN 'date' END AS reason
+  FROM dedup WHERE customer_id IS NOT NULL) r
+WHERE reason IS NOT NULL"""
+
 MONTH_IDX = "(txn_year * 12 + txn_month - 1)"
 
 ORACLE.update({
@@ -244,8 +271,7 @@ WHERE amount > 0 AND transaction_id IS NOT NULL AND customer_id IS NOT NULL AND
     "clean_transactions": _silver("SELECT * FROM silver"),
     "clean_events": _silver("SELECT * FROM silver", events=True),
     "clean_customers": with_ctes(CUSTOMERS, body="SELECT * FROM customers_silver"),
-    "quarantined_transactions": _silver("SELECT * FROM standard WHERE amount > 0 AND customer_id IS NOT NULL "
-                                        "AND transaction_date IS NULL"),
+    "quarantined_transactions": _silver(f"SELECT * FROM ({QUARANTINE}) q"),
     "null_flags": _silver("SELECT transaction_id, CAST(" + " + ".join(
         f"CAST({c} IS NULL AS INTEGER)" for c in
         ["transaction_id", "customer_id", "transaction_date", "amount", "transaction_type", "merchant_name",
@@ -276,7 +302,7 @@ WHERE amount > 0 AND transaction_id IS NOT NULL AND customer_id IS NOT NULL AND
     # ---------------- insights
     "spend_by_segment": _profile(f"""
 SELECT segment,
-       {ratio('SUM(CAST(lifetime_spend AS DECIMAL(28,2)))',
+       {ratio('SUM(CAST(lifetime_spend AS DECIMAL(32,4)))',
               'COUNT(lifetime_spend) * (SELECT max(' + MONTH_IDX + ') - min(' + MONTH_IDX + ') + 1 FROM silver '
               "WHERE transaction_type = 'DEBIT')", 2)} AS avg_monthly_spend,
        COUNT(customer_id) AS customer_count
@@ -287,11 +313,11 @@ SELECT province, {half_up('AVG(avg_stress_ratio) * 100.0', 1)} AS avg_stress_pct
        COUNT(customer_id) AS total_customers
 FROM profile GROUP BY province"""),
     "category_totals": _silver(f"""
-SELECT merchant_category, {ratio('SUM(amount)', '1000000', 2)} AS total_spend_millions
+SELECT merchant_category, {ratio('SUM(amount)', 'CAST(1000000 AS HUGEINT)', 2)} AS total_spend_millions
 FROM silver WHERE transaction_type = 'DEBIT' GROUP BY merchant_category"""),
     "monthly_volume": _silver(f"""
 SELECT txn_year, txn_month, COUNT(transaction_id) AS txn_count,
-       {ratio('SUM(amount)', '1000000', 2)} AS total_volume_millions,
+       {ratio('SUM(amount)', 'CAST(1000000 AS HUGEINT)', 2)} AS total_volume_millions,
        printf('%04d-%02d', txn_year, txn_month) AS period
 FROM silver GROUP BY txn_year, txn_month"""),
     "stress_report": _profile("""
@@ -367,8 +393,8 @@ FROM (
   SELECT *, SUM(share_units) OVER w AS t_sum, COUNT(share_units) OVER w AS t_n
   FROM (
     SELECT merchant_category, txn_year, txn_month, {MONTH_IDX} AS idx,
-           (CAST(cat * 100 AS HUGEINT) * 20000 + CAST(total * 100 AS HUGEINT))
-             // (CAST(total * 100 AS HUGEINT) * 2) AS share_units
+           (CAST(cat * 10000 AS HUGEINT) * 20000 + CAST(total * 10000 AS HUGEINT))
+             // (CAST(total * 10000 AS HUGEINT) * 2) AS share_units
     FROM (SELECT *, SUM(cat) OVER (PARTITION BY txn_year, txn_month) AS total
           FROM (SELECT txn_year, txn_month, merchant_category, SUM(amount) AS cat FROM silver
                 WHERE transaction_type = 'DEBIT' GROUP BY txn_year, txn_month, merchant_category) c) t) s
@@ -401,28 +427,94 @@ FROM silver s LEFT JOIN (
     # ---------------- storage and streaming
     "bronze_roundtrip": with_ctes(RAW_LEDGER, body="SELECT *, 'lineitem+orders+part+supplier' AS _source_file, "
                                                    "'b1' AS _batch_id FROM raw_ledger"),
-    "batch_replay": with_ctes(_raw_named("raw_a", False), _raw_named("raw_b", True), body="""
-SELECT transaction_id, customer_id, amount, 'b1' AS _batch_id FROM raw_a
-UNION ALL SELECT transaction_id, customer_id, amount, 'b2' AS _batch_id FROM raw_b"""),
-    "as_of_batch": with_ctes(RAW_LEDGER, body="SELECT transaction_id, customer_id, amount, 'b1' AS _batch_id "
-                                              "FROM raw_ledger"),
+    "batch_replay": with_ctes(silver_ctes(), _raw_named("raw_b", True), body="""
+SELECT transaction_id, customer_id, CAST(amount + 1 AS DECIMAL(22,4)) AS amount, 'b1' AS _batch_id FROM silver
+UNION ALL SELECT transaction_id, customer_id, amount, 'b10' AS _batch_id FROM raw_b"""),
+    "as_of_batch": with_ctes(silver_ctes(), _raw_named("raw_b", True), body="""
+SELECT transaction_id, customer_id, amount, '007' AS _batch_id FROM silver
+UNION ALL SELECT transaction_id, customer_id, amount, 'b10' AS _batch_id FROM raw_b"""),
     "pruned_read": _silver("SELECT transaction_id, customer_id, amount, txn_year, txn_month, txn_day FROM silver "
                            "WHERE txn_year * 12 + txn_month BETWEEN 1998 * 12 + 10 AND 1998 * 12 + 12"),
     "csv_roundtrip": with_ctes(RAW_LEDGER, body="""
 SELECT transaction_id, CAST(customer_id AS VARCHAR) AS customer_id, amount, transaction_type, merchant_name,
        merchant_category, channel, transaction_date FROM raw_ledger"""),
-    "stream_landing": with_ctes(RAW_LEDGER, body="SELECT * FROM raw_ledger"),
+    "stream_landing": with_ctes(_raw_named("raw_a", False), _raw_named("raw_b", True),
+                                body="SELECT * FROM raw_a UNION ALL SELECT * FROM raw_b"),
 })
 
 
-def _reference_lookup_sql() -> str:
-    from ledgerloom.operators.signals import REFERENCE_MERCHANTS
-    values = ", ".join("('{}', '{}')".format(cat, name.replace("'", "''")) for cat, name, _code in REFERENCE_MERCHANTS)
-    return _silver(f"""
+# The merchant catalogue, category and names in order.
+CATALOGUE = {
+    "grocery": ["Shoprite", "Checkers", "Pick n Pay", "Woolworths Food", "Spar", "Boxer"],
+    "fuel": ["Engen", "Shell", "BP", "Sasol", "Total"],
+    "telecoms": ["Vodacom Airtime", "MTN Airtime", "Cell C Airtime", "Telkom Mobile", "Vodacom Data", "MTN Data"],
+    "streaming": ["Netflix", "DStv", "Showmax", "Spotify"],
+    "banking_fees": ["Monthly Account Fee", "ATM Withdrawal Fee", "Transaction Fee"],
+    "fast_food": ["KFC", "Nandos", "McDonald's", "Steers", "Chicken Licken"],
+    "pharmacy": ["Clicks", "Dis-Chem", "Alpha Pharm"],
+    "transport": ["Uber", "Bolt", "Gautrain"],
+    "load_shedding": ["Builders Warehouse", "Makro Generator", "Incredible Connection", "Candles & Lamps"],
+    "insurance": ["Discovery Life", "Old Mutual", "Sanlam"],
+}
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+CATALOGUE_CTE = "catalogue(category, display_name) AS (VALUES " + ", ".join(
+    f"({_text(c)}, {_text(n)})" for c, names in CATALOGUE.items() for n in names) + ")"
+_NAMES = "[" + ", ".join(_text(n) for names in CATALOGUE.values() for n in names) + "]"
+
+ORACLE["reference_merchant_lookup"] = with_ctes(silver_ctes(), CATALOGUE_CTE, body="""
 SELECT COALESCE(d.category, s.merchant_category) AS assigned_category, COUNT(*) AS transactions
-FROM silver s LEFT JOIN (VALUES {values}) d(category, display_name)
-  ON upper(trim(s.merchant_name)) = upper(trim(d.display_name))
+FROM silver s LEFT JOIN catalogue d ON upper(trim(s.merchant_name)) = upper(trim(d.display_name))
 GROUP BY 1""")
+ORACLE["catalogue_lookup"] = with_ctes(silver_ctes(), CATALOGUE_CTE, body=f"""
+SELECT s.transaction_id, s.merchant_name, COALESCE(d.category, s.merchant_category) AS assigned_category
+FROM (SELECT * REPLACE (COALESCE({_NAMES}[CAST(regexp_extract(merchant_name, '([0-9]+)$', 1) AS BIGINT) % 43 + 1], merchant_name)
+                        AS merchant_name) FROM silver) s
+LEFT JOIN catalogue d ON upper(trim(s.merchant_name)) = upper(trim(d.display_name))""")
+
+# ---------------------------------------------------------------------------- input with faults
+
+MESSY = UNIQUE_LINES + "," + RAW_LEDGER.replace("FROM lineitem l", "FROM lines l").replace("raw_ledger AS (", "clean_ledger AS (", 1) + """,
+keyed AS (SELECT *, CAST(split_part(transaction_id, '-', 1) AS BIGINT) AS k FROM clean_ledger),
+faulty AS (
+  SELECT transaction_id, CASE WHEN k % 29 <> 2 THEN CAST(customer_id AS VARCHAR) END AS customer_id,
+         CASE WHEN k % 29 <> 1 THEN strftime(transaction_date, '%Y-%m-%d %H:%M:%S') END AS transaction_date,
+         CASE k % 23 WHEN 1 THEN '100000000000000000' WHEN 2 THEN '0.004' WHEN 3 THEN '0.00001' WHEN 4 THEN '5000000000000000000'
+              WHEN 5 THEN 'n/a' WHEN 6 THEN '-3.50' WHEN 7 THEN '' ELSE CAST(amount AS VARCHAR) END AS amount,
+         ' ' || lower(transaction_type) AS transaction_type, lower(merchant_name) || '  ' AS merchant_name,
+         upper(merchant_category) AS merchant_category, CASE WHEN k % 29 <> 3 THEN channel END AS channel, k
+  FROM keyed),
+raw_ledger AS (
+  SELECT * EXCLUDE (k) FROM faulty
+  UNION ALL SELECT * EXCLUDE (k) REPLACE (CAST(NULL AS VARCHAR) AS transaction_date) FROM faulty WHERE k % 3 = 0
+  UNION ALL SELECT * EXCLUDE (k) REPLACE ('?' AS amount) FROM faulty WHERE k % 3 = 1)"""
+
+MESSY_CUSTOMERS = CUSTOMERS.replace("customers_silver AS (", """messy_rows AS (
+  SELECT * FROM raw_customers
+  UNION ALL SELECT * REPLACE ('AAA' AS segment, CAST(NULL AS DOUBLE) AS monthly_income) FROM raw_customers WHERE customer_id % 2 = 0
+  UNION ALL SELECT * REPLACE ('ZZZ' AS segment) FROM raw_customers WHERE customer_id % 2 = 0),
+customers_silver AS (""", 1).replace("FROM raw_customers WHERE customer_id IS NOT NULL", "FROM messy_rows WHERE customer_id IS NOT NULL")
+
 
+def _tied(body: str) -> str:
+    silver = silver_ctes().replace("silver AS (", "untied AS (")
+    tied = "silver AS (SELECT * REPLACE (CAST(1 AS DECIMAL(22,4)) AS amount, split_part(merchant_category, ' ', 1) AS merchant_category) FROM untied)"
+    return with_ctes(silver, tied, monthly_ctes("all"), body=body)
 
-ORACLE["reference_merchant_lookup"] = _reference_lookup_sql()
+
+ORACLE.update({
+    "messy_dedup": with_ctes(MESSY, DEDUP, body="SELECT * FROM dedup"),
+    "messy_clean": with_ctes(MESSY, DEDUP, STANDARD, CALENDAR, SILVER, body="SELECT * FROM silver"),
+    "messy_quarantine": with_ctes(MESSY, DEDUP, body=f"SELECT transaction_id, amount, transaction_date, reason FROM ({QUARANTINE}) q"),
+    "messy_null_flags": with_ctes(MESSY, body="SELECT transaction_id, concat_ws(',', " + ", ".join(
+        f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in
+        ["transaction_id", "customer_id", "transaction_date", "amount", "transaction_type", "merchant_name",
+         "merchant_category", "channel"]) + ") AS null_fields FROM raw_ledger"),
+    "messy_customers": with_ctes(MESSY_CUSTOMERS, body="SELECT * FROM customers_silver"),
+    "tied_top_category": _tied("SELECT * FROM m_top"),
+    "tied_monthly_summary": _tied("SELECT * FROM monthly"),
+})

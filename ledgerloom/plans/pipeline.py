@@ -1,9 +1,9 @@
 """The layered pipeline as jobs: land -> Silver -> Gold tables on Parquet.
 
 Each step writes a table and returns its observed row count.  Gold reads the
-Silver table (not the raw files), and the profile is built from the same spend
-facts as the monthly summary, which are materialised once: on a cluster every
-later step restarts from written tables, not from lineage.
+Silver table (not the raw files), and the profile reads the stored monthly
+summary: on a cluster every later step restarts from written tables, not from
+lineage.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ledgerloom.operators import curate, marts
 from ledgerloom.sources import landing, tables
@@ -29,12 +30,25 @@ def land_raw(df: DataFrame, layout: Layout, name: str, batch_id: str, source: st
     return landing.land(df, layout.path("bronze", name), batch_id, source)
 
 
+def ingest_csv(spark: SparkSession, layout: Layout, name: str, csv_path: str, schema: StructType, batch_id: str) -> dict[str, int]:
+    """S1 + S2 in one call: a CSV path to a Bronze batch.  Lines that break the
+    contract go, with their raw text, to the batch of the same id of ``<name>_corrupt``."""
+    good, bad = landing.quarantine_corrupt(landing.read_csv(spark, csv_path, schema))
+    return {name: landing.land(good, layout.path("bronze", name), batch_id),
+            f"{name}_corrupt": landing.land(bad, layout.path("bronze", f"{name}_corrupt"), batch_id, csv_path)}
+
+
 def build_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
-    txn = curate.clean_transactions(landing.read_bronze(spark, layout.path("bronze", "transactions")))
+    """Silver from all of Bronze: each table is replaced as a whole, so a row that
+    has moved to another month leaves nothing behind.  What Silver can't hold is
+    written next to it with its reason (Q10)."""
+    raw = landing.read_bronze(spark, layout.path("bronze", "transactions"))
     cust = curate.clean_customers(landing.read_bronze(spark, layout.path("bronze", "customers")))
     return {
-        "transactions": tables.write_table(txn, layout.path("silver", "transactions"),
-                                           partition_by=["txn_year", "txn_month"], dynamic=True),
+        "transactions": tables.write_table(curate.clean_transactions(raw), layout.path("silver", "transactions"),
+                                           partition_by=["txn_year", "txn_month"]),
+        "transactions_quarantine": tables.write_table(curate.quarantined_transactions(raw),
+                                                      layout.path("silver", "transactions_quarantine")),
         "customers": tables.write_table(cust, layout.path("silver", "customers")),
     }
 
@@ -42,14 +56,12 @@ def build_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
 def build_gold(spark: SparkSession, layout: Layout, ties: str = "one") -> dict[str, int]:
     txn = tables.read_table(spark, layout.path("silver", "transactions"))
     customers = tables.read_table(spark, layout.path("silver", "customers"))
-    facts_path = layout.path("gold", "_spend_facts")
-    counts = {"_spend_facts": tables.write_table(marts.spend_facts(txn, partition=False), facts_path)}
-    facts = tables.read_table(spark, facts_path).repartition("customer_id")
-    counts["customer_monthly_summary"] = tables.write_table(
-        marts.monthly_summary(facts, ties, stamp=True), layout.path("gold", "customer_monthly_summary"),
-        partition_by=["txn_year", "txn_month"])
+    monthly = layout.path("gold", "customer_monthly_summary")
+    counts = {"customer_monthly_summary": tables.write_table(
+        marts.monthly_summary(txn, ties, stamp=True), monthly, partition_by=["txn_year", "txn_month"])}
     counts["customer_profile"] = tables.write_table(
-        marts.customer_profile(customers, facts, ties, stamp=True), layout.path("gold", "customer_profile"))
+        marts.customer_profile(customers, txn, tables.read_table(spark, monthly), ties, stamp=True),
+        layout.path("gold", "customer_profile"))
     return counts
 
 

@@ -7,7 +7,7 @@ convenience for scripts, tests and the bench.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -24,9 +24,7 @@ def get_spark(app_name: str = "ledgerloom", master: str | None = None,
       timestamps never depends on the machine (SURVEY Q6, oracle facts);
     * AQE on, with partition coalescing and skew-join splitting;
     * ANSI left on (Spark 4 default); operators use ``try_*`` where reference
-      semantics expect NULL instead of an error;
-    * dynamic partition overwrite, so re-landing one batch or one month replaces
-      only that partition (S2, S4).
+      semantics expect NULL instead of an error.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -36,7 +34,6 @@ def get_spark(app_name: str = "ledgerloom", master: str | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -57,45 +54,23 @@ def get_spark(app_name: str = "ledgerloom", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for written tables and checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (which the cluster names).  Only when it
-    is unset in a local session -- tests, a laptop -- a private folder is
-    created and registered, so later calls in the same session reuse it; on a
-    cluster an unset folder is an error, never a machine-local fallback.
+    It is read from ``spark.checkpoint.dir`` (which the cluster names) or the
+    context's checkpoint folder.  Only a session of one process (``local`` or
+    ``local[n]``: tests, a laptop), where no other machine has to read it, gets a
+    folder of its own if neither is set; anywhere else that is an error.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
-            # A driver-local folder is invisible to executors on other machines.
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-        current = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.sparkContext.setCheckpointDir(current)
-        try:
-            spark.conf.set(CHECKPOINT_CONF, current)
-        except Exception:  # noqa: BLE001 - core confs may be read-only at run time
-            pass
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+        current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique table location under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-
-
-def materialize(df):
-    """Compute ``df`` once into the shared folder (a reliable checkpoint) and
-    return a frame over the stored rows: later branches of a plan read the same
-    rows -- including any partition-dependent values -- instead of recomputing
-    them, and the lineage stops here, so a lost executor costs a re-read."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        shared_dir(spark)
-    return df.checkpoint(eager=True)
+    """A fresh, unique table location under the shared folder, deleted when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path

@@ -20,10 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.contracts import MONEY
-
-DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-                 "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+from ledgerloom.functions.casts import MONEY
+from ledgerloom.operators.dedup import keep_first
 
 # The event ledger's channel for JSON ``k`` modulo 4, in this order.
 EVENT_CHANNELS = ["POS", "MOBILE", "ONLINE", "ATM"]
@@ -46,35 +44,25 @@ DRIVER_SCHEMAS = {
 }
 
 
-#: Fact tables (every row becomes a transaction, so per-row work happens on
-#: them) and a high-cardinality column of each to spread rows by.
-FACT_TABLES = {"lineitem": "l_orderkey", "events": "event_id"}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in DRIVER_SCHEMAS:
         reader = reader.schema(DRIVER_SCHEMAS[name])
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, FACT_TABLES[name]) if name in FACT_TABLES else df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Give an under-split scan at least one partition per core.
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag"]
 
-    A Parquet file holding a single row group is read by one task, so every
-    per-row step before the first shuffle (dimension joins, id building, the
-    map-side half of de-duplication) would run on one core.  When the scan
-    yields fewer partitions than the default parallelism, rows are hashed on
-    ``key`` into that many partitions first (hash, not round-robin: no sort
-    is needed to make a retried task produce the same split).  An input split
-    into many files or row groups -- any large input -- already has enough
-    partitions and is returned unchanged, so at scale this adds no shuffle.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key)
+
+def unique_lines(lineitem: DataFrame) -> DataFrame:
+    """D1 on the fact table itself: one line per (order, line number), before any
+    dimension is joined, so only the six columns of the ledger are shuffled and
+    copies never pass through the joins.  Date and customer come from the order
+    and are the same for all copies; a copy with a positive amount wins, then
+    the smallest amount, supplier, part and flag, NULLs last."""
+    money = F.col("l_extendedprice").try_cast(MONEY)
+    return keep_first(lineitem.select(*LINE_COLUMNS), ["l_orderkey", "l_linenumber"],
+                      [~F.coalesce(money > 0, F.lit(False)), money, "l_suppkey", "l_partkey", "l_returnflag"])
 
 
 def ledger_from_tpch(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
@@ -83,12 +71,11 @@ def ledger_from_tpch(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
 
     transaction_id = ``l_orderkey-l_linenumber`` (the tables repeat such pairs, so
     deduplication has real work); customer = order's customer; date = order date;
-    amount = extended price as decimal(18,2); CREDIT for returned lines, DEBIT
+    amount = extended price as money; CREDIT for returned lines, DEBIT
     otherwise; merchant = supplier name; category = part type; channel = order
     priority.
     """
-    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                         "l_extendedprice", "l_returnflag")
+    li = lineitem.select(*LINE_COLUMNS)
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     p = part.select("p_partkey", "p_type")
     s = supplier.select("s_suppkey", "s_name")
@@ -161,6 +148,11 @@ class DriverTables:
         return ledger_from_tpch(self.table("lineitem"), self.table("orders"),
                                 self.table("part"), self.table("supplier"))
 
+    def unique_ledger(self) -> DataFrame:
+        """The raw ledger with one row per transaction id (D1 below the joins)."""
+        return ledger_from_tpch(unique_lines(self.table("lineitem")), self.table("orders"),
+                                self.table("part"), self.table("supplier"))
+
     def raw_customers(self) -> DataFrame:
         return customers_from_tpch(self.table("customer"), self.table("nation"), self.table("region"))
 

@@ -8,11 +8,11 @@ check that fails loudly when a table does not honour it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import (BooleanType, DataType, DateType, DecimalType, DoubleType,
-                               IntegerType, LongType, StringType, StructField, StructType,
-                               TimestampType)
+from pyspark.sql.types import (BooleanType, DataType, DateType, DoubleType, IntegerType, LongType,
+                               StringType, StructField, StructType, TimestampNTZType, TimestampType)
+
+from ledgerloom.functions.casts import MONEY
 
-MONEY = DecimalType(18, 2)
 CORRUPT_RECORD = "_corrupt_record"
 
 #: customers.csv as landed.  ``income_day`` is written as ``25.0`` by the source
@@ -21,7 +21,7 @@ RAW_CUSTOMERS = StructType([
     StructField("customer_id", StringType()),
     StructField("segment", StringType()),
     StructField("province", StringType()),
-    StructField("monthly_income", MONEY),
+    StructField("monthly_income", DoubleType()),
     StructField("income_day", DoubleType()),
     StructField("spending_intensity", StringType()),
     StructField("account_opened", DateType()),
@@ -31,8 +31,8 @@ RAW_CUSTOMERS = StructType([
 RAW_TRANSACTIONS = StructType([
     StructField("transaction_id", StringType()),
     StructField("customer_id", StringType()),
-    StructField("transaction_date", TimestampType()),
-    StructField("amount", MONEY),
+    StructField("transaction_date", TimestampNTZType()),
+    StructField("amount", StringType()),     # typed in Silver, where what money can't hold is quarantined
     StructField("transaction_type", StringType()),
     StructField("merchant_name", StringType()),
     StructField("merchant_category", StringType()),
@@ -44,8 +44,9 @@ RAW_TRANSACTIONS = StructType([
 #: Columns every layer above raw must carry.
 BRONZE_AUDIT = {"_ingested_at": TimestampType(), "_source_file": StringType(), "_batch_id": StringType()}
 
-#: Columns Silver adds to transactions.
-SILVER_TXN_ADDED = {
+#: Columns Silver types or adds on transactions.
+SILVER_TXN = {
+    "transaction_id": None, "customer_id": None, "amount": MONEY, "transaction_date": TimestampNTZType(),
     "txn_year": IntegerType(), "txn_month": IntegerType(), "txn_day": IntegerType(),
     "txn_day_of_week": IntegerType(), "txn_hour": IntegerType(), "is_weekend": BooleanType(),
     "is_month_end": BooleanType(), "is_salary_period": BooleanType(),
@@ -55,7 +56,6 @@ SILVER_TXN_ADDED = {
 #: columns are free: the driver binding uses bigint customer ids).
 LEDGER_COLUMNS = ["transaction_id", "customer_id", "transaction_date", "amount", "transaction_type",
                   "merchant_name", "merchant_category", "channel"]
-CUSTOMER_COLUMNS = ["customer_id", "segment", "province", "monthly_income"]
 
 MONTHLY_SUMMARY = {
     "customer_id": None, "txn_year": IntegerType(), "txn_month": IntegerType(),

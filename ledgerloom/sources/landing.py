@@ -1,23 +1,24 @@
 """Bronze landing.
 
 Raw files are read against a fixed contract (or, on request, with inference),
-stamped with audit columns and appended to a Parquet table partitioned by
-``_batch_id``.  With dynamic partition overwrite a new batch id adds a
-partition, while re-landing the same id replaces it -- so a replayed batch is
-never duplicated, and "time travel" is a partition-pruned filter on the id.
+stamped with audit columns and written as one folder ``_batch_id=<id>`` of a
+Parquet (or other) table.  A new batch id adds a folder; landing the same id
+again replaces that folder and no other, also when the replay has no rows.
 """
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ledgerloom.sources.contracts import CORRUPT_RECORD, BRONZE_AUDIT, require_schema, with_corrupt_column
+from ledgerloom.sources.contracts import BRONZE_AUDIT, CORRUPT_RECORD, require_schema, with_corrupt_column
 
 BATCH_COLUMN = "_batch_id"
+_BATCH_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 
 
 def new_batch_id() -> str:
@@ -45,10 +46,13 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | No
 def with_audit(df: DataFrame, batch_id: str, source: str | None = None) -> DataFrame:
     """``_ingested_at``, ``_source_file``, ``_batch_id``.
 
-    ``_source_file`` is the per-row file path from the scan metadata when the
-    frame comes from files and no explicit ``source`` is given.
+    ``_source_file`` is ``source`` if given, else a column of that name that the
+    frame already has, else the per-row file path from the scan metadata.
     """
-    src = F.lit(source) if source is not None else F.col("_metadata.file_path")
+    if source is not None:
+        src = F.lit(source)
+    else:
+        src = F.col("_source_file" if "_source_file" in df.columns else "_metadata.file_path")
     return df.withColumns({
         "_ingested_at": F.current_timestamp(),
         "_source_file": src,
@@ -57,35 +61,41 @@ def with_audit(df: DataFrame, batch_id: str, source: str | None = None) -> DataF
 
 
 def land(df: DataFrame, bronze_path: str, batch_id: str, source: str | None = None,
-         expected: list[str] | None = None) -> int:
-    """S2 + S7: append one batch to a Bronze table and return its row count.
+         expected: list[str] | None = None, fmt: str = "parquet", partition_by: list[str] | None = None) -> int:
+    """S2 + S7: write one batch of a Bronze table and return its row count.
 
     The count is observed during the write itself (no second pass).  Landing the
-    same ``batch_id`` again replaces that batch only.
+    same ``batch_id`` again replaces that batch only.  ``partition_by`` adds
+    business columns below the batch folder.
     """
+    if not _BATCH_ID.fullmatch(batch_id):
+        raise ValueError(f"a batch id is letters, digits, '.', '_' and '-': {batch_id!r}")
     if expected:
         require_schema(df, expected, "landed batch")
-    audited = with_audit(df, batch_id, source)
     obs = Observation(f"land_{batch_id}")
-    observed = audited.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (observed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COLUMN)
-        .parquet(bronze_path))
+    observed = with_audit(df, batch_id, source).drop(BATCH_COLUMN).observe(obs, F.count(F.lit(1)).alias("rows"))
+    writer = observed.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(f"{bronze_path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
     return int(obs.get["rows"])
 
 
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """The whole Bronze table, audit columns included."""
-    df = spark.read.parquet(bronze_path)
-    # Partition discovery types an all-digit id (the default yyyyMMddHHmmss) as a number.
-    df = df.withColumn(BATCH_COLUMN, F.col(BATCH_COLUMN).cast("string"))
-    return require_schema(df, list(BRONZE_AUDIT), "bronze table")
+def read_bronze(spark: SparkSession, bronze_path: str, fmt: str = "parquet") -> DataFrame:
+    """The whole Bronze table, audit columns included.
+
+    Batch ids are read as the text they are: partition discovery alone would turn 007 into 7.
+    """
+    found = spark.read.format(fmt).load(bronze_path).schema
+    declared = StructType([StructField(BATCH_COLUMN, StringType()) if f.name == BATCH_COLUMN else f for f in found.fields])
+    return require_schema(spark.read.format(fmt).schema(declared).load(bronze_path), list(BRONZE_AUDIT), "bronze table")
 
 
 def as_of(bronze: DataFrame, batch_id: str) -> DataFrame:
-    """The table as it stood after ``batch_id`` (partition-pruned)."""
-    return bronze.filter(F.col(BATCH_COLUMN) <= F.lit(batch_id))
+    """The rows that had been landed when ``batch_id`` was (last) landed, by
+    landing time; ids need no order.  Without rows of that batch: none."""
+    landed = bronze.filter(F.col(BATCH_COLUMN) == F.lit(batch_id)).agg(F.max("_ingested_at").alias("t"))
+    return bronze.filter(F.col("_ingested_at") <= landed.select("t").scalar())
 
 
 def without_batch(bronze: DataFrame, batch_id: str) -> DataFrame:

@@ -15,9 +15,11 @@ from ledgerloom.sources.contracts import require_schema
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                dynamic: bool = False, sort_within: list[str] | None = None) -> int:
+                dynamic: bool = False, sort_within: list[str] | None = None, fmt: str = "parquet") -> int:
     """Overwrite ``path`` and return the number of rows written.
 
+    ``fmt`` is any installed file source (``parquet``, ``orc``, or a table format whose package is there).
+
     ``dynamic=True`` replaces only the partitions present in ``df`` (one month,
     one batch).  ``sort_within`` orders rows inside each file (O5) without a
     global sort.
@@ -30,33 +32,32 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         out = out.hint("rebalance", *partition_by)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
-    # Explicit either way: the session default is dynamic (for batch landing),
-    # and only a static overwrite leaves the table's _SUCCESS marker at its root.
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    # Explicit either way, whatever the session's default.
+    writer = out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.save(path)
     return int(obs.get["rows"])
 
 
-def read_table(spark: SparkSession, path: str, required: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, required: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
     """A layer table by path."""
-    df = spark.read.parquet(path)
+    df = spark.read.format(fmt).load(path)
     return require_schema(df, required, "layer table") if required else df
 
 
 def read_period(spark: SparkSession, path: str, start: tuple[int, int], end: tuple[int, int],
                 year: str = "txn_year", month: str = "txn_month") -> DataFrame:
     """Months ``start..end`` (inclusive, as (year, month)) of a table
-    partitioned by ``year``/``month``; only those directories are listed and read."""
-    df = spark.read.parquet(path)
-    return df.filter(period_filter(start, end, year, month))
+    partitioned by ``year``/``month``; only those directories are read."""
+    return spark.read.parquet(path).filter(period_filter(start, end, year, month))
 
 
 def period_filter(start: tuple[int, int], end: tuple[int, int], year: str = "txn_year",
                   month: str = "txn_month"):
-    idx = F.col(year) * 12 + F.col(month)
-    return idx.between(start[0] * 12 + start[1], end[0] * 12 + end[1])
+    """Plain comparisons of the partition columns, which a metastore can prune by too."""
+    y, m = F.col(year), F.col(month)
+    return (y.between(start[0], end[0]) & ((y > start[0]) | (m >= start[1])) & ((y < end[0]) | (m <= end[1])))
 
 
 def last_months(end: tuple[int, int], n: int) -> tuple[tuple[int, int], tuple[int, int]]:
@@ -70,6 +71,12 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def verify_layer(df: DataFrame, required: list[str], what: str = "layer") -> DataFrame:
-    """Fail when audit or contract columns are missing (the reference only printed them)."""
-    return require_schema(df, required, what)
+def verify_layer(df: DataFrame, required: dict | list[str], what: str = "layer", least_rows: int = 0) -> dict[str, int]:
+    """Fail when contract columns are missing, have other types (``required``
+    as a mapping) or there are fewer rows than ``least_rows``; else the row and
+    column counts, which the reference printed."""
+    require_schema(df, required, what)
+    rows = df.count()
+    if rows < least_rows:
+        raise ValueError(f"{what} has {rows} rows, at least {least_rows} are expected")
+    return {"rows": rows, "columns": len(df.columns)}

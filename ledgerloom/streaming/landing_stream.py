@@ -3,21 +3,23 @@
 A file-source stream over a landing folder is processed with
 ``trigger(availableNow=True)``: everything present when the query starts is
 taken in bounded micro-batches, then the query stops.  Each micro-batch is
-landed through ``foreachBatch`` with its epoch as ``_batch_id`` -- and since
-landing the same batch id replaces that partition, a batch replayed after a
-failure (same epoch, same files, per the checkpoint) is idempotent.
+landed through ``foreachBatch`` under the id of the query (which its checkpoint
+keeps) and its epoch -- and since landing the same batch id replaces that batch,
+one replayed after a failure (same query, epoch and files, per the checkpoint) is
+idempotent, while another feed or a new checkpoint never meets its ids.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.sources.landing import land
 
 
-def epoch_batch_id(epoch: int) -> str:
-    return f"epoch-{epoch:09d}"
+def epoch_batch_id(stream_id: str, epoch: int) -> str:
+    return f"{stream_id}-{epoch:09d}"
 
 
 def land_stream(spark: SparkSession, landing_dir: str, schema: StructType, bronze_path: str,
@@ -25,16 +27,18 @@ def land_stream(spark: SparkSession, landing_dir: str, schema: StructType, bronz
                 options: dict | None = None) -> int:
     """Land every file under ``landing_dir`` into ``bronze_path``; returns the
     number of micro-batches run.  The checkpoint records which files are done, so
-    a rerun lands only new files."""
+    a rerun lands only new files.  ``_source_file`` is each row's own file."""
     reader = (spark.readStream.format(fmt).schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger))
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
-    stream = reader.load(landing_dir)
+    stream = reader.load(landing_dir).withColumn("_source_file", F.col("_metadata.file_path"))
     epochs: list[int] = []
 
     def _land(batch: DataFrame, epoch: int) -> None:
-        land(batch, bronze_path, epoch_batch_id(epoch), source=landing_dir)
+        # The query's id, which its checkpoint keeps from before the first batch on.
+        stream_id = batch.sparkSession.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+        land(batch, bronze_path, epoch_batch_id(stream_id, epoch))
         epochs.append(epoch)
 
     query = (stream.writeStream.foreachBatch(_land)

@@ -6,6 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import month_index, period_label
 from ledgerloom.functions.numeric import half_up, half_up_quotient
@@ -39,3 +40,13 @@ def test_period_label_and_month_index(spark):
     r = spark.createDataFrame([(2024, 3)], "txn_year int, txn_month int").select(
         period_label().alias("p"), month_index().alias("i")).first()
     assert r.p == "2024-03" and r.i == 2024 * 12 + 2
+
+
+def test_quotients_of_large_sums_do_not_overflow(spark):
+    df = spark.createDataFrame([(Decimal("999999999999999.00"), Decimal("1000000000000000.00")),
+                                (Decimal("0.29"), Decimal("1.00")), (Decimal("9e17"), Decimal("0.0001"))],
+                               "a decimal(22,4), b decimal(22,4)")
+    got = [r.q for r in df.select(half_up_quotient("a", "b", 4).alias("q")).collect()]
+    assert got == [1.0, 0.29, 9e21]
+    total = df.groupBy().agg(half_up_quotient(F.sum("a"), F.sum("b"), 4).alias("q")).first().q
+    assert total == round((Decimal("999999999999999.29") + Decimal("9e17")) / Decimal("1000000000000001.0001"), 4).__float__()

@@ -14,7 +14,7 @@ def silver(raw_txn, rows):
 
 
 def facts(raw_txn, rows):
-    return marts.spend_facts(silver(raw_txn, rows))
+    return silver(raw_txn, rows)
 
 
 def by_key(df, *keys):
@@ -113,7 +113,7 @@ def test_stress_edges(raw_txn, raw_customers):
     assert idle.lifetime_spend is None and idle.preferred_channel is None and idle.category_diversity is None
 
 
-def test_profile_one_pipeline_equals_join_form(raw_txn, raw_customers):
+def test_profile_equals_join_form(raw_txn, raw_customers):
     rows = []
     for i in range(40):
         cust = f"c{i % 4}"
@@ -134,11 +134,11 @@ def test_profile_one_pipeline_equals_join_form(raw_txn, raw_customers):
 def test_invariants_on_driver_tables(spark):
     from ledgerloom.plans.catalog import Layers
     layers = Layers(spark, "/root/testdata/sf0.001")
-    f = layers.facts()
+    f = layers.silver_txn()
     monthly = marts.monthly_summary(f)
     assert monthly.count() == monthly.select("customer_id", "txn_year", "txn_month").distinct().count()
     cat_total = (marts.category_spend(f, exact=True).groupBy("customer_id", "txn_year", "txn_month")
-                 .agg((F.sum("cat_spend") / 100.0).alias("s")))
+                 .agg(F.sum("cat_spend").cast("double").alias("s")))
     joined = monthly.join(cat_total, ["customer_id", "txn_year", "txn_month"])
     assert joined.filter(F.col("s") != F.col("total_spend")).count() == 0
     assert monthly.filter(F.col("month_end_spend") > F.col("total_spend")).count() == 0
@@ -156,7 +156,7 @@ def test_hot_id_and_hot_customer(raw_txn):
     s = silver(raw_txn, rows)
     assert s.filter("transaction_id = 'hot'").count() == 1
     assert float(s.filter("transaction_id = 'hot'").first().amount) == 1.0
-    out = by_key(marts.monthly_summary(marts.spend_facts(s)), "customer_id")
+    out = by_key(marts.monthly_summary(s), "customer_id")
     assert out[("big",)].debit_txn_count == 201 and out[("big",)].total_spend == 401.0
     assert out[("big",)].unique_merchants == 4 and out[("small",)].total_spend == 3.0
 
@@ -183,3 +183,14 @@ def test_profile_ties_all_fans_out_like_rank(raw_txn, raw_customers):
     assert marts.customer_profile(customers, f).count() == 1
     fanned = marts.customer_profile(customers, f, ties="all").collect()
     assert sorted(r.preferred_channel for r in fanned) == ["ATM", "POS"]
+
+
+def test_largest_legal_amount_keeps_the_summary_alive(raw_txn):
+    rows = [txn_row("a", "c1", "2024-01-25 10:00:00", "999999999999999.00"), txn_row("b", "c1", "2024-01-05 10:00:00", "1.00")]
+    r = marts.monthly_summary(silver(raw_txn, rows)).first()
+    assert r.month_end_spend == 999999999999999.0 and r.month_end_stress_ratio == 1.0
+
+
+def test_fill_zero(raw_txn):
+    r = marts.fill_zero(marts.monthly_summary(silver(raw_txn, [txn_row("a", "c1", "2024-01-05 10:00:00", "10.00")]))).first()
+    assert (r.month_end_spend, r.month_end_stress_ratio, r.spend_to_income_ratio) == (0.0, 0.0, None)

@@ -40,10 +40,10 @@ def test_insight_reports(raw_txn, raw_customers):
             txn_row("b", "c1", "2024-01-25 10:00:00", "48.00"),
             txn_row("c", "c2", "2024-01-25 10:00:00", "24.00", category="fuel")]
     s = curate.clean_transactions(raw_txn(rows), stamp=False)
-    f = marts.spend_facts(s)
+    f = s
     cust = curate.clean_customers(raw_customers([("c1", "A", "gauteng", "10"), ("c2", "A", "gauteng", "10"),
                                                  ("c3", "B", "limpopo", "10")]), stamp=False)
-    profile = marts.customer_profile(cust, f, activity=True)
+    profile = marts.customer_profile(cust, f, with_activity=True)
     seg = {r.segment: (r.avg_monthly_spend, r.customer_count) for r in
            insights.spend_by_segment(profile, 24).collect()}
     assert seg == {"a": (2.0, 2), "b": (None, 1)}
@@ -93,7 +93,7 @@ def test_merchant_lookup(raw_txn, spark):
             txn_row("b", "c", "2024-01-05 10:00:00", "1.00", merchant="UNKNOWN", category="misc")]
     s = curate.clean_transactions(raw_txn(rows), stamp=False)
     dim = signals.reference_merchants(spark).withColumnRenamed("display_name", "merchant_name")
-    got = {r.transaction_id: r.assigned_category for r in signals.assign_categories(s, dim, small=True).collect()}
+    got = {r.transaction_id: r.assigned_category for r in signals.assign_categories(s, dim).collect()}
     assert got == {"a": "grocery", "b": "misc"}
     assert len(signals.REFERENCE_MERCHANTS) == 42
 
@@ -114,3 +114,22 @@ def test_exact_quantiles_against_brute_force(spark):
     clean = sorted(v for v in values if v is not None)
     expect = [clean[math.ceil(p * len(clean)) - 1] for p in (0.1, 0.25, 0.5, 0.75, 0.99, 1.0)]
     assert list(got) == expect
+
+
+def test_lookup_never_fans_out(raw_txn, spark):
+    s = curate.clean_transactions(raw_txn([txn_row("a", "c", "2024-01-05 10:00:00", "1.00", merchant="SPAR")]), stamp=False)
+    dim = spark.createDataFrame([("Spar", "x"), (" SPAR ", "grocery"), (None, "y")], "merchant_name string, category string")
+    assert [r.assigned_category for r in signals.assign_categories(s, dim).collect()] == ["grocery"]
+
+
+def test_quartile_profile_against_pandas_and_without_early_jobs(spark):
+    import pandas as pd
+    values = [float(v) for v in (3, 1, 4, 1, 5, 9, 2, 6, -5, 0, -5)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    r = quality.quartile_profile(df, "v").first()
+    p = pd.Series(values)
+    assert (r["count"], r["mean"], r["std"], r["min"], r["max"]) == (11, round(p.mean(), 2), round(p.std(), 2), -5.0, 9.0)
+    ranked = sorted(values)
+    assert (r["p25"], r["p50"], r["p75"]) == (ranked[2], ranked[5], ranked[8])
+    empty = quality.quartile_profile(df.limit(0), "v").first()
+    assert empty["count"] == 0 and empty["mean"] is None and empty["p50"] is None

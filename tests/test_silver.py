@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from conftest import txn_row
+from conftest import RAW_TXN_DDL, txn_row
+from pyspark.sql import functions as F
 
 from ledgerloom.operators import curate
 from ledgerloom.operators.dedup import keep_first
@@ -10,7 +11,7 @@ from ledgerloom.operators.dedup import keep_first
 
 def test_dup_ids_keep_tiebreak_winner_and_drop_null_ids(raw_txn):
     raw = raw_txn([
-        txn_row("t1", "c1", "2024-01-05 10:00:00", "50.00"),
+        txn_row("t1", "c1", "2024-01-05 10:00:00", "1000.00"),
         txn_row("t1", "c1", "2024-01-05 10:00:00", "20.00"),
         txn_row("t1", "c1", "2024-01-05 10:00:00", "30.00"),
         txn_row(None, "c1", "2024-01-06 10:00:00", "10.00"),
@@ -19,7 +20,7 @@ def test_dup_ids_keep_tiebreak_winner_and_drop_null_ids(raw_txn):
     ])
     out = curate.clean_transactions(raw, stamp=False)
     rows = {r.transaction_id: float(r.amount) for r in out.collect()}
-    # amounts are text here: the smallest string "20.00" wins the tie-break
+    # amounts are compared as numbers although they are text here
     assert rows == {"t1": 20.0, "t2": 12.0}
 
 
@@ -120,5 +121,40 @@ def test_flag_nulls(raw_txn):
 def test_empty_input_typed(raw_txn):
     out = curate.clean_transactions(raw_txn([]), stamp=False)
     assert out.count() == 0
-    assert dict(out.dtypes)["amount"] == "decimal(18,2)"
+    assert dict(out.dtypes)["amount"] == "decimal(22,4)"
     assert dict(out.dtypes)["is_month_end"] == "boolean"
+
+
+def test_usable_copy_wins_over_a_corrupt_one(raw_txn, raw_customers):
+    rows = [txn_row("t1", "c1", None, "5.00"), txn_row("t1", "c1", "2024-01-05 10:00:00", "5.00"),
+            txn_row("t2", "c1", "2024-01-05 10:00:00", "abc"), txn_row("t2", "c1", "2024-01-06 10:00:00", "7.00"),
+            txn_row("t3", None, "2024-01-01 10:00:00", "1.00"), txn_row("t3", "c2", "2024-01-06 10:00:00", "8.00")]
+    out = curate.clean_transactions(raw_txn(rows), stamp=False)
+    assert sorted((r.transaction_id, float(r.amount)) for r in out.collect()) == [("t1", 5.0), ("t2", 7.0), ("t3", 8.0)]
+    cust = curate.clean_customers(raw_customers([("c1", "a", "p", None), ("c1", "b", "p", "10")]), stamp=False).collect()
+    assert [(r.customer_id, r.monthly_income) for r in cust] == [("c1", 10.0)]
+
+
+def test_no_amount_is_lost_silently(raw_txn):
+    rows = [txn_row("tiny", "c", "2024-01-05 10:00:00", "0.004"), txn_row("huge", "c", "2024-01-05 10:00:00", "1e17"),
+            txn_row("over", "c", "2024-01-05 10:00:00", "1e18"), txn_row("under", "c", "2024-01-05 10:00:00", "0.00001"),
+            txn_row("zero", "c", "2024-01-05 10:00:00", "0")]
+    kept = {r.transaction_id: float(r.amount) for r in curate.clean_transactions(raw_txn(rows), stamp=False).collect()}
+    assert kept == {"tiny": 0.004, "huge": 1e17}
+    bad = {r.transaction_id: r.reason for r in curate.quarantined_transactions(raw_txn(rows)).collect()}
+    assert bad == {"over": "amount", "under": "amount"}
+
+
+def test_calendar_parts_do_not_follow_the_session_zone(spark, raw_txn):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        instant = raw_txn([txn_row("t", "c", "2024-01-31 23:30:00", "5.00")]).withColumn(
+            "transaction_date", F.to_timestamp("transaction_date")).collect()
+        spark.conf.set("spark.sql.session.timeZone", "Africa/Johannesburg")
+        text = curate.clean_transactions(raw_txn([txn_row("t", "c", "2024-01-31 23:30:00", "5.00")]), stamp=False).first()
+        assert (text.txn_month, text.txn_day, text.txn_hour) == (1, 31, 23)
+        stored = spark.createDataFrame(instant, RAW_TXN_DDL.replace("transaction_date string", "transaction_date timestamp"))
+        r = curate.clean_transactions(stored, stamp=False).first()
+        assert (r.txn_month, r.txn_day, r.txn_hour) == (1, 31, 23)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -5,7 +5,12 @@ from __future__ import annotations
 import os
 
 
-from ledgerloom.plans.pipeline import Layout, run_pipeline
+import pytest
+from conftest import txn_row
+from pyspark.sql.types import StructType
+
+from ledgerloom.plans.lake import Lake
+from ledgerloom.plans.pipeline import Layout, ingest_csv, run_pipeline
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import contracts, landing, tables
 from ledgerloom.streaming.landing_stream import land_stream
@@ -32,10 +37,33 @@ def test_batch_replay_and_as_of(spark):
         [("t1", "b1"), ("t2", "b1"), ("t3", "b2")]
     assert sorted(r.transaction_id for r in landing.as_of(bronze, "b1").collect()) == ["t1", "t2"]
     assert sorted(r.transaction_id for r in landing.without_batch(bronze, "b1").collect()) == ["t3"]
-    plan = landing.as_of(bronze, "b1")._jdf.queryExecution().executedPlan().toString()
+    plan = landing.without_batch(bronze, "b1")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_batch_id" in plan
 
 
+def test_empty_replay_clears_and_ids_need_no_order(spark):
+    path = scratch_path(spark, "bronze")
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "transaction_id string")
+    landing.land(rows("a"), path, "007", "s")
+    landing.land(rows("b"), path, "b10", "s")
+    landing.land(rows("c"), path, "b2", "s")
+    bronze = landing.read_bronze(spark, path)
+    assert sorted(r.transaction_id for r in landing.as_of(bronze, "b10").collect()) == ["a", "b"]
+    assert sorted(r._batch_id for r in bronze.collect()) == ["007", "b10", "b2"]
+    assert landing.land(rows(), path, "b10", "s") == 0
+    assert sorted(r.transaction_id for r in landing.read_bronze(spark, path).collect()) == ["a", "c"]
+    with pytest.raises(ValueError):
+        landing.land(rows("x"), path, "../b1", "s")
+
+
+def test_other_formats_and_business_partitions(spark):
+    path, table = scratch_path(spark, "bronze"), scratch_path(spark, "table")
+    df = spark.createDataFrame([("a", "x"), ("b", "y")], "transaction_id string, province string")
+    landing.land(df, path, "b1", "s", fmt="orc", partition_by=["province"])
+    assert landing.read_bronze(spark, path, fmt="orc").count() == 2
+    assert tables.write_table(df, table, fmt="orc") == 2 and tables.read_table(spark, table, fmt="orc").count() == 2
+
+
 def test_numeric_batch_ids_stay_text(spark):
     path = scratch_path(spark, "bronze")
     landing.land(spark.createDataFrame([("t1",)], "transaction_id string"), path, "20240101120000", "s")
@@ -43,7 +71,7 @@ def test_numeric_batch_ids_stay_text(spark):
 
 
 def test_csv_contract_keeps_corrupt_lines(spark):
-    path = scratch_path(spark, "raw") + "/transactions.csv"
+    path = scratch_path(spark, "raw").replace("file:", "") + "/transactions.csv"
     _write(path, CSV_HEADER
            + "t1,c1,2024-01-05 10:00:00,10.50,DEBIT,Shoprite,grocery,POS,Gauteng,salaried_professional\n"
            + "t2,c1,not-a-date,abc,DEBIT,Shoprite,grocery,POS,Gauteng,salaried_professional\n")
@@ -51,7 +79,7 @@ def test_csv_contract_keeps_corrupt_lines(spark):
     good, bad = landing.quarantine_corrupt(df)
     assert [r.transaction_id for r in good.collect()] == ["t1"]
     assert [r.transaction_id for r in bad.collect()] == ["t2"]
-    assert float(good.first().amount) == 10.5
+    assert good.first().amount == "10.50"
     audited = landing.with_audit(df, "b9")
     r = audited.first()
     assert r._batch_id == "b9" and r._source_file.endswith("transactions.csv")
@@ -73,8 +101,11 @@ def test_partitioned_write_and_pruned_read(spark):
     assert tables.read_table(spark, path).count() == 24 - 2 + 1
 
 
-def test_verify_layer_raises(spark):
+def test_verify_layer_counts_and_raises(spark):
     df = spark.createDataFrame([(1,)], "a int")
+    assert tables.verify_layer(df, {"a": df.schema["a"].dataType}) == {"rows": 1, "columns": 1}
+    with pytest.raises(ValueError, match="expected"):
+        tables.verify_layer(df, ["a"], least_rows=2)
     try:
         tables.verify_layer(df, ["a", "_batch_id"])
     except ValueError as e:
@@ -88,7 +119,6 @@ def test_stream_lander_is_incremental(spark):
     schema = "transaction_id string, amount double"
     spark.createDataFrame([("t1", 1.0), ("t2", 2.0)], schema).coalesce(1).write.parquet(landing_dir + "/f1")
     bronze, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt")
-    from pyspark.sql.types import StructType
     st = StructType.fromDDL(schema)
     assert land_stream(spark, landing_dir + "/*", st, bronze, ckpt) >= 1
     spark.createDataFrame([("t3", 3.0)], schema).coalesce(1).write.parquet(landing_dir + "/f2")
@@ -99,7 +129,6 @@ def test_stream_lander_is_incremental(spark):
 
 
 def test_pipeline_end_to_end(spark, raw_txn, raw_customers):
-    from conftest import txn_row
     layout = Layout(scratch_path(spark, "lake"))
     txn = raw_txn([txn_row("t1", "c1", "2024-01-05 10:00:00", "10.00"),
                    txn_row("t1", "c1", "2024-01-05 10:00:00", "10.00"),
@@ -115,7 +144,7 @@ def test_pipeline_end_to_end(spark, raw_txn, raw_customers):
 
 
 def test_csv_infer_mode_and_export(spark):
-    path = scratch_path(spark, "raw") + "/customers.csv"
+    path = scratch_path(spark, "raw").replace("file:", "") + "/customers.csv"
     _write(path, "customer_id,segment,province,monthly_income,income_day,spending_intensity,account_opened\n"
                  "CUS000001,salaried_professional,Gauteng,23145.77,25.0,high,2021-03-04\n"
                  "CUS000002,informal_income,Limpopo,3000.00,,low,2020-02-01\n")
@@ -131,28 +160,49 @@ def test_csv_infer_mode_and_export(spark):
 
 
 def test_lake_follows_its_inputs(spark, tmp_path):
-    import shutil
-
-    from ledgerloom.plans.lake import Lake
-    src = "/root/testdata/sf0.001"
-    work = tmp_path / "sf"
-    work.mkdir()
+    src, work = "/root/testdata/sf0.001", f"file://{tmp_path}/sf"
     for name in ("lineitem", "orders", "part", "supplier", "customer", "nation", "region"):
-        shutil.copy(f"{src}/{name}.parquet", work / f"{name}.parquet")
-    first = Lake(spark, str(work))
-    n_customers = first.customers().count()
-    assert Lake(spark, str(work)).root == first.root          # same inputs, same tables
-    # shrink the customer table: a new fingerprint, so fresh tables
-    spark.read.parquet(f"{src}/customer.parquet").limit(10).toPandas().to_parquet(work / "customer.parquet")
-    from ledgerloom.plans import lake as lake_module
-    lake_module._FINGERPRINTS.clear()
-    second = Lake(spark, str(work))
-    assert second.root != first.root
-    assert second.customers().count() < n_customers
+        spark.read.parquet(f"{src}/{name}.parquet").write.parquet(f"{work}/{name}.parquet")
+    first = Lake(spark, work)
+    path, n_customers = first.silver_transactions_path(), first.customers().count()
+    assert Lake(spark, work).silver_transactions_path() == path          # same inputs, same tables
+    spark.read.parquet(f"{src}/customer.parquet").limit(10).write.mode("overwrite").parquet(f"{work}/customer.parquet")
+    assert Lake(spark, work).customers().count() < n_customers
+
+
+def test_two_feeds_never_share_batches(spark):
+    schema, bronze = "transaction_id string", scratch_path(spark, "bronze")
+    for name in ("a1", "x1"):
+        files = scratch_path(spark, "feed")
+        spark.createDataFrame([(name,)], schema).write.parquet(files)
+        land_stream(spark, files, StructType.fromDDL(schema), bronze, scratch_path(spark, "ckpt"))
+    rows = landing.read_bronze(spark, bronze).collect()
+    assert sorted(r.transaction_id for r in rows) == ["a1", "x1"]
+    assert all(r._source_file.endswith(".parquet") for r in rows)
+
+
+def test_rebuild_leaves_no_stale_month_and_quarantine_is_written(spark, raw_txn, raw_customers):
+    layout, cust = Layout(scratch_path(spark, "lake")), raw_customers([("c1", "S", "gauteng", "1000")])
+    run_pipeline(spark, layout, raw_txn([txn_row("t1", "c1", "2024-01-05 10:00:00", "10.00")]), cust, "b1")
+    moved = raw_txn([txn_row("t1", "c1", "2024-02-05 10:00:00", "10.00"), txn_row("t2", "c1", "never", "10.00")])
+    counts = run_pipeline(spark, layout, moved, cust, "b1")
+    silver = tables.read_table(spark, layout.path("silver", "transactions"))
+    assert [(r.transaction_id, r.txn_month) for r in silver.collect()] == [("t1", 2)]
+    assert counts["silver.transactions_quarantine"] == 1
+    assert tables.verify_layer(silver, contracts.SILVER_TXN)["rows"] == 1
+
+
+def test_csv_path_to_bronze_keeps_corrupt_lines(spark):
+    layout, path = Layout(scratch_path(spark, "lake")), scratch_path(spark, "raw").replace("file:", "") + "/customers.csv"
+    _write(path, "customer_id,segment,province,monthly_income,income_day,spending_intensity,account_opened\n"
+                 "CUS000001,a,Gauteng,23145.77,25.0,high,2021-03-04\nCUS000002,b,Limpopo,much,,low,2020-02-01\n")
+    counts = ingest_csv(spark, layout, "customers", path, contracts.RAW_CUSTOMERS, "b1")
+    assert counts == {"customers": 1, "customers_corrupt": 1}
+    bad = landing.read_bronze(spark, layout.path("bronze", "customers_corrupt")).first()
+    assert bad._corrupt_record.startswith("CUS000002")
 
 
 def test_pipeline_replay_is_idempotent(spark, raw_txn, raw_customers):
-    from conftest import txn_row
     layout = Layout(scratch_path(spark, "lake"))
     txn = raw_txn([txn_row("t1", "c1", "2024-01-05 10:00:00", "10.00")])
     cust = raw_customers([("c1", "S", "gauteng", "1000")])
