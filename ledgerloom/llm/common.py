@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.session import scratch_path
 
@@ -24,6 +27,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_rows(df: DataFrame, run: Callable, extra: list[T.StructField] | None = None) -> DataFrame:
+    """``mapInArrow`` over all columns, whatever their names: ``run`` sees them as c0, c1, ... and
+    returns them (and then the ``extra`` ones); the result has the old names again."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    schema = T.StructType([*plain.schema.fields, *(extra or [])])
+    return plain.mapInArrow(run, schema).toDF(*df.columns, *[f.name for f in extra or []])
+
+
 def id_text(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import store
+from ledgerloom.llm.common import map_rows, store
 from ledgerloom.llm.graph import components
 from ledgerloom.llm.text import LOWER, PRIME, hashes, mix, slices, spans, windows
 
@@ -262,16 +262,15 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     best = rows.filter("n_shingles > 0").select("doc_id", "node").join(named, "node").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("best"))
     keep = best.select(F.concat_ws("/", F.col("best.node"), F.col("best.doc_id")).alias("__key__"))
-    names = docs.columns
-    text = names.index("text")
+    text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, off in slices(batch.column(text)):
                 nodes = pa.array([fingerprint(s) if len(s) else None for s in shingles(buf, off)], pa.int64())
-                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, nodes], names=[*names, "__node__"])
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, nodes], names=[*batch.schema.names, "__node__"])
 
-    marked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__node__", T.LongType())]))
+    marked = map_rows(docs, run, [T.StructField("__node__", T.LongType())])
     marked = marked.withColumn("__key__", F.concat_ws("/", "__node__", F.col("doc_id").cast("long")))
     own = marked.filter("__node__ IS NOT NULL").join(keep, "__key__", "left_semi").dropDuplicates(["__key__"])
-    return marked.filter("__node__ IS NULL").unionByName(own).select(*[F.col(f"`{c}`") for c in names])
+    return marked.filter("__node__ IS NULL").unionByName(own).drop("__node__", "__key__")

@@ -35,8 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ledgerloom.llm.common import map_rows
 from ledgerloom.llm.text import text_of, utf8
 
 UPPER, LOW, DIGIT = (frozenset(range(*x)) for x in ((65, 91), (97, 123), (48, 58)))
@@ -337,7 +337,6 @@ def mask(text: str, spans: list[tuple[int, int, str]]) -> str:
 def redact(docs: DataFrame, rules: tuple = RULES) -> DataFrame:
     """The same rows and columns, secrets in ``text`` masked; ``n_chars``, if there, follows a changed text."""
     names = docs.columns
-    kinds = {f.name: f.dataType for f in docs.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Scanner(rules)
@@ -355,6 +354,6 @@ def redact(docs: DataFrame, rules: tuple = RULES) -> DataFrame:
             columns[k] = pa.array(texts, batch.schema.field(k).type)
             if sizes is not None and pa.types.is_integer(batch.schema.field(names.index("n_chars")).type):
                 columns[names.index("n_chars")] = pa.array(sizes, batch.schema.field(names.index("n_chars")).type)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(run, T.StructType([T.StructField(n, kinds[n]) for n in names]))
+    return map_rows(docs, run)

@@ -8,7 +8,8 @@ of at most about that size.
 
 Placing is greedy: the largest first, each item goes to the shard where the dot
 product of its (bytes, tokens, rows) with the shard's residual capacity is
-highest, all in shares of the whole.  The items are the heavy groups, of which
+highest, all in shares of the whole, among the shards that still have room for
+its bytes; where none has, to the one with the most room.  The items are the heavy groups, of which
 there can be at most 3 * GRAIN because each has over 1/GRAIN of some sum, and
 GRAIN bundles into which all other groups are hashed.  So the driver places at
 most 4 * GRAIN items (plus 6 * shards parts), however many documents there are;
@@ -34,7 +35,7 @@ CELLS = 1024
 SUMS = ("size", "tokens", "rows")
 LAW = "bytes"
 #: The law's own sum counts more than the others.
-EMPHASIS = (16.0, 1.0, 1.0)
+EMPHASIS = (4.0, 1.0, 1.0)
 
 
 def measured(docs: DataFrame, carry: bool = False) -> DataFrame:
@@ -52,9 +53,10 @@ def place(items: np.ndarray, shards: int, emphasis: tuple = EMPHASIS) -> np.ndar
     """The shard of every item; ``items`` holds shares of the whole, one column for each sum."""
     residual = np.full((shards, items.shape[1]), 1.0 / shards)
     weights, out = np.array(emphasis), np.empty(len(items), np.int32)
-    for i in np.lexsort((np.arange(len(items)), -items.max(axis=1))):
-        best = int(np.argmax(residual @ (items[i] * weights)))
-        out[i] = best
+    for i in np.lexsort((np.arange(len(items)), -items[:, 0])):
+        fits = residual[:, 0] >= items[i, 0]
+        score = np.where(fits, residual @ (items[i] * weights), -np.inf) if fits.any() else residual[:, 0]
+        out[i] = best = int(np.argmax(score))
         residual[best] -= items[i]
     return out
 

@@ -44,9 +44,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerloom.llm.common import fold, labelled, store
+from ledgerloom.llm.common import fold, labelled, map_rows, store
 from ledgerloom.llm.logistic import sigmoid
 from ledgerloom.llm.text import PRIME, mix, slices
 
@@ -421,4 +420,4 @@ def clean(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
             for lo, hi, buf, off in slices(batch.column(text)):
                 yield batch.slice(lo, hi - lo).filter(pa.array(model.probability(buf, off) < cut))
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+    return map_rows(docs, run)
