@@ -79,12 +79,21 @@ def layout(rows: DataFrame, shards: int, grain: int) -> tuple[DataFrame, DataFra
     parts = np.maximum(1, np.minimum(parts, found["rows"]))
     item = np.repeat(np.arange(len(parts)), parts)
     part = np.arange(len(item)) - np.repeat(np.cumsum(parts) - parts, parts)
-    shard = place(sums[item] / parts[item, None], shards)
+    shares = sums[item] / parts[item, None]
     key = np.where(heavy, found["group"], found["bundle"])
     frame = lambda columns: spark.createDataFrame(pa.table(columns))
-    return (frame({"group": pa.array(key[heavy], pa.int64()), "parts": pa.array(parts[heavy], pa.int32())}),
-            frame({"heavy": pa.array(heavy[item], pa.bool_()), "key": pa.array(key[item], pa.int64()),
-                   "part": pa.array(part, pa.int32()), "shard": pa.array(shard, pa.int32())}))
+    heavies = frame({"group": pa.array(key[heavy], pa.int64()), "parts": pa.array(parts[heavy], pa.int32())})
+    if (parts > 1).any():
+        # Rows are dealt to the parts by hash: their real sums, at most 6 * shards rows.
+        dealt = rows.join(F.broadcast(heavies.filter("parts > 1")), "group").groupBy(
+            "group", F.pmod("draw", "parts").alias("part")).agg(
+            F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")).collect()
+        real = {(r["group"], r["part"]): [r[c] / t for c, t in zip(SUMS, total)] for r in dealt}
+        for i in np.flatnonzero(heavy[item] & (parts[item] > 1)):
+            shares[i] = real.get((int(key[item[i]]), int(part[i])), [0.0] * len(SUMS))
+    shard = place(shares, shards)
+    return heavies, frame({"heavy": pa.array(heavy[item], pa.bool_()), "key": pa.array(key[item], pa.int64()),
+                           "part": pa.array(part, pa.int32()), "shard": pa.array(shard, pa.int32())})
 
 
 def placed(rows: DataFrame, base: DataFrame, shards: int, grain: int) -> DataFrame:
