@@ -16,11 +16,13 @@ overlapping windows.  Training looks only at a bounded sample of labelled docume
    that are spread over toxic documents, further than chance allows, and stand in
    no clean one are the positive examples, words of clean documents the negative ones;
 2. LANDMARKS strings, half of either kind, span the Nystroem feature space
-   ``K_mm^(-1/2) k_m(x)``, in which a linear SVM (squared hinge) is trained; the
-   clean words it gets most wrong are added and it is trained once more;
-3. a text's values are its highest word, the sum of its distinct words' positive
-   values and the number of words (long clean texts meet a bad-looking word by
-   chance); a logistic model of these, on sampled documents whose words were
+   ``K_mm^(-1/2) k_m(x)``, in which a linear SVM (squared hinge) is trained; all
+   clean words are scored, those that look worst are added, and it is trained
+   once more, where a positive example that has many of them near has to reach
+   a lower margin than one that stands alone;
+3. a text's values are its highest word, the sum and the number of its distinct
+   words' positive values and the number of words (long clean texts meet a
+   bad-looking word by chance); a logistic model of these, on sampled documents whose words were
    not used before, gives the probability.
 
 The SVM is linear in the kernel's own features, so it folds into one weight for
@@ -53,7 +55,8 @@ DECAY, SPAN = 0.75, 6
 LONGEST, OVERLAP = 24, 12         # letters of a window, the mark included
 PER_CLASS = 1500
 LANDMARKS = 256
-POSITIVES, NEGATIVES, HARD = 600, 2000, 1000
+POSITIVES, NEGATIVES, HARD = 600, 2000, 2000
+NEAR, LEAST_MARGIN = 0.5, 0.25   # strings this alike count as near; what a positive example has to reach at least
 CHANCE = 1e-3
 CUT = 0.7
 SIZE, MARK = 64, 63             # letters are numbers 1..62, MARK stands before a word; 0 ends a string
@@ -240,9 +243,10 @@ class Model:
         return out
 
     def of_texts(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Per text: the highest decision value, the sum of the positive ones over distinct strings, and their number, in logarithms."""
+        """Per text: the highest decision value and, in logarithms, the sum and the number of the positive
+        ones over distinct strings and the number of these strings."""
         rows = len(off) - 1
-        best, total, number = np.full(rows, FLOOR), np.zeros(rows), np.zeros(rows)
+        best, total, hits, number = np.full(rows, FLOOR), np.zeros(rows), np.zeros(rows), np.zeros(rows)
         strings, owner = letters(buf, off)
         if len(strings):
             words, back = distinct(strings)
@@ -250,8 +254,8 @@ class Model:
             pairs = np.unique(owner * len(words) + back)
             row, value = pairs // len(words), value[pairs % len(words)]
             np.maximum.at(best, row, value)
-            total, number = np.bincount(row, np.clip(value, 0, 1), rows), np.bincount(row, minlength=rows)
-        return np.stack([np.clip(best, -1.5, 1.5), np.log1p(total), np.log1p(total) * np.log1p(number), np.log1p(number)], axis=1)
+            total, hits, number = (np.bincount(row, w, rows) for w in (np.clip(value, 0, 1), value > 0, np.ones(len(row))))
+        return np.stack([np.clip(best, -1.5, 1.5), np.log1p(total), np.log1p(hits), np.log1p(number)], axis=1)
 
     def probability(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         return sigmoid(self.of_texts(buf, off) @ self.document[:-1] + self.document[-1])
@@ -290,28 +294,43 @@ def word_counts(sample: DataFrame) -> DataFrame:
                                         F.coalesce(F.sum(F.when(~F.col("bad"), F.col("n"))), F.lit(0)).alias("good"))
 
 
-def examples(counts: DataFrame, n_bad: int, n_good: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positive strings, negative strings), both of bounded number."""
+def array_of(strings: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(bytes(x) for x in strings), np.uint8).reshape(-1, LONGEST)
+
+
+def examples(counts: DataFrame, n_bad: int, n_good: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(positive strings, their spread, negative strings), of bounded number."""
     # So many documents, all toxic, for a word that has nothing to do with the label, are this unlikely.
     least = max(3, int(np.ceil(np.log(CHANCE) / np.log(n_bad / (n_bad + n_good)))))
-    pick = lambda df, *order, n: [bytes(r["string"]) for r in df.orderBy(*order).limit(n).select("string").collect()]
-    positive = pick(counts.filter((F.col("good") == 0) & (F.col("bad") >= least)), F.desc("bad"), "string", n=POSITIVES)
-    negative = pick(counts.filter("good > 0"), F.xxhash64("string"), "string", n=NEGATIVES + HARD * 4)
-    array = lambda x: np.frombuffer(b"".join(x), np.uint8).reshape(-1, LONGEST)
-    positive, negative = array(positive), array(negative)
-    enough = lambda x: x[(x > 0).sum(axis=1) >= 4]
-    return enough(positive), enough(negative)
+    letters_in = F.length(F.regexp_replace(F.hex("string"), "(00)+$", "")) / 2
+    usable = counts.filter(letters_in >= 4)              # the mark and three letters
+    positive = usable.filter((F.col("good") == 0) & (F.col("bad") >= least)).orderBy(F.desc("bad"), "string").limit(POSITIVES).collect()
+    negative = usable.filter("good > 0").orderBy(F.xxhash64("string"), "string").limit(NEGATIVES).collect()
+    return array_of([r["string"] for r in positive]), np.array([r["bad"] for r in positive], float), array_of([r["string"] for r in negative])
+
+
+def hardest(counts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """(strings, spread) of the HARD words of clean documents that look worst to the model, out of all of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = model.of_strings(array_of(batch.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], names=["string", "good", "value"])
 
+    scored = counts.filter("good > 0").select("string", "good").mapInArrow(run, "string binary, good long, value double")
+    rows = scored.orderBy(F.desc("value"), "string").limit(HARD).collect()
+    return array_of([r["string"] for r in rows]), np.array([r["good"] for r in rows], float)
 
-def svm(x: np.ndarray, y: np.ndarray, decay: float = 3e-4) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss, both labels weighing the same, by Newton's method in the primal."""
+
+def svm(x: np.ndarray, y: np.ndarray, margin: np.ndarray, decay: float = 3e-4) -> tuple[np.ndarray, float]:
+    """Linear SVM with squared hinge loss below each example's margin, both labels weighing the same, by Newton's method in the primal."""
     x = np.column_stack([x, np.ones(len(x))])
     balance = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     penalty = np.array([decay] * (x.shape[1] - 1) + [1e-6])
-    loss = lambda w: (balance * np.maximum(0, 1 - y * (x @ w)) ** 2).sum() + (penalty * w * w).sum() / 2
+    loss = lambda w: (balance * np.maximum(0, margin - y * (x @ w)) ** 2).sum() + (penalty * w * w).sum() / 2
     w = np.zeros(x.shape[1])
     for _ in range(200):
-        slack = np.maximum(0, 1 - y * (x @ w))
+        slack = np.maximum(0, margin - y * (x @ w))
         inside = x[slack > 0]
         h = 2 * (inside * balance[slack > 0, None]).T @ inside + np.diag(penalty)
         step = np.linalg.solve(h, -2 * x.T @ (balance * slack * y) + penalty * w)
@@ -343,26 +362,27 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
     return np.append(w[:-1] / spread, w[-1] - (w[:-1] * mean / spread).sum())
 
 
-def fit(positive: np.ndarray, negative: np.ndarray) -> tuple[np.ndarray, float]:
-    """(weight of every three letters, bias) of the SVM on Nystroem features."""
-    half = LANDMARKS // 2
-    spread = np.linspace(0, len(positive) - 1, min(half, len(positive))).astype(int)
-    landmarks = np.concatenate([positive[np.unique(spread)], negative[:half]])
+def fit(positive: np.ndarray, negative: np.ndarray, landmarks: np.ndarray, margin: np.ndarray | float = 1.0) -> tuple[np.ndarray, float]:
+    """(weight of every three letters, bias) of the SVM on Nystroem features; ``margin`` is what positives have to reach."""
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
     keep = values > 1e-6
     root = vectors[:, keep] / np.sqrt(values[keep])
-    easy = negative[:NEGATIVES]
-    x = np.concatenate([kernel(positive, landmarks), kernel(easy, landmarks)]) @ root
-    y = np.concatenate([np.ones(len(positive)), -np.ones(len(easy))])
-    w, b = svm(x, y)
-    if len(negative) > NEGATIVES:                       # the clean words that look worst
-        others = kernel(negative[NEGATIVES:], landmarks) @ root
-        hard = np.argsort(-(others @ w))[:HARD]
-        x, y = np.concatenate([x, others[hard]]), np.concatenate([y, -np.ones(len(hard))])
-        w, b = svm(x, y)
-    alpha = root @ w
+    x = np.concatenate([kernel(positive, landmarks), kernel(negative, landmarks)]) @ root
+    y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
+    w, b = svm(x, y, np.where(y > 0, np.append(np.broadcast_to(margin, len(positive)), np.ones(len(negative))), 1.0))
     row, triple, value = phi(landmarks)
-    return np.bincount(triple, value * alpha[row], SIZE**3), b
+    return np.bincount(triple, value * (root @ w)[row], SIZE**3), b
+
+
+def spaced(strings: np.ndarray, n: int) -> np.ndarray:
+    """``n`` of the strings at even distances."""
+    return strings[np.unique(np.linspace(0, len(strings) - 1, min(n, len(strings))).astype(int))] if len(strings) else strings
+
+
+def purity(positive: np.ndarray, bad: np.ndarray, hard: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """How much of what is near each positive string, by squared kernel, stands in toxic documents."""
+    toxic = (kernel(positive, positive) ** 2) @ bad
+    return toxic / (toxic + (kernel(positive, hard) ** 2 * (kernel(positive, hard) >= NEAR)) @ good)
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
@@ -373,10 +393,16 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     number = {r["y"]: r["n"] for r in words.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(number) < 2:
         return EMPTY
-    positive, negative = examples(store(word_counts(words), "words"), number[1], number[0])
+    counts = store(word_counts(words), "words")
+    positive, bad, negative = examples(counts, number[1], number[0])
     if not len(positive) or not len(negative):
         return EMPTY
-    model = Model(*fit(positive, negative), EMPTY.document)
+    half = LANDMARKS // 2
+    first = Model(*fit(positive, negative, np.concatenate([spaced(positive, half), spaced(negative, half)])), EMPTY.document)
+    hard, good = hardest(counts, first)
+    landmarks = np.concatenate([spaced(positive, half), spaced(negative, half // 2), spaced(hard, half // 2)])
+    margin = np.maximum(LEAST_MARGIN, 2 * purity(positive, bad, hard, good) - 1)
+    model = Model(*fit(positive, np.concatenate([negative, hard]), landmarks, margin), EMPTY.document)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -126,7 +126,7 @@ def test_gapped_insults_score_like_plain_ones():
     clean = sorted({"".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(1500)})
     insults = ["pathetic", "worthless", "disgusting", "idiot", "moron", "stupid", "loser", "clown"]
     spell = lambda ws: np.concatenate([x for x in map(toxicity.spell, ws) if (x > 0).sum() >= 4])
-    model = toxicity.Model(*toxicity.fit(spell(insults), spell(clean)), toxicity.EMPTY.document)
+    model = toxicity.Model(*toxicity.fit(spell(insults), spell(clean), np.concatenate([spell(insults), spell(clean)[:100]])), toxicity.EMPTY.document)
 
     def value(text):
         raw = np.frombuffer(text.encode(), np.uint8)
