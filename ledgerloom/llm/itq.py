@@ -37,7 +37,7 @@ from ledgerloom.llm.graph import components
 from ledgerloom.llm.text import PRIME, mix
 
 BITS, SUBSTRINGS, MATCH = 64, 8, 2
-RADIUS = 16
+RADIUS = 12
 SAMPLE = 4000
 ROUNDS = 30
 COSINE = 0.98
