@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import store
-from ledgerloom.llm.text import slices, text_of
+from ledgerloom.llm.text import slices, text_of, tidy
 from ledgerloom.llm.tokens import WordIds
 
 CAPACITY = 4096
@@ -231,6 +231,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, w
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names[:len(columns)])
+        words.clear()
+        tidy()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(run, PIECES + (", ids array<int>" if with_ids else ""))

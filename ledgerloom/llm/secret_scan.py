@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import map_rows
-from ledgerloom.llm.text import text_of, utf8
+from ledgerloom.llm.text import text_of, tidy, utf8
 
 UPPER, LOW, DIGIT = (frozenset(range(*x)) for x in ((65, 91), (97, 123), (48, 58)))
 
@@ -319,6 +319,7 @@ def scan(docs: DataFrame, rules: tuple = RULES) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *counts, pa.array(digests, pa.string()), pa.array([join_spans(r) for r in rows], pa.string())],
                 names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+            tidy()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCAN_SCHEMA)
 
@@ -355,5 +356,7 @@ def redact(docs: DataFrame, rules: tuple = RULES) -> DataFrame:
             if sizes is not None and pa.types.is_integer(batch.schema.field(names.index("n_chars")).type):
                 columns[names.index("n_chars")] = pa.array(sizes, batch.schema.field(names.index("n_chars")).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            del texts, columns, buf
+            tidy()
 
     return map_rows(docs, run)

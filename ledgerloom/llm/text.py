@@ -8,6 +8,8 @@ so memory follows the longest document and not the batch.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +28,13 @@ BYTE_HASH = np.random.RandomState(20240607).randint(0, 2**63 - 1, 256, dtype=np.
 BYTE_HASH |= np.uint64(1)
 
 
+def tidy() -> None:
+    """Gives freed memory back to the system: workers are used again, and what one task leaves adds to the next."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):       # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes: every input bit reaches every output bit."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -43,13 +52,17 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of runs of rows of about ``most`` bytes; a longer text stands alone."""
+    """(first row, end row, bytes, offsets) of runs of rows of about ``most`` bytes; a longer text stands alone.
+
+    When the batch is done, freed memory goes back to the system.
+    """
     buf, off = utf8(column)
     lo, rows = 0, len(off) - 1
     while lo < rows:
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + most, "right")) - 1)
         yield lo, hi, buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
         lo = hi
+    tidy()
 
 
 def spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -15,14 +15,29 @@ from itertools import chain
 
 import numpy as np
 
-MOST_WORDS = 600_000
+MOST_WORDS = 400_000
 #: White space of which every kind certainly ends a word for the tokenizer.
 SPACES = bytes.maketrans(b"\t\n\r", b"   ")
+#: The same with A-Z in lower case, for ASCII texts without special tokens: lower case is all the tokenizer does to them next.
+LOWER_SPACES = SPACES.translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 #: ASCII and the Latin-1 letters: composed, with simple lower case, so these patterns read them as the tokenizer does.
 LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 
+class Numbers(dict):
+    """Word -> its number; a new word gets the next one, and its ids are kept in ``ids`` until they are stored."""
+
+    def __init__(self, ids_of):
+        super().__init__({b"": 0})
+        self.ids_of, self.ids = ids_of, []
+
+    def __missing__(self, word: bytes) -> int:
+        self.ids.append(self.ids_of(word.decode()))
+        self[word] = number = len(self)
+        return number
+
+
 class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -34,24 +49,22 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {b"": 0}
-        self.parts: dict[str, tuple[int, ...]] = {}
+        self.index = Numbers(self._word)
         self.size = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _part(self, part: str) -> tuple[int, ...]:
-        got = self.parts.get(part)
-        if got is None:
-            spelled = part if part.isascii() else part.translate(self.spelling)
-            got = self.parts[part] = tuple([t.id for t in self.tokenizer.model.tokenize(spelled)])
-        return got
+    def _part(self, part: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(part if part.isascii() else part.translate(self.spelling))]
 
-    def _word(self, word: str) -> tuple[int, ...] | list[int]:
+    def _word(self, word: str) -> list[int]:
+        stem = word[:-1] if word[-1] in ",.;:!?" else word
+        if stem.isascii() and stem.isalpha():                # most words: letters, perhaps with one mark after them
+            ids = self._part(stem.lower())
+            return ids if stem is word else [*ids, *self._part(word[-1])]
         if "<" in word and any(s in word for s in self.special):
             return self.tokenizer.encode(word, add_special_tokens=False).ids
         if LATIN.fullmatch(word):
-            parts = PARTS.findall(word.lower())
-            return self._part(parts[0]) if len(parts) == 1 else [i for p in parts for i in self._part(p)]
+            return [i for p in PARTS.findall(word.lower()) for i in self._part(p)]
         spelled = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(word))
         return [t.id for p, _ in spelled for t in self.tokenizer.model.tokenize(p)]
 
@@ -59,15 +72,13 @@ class WordIds:
         """(all ids, bounds of each text's ids) of UTF-8 texts."""
         if len(self.index) > MOST_WORDS:
             self.clear()
-        split = [text.translate(SPACES).split(b" ") for text in texts]
-        words = list(chain.from_iterable(split))
-        new = [w for w in dict.fromkeys(words) if w not in self.index]
-        if new:
-            ids = [self._word(w.decode()) for w in new]
-            self.index.update(zip(new, range(len(self.size), len(self.size) + len(new))))
-            self.size = np.concatenate([self.size, np.fromiter(map(len, ids), np.int64, len(ids))])
-            self.flat = np.concatenate([self.flat, np.array(list(chain.from_iterable(ids)), np.uint32)])
-        used = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        split = [text.translate(LOWER_SPACES if text.isascii() and b"<|" not in text else SPACES).split(b" ") for text in texts]
+        count = sum(map(len, split))
+        used = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, count)
+        if self.index.ids:
+            self.size = np.concatenate([self.size, np.fromiter(map(len, self.index.ids), np.int64, len(self.index.ids))])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(self.index.ids), np.uint32)])
+            self.index.ids = []
         begin = np.cumsum(self.size) - self.size
         n = self.size[used]
         upto = np.cumsum(n)

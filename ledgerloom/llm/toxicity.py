@@ -59,6 +59,7 @@ POSITIVES, NEGATIVES, HARD = 600, 2000, 2000
 NEAR, LEAST_MARGIN = 0.5, 0.25   # strings this alike count as near; what a positive example has to reach at least
 CHANCE = 1e-3
 CUT = 0.7
+SLICE = 1 << 20                  # bytes of text taken at a time; a word takes some hundred bytes of working memory
 SIZE, MARK = 64, 63             # letters are numbers 1..62, MARK stands before a word; 0 ends a string
 FLOOR = -4.0                    # the score of a text without words
 
@@ -216,7 +217,7 @@ class Model:
     bias: float
     document: np.ndarray    # logistic weights of a text's values, the bias last
 
-    def of_strings(self, strings: np.ndarray, block: int = 8192) -> np.ndarray:
+    def of_strings(self, strings: np.ndarray, block: int = 4096) -> np.ndarray:
         """The decision value of every string; FLOOR without three letters."""
         out = np.full(len(strings), FLOOR)
         for lo in range(0, len(strings), block):
@@ -277,7 +278,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = batch.column(2).to_numpy()
-            for lo, hi, buf, off in slices(batch.column(1)):
+            for lo, hi, buf, off in slices(batch.column(1), SLICE):
                 strings, owner = letters(buf, off)
                 h = keys(strings)
                 before = np.concatenate([[0], h[:-1]]).astype(np.uint64) if len(h) else h
@@ -406,7 +407,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, buf, off in slices(batch.column(0)):
+            for lo, hi, buf, off in slices(batch.column(0), SLICE):
                 values = model.of_texts(buf, off)
                 yield pa.RecordBatch.from_arrays([pa.array(list(values), pa.list_(pa.float64())), batch.column(1).slice(lo, hi - lo)],
                                                  names=["values", "y"])
@@ -426,7 +427,7 @@ def score(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, buf, off in slices(batch.column(1)):
+            for lo, hi, buf, off in slices(batch.column(1), SLICE):
                 p = model.probability(buf, off)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(p), pa.array((p >= cut).astype(np.int32))],
@@ -443,7 +444,7 @@ def clean(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, buf, off in slices(batch.column(text)):
+            for lo, hi, buf, off in slices(batch.column(text), SLICE):
                 yield batch.slice(lo, hi - lo).filter(pa.array(model.probability(buf, off) < cut))
 
     return map_rows(docs, run)
