@@ -14,7 +14,20 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 GAP = "[\\x20\\x09-\\x0D]+"
 
 
+#: Bytes and rows of an Arrow batch.  Each running task holds a few batches, in the JVM and in its worker.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20, "spark.sql.execution.arrow.maxRecordsPerBatch": 2000}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH, so that long texts don't fill a worker's memory."""
+    for key, most in BATCH.items():
+        now = int(spark.conf.get(key).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, most)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -22,6 +35,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Writes the frame to the cluster's shared folder and reads it back: later
     branches share the rows, and a lost executor costs a read."""
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -30,6 +44,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def map_rows(df: DataFrame, run: Callable, extra: list[T.StructField] | None = None) -> DataFrame:
     """``mapInArrow`` over all columns, whatever their names: ``run`` sees them as c0, c1, ... and
     returns them (and then the ``extra`` ones); the result has the old names again."""
+    small_batches(df.sparkSession)
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     schema = T.StructType([*plain.schema.fields, *(extra or [])])
     return plain.mapInArrow(run, schema).toDF(*df.columns, *[f.name for f in extra or []])

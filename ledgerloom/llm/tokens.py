@@ -15,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 
-MOST_WORDS = 400_000
+MOST_WORDS = 250_000
 #: White space of which every kind certainly ends a word for the tokenizer.
 SPACES = bytes.maketrans(b"\t\n\r", b"   ")
 #: The same with A-Z in lower case, for ASCII texts without special tokens: lower case is all the tokenizer does to them next.
