@@ -5,7 +5,8 @@ before it left; all but the last return the columns of ``documents``:
 
 1. ``toxicity``: documents whose toxicity score reaches the threshold go; the
    model is trained on the labelled ones among its own input;
-2. ``minhash_dedup``: of each group of near copies one document stays;
+2. ``minhash_dedup``: of each group of near copies (Jaccard of the five-word
+   shingles at least NEAR percent) one document stays;
 3. ``secret_scan``: secrets are masked in the text, no document goes;
 4. ``mixing``: documents are repeated or left out so that every source gives its
    target share of words, in the order of the curriculum;
@@ -19,13 +20,16 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.llm import minhash, mixing, packing, secret_scan, toxicity
 from ledgerloom.llm.common import store, table
 
+#: Near copies share this part of their shingles, in percent; op3_minhash has its own 85.
+NEAR = 80
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.deduplicate(docs)
+    return minhash.deduplicate(docs, NEAR)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

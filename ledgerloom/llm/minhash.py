@@ -5,8 +5,9 @@ words the whole sequence is the one shingle).  Documents with equal sets form a
 class and go on as one row.  Per class:
 
 * HASHES minima of the set under random multiply-shift functions;
-* BANDS keys, each a hash of BAND_ROWS full minima: classes that share a key are
-  candidates (at Jaccard 0.85 all bands miss with probability under 2e-6);
+* keys, each a hash of a band of BAND_ROWS full minima: classes that share a key are
+  candidates.  ``bands`` takes so many that at the threshold all of them miss with
+  probability under MISS: 28 for 85 percent, 44 for 80;
 * the lowest BITS bits of every minimum, packed into 64-bit words.  The share m
   of equal BITS-bit values, counted by bit operations, estimates similarity as
   (m - c) / (1 - c) with c = 2**-BITS for chance collisions.
@@ -19,10 +20,11 @@ turned into n^2 pairs:
    Confirmed links give components.
 2. What a star leaves open are pairs of one bucket that lie in different
    components.  All of these are tried, each once (in its first common band),
-   if their sizes allow the threshold and their estimate is within MARGIN of it.
+   if their sizes allow the threshold and their estimate is within ``margin`` of it.
 
-Every link is confirmed on the full sets: 100 * intersection >= 85 * union.  So
-within the candidates of the bands the components are exact, without any cap.
+Every link is confirmed on the full sets: 100 * intersection >= percent * union,
+with a ``percent`` of 85 unless the caller gives another.  So within the candidates
+of the bands the components are exact, without any cap.
 
 Defined cases: null or empty text, or text without words, has an empty set
 (n_shingles 0), is linked with nothing and kept; null doc_ids are never a
@@ -35,6 +37,7 @@ different classes; extra columns are ignored by ``duplicates`` and kept by
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -48,18 +51,29 @@ from ledgerloom.llm.text import LOWER, PRIME, hashes, mix, slices, spans, window
 
 SHINGLE = 5
 HASHES, BITS = 512, 2
-BANDS, BAND_ROWS = 28, 6
+BAND_ROWS, MISS = 6, 2e-6
 LANES = HASHES * BITS // 64
 PERCENT = 85
 CHANCE = 2.0 ** -BITS
-_MATCH = CHANCE + (1 - CHANCE) * PERCENT / 100
-#: Four standard deviations of the estimate at the threshold.
-MARGIN = 4 * (_MATCH * (1 - _MATCH) / HASHES) ** 0.5 / (1 - CHANCE)
 _RANDOM = np.random.RandomState(85).randint(1, 2**63 - 1, (2, HASHES), dtype=np.int64).astype(np.uint64)
 FACTORS = (_RANDOM[0] << np.uint64(1)) | np.uint64(1)
 OFFSETS = _RANDOM[1]
 
 
+def bands(percent: int) -> int:
+    """How many bands leave a pair at the threshold without a common key with probability under MISS."""
+    number = ceil(log(MISS) / log(1 - (percent / 100) ** BAND_ROWS)) if percent < 100 else 1
+    if number * BAND_ROWS > HASHES:
+        raise ValueError(f"{HASHES} minima are too few for pairs at {percent} percent")
+    return number
+
+
+def margin(percent: int) -> float:
+    """Four standard deviations of the estimate at the threshold."""
+    match = CHANCE + (1 - CHANCE) * percent / 100
+    return 4 * (match * (1 - match) / HASHES) ** 0.5 / (1 - CHANCE)
+
+
 # ------------------------------------------------------------------ sets and signatures, in Arrow batches
 
 def shingles(buf: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
@@ -113,10 +127,10 @@ def minima(sets: list[np.ndarray], block: int = 1 << 15) -> np.ndarray:
     return low
 
 
-def band_keys(low: np.ndarray) -> np.ndarray:
-    """One key for each band, different between bands."""
-    parts = mix(low[:, :BANDS * BAND_ROWS]).reshape(len(low), BANDS, BAND_ROWS)
-    acc = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * PRIME, parts.shape[:2]).copy()
+def band_keys(low: np.ndarray, number: int) -> np.ndarray:
+    """One key for each of ``number`` bands, different between bands."""
+    parts = mix(low[:, :number * BAND_ROWS]).reshape(len(low), number, BAND_ROWS)
+    acc = np.broadcast_to(np.arange(number, dtype=np.uint64) * PRIME, parts.shape[:2]).copy()
     for j in range(BAND_ROWS):
         acc = mix(acc * PRIME + parts[:, :, j])
     return acc.view(np.int64)
@@ -135,8 +149,9 @@ SIGNATURE_SCHEMA = T.StructType([
     T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("lanes", T.ArrayType(T.LongType()))])
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, node (its set's fingerprint), bands, lanes."""
+    number = bands(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,7 +161,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([fingerprint(s) for s in sets], pa.int64()), lists(band_keys(low)), lists(packed(low))],
+                     pa.array([fingerprint(s) for s in sets], pa.int64()), lists(band_keys(low, number)), lists(packed(low))],
                     names=SIGNATURE_SCHEMA.names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SIGNATURE_SCHEMA)
@@ -180,16 +195,16 @@ def estimate(a: Column, b: Column) -> Column:
     return (equal / HASHES - CHANCE) / (1 - CHANCE)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("a_items"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("b_items"))
     common = F.size(F.array_intersect("a_items", "b_items"))
     union = F.size("a_items") + F.size("b_items") - common
-    return pairs.join(left, "a").join(right, "b").filter(common * 100 >= union * PERCENT).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(common * 100 >= union * percent).select("a", "b")
 
 
-def links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
+def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """(node, root) of the linked classes; None without any.  ``classes``: node, rep, n_shingles, bands, lanes."""
     keys = classes.filter("n_shingles > 0").select("node", "n_shingles", F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
@@ -207,7 +222,7 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     hubs = members.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
     stars = members.join(hubs, "key").filter("node <> hub").select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    first = store(confirmed(stars, sets), "links")
+    first = store(confirmed(stars, sets, percent), "links")
     roots = components(first)
 
     lanes = classes.select("node", "lanes", "bands")
@@ -217,12 +232,12 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     rest = store(named.join(mixed, "key").join(lanes, "node"), "rest")
     a, b = rest.alias("a"), rest.alias("b")
     meets = (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
-    meets &= (F.col("a.n_shingles") * 100 >= F.col("b.n_shingles") * PERCENT) & (F.col("b.n_shingles") * 100 >= F.col("a.n_shingles") * PERCENT)
-    meets &= estimate(F.col("a.lanes"), F.col("b.lanes")) >= PERCENT / 100 - MARGIN
+    meets &= (F.col("a.n_shingles") * 100 >= F.col("b.n_shingles") * percent) & (F.col("b.n_shingles") * 100 >= F.col("a.n_shingles") * percent)
+    meets &= estimate(F.col("a.lanes"), F.col("b.lanes")) >= percent / 100 - margin(percent)
     same = F.zip_with(F.col("a.bands"), F.col("b.bands"), lambda x, y: x == y)
     meets &= F.array_position(same, F.lit(True)) == F.col("a.band") + 1
     pairs = a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-    second = store(confirmed(pairs.join(stars, ["a", "b"], "left_anti"), sets), "links")
+    second = store(confirmed(pairs.join(stars, ["a", "b"], "left_anti"), sets, percent), "links")
     if second.isEmpty():
         return roots
     # The first components stand for all of their links.
@@ -230,13 +245,13 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     return components(kept.unionByName(second))
 
 
-def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def grouped(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """The signatures of every document, and (node, root, component) of every class with words."""
-    found = store(signatures(docs), "signatures")
+    found = store(signatures(docs, percent), "signatures")
     classes = store(found.filter("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
         F.first("lanes").alias("lanes")), "classes")
-    roots = links(docs, classes)
+    roots = links(docs, classes, percent)
     named = classes.select("node", "rep")
     if roots is None:
         return found, named.select("node", F.col("node").alias("root"), F.col("rep").alias("component"))
@@ -245,20 +260,20 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return found, named.join(least, "root").select("node", "root", "component")
 
 
-def duplicates(docs: DataFrame) -> DataFrame:
+def duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept."""
-    rows, named = grouped(docs)
+    rows, named = grouped(docs, percent)
     name = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", "n_shingles", "node").join(named, "node", "left").select("doc_id", "n_shingles", name.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull()))
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: all without words, and of every component one row.
 
     It is the row with the component's own id; of equal ids the lowest fingerprint, of repeated rows any one.
     """
-    rows, named = grouped(docs)
+    rows, named = grouped(docs, percent)
     best = rows.filter("n_shingles > 0").select("doc_id", "node").join(named, "node").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("best"))
     keep = best.select(F.concat_ws("/", F.col("best.node"), F.col("best.doc_id")).alias("__key__"))
