@@ -3,11 +3,18 @@
 A bounded sample of the vectors gives a mean, principal axes and, by alternating
 sign codes and an orthogonal Procrustes fit, a rotation after which the signs of
 a vector's coordinates make a balanced binary code.  Every vector is coded.  The
-code is cut into SUBSTRINGS parts and indexed in one table for each MATCH of
-them: two vectors are candidates if any MATCH parts are equal and the whole codes
-differ in at most RADIUS bits.  Each candidate pair is formed once, in the first
-table in which it meets, and reranked with the original vectors: a link needs a
-cosine of at least ``least`` in double precision.
+code is cut into parts and indexed in one table for each ``match`` of them: two
+vectors are candidates if any ``match`` parts are equal and the whole codes
+differ in at most ``radius`` bits.  Each candidate pair is formed once, in the
+first table in which it meets, and reranked with the original vectors: a link
+needs a cosine of at least ``least`` in double precision.
+
+How many bits a pair at the threshold differs in depends on the data: where the
+vectors share a common direction, its angle about the mean is far wider than its
+own.  So DRAWS vectors of the sample get partners at a cosine of exactly
+``least``, half of them anywhere and half along differences of the sample, and
+the radius and the first tables of LADDER are taken that bring RECALL of either
+half together.  Where none do, all pairs of a label are compared by their vectors.
 
 Vectors are compared only within an equal label.  Rows with equal label and
 direction-defining components (the same vector) are one class and go on as one
@@ -36,13 +43,15 @@ from ledgerloom.llm.common import store
 from ledgerloom.llm.graph import components
 from ledgerloom.llm.text import PRIME, mix
 
-BITS, SUBSTRINGS, MATCH = 64, 8, 2
-RADIUS = 12
+BITS = 64
+RADIUS = 12                     # the least radius
+#: (bits of a part, parts, parts that have to be equal), from the fewest chance candidates to the most.
+LADDER = ((8, 8, 2), (7, 9, 2), (6, 10, 2), (8, 8, 1), (7, 9, 1), (6, 10, 1))
+RECALL, DRAWS = 0.98, 8000
+BLOCKS = 32                     # all pairs of a label are dealt over the pairs of so many blocks
 SAMPLE = 4000
 ROUNDS = 30
 COSINE = 0.98
-WIDTH = BITS // SUBSTRINGS
-TABLES = tuple(combinations(range(SUBSTRINGS), MATCH))
 
 
 @dataclass(frozen=True)
@@ -74,6 +83,51 @@ def learn(x: np.ndarray, rounds: int = ROUNDS) -> Code:
     return Code(mean, axes @ rotation)
 
 
+@dataclass(frozen=True)
+class Plan:
+    """The tables over the code; with ``match`` 0 there are none and all pairs of a label are compared."""
+
+    width: int
+    parts: int
+    match: int
+    radius: int
+
+    def meet(self, differ: np.ndarray) -> np.ndarray:
+        """Whether codes that differ in these bits are candidates."""
+        part = np.uint64((1 << self.width) - 1)
+        equal = sum(((differ >> np.uint64(i * self.width)) & part == 0).astype(int) for i in range(self.parts))
+        return (equal >= self.match) & (np.bitwise_count(differ) <= self.radius)
+
+
+EVERY = Plan(BITS, 1, 0, BITS)
+
+
+def partners(x: np.ndarray, noise: np.ndarray, least: float) -> np.ndarray:
+    """For every row of ``x``, a unit vector at a cosine of ``least`` in the direction of ``noise``."""
+    noise = noise - (noise * x).sum(axis=1, keepdims=True) * x
+    size = np.sqrt((noise * noise).sum(axis=1, keepdims=True))
+    return least * x + np.sqrt(max(0.0, 1 - least * least)) * noise / np.maximum(size, 1e-12)
+
+
+def plan(x: np.ndarray, least: float) -> Plan:
+    """The tables and the radius that bring pairs at the threshold together.
+
+    A code fits the vectors it was learnt from better than others, so one half of the sample is coded as the other half says.
+    """
+    if len(x) < 2:
+        return EVERY
+    code, x = learn(x[::2]), x[1::2]
+    rng = np.random.RandomState(11)
+    draw = lambda: x[rng.randint(0, len(x), DRAWS // 2)]
+    differ = []
+    for noise in (rng.normal(size=(DRAWS // 2, x.shape[1])), draw() - draw()):
+        a = draw()
+        differ.append((code.of(a) ^ code.of(partners(a, noise, least))).view(np.uint64))
+    radius = max(RADIUS, *(int(np.quantile(np.bitwise_count(d), 0.999, method="higher")) for d in differ))
+    tables = (Plan(*step, radius) for step in LADDER)
+    return next((p for p in tables if all(p.meet(d).mean() >= RECALL for d in differ)), EVERY)
+
+
 def unit_rows(column: pa.Array) -> list[np.ndarray | None]:
     """Each vector in double precision at length 1; None where it can't be compared."""
     out: list[np.ndarray | None] = []
@@ -95,15 +149,16 @@ def rows(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding")
 
 
-def train(vectors: DataFrame, sample: int = SAMPLE) -> Code:
-    """The code from the ``sample`` rows that come first by hash of vec_id."""
+def train(vectors: DataFrame, sample: int = SAMPLE, least: float = COSINE) -> tuple[Code, Plan]:
+    """The code and its tables from the ``sample`` rows that come first by hash of vec_id."""
     some = rows(vectors).filter("embedding IS NOT NULL AND label IS NOT NULL").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
     found = [x for x in unit_rows(some.select("embedding").toArrow().column(0).combine_chunks()) if x is not None]
     if not found:
-        return Code(np.zeros(0), np.zeros((0, 0)))
+        return Code(np.zeros(0), np.zeros((0, 0))), EVERY
     sizes = [len(x) for x in found]
     size = max(sorted(set(sizes)), key=sizes.count)
-    return learn(np.stack([x for x in found if len(x) == size]))
+    x = np.stack([x for x in found if len(x) == size])
+    return learn(x), plan(x, least)
 
 
 CODED = "vec_id long, label long, node long, code long, unit array<double>"
@@ -138,29 +193,43 @@ def coded(vectors: DataFrame, code: Code) -> DataFrame:
     return rows(vectors).mapInArrow(run, CODED)
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """(a, b) with a < b: pairs of classes that meet in a table and differ in at most RADIUS bits."""
-    part = lambda code, i: F.shiftrightunsigned(code, i * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1))
+def candidates(classes: DataFrame, by: Plan) -> DataFrame:
+    """(a, b) with a < b: pairs of classes that meet in a table and differ in at most the plan's radius."""
+    part = lambda code, i: F.shiftrightunsigned(code, i * by.width).bitwiseAND(F.lit((1 << by.width) - 1))
     tables = F.array(*[F.struct(F.lit(sum(1 << i for i in t)).alias("table"),
                                 F.xxhash64(F.lit(sum(1 << i for i in t)), "label", *[part(F.col("code"), i) for i in t]).alias("key"))
-                       for t in TABLES])
+                       for t in combinations(range(by.parts), by.match)])
     keys = classes.select("node", "label", "code", F.explode(tables).alias("t")).select("node", "label", "code", "t.table", "t.key")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     keys = store(keys.join(shared, "key"), "tables")
     a, b = keys.alias("a"), keys.alias("b")
     differ = F.col("a.code").bitwiseXOR(F.col("b.code"))
-    equal = sum(F.when(part(differ, i) == 0, F.lit(1 << i)).otherwise(F.lit(0)) for i in range(SUBSTRINGS))
+    equal = sum(F.when(part(differ, i) == 0, F.lit(1 << i)).otherwise(F.lit(0)) for i in range(by.parts))
     lowest = lambda m: m.bitwiseAND(-m)
-    first = lowest(equal) + lowest(equal - lowest(equal))          # the first table of all in which they meet
+    first = lowest(equal)                                          # the first table of all in which they meet
+    if by.match == 2:
+        first = first + lowest(equal - first)
     meets = (F.col("a.key") == F.col("b.key")) & (F.col("a.table") == F.col("b.table")) & (F.col("a.label") == F.col("b.label"))
-    meets &= (F.col("a.node") < F.col("b.node")) & (F.bit_count(differ) <= RADIUS) & (first == F.col("a.table"))
+    meets &= (F.col("a.node") < F.col("b.node")) & (F.bit_count(differ) <= by.radius) & (first == F.col("a.table"))
     return a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
 
 
-def links(classes: DataFrame, least: float = COSINE) -> DataFrame:
+def every_pair(classes: DataFrame) -> DataFrame:
+    """(a, b, x, y) with a < b: all pairs of classes of a label, each formed in the task of its two blocks."""
+    rows = classes.select("node", "label", "unit", F.pmod(F.xxhash64("node"), F.lit(BLOCKS)).alias("block"))
+    pair = lambda x, y: F.least(x, y) * BLOCKS + F.greatest(x, y)
+    other = F.explode(F.array(*[F.lit(i).cast("long") for i in range(BLOCKS)]))
+    dealt = rows.withColumn("other", other).withColumn("pair", pair(F.col("block"), F.col("other")))
+    a, b = dealt.alias("a"), dealt.alias("b")
+    meets = (F.col("a.label") == F.col("b.label")) & (F.col("a.pair") == F.col("b.pair")) & (F.col("a.node") < F.col("b.node"))
+    meets &= F.col("a.pair") == pair(F.col("a.block"), F.col("b.block"))
+    return a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.unit").alias("x"), F.col("b.unit").alias("y"))
+
+
+def links(classes: DataFrame, by: Plan, least: float = COSINE) -> DataFrame:
     """(a, b) of the classes whose vectors have a cosine of at least ``least``."""
     units = classes.select("node", "unit")
-    pairs = candidates(classes).join(units.select(F.col("node").alias("a"), F.col("unit").alias("x")), "a").join(
+    pairs = every_pair(classes) if by.match == 0 else candidates(classes, by).join(units.select(F.col("node").alias("a"), F.col("unit").alias("x")), "a").join(
         units.select(F.col("node").alias("b"), F.col("unit").alias("y")), "b")
     cosine = F.aggregate(F.zip_with("x", "y", lambda x, y: x * y), F.lit(0.0), lambda s, p: s + p)
     return pairs.filter(F.size("x") == F.size("y")).filter(cosine >= least).select("a", "b")
@@ -168,11 +237,12 @@ def links(classes: DataFrame, least: float = COSINE) -> DataFrame:
 
 def near_vectors(vectors: DataFrame, least: float = COSINE, sample: int = SAMPLE) -> DataFrame:
     """Per vector: vec_id, n_links, component_id, kept."""
-    all_rows = store(coded(vectors, train(vectors, sample)), "codes")
+    code, by = train(vectors, sample, least)
+    all_rows = store(coded(vectors, code), "codes")
     classes = store(all_rows.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("members"), F.first("label").alias("label"),
         F.first("code").alias("code"), F.first("unit").alias("unit")), "classes")
-    found = store(links(classes, least), "links")
+    found = store(links(classes, by, least), "links")
     roots = components(found)
     size = classes.select("node", "members")
     both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from ledgerloom.llm import minhash
+from ledgerloom.llm import itq, minhash
 
 
 def jaccard(a: str, b: str) -> float:
@@ -41,3 +42,31 @@ def test_bands_and_margin_follow_the_threshold():
     assert minhash.margin(80) > minhash.margin(85)
     with pytest.raises(ValueError):
         minhash.bands(50)
+
+
+def close_vectors(share: float, n: int = 400) -> np.ndarray:
+    """Pairs with cosine 0.98 to 0.985, where a common direction holds ``share`` of every vector's square."""
+    rng = np.random.RandomState(4)
+    common = np.ones(64) / 8
+    own = rng.normal(size=(n, 64))
+    own -= (own @ common)[:, None] * common
+    x = np.sqrt(share) * common + np.sqrt(1 - share) * own / np.linalg.norm(own, axis=1, keepdims=True)
+    y = np.stack([itq.partners(x[i:i + 1], rng.normal(size=(1, 64)), rng.uniform(0.9801, 0.985))[0] for i in range(n)])
+    return np.concatenate([x, y])
+
+
+def test_itq_tables_follow_the_common_direction():
+    plans = [itq.plan(close_vectors(share, 2000), 0.98) for share in (0.0, 0.5, 0.7, 0.9)]
+    assert (plans[0].width, plans[0].parts, plans[0].match, plans[0].radius) == (8, 8, 2, 12)
+    assert plans[-1] is itq.EVERY or plans[-1].match == 1
+    order = [itq.LADDER.index((p.width, p.parts, p.match)) if p.match else len(itq.LADDER) for p in plans]
+    assert order == sorted(order) and order[1] > 0
+
+
+@pytest.mark.parametrize("share", [0.7, 0.97])
+def test_itq_recall_with_a_common_direction(spark, share):
+    x = close_vectors(share)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    near = (x @ x.T >= 0.98) & ~np.eye(len(x), dtype=bool)
+    got = [r.n_links for r in itq.near_vectors(df).collect()]
+    assert near.sum() >= len(x) and 0.96 * near.sum() <= sum(got) <= near.sum()
