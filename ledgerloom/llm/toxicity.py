@@ -13,8 +13,12 @@ overlapping windows.  Training looks only at a bounded sample of labelled docume
 (``PER_CLASS`` of each label, none from the held-out fold):
 
 1. the words of their sentences are counted by label and place in Spark; words
-   that are spread over toxic documents, further than chance allows, and stand in
-   no clean one are the positive examples, words of clean documents the negative ones;
+   that are spread over toxic documents further than chance allows are the positive
+   examples.  Some clean documents may quote or mislabel one: then it has to stand
+   MORE_OFTEN times as often in toxic ones, and chance to be smaller.  Other words
+   of clean documents are the negative examples; words that stand that much more
+   often in toxic documents but too seldom to be sure are neither.  With no word
+   beyond chance the most uneven ones are taken, and a warning says so;
 2. LANDMARKS strings, half of either kind, span the Nystroem feature space
    ``K_mm^(-1/2) k_m(x)``, in which a linear SVM (squared hinge) is trained; all
    clean words are scored, those that look worst are added, and it is trained
@@ -32,12 +36,13 @@ a batch once.
 
 Defined cases: null or empty text, or text without letters, scores as one whose
 highest word has the lowest value; without labelled rows of both kinds every
-score is 0; repeated rows give repeated results; extra columns are ignored by
+score is 0, and also, with a warning, where their texts have no words to tell them apart; repeated rows give repeated results; extra columns are ignored by
 ``score`` and kept by ``clean``; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -56,8 +61,10 @@ LONGEST, OVERLAP = 24, 12         # letters of a window, the mark included
 PER_CLASS = 1500
 LANDMARKS = 256
 POSITIVES, NEGATIVES, HARD = 600, 2000, 2000
+FEW = 10                        # positive examples where no word is beyond chance
 NEAR, LEAST_MARGIN = 0.5, 0.25   # strings this alike count as near; what a positive example has to reach at least
-CHANCE = 1e-3
+CHANCE, MIXED_CHANCE = 1e-3, 1e-6  # of a word in toxic documents only, and of one that stands in clean ones too
+MORE_OFTEN = 10
 CUT = 0.7
 SLICE = 1 << 20                  # bytes of text taken at a time; a word takes some hundred bytes of working memory
 SIZE, MARK = 64, 63             # letters are numbers 1..62, MARK stands before a word; 0 ends a string
@@ -299,15 +306,32 @@ def array_of(strings: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(bytes(x) for x in strings), np.uint8).reshape(-1, LONGEST)
 
 
-def examples(counts: DataFrame, n_bad: int, n_good: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(positive strings, their spread, negative strings), of bounded number."""
-    # So many documents, all toxic, for a word that has nothing to do with the label, are this unlikely.
-    least = max(3, int(np.ceil(np.log(CHANCE) / np.log(n_bad / (n_bad + n_good)))))
+def told_apart(counts: DataFrame, n_bad: int, n_good: int) -> DataFrame:
+    """``counts`` of the strings with a letter triple, and: evidence, positive, negative.
+
+    The evidence is the Chernoff bound, as a logarithm, against so many toxic documents among those of a word
+    that has nothing to do with the label; for a word in toxic documents only it is the exact chance.
+    """
+    share = n_bad / (n_bad + n_good)
+    bad, good = F.col("bad"), F.col("good")
+    part = bad / (bad + good)
+    evidence = F.when(part > share, bad * F.log(part / share) + F.when(good > 0, good * F.log((1 - part) / (1 - share))).otherwise(0.0)).otherwise(0.0)
+    uneven = (bad >= 3) & (bad * n_good >= good * (n_bad * MORE_OFTEN))
+    sure = F.when(good == 0, -np.log(CHANCE)).otherwise(-np.log(MIXED_CHANCE))
     letters_in = F.length(F.regexp_replace(F.hex("string"), "(00)+$", "")) / 2
-    usable = counts.filter(letters_in >= 4)              # the mark and three letters
-    positive = usable.filter((F.col("good") == 0) & (F.col("bad") >= least)).orderBy(F.desc("bad"), "string").limit(POSITIVES).collect()
-    negative = usable.filter("good > 0").orderBy(F.xxhash64("string"), "string").limit(NEGATIVES).collect()
-    return array_of([r["string"] for r in positive]), np.array([r["bad"] for r in positive], float), array_of([r["string"] for r in negative])
+    return counts.filter(letters_in >= 4).select(            # the mark and three letters
+        "string", "bad", "good", evidence.alias("evidence"), (uneven & (evidence >= sure)).alias("positive"), ((good > 0) & ~uneven).alias("negative"))
+
+
+def examples(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(positive strings, their spread, negative strings), of bounded number."""
+    positive = counts.filter("positive").orderBy(F.desc("bad"), "string").limit(POSITIVES).collect()
+    if not positive:
+        positive = counts.filter("evidence > 0").orderBy(F.desc("evidence"), "string").limit(FEW).collect()
+        warnings.warn("toxicity: no word stands in toxic documents beyond chance; the most uneven ones are taken", stacklevel=2)
+    taken = [r["string"] for r in positive]
+    negative = [r["string"] for r in counts.filter("negative").orderBy(F.xxhash64("string"), "string").limit(NEGATIVES).collect()]
+    return array_of(taken), np.array([r["bad"] for r in positive], float), array_of([x for x in negative if x not in set(taken)])
 
 
 def hardest(counts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -318,7 +342,7 @@ def hardest(counts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
             value = model.of_strings(array_of(batch.column(0).to_pylist()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], names=["string", "good", "value"])
 
-    scored = counts.filter("good > 0").select("string", "good").mapInArrow(run, "string binary, good long, value double")
+    scored = counts.filter("negative").select("string", "good").mapInArrow(run, "string binary, good long, value double")
     rows = scored.orderBy(F.desc("value"), "string").limit(HARD).collect()
     return array_of([r["string"] for r in rows]), np.array([r["good"] for r in rows], float)
 
@@ -391,12 +415,17 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     # Words come from two thirds of the sample, the document's logistic weights from the rest.
     third = F.pmod(F.xxhash64(F.lit("third"), "doc_id"), F.lit(3))
     words = sample.filter(third > 0)
-    number = {r["y"]: r["n"] for r in words.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(number) < 2:
-        return EMPTY
-    counts = store(word_counts(words), "words")
-    positive, bad, negative = examples(counts, number[1], number[0])
+    count = lambda rows: {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rest, number = sample.filter(third == 0), count(words)
+    if len(number) < 2 or len(count(rest)) < 2:          # too few labels for two parts
+        words = rest = sample
+        number = count(words)
+        if len(number) < 2:
+            return EMPTY
+    counts = store(told_apart(word_counts(words), number[1], number[0]), "words")
+    positive, bad, negative = examples(counts)
     if not len(positive) or not len(negative):
+        warnings.warn("toxicity: the labelled texts have no words to tell them apart; every score is 0", stacklevel=2)
         return EMPTY
     half = LANDMARKS // 2
     first = Model(*fit(positive, negative, np.concatenate([spaced(positive, half), spaced(negative, half)])), EMPTY.document)
@@ -412,10 +441,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
                 yield pa.RecordBatch.from_arrays([pa.array(list(values), pa.list_(pa.float64())), batch.column(1).slice(lo, hi - lo)],
                                                  names=["values", "y"])
 
-    scored = sample.filter(third == 0).select("text", "y").mapInArrow(run, "values array<double>, y int").toArrow()  # a few numbers per sampled document
+    scored = rest.select("text", "y").mapInArrow(run, "values array<double>, y int").toArrow()  # a few numbers per sampled document
     y = scored.column("y").to_numpy().astype(float)
-    if len(set(y)) < 2:
-        return EMPTY
     x = np.array(scored.column("values").to_pylist())
     return Model(model.weights, model.bias, logistic(x[np.lexsort(x.T)], y[np.lexsort(x.T)]))
 
