@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, itq, minhash, mixing, packing, quality_fm, quality_rules, secret_scan, shards, toxicity
+from ledgerloom.llm import (chat, codebooks, itq, minhash, mixing, packing, prefix_trie, quality_fm, quality_rules, secret_scan,
+                            shards, toxicity)
 from ledgerloom.llm.common import table
 
 
@@ -52,7 +53,16 @@ def op10_chat(spark, sf_dir):
     return chat.digests(chat.format_turns(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op3_minhash, op4_secrets, op5_packing, op6_quality_fm, op7_itq, op8_shards, op9_toxicity, op10_chat)}
+def op11_codebooks(spark, sf_dir):
+    return codebooks.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op3_minhash, op4_secrets, op5_packing, op6_quality_fm, op7_itq, op8_shards,
+                                   op9_toxicity, op10_chat, op11_codebooks, op12_prefix_trie)}
 
 _MIX = r"""
 WITH d AS (
@@ -183,4 +193,58 @@ SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, v.vec_id =
 FROM embeddings v JOIN c ON c.node = v.vec_id LEFT JOIN n ON n.a = v.vec_id
 """
 
-ORACLE = {"op2_mix": _MIX, "op3_minhash": _MINHASH, "op4_secrets": _secrets_sql(), "op7_itq": _VECTORS, "op10_chat": _CHAT}
+
+
+def _codebooks_sql(rounds: int = 4) -> str:
+    """Every part against every entry; integers up to 2^53 are exact in the doubles used."""
+    ctes = ["""k AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, list_transform(embedding, lambda c: floor(c::DOUBLE * 1024)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+p AS MATERIALIZED (
+  SELECT rid, part, x[(part * len(x) // 4 + 1):((part + 1) * len(x) // 4)] AS v FROM k, range(4) t(part)),
+b0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, v FROM p WHERE rid <= 256)"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""a{r} AS MATERIALIZED (
+  SELECT rid, part, any_value(p.v) AS v, min((list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, b.v) + list_inner_product(b.v, b.v)) * 256 + entry) AS m
+  FROM p JOIN b{r} b USING (part) GROUP BY rid, part)""")
+        if r < rounds:
+            ctes.append(f"""b{r + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(n.v, b.v) AS v FROM b{r} b LEFT JOIN (
+    SELECT part, entry, list(s ORDER BY i) AS v FROM (
+      SELECT part, (m % 256)::BIGINT AS entry, i, floor(sum(x) / count(*)) AS s
+      FROM (SELECT part, m, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY ALL) GROUP BY ALL) n USING (part, entry))""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(list_transform(v, lambda c: c::BIGINT), ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM (SELECT rid, string_agg(printf('%02x', (m % 256)::INT), '' ORDER BY part) AS code, sum(floor(m / 256))::BIGINT AS error FROM a{rounds} GROUP BY rid)
+JOIN k USING (rid)
+"""
+
+
+# The CRC-32 of a string, bit by bit: each byte is XORed in and followed by eight shifts.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}, ''),
+    lambda d: [ascii(d)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda s, b: xor(xor(s, b) >> 1, (xor(s, b) & 1) * 3988292384)))"""
+
+_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(t ORDER BY p) AS own, {_CRC32.format('conv_id::VARCHAR')} % 9 AS h FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, coalesce(b.own[1:c.h], []) || c.own[c.h + 1:] AS path FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 5),
+m AS (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM r),
+n AS MATERIALIZED (
+  SELECT path[1:depth] AS node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends_sha256
+  FROM m GROUP BY path[1:depth]),
+k AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+w AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(n.node[n.depth].text) END AS saved
+      FROM n LEFT JOIN k ON n.node = k.node),
+s AS (SELECT node[1:d] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved
+      FROM (SELECT node, n_children, saved, unnest(range(0, depth + 1)) AS d FROM w) GROUP BY node[1:d])
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens, w.ends_sha256
+FROM w JOIN s ON s.node = w.node LEFT JOIN n p ON w.depth > 0 AND p.node = w.node[1:w.depth - 1]
+"""
+
+ORACLE = {"op11_codebooks": _codebooks_sql(), "op12_prefix_trie": _TRIE, "op2_mix": _MIX, "op3_minhash": _MINHASH, "op4_secrets": _secrets_sql(), "op7_itq": _VECTORS, "op10_chat": _CHAT}
