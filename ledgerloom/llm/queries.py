@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (chat, codebooks, itq, minhash, mixing, packing, prefix_trie, quality_fm, quality_rules, secret_scan,
-                            shards, toxicity)
+                            shards, suffix_repeats, toxicity)
 from ledgerloom.llm.common import table
 
 
@@ -61,8 +61,12 @@ def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_suffix_repeats(spark, sf_dir):
+    return suffix_repeats.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix, op3_minhash, op4_secrets, op5_packing, op6_quality_fm, op7_itq, op8_shards,
-                                   op9_toxicity, op10_chat, op11_codebooks, op12_prefix_trie)}
+                                   op9_toxicity, op10_chat, op11_codebooks, op12_prefix_trie, op13_suffix_repeats)}
 
 _MIX = r"""
 WITH d AS (
@@ -247,4 +251,22 @@ SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children,
 FROM w JOIN s ON s.node = w.node LEFT JOIN n p ON w.depth > 0 AND p.node = w.node[1:w.depth - 1]
 """
 
-ORACLE = {"op11_codebooks": _codebooks_sql(), "op12_prefix_trie": _TRIE, "op2_mix": _MIX, "op3_minhash": _MINHASH, "op4_secrets": _secrets_sql(), "op7_itq": _VECTORS, "op10_chat": _CHAT}
+# Two hex digits a byte; every 200-byte string by its hash.
+_REPEATS = """
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+k AS MATERIALIZED (
+  SELECT rid, i, hash(substr(h, 2 * i + 1, 400)) AS k FROM (SELECT rid, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM d)),
+s AS (SELECT rid, i FROM k WHERE k IN (SELECT k FROM k GROUP BY k HAVING count(*) > 1)),
+g AS (SELECT rid, i, CASE WHEN i - lag(i) OVER (PARTITION BY rid ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM s),
+r AS (SELECT rid, min(i) AS a, max(i) + 200 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY i) AS n FROM g) GROUP BY rid, n),
+q AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM r),
+t AS (
+  SELECT rid, count(*) AS n_spans, sum(b - a) AS n_removed,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM q JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN t USING (rid)
+"""
+
+ORACLE = {"op13_suffix_repeats": _REPEATS, "op11_codebooks": _codebooks_sql(), "op12_prefix_trie": _TRIE, "op2_mix": _MIX, "op3_minhash": _MINHASH, "op4_secrets": _secrets_sql(), "op7_itq": _VECTORS, "op10_chat": _CHAT}
