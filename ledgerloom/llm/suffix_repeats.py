@@ -7,7 +7,7 @@ go of a position once its rank is unique or its string is long enough.  A row
 per byte and round would be many times the input, so only some positions carry
 ranks; no repeated string is lost by that:
 
-* Inside a task the names of all BASE-byte strings are built by doubling (1, 2,
+* Inside a task the names of all strings of LENGTH // BASE bytes are built by doubling (1, 2,
   4, ... bytes).  The *anchor* of a LENGTH-byte string is the place of the least
   name within it, so equal strings have their anchors at the same offset.  One
   row per anchor stands for all starts that share it.
@@ -54,7 +54,7 @@ from ledgerloom.llm.spread import spread_join
 from ledgerloom.llm.text import PRIME, mix
 
 LENGTH = 200
-BASE = 50                       # bytes of the names in round 0
+BASE = 4                        # round 0 names strings of a BASE-th of the length
 WIDTHS = (25, 5, 1)             # starts of a node in the rounds after it
 PIECE = 1 << 20                 # bytes a task looks at in one step
 PLACE_BITS = 24
@@ -101,7 +101,7 @@ def pieces(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, byt
         yield group
 
 
-def anchors(texts: list[bytes], length: int = LENGTH, base: int = BASE) -> Iterator[tuple]:
+def anchors(texts: list[bytes], length: int, base: int) -> Iterator[tuple]:
     """Arrays (text, name, stretch, lo, left, right): the anchor is at lo + left, its starts are lo to lo + left - right.
 
     ``left`` and ``right`` are the greatest and the least offset of the anchor from a start.
@@ -224,8 +224,12 @@ def ranked(nodes: DataFrame, width: int, length: int) -> DataFrame:
     return nodes.select("name", "stretch", "left", "right", "closed", "bytes", "x", "y", "rank").mapInArrow(run, NODE)
 
 
-def repeated_starts(texts: DataFrame, length: int = LENGTH, base: int = BASE, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
-    """(ta, tb, first, last): runs of places in a text from which ``length`` bytes are found elsewhere too."""
+def repeated_starts(texts: DataFrame, length: int = LENGTH, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
+    """(ta, tb, first, last): runs of places in a text from which ``length`` bytes are found elsewhere too.
+
+    ``widths`` descend to 1.
+    """
+    base = max(1, length // BASE)
     live = marked(anchor_rows(texts, length, base), ["name"], ["stretch"], ["ta", "tb", "lo"], "anchors")
     hi = F.col("lo") + F.col("left") - F.col("right")
     found = [live.filter("same").select("ta", "tb", F.col("lo").alias("first"), hi.alias("last"))]
