@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import store
 from ledgerloom.llm.text import slices, text_of, tidy
-from ledgerloom.llm.tokens import WordIds
+from ledgerloom.llm.tokens import shared
 
 CAPACITY = 4096
 END = 1
@@ -216,7 +216,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, w
     path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = shared(path)
         for batch in batches:
             docs_of = batch.column(0).to_pylist()
             for lo, hi, buf, off in slices(batch.column(1)):
@@ -226,12 +226,12 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, w
                     ids = np.append(flat[bounds[i]:bounds[i + 1]], np.uint32(END)).astype("<u4")
                     for k, at in enumerate(range(0, len(ids), capacity)):
                         part = ids[at:at + capacity]
-                        out.append((docs_of[lo + i], k, at, len(part), zlib.crc32(part.tobytes()), part.astype(np.int32)))
-                columns = list(zip(*out))[:6 if with_ids else 5]
+                        row = (docs_of[lo + i], k, at, len(part), zlib.crc32(part))
+                        out.append((*row, part.astype(np.int32)) if with_ids else row)
+                columns = list(zip(*out))
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names[:len(columns)])
-        words.clear()
         tidy()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
