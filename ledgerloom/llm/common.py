@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,18 +61,27 @@ def fold(doc_id: Column) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """(doc_id, text, n_chars, y) of at most ``per_class`` documents of each label.
+    """(doc_id, text, n_chars, y) of at most ``per_class`` documents of each label, stored.
 
-    Only rows outside the held-out fold count, the lowest by hash of doc_id; an
-    id with two different labels is left out.  The bound is what a model may
-    learn labels from; everything else covers all rows.
+    Only documents with a text and outside the held-out fold count, the lowest
+    by hash of doc_id; an id with two different labels is left out, and of rows
+    with the same doc_id one counts, the least by hash of its text.  The bound
+    is what a model may learn labels from; everything else covers all rows.
+    Warns where either label has no document.
     """
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     marks = marks.filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & (fold(F.col("doc_id")) != 1))
     marks = marks.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("most")).filter("y = most").drop("most")
-    pick = lambda y: marks.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
     n_chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       n_chars.alias("n_chars"))
+                       n_chars.alias("n_chars")).filter("text IS NOT NULL")
+    there = marks.join(rows.select("doc_id"), "doc_id", "left_semi")
+    pick = lambda y: there.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
     # At most 2 * per_class rows of two numbers.
-    return rows.join(F.broadcast(pick(0).unionByName(pick(1))), "doc_id").filter(F.col("text").isNotNull())
+    chosen = rows.join(F.broadcast(pick(0).unionByName(pick(1))), "doc_id")
+    one = chosen.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "n_chars")).alias("r"))
+    sample = store(one.select("doc_id", "r.text", "r.n_chars", "y"), "labelled")
+    found = {r["y"] for r in sample.select("y").distinct().collect()}
+    if found != {0, 1}:
+        warnings.warn(f"no document with a text is labelled {label} = {sorted({0, 1} - found)}: nothing can be learnt", stacklevel=3)
+    return sample
