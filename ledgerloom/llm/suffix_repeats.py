@@ -230,12 +230,13 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH, widths: tuple[int, .
     ``widths`` descend to 1.
     """
     base = max(1, length // BASE)
-    live = marked(anchor_rows(texts, length, base), ["name"], ["stretch"], ["ta", "tb", "lo"], "anchors")
+    # Stored, for a range sort reads its input twice.
+    live = marked(store(anchor_rows(texts, length, base), "anchors"), ["name"], ["stretch"], ["ta", "tb", "lo"], "live")
     hi = F.col("lo") + F.col("left") - F.col("right")
     found = [live.filter("same").select("ta", "tb", F.col("lo").alias("first"), hi.alias("last"))]
     heads = live.filter("head").withColumnRenamed("same", "closed").drop("head")
     names_open = heads.filter("NOT closed").select("name").distinct()
-    needed = heads.join(names_open, "name", "left_semi")
+    needed = spread_join(heads, names_open, ["name"], F.xxhash64("stretch"))
     stretches = store(fetched(texts, needed, length), "stretches")
     nodes = stretches.withColumns({"x": F.lit(0), "y": F.lit(length - base), "rank": F.lit(None).cast("binary")})
     places = stretches.select("name", "stretch", "ta", "tb", F.col("lo").alias("lo"), "left")
@@ -249,7 +250,7 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH, widths: tuple[int, .
             heads = rows.filter("head").select("name", "stretch", "x", F.least(F.col("x") + width - 1, F.lit(length - base)).alias("y"),
                                                F.col("core").alias("rank"), (F.col("same") | F.col("closed")).alias("closed"))
             cores_open = heads.filter("NOT closed").select("rank").distinct()
-            heads = heads.join(cores_open, "rank", "left_semi")
+            heads = spread_join(heads, cores_open, ["rank"], F.xxhash64("name", "stretch"))
             nodes = heads.join(stretches.drop("closed"), ["name", "stretch"])
     out = found[0]
     for more in found[1:]:
