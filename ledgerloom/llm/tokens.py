@@ -27,6 +27,7 @@ SPACES = bytes.maketrans(b"\t\n\r", b"   ")
 LOWER_SPACES = SPACES.translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 #: ASCII and the Latin-1 letters: composed, with simple lower case, so these patterns read them as the tokenizer does.
 LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 
@@ -48,6 +49,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize        # the model's own merges; looking it up each time costs as much again
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         # The byte alphabet's spelling of the letters beyond ASCII.
         self.spelling = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100) if c != 0xF7}
@@ -78,19 +80,19 @@ class WordIds:
         self.index = index
 
     def _part(self, part: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(part if part.isascii() else part.translate(self.spelling))]
+        return [t.id for t in self.tokenize(part if part.isascii() else part.translate(self.spelling))]
 
     def _word(self, word: str) -> list[int]:
         stem = word[:-1] if word[-1] in MARKS else word
-        if stem.isascii() and stem.isalpha():                # most words: letters, perhaps with one mark after them
+        if stem.isalpha() and (stem.isascii() or LETTERS.fullmatch(stem)):   # most words: letters, perhaps with one mark after them
             ids = self._part(stem.lower())
             return ids if stem is word else ids + self.marks[word[-1]]
         if "<" in word and any(s in word for s in self.special):
             return self.tokenizer.encode(word, add_special_tokens=False).ids
         if LATIN.fullmatch(word):
-            return [i for p in PARTS.findall(word.lower()) for i in self._part(p)]
+            return [i for p in PARTS.findall(word.lower()) for i in (self.marks[p] if p in self.marks else self._part(p))]
         spelled = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(word))
-        return [t.id for p, _ in spelled for t in self.tokenizer.model.tokenize(p)]
+        return [t.id for p, _ in spelled for t in self.tokenize(p)]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, bounds of each text's ids) of UTF-8 texts."""
