@@ -405,8 +405,20 @@ def q_as_of_batch(spark, sf_dir):
     landing.land(raw, path, "007", LEDGER_SOURCE)
     landing.land(Layers(spark, sf_dir).tables.raw_event_ledger(), path, "b10", EVENT_SOURCE)
     landing.land(raw, path, "b2", LEDGER_SOURCE)
-    return landing.as_of(landing.read_bronze(spark, path), "b10").select(
-        "transaction_id", "customer_id", "amount", "_batch_id")
+    return landing.as_of(spark, path, "b10").select("transaction_id", "customer_id", "amount", "_batch_id")
+
+
+@query("as_of_after_replay")
+def q_as_of_after_replay(spark, sf_dir):
+    """b1 and b2 are landed, then b1 is corrected and b2 emptied by replays: as of the first b2 all is as it was then."""
+    raw = Lake(spark, sf_dir).txn().select(*contracts.LEDGER_COLUMNS)
+    path = scratch_path(spark, "bronze")
+    landing.land(raw, path, "b1", LEDGER_SOURCE)
+    landing.land(Layers(spark, sf_dir).tables.raw_event_ledger(), path, "b2", EVENT_SOURCE)
+    then = landing.versions(spark, path)[-1][1]
+    landing.land(raw.withColumn("amount", (F.col("amount") + 1).cast(contracts.MONEY)), path, "b1", LEDGER_SOURCE)
+    landing.land(raw.limit(0), path, "b2", EVENT_SOURCE)
+    return landing.as_of(spark, path, version=then).select("transaction_id", "customer_id", "amount", "_batch_id")
 
 
 PRUNED_PERIOD = tables.last_months((1998, 12), 3)

@@ -433,6 +433,9 @@ UNION ALL SELECT transaction_id, customer_id, amount, 'b10' AS _batch_id FROM ra
     "as_of_batch": with_ctes(silver_ctes(), _raw_named("raw_b", True), body="""
 SELECT transaction_id, customer_id, amount, '007' AS _batch_id FROM silver
 UNION ALL SELECT transaction_id, customer_id, amount, 'b10' AS _batch_id FROM raw_b"""),
+    "as_of_after_replay": with_ctes(silver_ctes(), _raw_named("raw_b", True), body="""
+SELECT transaction_id, customer_id, amount, 'b1' AS _batch_id FROM silver
+UNION ALL SELECT transaction_id, customer_id, amount, 'b2' AS _batch_id FROM raw_b"""),
     "pruned_read": _silver("SELECT transaction_id, customer_id, amount, txn_year, txn_month, txn_day FROM silver "
                            "WHERE txn_year * 12 + txn_month BETWEEN 1998 * 12 + 10 AND 1998 * 12 + 12"),
     "csv_roundtrip": with_ctes(RAW_LEDGER, body="""

@@ -1,23 +1,36 @@
 """Bronze landing.
 
 Raw files are read against a fixed contract (or, on request, with inference),
-stamped with audit columns and written as one folder ``_batch_id=<id>`` of a
-Parquet (or other) table.  A new batch id adds a folder; landing the same id
-again replaces that folder and no other, also when the replay has no rows.
+stamped with audit columns and written as one folder
+``_batch_id=<id>/_version=<microseconds>`` of a Parquet (or other) table.  A new
+batch id adds rows; landing the same id again supersedes that batch and no
+other, also when the replay has no rows.  The table is what the last version of
+each batch holds; superseded versions stay, so the table can be read as of any
+earlier moment, from the folders' names alone.
+
+A version is written to a staging folder, which readers don't see, and moved to
+its place when it is complete: a write that is killed leaves the table as it was.
+(A store whose renames are copies may show a version while it is being moved;
+use one whose renames are atomic.)
 """
 
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerloom.sources import files
 from ledgerloom.sources.contracts import BRONZE_AUDIT, CORRUPT_RECORD, require_schema, with_corrupt_column
 
 BATCH_COLUMN = "_batch_id"
+VERSION_COLUMN = "_version"
+STAGING = "_staging"            # a leading underscore hides it from readers
 _BATCH_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 
 
@@ -62,40 +75,97 @@ def with_audit(df: DataFrame, batch_id: str, source: str | None = None) -> DataF
 
 def land(df: DataFrame, bronze_path: str, batch_id: str, source: str | None = None,
          expected: list[str] | None = None, fmt: str = "parquet", partition_by: list[str] | None = None) -> int:
-    """S2 + S7: write one batch of a Bronze table and return its row count.
+    """S2 + S7: write one version of a batch of a Bronze table and return its row count.
 
     The count is observed during the write itself (no second pass).  Landing the
-    same ``batch_id`` again replaces that batch only.  ``partition_by`` adds
-    business columns below the batch folder.
+    same ``batch_id`` again supersedes that batch only.  ``partition_by`` adds
+    business columns below the version's folder.
     """
     if not _BATCH_ID.fullmatch(batch_id):
         raise ValueError(f"a batch id is letters, digits, '.', '_' and '-': {batch_id!r}")
     if expected:
         require_schema(df, expected, "landed batch")
+    spark, root = df.sparkSession, bronze_path.rstrip("/")
     obs = Observation(f"land_{batch_id}")
     observed = with_audit(df, batch_id, source).drop(BATCH_COLUMN).observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = observed.write.format(fmt).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(f"{bronze_path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
+    staged = f"{root}/{STAGING}/{uuid.uuid4().hex}"
+    writer.save(staged)
+    # Versions ascend within the table, whatever the clock does; a place taken by another writer is passed over.
+    version = max([time.time_ns() // 1000, *(int(v) + 1 for _, v in versions(spark, root)[-1:])])
+    while not files.publish(spark, staged, f"{root}/{BATCH_COLUMN}={batch_id}/{VERSION_COLUMN}={version:020d}"):
+        version += 1
     return int(obs.get["rows"])
 
 
+def versions(spark: SparkSession, bronze_path: str) -> list[tuple[str, str]]:
+    """(batch id, version) of every landing, in the order in which they became visible."""
+    found = files.matching(spark, f"{bronze_path.rstrip('/')}/{BATCH_COLUMN}=*/{VERSION_COLUMN}=*")
+    pairs = [tuple(part.split("=", 1)[1] for part in path.split("/")[-2:]) for path in found]
+    return sorted(pairs, key=lambda p: (p[1], p[0]))
+
+
+def _last(landed: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    return sorted(dict(landed).items())
+
+
+def _read(spark: SparkSession, bronze_path: str, chosen: list[tuple[str, str]], fmt: str) -> DataFrame:
+    """The chosen versions as one frame; batch ids are the text they are (partition discovery would turn 007 into 7)."""
+    root = bronze_path.rstrip("/")
+    if not chosen:
+        raise ValueError(f"nothing has landed in {bronze_path}")
+    paths = [f"{root}/{BATCH_COLUMN}={b}/{VERSION_COLUMN}={v}" for b, v in chosen]
+    reader = spark.read.format(fmt).option("basePath", root)
+    text = {BATCH_COLUMN, VERSION_COLUMN}
+    declared = StructType([StructField(f.name, StringType()) if f.name in text else f for f in reader.load(paths).schema.fields])
+    rows = spark.read.format(fmt).option("basePath", root).schema(declared).load(paths)
+    return require_schema(rows.drop(VERSION_COLUMN), list(BRONZE_AUDIT), "bronze table")
+
+
 def read_bronze(spark: SparkSession, bronze_path: str, fmt: str = "parquet") -> DataFrame:
-    """The whole Bronze table, audit columns included.
+    """The Bronze table as it is now, audit columns included: the last version of every batch."""
+    return _read(spark, bronze_path, _last(versions(spark, bronze_path)), fmt)
+
+
+def read_batch(spark: SparkSession, bronze_path: str, batch_id: str, fmt: str = "parquet") -> DataFrame:
+    """The last version of one batch; no other folder is read."""
+    return _read(spark, bronze_path, [p for p in _last(versions(spark, bronze_path)) if p[0] == batch_id], fmt)
 
-    Batch ids are read as the text they are: partition discovery alone would turn 007 into 7.
-    """
-    found = spark.read.format(fmt).load(bronze_path).schema
-    declared = StructType([StructField(BATCH_COLUMN, StringType()) if f.name == BATCH_COLUMN else f for f in found.fields])
-    return require_schema(spark.read.format(fmt).schema(declared).load(bronze_path), list(BRONZE_AUDIT), "bronze table")
 
+def version_at(moment: datetime) -> str:
+    """The version that a landing at ``moment`` would have had."""
+    return f"{int(moment.astimezone(timezone.utc).timestamp() * 1_000_000):020d}"
 
-def as_of(bronze: DataFrame, batch_id: str) -> DataFrame:
-    """The rows that had been landed when ``batch_id`` was (last) landed, by
-    landing time; ids need no order.  Without rows of that batch: none."""
-    landed = bronze.filter(F.col(BATCH_COLUMN) == F.lit(batch_id)).agg(F.max("_ingested_at").alias("t"))
-    return bronze.filter(F.col("_ingested_at") <= landed.select("t").scalar())
+
+def as_of(spark: SparkSession, bronze_path: str, batch_id: str | None = None, version: str | datetime | None = None,
+          fmt: str = "parquet") -> DataFrame:
+    """The table as it was when ``batch_id`` was last landed, or right after ``version`` (one of ``versions``, or a moment).
+
+    Of every batch the last version up to then: rows that a later replay has superseded are there again, rows it
+    brought are not.  Ids need no order.  Nothing landed until then is an error.
+    """
+    landed = versions(spark, bronze_path)
+    if (batch_id is None) == (version is None):
+        raise ValueError("as of a batch or of a version")
+    if batch_id is not None:
+        version = dict(landed).get(batch_id, "")
+    until = version_at(version) if isinstance(version, datetime) else version
+    return _read(spark, bronze_path, _last([p for p in landed if p[1] <= until]), fmt)
+
+
+def expire_versions(spark: SparkSession, bronze_path: str, before: str | datetime) -> list[tuple[str, str]]:
+    """Removes the versions that no ``as_of`` from ``before`` on reads, and says which.  Staging folders of
+    writes that failed go too, so no other landing may run meanwhile."""
+    until, root = version_at(before) if isinstance(before, datetime) else before, bronze_path.rstrip("/")
+    landed = versions(spark, root)
+    needed = {*_last([p for p in landed if p[1] <= until]), *(p for p in landed if p[1] > until)}
+    gone = [p for p in landed if p not in needed]
+    for batch, version in gone:
+        files.remove(spark, f"{root}/{BATCH_COLUMN}={batch}/{VERSION_COLUMN}={version}")
+    files.remove(spark, f"{root}/{STAGING}")
+    return gone
 
 
 def without_batch(bronze: DataFrame, batch_id: str) -> DataFrame:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
-
+from datetime import datetime, timezone
 
 import pytest
 from conftest import txn_row
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.plans.lake import Lake
@@ -35,7 +36,7 @@ def test_batch_replay_and_as_of(spark):
     bronze = landing.read_bronze(spark, path)
     assert sorted((r.transaction_id, r._batch_id) for r in bronze.collect()) == \
         [("t1", "b1"), ("t2", "b1"), ("t3", "b2")]
-    assert sorted(r.transaction_id for r in landing.as_of(bronze, "b1").collect()) == ["t1", "t2"]
+    assert sorted(r.transaction_id for r in landing.as_of(spark, path, "b1").collect()) == ["t1", "t2"]
     assert sorted(r.transaction_id for r in landing.without_batch(bronze, "b1").collect()) == ["t3"]
     plan = landing.without_batch(bronze, "b1")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_batch_id" in plan
@@ -48,7 +49,7 @@ def test_empty_replay_clears_and_ids_need_no_order(spark):
     landing.land(rows("b"), path, "b10", "s")
     landing.land(rows("c"), path, "b2", "s")
     bronze = landing.read_bronze(spark, path)
-    assert sorted(r.transaction_id for r in landing.as_of(bronze, "b10").collect()) == ["a", "b"]
+    assert sorted(r.transaction_id for r in landing.as_of(spark, path, "b10").collect()) == ["a", "b"]
     assert sorted(r._batch_id for r in bronze.collect()) == ["007", "b10", "b2"]
     assert landing.land(rows(), path, "b10", "s") == 0
     assert sorted(r.transaction_id for r in landing.read_bronze(spark, path).collect()) == ["a", "c"]
@@ -210,3 +211,51 @@ def test_pipeline_replay_is_idempotent(spark, raw_txn, raw_customers):
     again = run_pipeline(spark, layout, txn, cust, batch_id="b1")
     assert first == again
     assert landing.read_bronze(spark, layout.path("bronze", "transactions")).count() == 1
+
+
+def _ids(df):
+    return sorted(r.transaction_id for r in df.collect())
+
+
+def test_versions_of_a_batch_stay_readable(spark):
+    path = scratch_path(spark, "bronze")
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "transaction_id string")
+    landing.land(rows("a", "b"), path, "b1", "s")
+    landing.land(rows("c"), path, "b2", "s")
+    then = landing.versions(spark, path)[-1][1]
+    landing.land(rows("a2"), path, "b1", "s")
+    landing.land(rows(), path, "b2", "s")
+    assert _ids(landing.read_bronze(spark, path)) == ["a2"] == _ids(landing.read_batch(spark, path, "b1"))
+    assert _ids(landing.as_of(spark, path, version=then)) == ["a", "b", "c"]
+    assert _ids(landing.as_of(spark, path, "b1")) == ["a2", "c"]           # b2 was emptied later
+    assert _ids(landing.as_of(spark, path, version=datetime.now(timezone.utc))) == ["a2"]
+    order = landing.versions(spark, path)
+    assert [b for b, _ in order] == ["b1", "b2", "b1", "b2"] and order == sorted(order, key=lambda p: p[1])
+    # Only versions that nothing from ``then`` on reads go.
+    assert landing.expire_versions(spark, path, then) == []
+    assert landing.expire_versions(spark, path, order[2][1]) == [order[0]]
+    assert _ids(landing.as_of(spark, path, "b1")) == ["a2", "c"]
+    with pytest.raises(ValueError, match="nothing has landed"):
+        landing.as_of(spark, path, version="0")
+    with pytest.raises(ValueError):
+        landing.as_of(spark, path)
+
+
+def test_a_killed_write_leaves_the_old_version(spark):
+    path = scratch_path(spark, "bronze")
+    landing.land(spark.createDataFrame([("a",)], "transaction_id string"), path, "b1", "s")
+    # Some tasks write their rows, the last one fails.
+    broken = spark.range(0, 1000, 1, 8).select(F.when(F.col("id") < 999, F.col("id").cast("string")).otherwise(
+        F.raise_error(F.lit("lost")).cast("string")).alias("transaction_id"))
+    with pytest.raises(Exception, match="lost"):
+        landing.land(broken, path, "b1", "s")
+    assert _ids(landing.read_bronze(spark, path)) == ["a"] and len(landing.versions(spark, path)) == 1
+
+
+def test_versions_ascend_when_the_clock_does_not(spark, monkeypatch):
+    path = scratch_path(spark, "bronze")
+    rows = lambda i: spark.createDataFrame([(i,)], "transaction_id string")
+    landing.land(rows("a"), path, "b1", "s")
+    monkeypatch.setattr(landing.time, "time_ns", lambda: 5_000)
+    landing.land(rows("b"), path, "b1", "s")
+    assert _ids(landing.read_bronze(spark, path)) == ["b"]
