@@ -55,6 +55,16 @@ def dedup_transactions(df: DataFrame) -> DataFrame:
                       [unusable, date, amount, *TXN_TIEBREAK])
 
 
+def surviving_transactions(df: DataFrame) -> DataFrame:
+    """D1 once for all that follows: one raw row per id, with the typed date's txn_year and txn_month (NULL without one).
+
+    Silver and the quarantine are two filters of this table, and it can be merged with a later batch
+    (``plans.upsert``), for the least of all copies is the least of the old survivor and the new copies.
+    """
+    _, date = _typed(df)
+    return dedup_transactions(df).withColumns({"txn_year": F.year(date), "txn_month": F.month(date)})
+
+
 def standardise_transactions(df: DataFrame) -> DataFrame:
     """X1/X2/X4/X5 on the transaction columns present in ``df``."""
     cols = {}

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.operators import curate, marts, quality, signals
-from ledgerloom.plans import insights, messy
+from ledgerloom.plans import insights, messy, pipeline, upsert
 from ledgerloom.plans.lake import Lake
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import contracts, landing, tables
@@ -421,6 +421,38 @@ def q_as_of_after_replay(spark, sf_dir):
     return landing.as_of(spark, path, version=then).select("transaction_id", "customer_id", "amount", "_batch_id")
 
 
+#: (application, input state) -> the tables that the upsert queries read.
+_UPSERTED: dict[tuple, pipeline.Layout] = {}
+
+
+def _upserted(spark, sf_dir) -> pipeline.Layout:
+    """Silver of one batch with faults, then brought up to date with a late one, which is replayed with other rows."""
+    state = Lake(spark, sf_dir).state
+    if state in _UPSERTED:
+        return _UPSERTED[state]
+    driver, layout = DriverTables(spark, sf_dir), pipeline.Layout(scratch_path(spark, "lake"))
+    pipeline.land_raw(messy.messy_ledger(driver), layout, "transactions", "b1", LEDGER_SOURCE)
+    pipeline.land_raw(driver.raw_customers(), layout, "customers", "b1", "customer")
+    pipeline.build_silver(spark, layout)
+    for every in (5, 10):
+        pipeline.land_raw(messy.late_copies(driver, every), layout, "transactions", "b2", LEDGER_SOURCE)
+        upsert.upsert_silver(spark, layout, "b2")
+    _UPSERTED[state] = layout
+    return layout
+
+
+@query("silver_upsert")
+def q_silver_upsert(spark, sf_dir):
+    silver = tables.read_table(spark, _upserted(spark, sf_dir).path("silver", "transactions"))
+    return silver.drop("_silver_processed_at", "_ingested_at", "_source_file", "_batch_id")
+
+
+@query("quarantine_upsert")
+def q_quarantine_upsert(spark, sf_dir):
+    rows = tables.read_table(spark, _upserted(spark, sf_dir).path("silver", pipeline.QUARANTINE))
+    return rows.select("transaction_id", "amount", "transaction_date", "reason")
+
+
 PRUNED_PERIOD = tables.last_months((1998, 12), 3)
 
 

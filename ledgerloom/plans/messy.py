@@ -60,3 +60,16 @@ def catalogue_named(txn: DataFrame) -> DataFrame:
     names = F.array(*[F.lit(name) for _category, name, _code in REFERENCE_MERCHANTS])
     number = F.regexp_extract("merchant_name", "([0-9]+)$", 1).cast("int") % (len(REFERENCE_MERCHANTS) + 1)
     return txn.withColumn("merchant_name", F.coalesce(F.get(names, number), F.col("merchant_name")))
+
+
+def late_copies(tables: DriverTables, every: int) -> DataFrame:
+    """A later batch of the ledger as text, for order keys divisible by ``every``: each row 40 days earlier, a copy
+    without a date, and for order keys divisible by 4 also a transaction of a new id."""
+    key = F.split("transaction_id", "-")[0].cast("long")
+    ledger = ledger_from_tpch(unique_lines(tables.table("lineitem")), tables.table("orders"),
+                              tables.table("part"), tables.table("supplier"))
+    rows = ledger.filter(key % every == 0).withColumns({
+        "customer_id": F.col("customer_id").cast("string"), "amount": F.col("amount").cast("string"),
+        "transaction_date": F.date_format(F.col("transaction_date") - F.expr("INTERVAL 40 DAYS"), "yyyy-MM-dd HH:mm:ss")})
+    return (rows.unionByName(rows.withColumn("transaction_date", F.lit(None).cast("string")))
+            .unionByName(rows.filter(key % 4 == 0).withColumn("transaction_id", F.concat("transaction_id", F.lit("-late")))))

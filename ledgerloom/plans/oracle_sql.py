@@ -521,3 +521,17 @@ ORACLE.update({
     "tied_top_category": _tied("SELECT * FROM m_top"),
     "tied_monthly_summary": _tied("SELECT * FROM monthly"),
 })
+
+LATE = MESSY.replace("raw_ledger AS (", "first_batch AS (", 1) + """,
+late AS (
+  SELECT transaction_id, CAST(customer_id AS VARCHAR) AS customer_id,
+         strftime(transaction_date - INTERVAL 40 DAY, '%Y-%m-%d %H:%M:%S') AS transaction_date, CAST(amount AS VARCHAR) AS amount,
+         transaction_type, merchant_name, merchant_category, channel, k FROM keyed WHERE k % 10 = 0),
+raw_ledger AS (
+  SELECT * FROM first_batch UNION ALL SELECT * EXCLUDE (k) FROM late
+  UNION ALL SELECT * EXCLUDE (k) REPLACE (CAST(NULL AS VARCHAR) AS transaction_date) FROM late
+  UNION ALL SELECT * EXCLUDE (k) REPLACE (transaction_id || '-late' AS transaction_id) FROM late WHERE k % 4 = 0)"""
+ORACLE.update({
+    "silver_upsert": with_ctes(LATE, DEDUP, STANDARD, CALENDAR, SILVER, body="SELECT * FROM silver"),
+    "quarantine_upsert": with_ctes(LATE, DEDUP, body=f"SELECT transaction_id, amount, transaction_date, reason FROM ({QUARANTINE}) q"),
+})

@@ -11,12 +11,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.operators import curate, marts
 from ledgerloom.sources import landing, tables
 
 
+MONTHS = ["txn_year", "txn_month"]
+SURVIVORS, QUARANTINE = "transactions_survivors", "transactions_quarantine"
+
+
 @dataclass
 class Layout:
     """Table locations under one root (the shared folder on a cluster)."""
@@ -38,19 +43,28 @@ def ingest_csv(spark: SparkSession, layout: Layout, name: str, csv_path: str, sc
             f"{name}_corrupt": landing.land(bad, layout.path("bronze", f"{name}_corrupt"), batch_id, csv_path)}
 
 
+def silver_from_survivors(survivors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(Silver, quarantine), both with their month columns."""
+    months = [F.col(c) for c in MONTHS]
+    return (curate.clean_transactions(survivors.drop(*MONTHS), dedup=False),
+            curate.quarantined_transactions(survivors.withColumns({f"_{c}": m for c, m in zip(MONTHS, months)}).drop(*MONTHS), dedup=False)
+            .withColumnsRenamed({f"_{c}": c for c in MONTHS}))
+
+
 def build_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Silver from all of Bronze: each table is replaced as a whole, so a row that
-    has moved to another month leaves nothing behind.  What Silver can't hold is
-    written next to it with its reason (Q10)."""
+    has moved to another month leaves nothing behind.
+
+    Bronze is de-duplicated once, into a table of survivors; Silver, and what it
+    can't hold with its reason (Q10), are two filters of that table."""
     raw = landing.read_bronze(spark, layout.path("bronze", "transactions"))
     cust = curate.clean_customers(landing.read_bronze(spark, layout.path("bronze", "customers")))
-    return {
-        "transactions": tables.write_table(curate.clean_transactions(raw), layout.path("silver", "transactions"),
-                                           partition_by=["txn_year", "txn_month"]),
-        "transactions_quarantine": tables.write_table(curate.quarantined_transactions(raw),
-                                                      layout.path("silver", "transactions_quarantine")),
-        "customers": tables.write_table(cust, layout.path("silver", "customers")),
-    }
+    counts = {"transactions_survivors": tables.write_table(
+        curate.surviving_transactions(raw), layout.path("silver", SURVIVORS), partition_by=MONTHS)}
+    silver, quarantine = silver_from_survivors(tables.read_table(spark, layout.path("silver", SURVIVORS)))
+    counts["transactions"] = tables.write_table(silver, layout.path("silver", "transactions"), partition_by=MONTHS)
+    counts["transactions_quarantine"] = tables.write_table(quarantine, layout.path("silver", QUARANTINE), partition_by=MONTHS)
+    return counts | {"customers": tables.write_table(cust, layout.path("silver", "customers"))}
 
 
 def build_gold(spark: SparkSession, layout: Layout, ties: str = "one") -> dict[str, int]:

@@ -27,6 +27,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerloom.sources import files
 from ledgerloom.sources.contracts import BRONZE_AUDIT, CORRUPT_RECORD, require_schema, with_corrupt_column
+from ledgerloom.sources.tables import observed
 
 BATCH_COLUMN = "_batch_id"
 VERSION_COLUMN = "_version"
@@ -87,8 +88,8 @@ def land(df: DataFrame, bronze_path: str, batch_id: str, source: str | None = No
         require_schema(df, expected, "landed batch")
     spark, root = df.sparkSession, bronze_path.rstrip("/")
     obs = Observation(f"land_{batch_id}")
-    observed = with_audit(df, batch_id, source).drop(BATCH_COLUMN).observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.format(fmt).option("partitionOverwriteMode", "static")
+    audited = with_audit(df, batch_id, source).drop(BATCH_COLUMN).observe(obs, F.count(F.lit(1)).alias("rows"))
+    writer = audited.write.format(fmt).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     staged = f"{root}/{STAGING}/{uuid.uuid4().hex}"
@@ -97,7 +98,7 @@ def land(df: DataFrame, bronze_path: str, batch_id: str, source: str | None = No
     version = max([time.time_ns() // 1000, *(int(v) + 1 for _, v in versions(spark, root)[-1:])])
     while not files.publish(spark, staged, f"{root}/{BATCH_COLUMN}={batch_id}/{VERSION_COLUMN}={version:020d}"):
         version += 1
-    return int(obs.get["rows"])
+    return int(observed(obs).get("rows", 0))
 
 
 def versions(spark: SparkSession, bronze_path: str) -> list[tuple[str, str]]:

@@ -8,12 +8,30 @@ turns into partition pruning.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources import files
 from ledgerloom.sources.contracts import require_schema
 
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"       # the folder of a NULL partition value
+
+
+def observed(obs: Observation) -> dict:
+    """What a write has observed.  A plan that turns out to be empty while it runs is replaced by no plan at all,
+    observation included; then there is nothing to be had and nothing was written."""
+    try:
+        return obs.get
+    except Py4JJavaError as none:
+        if "AssertionError" not in str(none.java_exception):
+            raise
+        return {}
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 dynamic: bool = False, sort_within: list[str] | None = None, fmt: str = "parquet") -> int:
     """Overwrite ``path`` and return the number of rows written.
@@ -37,7 +55,37 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return int(obs.get["rows"])
+    return int(observed(obs).get("rows", 0))
+
+
+def in_partitions(partitions: list[tuple], columns: list[str]) -> Column:
+    """Whether a row lies in one of the partitions; plain comparisons, which prune folders."""
+    one = lambda values: reduce(lambda a, b: a & b, [F.col(c).isNull() if v is None else F.col(c) == v
+                                                     for c, v in zip(columns, values)])
+    return reduce(lambda a, b: a | b, [one(p) for p in partitions], F.lit(False))
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], partitions: list[tuple]) -> int:
+    """Makes ``df`` the content of just these partitions of ``path`` and returns the number of rows written.
+
+    All rows of ``df`` lie in them.  Other partitions keep their files; one that gets no rows is removed, which a
+    dynamic overwrite alone would leave as it was.  ``df`` may read ``path``: folders change when all rows are written.
+    """
+    if not partitions:
+        return 0
+    folder = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in partition_by])
+    obs = Observation("replace_partitions")
+    seen = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(folder).alias("folders"))
+    writer = seen.hint("rebalance", *partition_by).write.format("parquet").mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+    # One name per partition.
+    written = observed(obs)
+    filled = set(written.get("folders") or [])
+    for values in partitions:
+        name = "/".join(f"{c}={NO_VALUE if v is None else v}" for c, v in zip(partition_by, values))
+        if name not in filled:
+            files.remove(df.sparkSession, f"{path.rstrip('/')}/{name}")
+    return int(written.get("rows") or 0)
 
 
 def read_table(spark: SparkSession, path: str, required: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
