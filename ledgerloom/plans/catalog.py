@@ -23,6 +23,7 @@ from ledgerloom.plans.lake import Lake
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import contracts, landing, tables
 from ledgerloom.sources.bindings import DriverTables
+from ledgerloom.streaming.dedup_stream import dedup_stream
 from ledgerloom.streaming.landing_stream import land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -485,3 +486,25 @@ def q_stream_landing(spark, sf_dir):
             rows.withColumn("customer_id", F.col("customer_id").cast("long")).write.parquet(files)
         land_stream(spark, files, spark.read.parquet(files).schema, bronze, checkpoint, max_files_per_trigger=4)
     return landing.read_bronze(spark, bronze).select(*contracts.LEDGER_COLUMNS)
+
+
+#: Fixed values of the stand-in feed: the events' time line is cut here, and these ids of its first part come last.
+FEED_CUT, LATE_IDS = "2024-01-16", (50, 7)
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """Three files of events, one per micro-batch: the first part of the time line; the second, with every tenth
+    row of the first again; and late rows of the first, with every seventh row of the second again."""
+    events = DriverTables(spark, sf_dir).raw_event_ledger().withColumn("customer_id", F.col("customer_id").cast("long"))
+    number, early = F.col("transaction_id").cast("long"), F.col("transaction_date") < F.lit(FEED_CUT).cast("timestamp_ntz")
+    late = early & (number % LATE_IDS[0] == LATE_IDS[1])
+    first, second = events.filter(early & ~late), events.filter(~early)
+    feed, accepted, refused = (scratch_path(spark, n) for n in ("feed", "accepted", "refused"))
+    checkpoint = scratch_path(spark, "stream")
+    for rows in (first, second.unionByName(first.filter(number % 10 == 0)), events.filter(late).unionByName(second.filter(number % 7 == 0))):
+        rows.coalesce(1).write.mode("append").parquet(feed)
+        dedup_stream(spark, feed, rows.schema, accepted, refused, checkpoint, delay="1 day", max_files_per_trigger=1)
+    columns = ["transaction_id", "customer_id", "transaction_date", "amount"]
+    return landing.read_bronze(spark, accepted).select(*columns, F.lit("accepted").alias("outcome")).unionByName(
+        landing.read_bronze(spark, refused).select(*columns, F.col("reason").alias("outcome")))

@@ -535,3 +535,8 @@ ORACLE.update({
     "silver_upsert": with_ctes(LATE, DEDUP, STANDARD, CALENDAR, SILVER, body="SELECT * FROM silver"),
     "quarantine_upsert": with_ctes(LATE, DEDUP, body=f"SELECT transaction_id, amount, transaction_date, reason FROM ({QUARANTINE}) q"),
 })
+
+ORACLE["stream_dedup"] = with_ctes(RAW_EVENTS, body="""
+SELECT DISTINCT transaction_id, customer_id, transaction_date, amount,
+       CASE WHEN transaction_date < TIMESTAMP '2024-01-16' AND CAST(transaction_id AS BIGINT) % 50 = 7 THEN 'late' ELSE 'accepted' END AS outcome
+FROM raw_ledger""")
