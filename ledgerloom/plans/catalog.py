@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.operators import curate, marts, quality, signals
+from ledgerloom.operators import curate, marts, months, quality, signals
 from ledgerloom.plans import insights, messy, pipeline, upsert
 from ledgerloom.plans.lake import Lake
 from ledgerloom.session import scratch_path
@@ -198,6 +198,21 @@ def q_customer_profile_ties(spark, sf_dir):
     return marts.customer_profile(lake.customers(), lake.txn(), lake.monthly_summary("all"), ties="all")
 
 
+@query("profile_from_months")
+def q_profile_from_months(spark, sf_dir):
+    """K4 from customers and the stored customer months in shared buckets; Silver isn't read."""
+    lake = Lake(spark, sf_dir)
+    return months.customer_profile(lake.bucketed_customers(), lake.customer_months())
+
+
+@query("yearly_distincts")
+def q_yearly_distincts(spark, sf_dir):
+    """Exact distinct merchants and categories per customer and year, united from the months' sets."""
+    stored, keys = Lake(spark, sf_dir).customer_months(), ["customer_id", "txn_year"]
+    parts = [months.distinct_counts(stored, name, keys, f"unique_{name}") for name in months.SETS]
+    return parts[0].join(parts[1], keys)
+
+
 # ------------------------------------------------------------------ insights
 
 def _profile(spark, sf_dir) -> DataFrame:

@@ -14,13 +14,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.operators import curate, marts
+from ledgerloom.operators import curate, marts, months
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import tables
 from ledgerloom.sources.bindings import DriverTables
 
 LEDGER_INPUTS = ["lineitem", "orders", "part", "supplier", "customer", "nation", "region"]
-#: (application, input state, table) -> where it was written.
+#: (application, input state, table) -> where it was written, or its name in the session's catalog.
 _WRITTEN: dict[tuple, str] = {}
 
 
@@ -81,6 +81,27 @@ class Lake:
             self.silver_customers(), self.txn(), self.monthly_summary(), stamp=True, with_activity=True))
         return tables.read_table(self.spark, path).drop("_gold_processed_at", "_silver_processed_at")
 
+    def _bucketed(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (*self.state, name)
+        if key not in _WRITTEN:
+            path = scratch_path(self.spark, name)
+            table = "ledgerloom_" + path.rsplit("/", 1)[-1].replace("-", "_")
+            tables.write_bucketed(build(), path, table, "customer_id")
+            _WRITTEN[key] = table
+        return self.spark.table(_WRITTEN[key])
+
+    def numbers(self) -> dict[str, DataFrame]:
+        """The numbers of merchants and categories that the sets of the customer months are made of."""
+        return {name: tables.read_table(self.spark, self._path(f"numbers-{name}", lambda c=column: months.numbered(self.txn(), c)))
+                for name, column in months.SETS.items()}
+
+    def customer_months(self) -> DataFrame:
+        """Gold customer months that merge, and customers, in the same buckets by customer."""
+        return self._bucketed("gold-customer-months", lambda: months.customer_months(self.txn(), self.numbers()))
+
+    def bucketed_customers(self) -> DataFrame:
+        return self._bucketed("silver-customers-bucketed", self.customers)
+
     def build(self) -> None:
         """Materialise every layer now (a pipeline run)."""
         self.silver_customers()

@@ -540,3 +540,10 @@ ORACLE["stream_dedup"] = with_ctes(RAW_EVENTS, body="""
 SELECT DISTINCT transaction_id, customer_id, transaction_date, amount,
        CASE WHEN transaction_date < TIMESTAMP '2024-01-16' AND CAST(transaction_id AS BIGINT) % 50 = 7 THEN 'late' ELSE 'accepted' END AS outcome
 FROM raw_ledger""")
+
+ORACLE.update({
+    "profile_from_months": ORACLE["customer_profile"],
+    "yearly_distincts": _silver("""
+SELECT customer_id, txn_year, count(DISTINCT merchant_name) AS unique_merchants, count(DISTINCT merchant_category) AS unique_categories
+FROM silver WHERE transaction_type = 'DEBIT' GROUP BY customer_id, txn_year"""),
+})

@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import curate, marts
 from ledgerloom.plans.pipeline import MONTHS, QUARANTINE, SURVIVORS, Layout, silver_from_survivors
-from ledgerloom.session import scratch_path
 from ledgerloom.sources import landing, tables
 
 ID = "transaction_id"
@@ -39,13 +38,6 @@ class Upsert:
     rows: dict[str, int]
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """A table of the application: later steps share it, and replacing months can't change what it was made from."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _months_of(table: DataFrame, ids: DataFrame) -> set[tuple]:
     found = table.join(ids, ID, "left_semi").select(*MONTHS).distinct().collect()
     return {tuple(r) for r in found}
@@ -57,7 +49,7 @@ def changed_survivors(spark: SparkSession, layout: Layout, batch_id: str) -> tup
     old = tables.read_table(spark, layout.path("silver", SURVIVORS))
     incoming = landing.read_batch(spark, bronze, batch_id)
     batch = F.col(landing.BATCH_COLUMN) == batch_id
-    taken_back = _stored(old.filter(batch).select(ID), "taken-back")
+    taken_back = tables.stored(old.filter(batch).select(ID), "taken-back")
     candidates = incoming.unionByName(old.filter(~batch).drop(*MONTHS).join(incoming.select(ID), ID, "left_semi"), allowMissingColumns=True)
     if not taken_back.isEmpty():
         rest = landing.read_bronze(spark, bronze).filter(~batch).join(taken_back, ID, "left_semi")
@@ -65,8 +57,8 @@ def changed_survivors(spark: SparkSession, layout: Layout, batch_id: str) -> tup
     winners = curate.surviving_transactions(candidates.select(*[c for c in old.columns if c not in MONTHS]))
     # A winner from another batch is the old survivor again, unless that one has been taken back.
     again = taken_back.withColumn("_again", F.lit(True))
-    rows = _stored(winners.join(again, ID, "left").filter(batch | F.col("_again")).drop("_again").select(*old.columns), "winners")
-    return rows, _stored(rows.select(ID).unionByName(taken_back).distinct(), "changed-ids")
+    rows = tables.stored(winners.join(again, ID, "left").filter(batch | F.col("_again")).drop("_again").select(*old.columns), "winners")
+    return rows, tables.stored(rows.select(ID).unionByName(taken_back).distinct(), "changed-ids")
 
 
 def upsert_silver(spark: SparkSession, layout: Layout, batch_id: str) -> Upsert:

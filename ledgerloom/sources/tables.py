@@ -14,6 +14,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import scratch_path
 from ledgerloom.sources import files
 from ledgerloom.sources.contracts import require_schema
 
@@ -58,6 +59,26 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return int(observed(obs).get("rows", 0))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A table of the application: later steps share its rows, and a lost executor costs a read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_bucketed(df: DataFrame, path: str, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Writes ``df`` in files by hash of ``key``, sorted by it, as the table ``name`` of the session's catalog.
+
+    Tables with equally many buckets are joined and grouped by the key without an exchange.  One task reads a
+    bucket, so this is for tables whose rows per key are bounded.  By default there are as many buckets as
+    shuffle partitions.
+    """
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, key).write.format("parquet").option("path", path).mode("overwrite")
+     .bucketBy(n, key).sortBy(key).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def in_partitions(partitions: list[tuple], columns: list[str]) -> Column:
     """Whether a row lies in one of the partitions; plain comparisons, which prune folders."""
     one = lambda values: reduce(lambda a, b: a & b, [F.col(c).isNull() if v is None else F.col(c) == v
