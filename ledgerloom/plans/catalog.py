@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.operators import curate, marts, months, quality, signals
+from ledgerloom.operators import curate, marts, merchants, months, quality, recurrence, signals, sketches
 from ledgerloom.plans import insights, messy, pipeline, upsert
 from ledgerloom.plans.lake import Lake
 from ledgerloom.session import scratch_path
@@ -340,6 +340,19 @@ def q_reference_merchant_lookup(spark, sf_dir):
     return assigned.groupBy("assigned_category").agg(F.count(F.lit(1)).alias("transactions"))
 
 
+@query("recurring_credits")
+def q_recurring_credits(spark, sf_dir):
+    return recurrence.recurring_credits(Lake(spark, sf_dir).txn())
+
+
+@query("quantile_sketches")
+def q_quantile_sketches(spark, sf_dir):
+    """Yearly quartiles of the amounts from stored monthly sketches, each checked against the transactions."""
+    txn = Lake(spark, sf_dir).txn()
+    monthly = tables.stored(sketches.monthly_sketches(txn, "amount", ["txn_year", "txn_month"]), "sketches")
+    return sketches.rank_check(txn, "amount", sketches.merged(monthly, ["txn_year"]), ["txn_year"])
+
+
 # ------------------------------------------------------------------ rules on input that triggers them
 
 @query("messy_clean")
@@ -386,6 +399,13 @@ def q_catalogue_lookup(spark, sf_dir):
     return signals.assign_categories(txn, dim).select("transaction_id", "merchant_name", "assigned_category")
 
 
+@query("longest_code_lookup")
+def q_longest_code_lookup(spark, sf_dir):
+    txn = messy.store_named(Lake(spark, sf_dir).txn())
+    rows = merchants.assign_by_code(txn, signals.reference_merchants(spark))
+    return rows.select("transaction_id", "merchant_name", "matched_code", "assigned_category")
+
+
 # ------------------------------------------------------------------ storage (S1-S12) and streaming
 
 LEDGER_SOURCE = "lineitem+orders+part+supplier"

@@ -73,3 +73,14 @@ def late_copies(tables: DriverTables, every: int) -> DataFrame:
         "transaction_date": F.date_format(F.col("transaction_date") - F.expr("INTERVAL 40 DAYS"), "yyyy-MM-dd HH:mm:ss")})
     return (rows.unionByName(rows.withColumn("transaction_date", F.lit(None).cast("string")))
             .unionByName(rows.filter(key % 4 == 0).withColumn("transaction_id", F.concat("transaction_id", F.lit("-late")))))
+
+
+def store_named(txn: DataFrame) -> DataFrame:
+    """Silver with merchants written as a ledger writes them, by the number in their name: a catalogue code with a
+    store's number and town, for every 44th the code with letters run on to it, and every 43rd keeps its own."""
+    codes = F.array(*[F.lit(code) for _category, _name, code in REFERENCE_MERCHANTS])
+    number = F.regexp_extract("merchant_name", "([0-9]+)$", 1).cast("int")
+    code = F.get(codes, number % (len(REFERENCE_MERCHANTS) + 1))
+    written = F.when(number % 44 == 7, F.concat(code, F.lit("X STORE"))).otherwise(
+        F.concat(code, F.lit("  "), F.lpad((number % 977).cast("string"), 4, "0"), F.lit(" SANDTON")))
+    return txn.withColumn("merchant_name", F.coalesce(written, F.col("merchant_name")))

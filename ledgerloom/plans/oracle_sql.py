@@ -13,6 +13,8 @@ by counts.
 
 from __future__ import annotations
 
+from ledgerloom.operators.signals import REFERENCE_MERCHANTS
+
 
 def ratio(a: str, b: str, scale: int, unit: int = 10000) -> str:
     """Exact HALF_UP rounding of ``a / b`` to ``scale`` decimals, as DOUBLE (NULL if b = 0).
@@ -547,3 +549,36 @@ ORACLE.update({
 SELECT customer_id, txn_year, count(DISTINCT merchant_name) AS unique_merchants, count(DISTINCT merchant_category) AS unique_categories
 FROM silver WHERE transaction_type = 'DEBIT' GROUP BY customer_id, txn_year"""),
 })
+
+_CODES = "[" + ", ".join("'" + code + "'" for _category, _name, code in REFERENCE_MERCHANTS) + "]"
+ORACLE.update({
+    "recurring_credits": _silver("""
+SELECT customer_id, amount_class, gaps + 1 AS days, gaps, mode AS interval,
+       CASE WHEN mode BETWEEN 6 AND 8 THEN 'weekly' WHEN mode BETWEEN 12 AND 16 THEN 'fortnightly' WHEN mode BETWEEN 26 AND 33 THEN 'monthly'
+            ELSE 'other' END AS rhythm,
+       near / gaps AS regularity, gaps >= 3 AND near * 100 >= gaps * 75 AS is_recurring
+FROM (
+  SELECT customer_id, amount_class, sum(n)::BIGINT AS gaps, any_value(mode) AS mode,
+         coalesce(sum(n) FILTER (abs(gap - mode) <= 3), 0)::BIGINT AS near
+  FROM (
+    SELECT *, first(gap) OVER (PARTITION BY customer_id, amount_class ORDER BY n DESC, gap) AS mode FROM (
+      SELECT customer_id, amount_class, gap, count(*) AS n FROM (
+        SELECT *, date_diff('day', lag(day) OVER (PARTITION BY customer_id, amount_class ORDER BY day), day)::INTEGER AS gap FROM (
+          SELECT DISTINCT customer_id, CAST(transaction_date AS DATE) AS day,
+                 (len(floor(amount)::DECIMAL(22,0)::VARCHAR) * 10 + left(floor(amount)::DECIMAL(22,0)::VARCHAR, 1)::INTEGER)::INTEGER AS amount_class
+          FROM silver WHERE transaction_type = 'CREDIT'))
+      WHERE gap IS NOT NULL GROUP BY ALL))
+  GROUP BY customer_id, amount_class)"""),
+    "quantile_sketches": _silver("""
+SELECT txn_year, p, count(*) AS n, TRUE AS within FROM silver, (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) q(p)
+WHERE amount IS NOT NULL GROUP BY txn_year, p"""),
+    "longest_code_lookup": with_ctes(silver_ctes(), f"""
+coded AS (SELECT code, min(category) AS category FROM (SELECT unnest({_CODES}) AS code, unnest([{', '.join("'" + c + "'" for c, _n, _k in REFERENCE_MERCHANTS)}]) AS category) GROUP BY code),
+written AS (
+  SELECT * REPLACE (coalesce(CASE WHEN num % 44 = 7 THEN {_CODES}[num % 43 + 1] || 'X STORE'
+      ELSE {_CODES}[num % 43 + 1] || '  ' || lpad((num % 977)::VARCHAR, 4, '0') || ' SANDTON' END, merchant_name) AS merchant_name)
+  FROM (SELECT *, CAST(regexp_extract(merchant_name, '([0-9]+)$', 1) AS BIGINT) AS num FROM silver))""", body="""
+SELECT transaction_id, merchant_name, code AS matched_code, coalesce(category, merchant_category) AS assigned_category FROM (
+  SELECT w.*, c.code, c.category, row_number() OVER (PARTITION BY transaction_id ORDER BY length(c.code) DESC) AS rn
+  FROM written w LEFT JOIN coded c ON w.merchant_name = c.code OR starts_with(w.merchant_name, c.code || ' ')) WHERE rn = 1"""),
+})
