@@ -21,7 +21,7 @@ from ledgerloom.operators import curate, marts, merchants, months, quality, recu
 from ledgerloom.plans import insights, messy, pipeline, upsert
 from ledgerloom.plans.lake import Lake
 from ledgerloom.session import scratch_path
-from ledgerloom.sources import contracts, landing, tables
+from ledgerloom.sources import contracts, evolution, landing, tables, zorder
 from ledgerloom.sources.bindings import DriverTables
 from ledgerloom.streaming.dedup_stream import dedup_stream
 from ledgerloom.streaming.landing_stream import land_stream
@@ -489,6 +489,7 @@ def q_quarantine_upsert(spark, sf_dir):
     return rows.select("transaction_id", "amount", "transaction_date", "reason")
 
 
+CLUSTERED_DAYS = ("1995-03-15", "1997-07-01")
 PRUNED_PERIOD = tables.last_months((1998, 12), 3)
 
 
@@ -500,6 +501,47 @@ def q_pruned_read(spark, sf_dir):
     return back.select("transaction_id", "customer_id", "amount", "txn_year", "txn_month", "txn_day")
 
 
+@query("contract_evolution")
+def q_contract_evolution(spark, sf_dir):
+    """Two batches as one table: the first without channel and in narrower types, the second with a column more."""
+    raw = Layers(spark, sf_dir).tables.raw_ledger().withColumn("customer_id", F.col("customer_id").cast("long"))
+    number = F.split("transaction_id", "-")[0].cast("long")
+    path = scratch_path(spark, "bronze")
+    first = raw.filter(number % 2 == 0).drop("channel").withColumns(
+        {"customer_id": F.col("customer_id").cast("int"), "amount": F.col("amount").cast("decimal(18,2)")})
+    second = raw.filter(number % 2 == 1).withColumns({"amount": F.col("amount").cast("decimal(22,4)"), "store": number % 7})
+    contract = evolution.land_evolving(first, path, "b1", first.schema, LEDGER_SOURCE)
+    contract = evolution.land_evolving(second, path, "b2", contract, LEDGER_SOURCE)
+    return evolution.read_evolved(spark, path, contract).select(
+        "transaction_id", "customer_id", "amount", "channel", "store", "_batch_id")
+
+
+@query("rescued_fields")
+def q_rescued_fields(spark, sf_dir):
+    """A CSV with a column that the contract doesn't know and amounts that it can't type."""
+    raw, path = Layers(spark, sf_dir).tables.raw_ledger(), scratch_path(spark, "csv")
+    number = F.split("transaction_id", "-")[0].cast("long")
+    text = raw.select("transaction_id", F.when(number % 5 == 0, "n/a").otherwise(F.col("amount").cast("string")).alias("amount"),
+                      F.when(number % 3 == 0, (number % 7).cast("string")).alias("store"))
+    tables.export_csv(text, path)
+    contract = StructType.fromDDL("transaction_id string, amount decimal(22,4), channel string")
+    rows = evolution.read_csv_rescued(spark, path, contract)
+    return rows.select("transaction_id", "amount", "channel", F.element_at(evolution.RESCUED, "amount").alias("amount_text"),
+                       F.element_at(evolution.RESCUED, "store").alias("store"))
+
+
+@query("clustered_read")
+def q_clustered_read(spark, sf_dir):
+    """Silver in Z-order of customer and day: all of two customers and all of two days are read back from it."""
+    txn = Lake(spark, sf_dir).txn().withColumn("day", F.to_date("transaction_date"))
+    path = scratch_path(spark, "clustered")
+    zorder.write_clustered(txn, path, ["customer_id", "day"])
+    back = tables.read_table(spark, path)
+    customers = back.filter(F.col("customer_id").isin(1, 100)).withColumn("asked", F.lit("customer"))
+    days = back.filter(F.col("day").isin(*[F.to_date(F.lit(d)) for d in CLUSTERED_DAYS])).withColumn("asked", F.lit("day"))
+    return customers.unionByName(days).select("asked", "transaction_id", "customer_id", "amount")
+
+
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")

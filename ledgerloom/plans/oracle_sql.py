@@ -582,3 +582,20 @@ SELECT transaction_id, merchant_name, code AS matched_code, coalesce(category, m
   SELECT w.*, c.code, c.category, row_number() OVER (PARTITION BY transaction_id ORDER BY length(c.code) DESC) AS rn
   FROM written w LEFT JOIN coded c ON w.merchant_name = c.code OR starts_with(w.merchant_name, c.code || ' ')) WHERE rn = 1"""),
 })
+
+_KEY = "CAST(split_part(transaction_id, '-', 1) AS BIGINT)"
+ORACLE.update({
+    "contract_evolution": with_ctes(RAW_LEDGER, body=f"""
+SELECT transaction_id, customer_id, CASE WHEN {_KEY} % 2 = 0 THEN CAST(CAST(amount AS DECIMAL(18,2)) AS DECIMAL(22,4)) ELSE amount END AS amount,
+       CASE WHEN {_KEY} % 2 = 1 THEN channel END AS channel, CASE WHEN {_KEY} % 2 = 1 THEN {_KEY} % 7 END AS store,
+       CASE WHEN {_KEY} % 2 = 0 THEN 'b1' ELSE 'b2' END AS _batch_id
+FROM raw_ledger"""),
+    "rescued_fields": with_ctes(RAW_LEDGER, body=f"""
+SELECT transaction_id, CASE WHEN {_KEY} % 5 <> 0 THEN amount END AS amount, CAST(NULL AS VARCHAR) AS channel,
+       CASE WHEN {_KEY} % 5 = 0 THEN 'n/a' END AS amount_text, CASE WHEN {_KEY} % 3 = 0 THEN CAST({_KEY} % 7 AS VARCHAR) END AS store
+FROM raw_ledger"""),
+    "clustered_read": _silver("""
+SELECT 'customer' AS asked, transaction_id, customer_id, amount FROM silver WHERE customer_id IN (1, 100)
+UNION ALL SELECT 'day', transaction_id, customer_id, amount FROM silver
+WHERE CAST(transaction_date AS DATE) IN (DATE '1995-03-15', DATE '1997-07-01')"""),
+})

@@ -112,22 +112,28 @@ def _last(landed: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return sorted(dict(landed).items())
 
 
-def _read(spark: SparkSession, bronze_path: str, chosen: list[tuple[str, str]], fmt: str) -> DataFrame:
-    """The chosen versions as one frame; batch ids are the text they are (partition discovery would turn 007 into 7)."""
+def _read(spark: SparkSession, bronze_path: str, chosen: list[tuple[str, str]], fmt: str, contract: StructType | None = None) -> DataFrame:
+    """The chosen versions as one frame, under ``contract`` if there is one (without, under the schema of one of them).
+
+    Batch ids are the text they are (partition discovery would turn 007 into 7)."""
     root = bronze_path.rstrip("/")
     if not chosen:
         raise ValueError(f"nothing has landed in {bronze_path}")
     paths = [f"{root}/{BATCH_COLUMN}={b}/{VERSION_COLUMN}={v}" for b, v in chosen]
     reader = spark.read.format(fmt).option("basePath", root)
     text = {BATCH_COLUMN, VERSION_COLUMN}
-    declared = StructType([StructField(f.name, StringType()) if f.name in text else f for f in reader.load(paths).schema.fields])
+    found = reader.load(paths).schema.fields
+    if contract is not None:
+        own = {f.name for f in contract.fields}
+        found = [*contract.fields, *(f for f in found if f.name not in own and f.name in (*text, *BRONZE_AUDIT))]
+    declared = StructType([StructField(f.name, StringType()) if f.name in text else f for f in found])
     rows = spark.read.format(fmt).option("basePath", root).schema(declared).load(paths)
     return require_schema(rows.drop(VERSION_COLUMN), list(BRONZE_AUDIT), "bronze table")
 
 
-def read_bronze(spark: SparkSession, bronze_path: str, fmt: str = "parquet") -> DataFrame:
+def read_bronze(spark: SparkSession, bronze_path: str, fmt: str = "parquet", contract: StructType | None = None) -> DataFrame:
     """The Bronze table as it is now, audit columns included: the last version of every batch."""
-    return _read(spark, bronze_path, _last(versions(spark, bronze_path)), fmt)
+    return _read(spark, bronze_path, _last(versions(spark, bronze_path)), fmt, contract)
 
 
 def read_batch(spark: SparkSession, bronze_path: str, batch_id: str, fmt: str = "parquet") -> DataFrame:
