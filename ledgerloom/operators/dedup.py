@@ -9,12 +9,27 @@ It is an aggregation, not a window: ``min(struct(...))`` is combined map-side
 before the shuffle, so a key repeated millions of times (a replayed batch, a
 default id) is reduced inside each map task instead of landing whole in one
 reducer.
+
+Columns whose type has no order (maps, variants) are compared by their JSON text.
+
+Whole rows travel through the aggregation.  The other way, a narrow winner per
+key first and then a join for the other columns, shuffles the narrow columns and
+then every whole row once more for the join, where this shuffles one whole row
+per key and map task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
+
+
+def orderable(kind: DataType) -> bool:
+    """Whether values of the type can be compared; maps and variants can't."""
+    if isinstance(kind, StructType):
+        return all(orderable(f.dataType) for f in kind.fields)
+    return orderable(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType))
 
 
 def keep_first(df: DataFrame, key: str | list[str], order_by: list[str | Column] | None = None) -> DataFrame:
@@ -27,6 +42,9 @@ def keep_first(df: DataFrame, key: str | list[str], order_by: list[str | Column]
     if not rest:
         return df.select(*keys).distinct()
     ranks = [x for i, c in enumerate(order) for x in (c.isNull().alias(f"n{i}"), c.alias(f"o{i}"))]
-    packed = F.struct(*ranks, *[x for i, c in enumerate(rest) for x in (F.col(c).isNull().alias(f"m{i}"), F.col(c).alias(f"f{i}"))])
-    winners = df.groupBy(*keys).agg(F.min(packed).alias("_w"))
+    plain = [orderable(df.schema[c].dataType) for c in rest]
+    ordered = [F.col(c) if ok else F.to_json(F.struct(c)) for c, ok in zip(rest, plain)]
+    packed = F.struct(*ranks, *[x for i, (c, o) in enumerate(zip(rest, ordered)) for x in (F.col(c).isNull().alias(f"m{i}"), o.alias(f"f{i}"))])
+    least = F.min(packed) if all(plain) else F.min_by(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(rest)]), packed)
+    winners = df.groupBy(*keys).agg(least.alias("_w"))
     return winners.select(*[F.col(c) if c in keys else F.col(f"_w.f{rest.index(c)}").alias(c) for c in df.columns])

@@ -1,10 +1,10 @@
 """Quality checks and source profiles.
 
 Per-column statistics are computed in one pass and unpivoted afterwards,
-frequency tables are grouped counts.  Quantiles are exact and distributed: a
-histogram of distinct values, ranked within buckets of a fixed logarithmic grid
-on top of the buckets' running totals (``ranks``) -- no sketch merged in one
-task, no collection of the values, and no job before the result is asked for.
+frequency tables are grouped counts.  Quantiles are exact and distributed: totals
+per bucket of a fixed logarithmic grid say where the asked ranks lie, and only
+the values in those buckets are ranked -- no collection of the values, and no job
+before the result is asked for.
 """
 
 from __future__ import annotations
@@ -59,68 +59,58 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
 GRID_PER_E = 64
 
 
-def histogram(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values with their counts (``_n``) and a bucket that never falls
-    when the value rises: a logarithmic grid on either side of zero.  Counts are
-    combined map-side, so a value held by a third of the rows is one row per task."""
+def _bucket(column: str) -> F.Column:
+    """A bucket that never falls when the value rises: a logarithmic grid on either side of zero."""
     x = F.col(column).cast("double")
     step = F.floor(F.log(F.abs(x)) * F.lit(float(GRID_PER_E))) + F.lit(1 << 20)   # positive for every double
-    bucket = F.when(x > 0, step).when(x < 0, -step).otherwise(F.lit(0)).cast("long")
-    return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n")).withColumn("_bucket", bucket)
+    return F.when(x > 0, step).when(x < 0, -step).otherwise(F.lit(0)).cast("long")
 
 
-def ranks(hist: DataFrame, column: str) -> DataFrame:
-    """The histogram with every value's last rank (``_cum``) and the number of rows (``_total``).
+def quantile_buckets(df: DataFrame, column: str, probs: tuple[float, ...]) -> DataFrame:
+    """One row (i, _bucket, _rank) per probability: the bucket that holds the value of rank ceil(p * n), and its rank in there.
 
-    Ranks are running counts within a bucket on top of the counts of the buckets
-    below; the grid has at most some 180,000 buckets over all doubles, whatever
-    the input, so the one-task window over bucket totals is bounded.
+    The grid has at most some 180,000 buckets over all doubles, whatever the
+    input, so the one-task window over bucket totals is bounded.
     """
+    totals = df.filter(F.col(column).isNotNull()).groupBy(_bucket(column).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
     below = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = hist.groupBy("_bucket").agg(F.sum("_n").alias("_bn")).select(
-        "_bucket", F.coalesce(F.sum("_bn").over(below), F.lit(0)).alias("_off"),
-        F.sum("_bn").over(Window.partitionBy()).alias("_total"))
-    running = Window.partitionBy("_bucket").orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return hist.join(offsets, "_bucket").withColumn("_cum", F.col("_off") + F.sum("_n").over(running))
-
-
-def _picks(column: str, probs: tuple[float, ...], names: tuple[str, ...]) -> list:
-    """Aggregates over ``ranks``: the value of rank ceil(p * n), in exact fractions."""
-    out = []
-    for p, name in zip(probs, names):
+    placed = totals.select("_bucket", "_n", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_off"),
+                           F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    asked = []
+    for i, p in enumerate(probs):
         frac = Fraction(str(p))
         k = int_div(F.col("_total") * F.lit(frac.numerator) + F.lit(frac.denominator - 1), F.lit(frac.denominator))
-        hit = (F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k)
-        out.append(F.min(F.when(hit, F.col(column))).alias(name))
-    return out
+        rank = F.greatest(k, F.lit(1).cast("long")) - F.col("_off")
+        asked.append(F.when((rank > 0) & (rank <= F.col("_n")), F.struct(F.lit(i).alias("i"), rank.alias("_rank"))))
+    return placed.select("_bucket", F.explode(F.array_compact(F.array(*asked))).alias("_a")).select("_bucket", "_a.i", "_a._rank")
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: tuple[float, ...] = (0.25, 0.5, 0.75),
                     names: tuple[str, ...] = ("p25", "p50", "p75")) -> DataFrame:
-    """Lower quantiles -- the value of rank ``ceil(p * n)`` -- computed exactly and
-    with no step that holds the data in one task.  One row, one column per ``p``."""
-    return ranks(histogram(df, column), column).agg(*_picks(column, probs, names))
+    """Lower quantiles -- the value of rank ``ceil(p * n)`` -- computed exactly.  One row, one column per ``p``.
+
+    Totals per bucket say which buckets hold the ranks asked for; only the values
+    in there are counted and ranked.  ``df`` is scanned twice, and what is
+    shuffled is bucket totals and the values of a few buckets, counted map-side.
+    """
+    asked = quantile_buckets(df, column, probs)                       # at most one row per probability
+    rows = df.filter(F.col(column).isNotNull()).select(column, _bucket(column).alias("_bucket"))
+    inside = rows.join(F.broadcast(asked.select("_bucket").distinct()), "_bucket").groupBy("_bucket", column).agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy("_bucket").orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inside.withColumn("_cum", F.sum("_n").over(running)).join(F.broadcast(asked), "_bucket")
+    hits = ranked.filter((F.col("_cum") >= F.col("_rank")) & (F.col("_cum") - F.col("_n") < F.col("_rank")))
+    return hits.agg(*[F.min(F.when(F.col("i") == i, F.col(column))).alias(name) for i, name in enumerate(names)])
 
 
 def quartile_profile(df: DataFrame, column: str, scale: int = 2) -> DataFrame:
     """Count, mean, std, min, 25/50/75 % and max of one column, rounded to
-    ``scale`` decimals (pandas ``describe().round(2)``), all from one histogram
-    and so from one scan (the two uses of the histogram share its exchange)."""
-    c, n = F.col(column), F.col("_n")
-    hist = histogram(df, column)
-    ranked = ranks(hist, column)
-    wide = F.sum(c.cast("decimal(34,4)") * n)
-    mean = hist.agg(F.sum(c.cast("double") * n) / F.sum("_n")).scalar()
-    moments = ranked.groupBy("_total").agg(
-        F.sum("_n").alias("count"), wide.alias("_sum"), F.min(c).alias("min"), F.max(c).alias("max"),
-        F.sum((c.cast("double") - mean) * (c.cast("double") - mean) * n).alias("_squares"),
-        *_picks(column, (0.25, 0.5, 0.75), ("p25", "p50", "p75")))
-    m = F.col("count").cast("double")
-    one = F.lit(1).alias("_one")
-    out = df.sparkSession.range(1).select(one).join(moments.withColumn("_one", F.lit(1)), "_one", "left")
-    return out.select(
-        F.coalesce("count", F.lit(0)).alias("count"), half_up_quotient("_sum", "count", scale).alias("mean"),
-        half_up(F.when(m > 1, F.sqrt(F.col("_squares") / (m - 1))), scale).alias("std"),
+    ``scale`` decimals (pandas ``describe().round(2)``)."""
+    c = F.col(column)
+    moments = df.agg(F.count(c).alias("count"), F.sum(c.cast("decimal(34,4)")).alias("_sum"), F.min(c).alias("min"),
+                     F.max(c).alias("max"), F.stddev_samp(c.cast("double")).alias("_std"), F.lit(1).alias("_one"))
+    picks = exact_quantiles(df, column).withColumn("_one", F.lit(1))
+    return moments.join(picks, "_one").select(                        # one row each
+        "count", half_up_quotient("_sum", "count", scale).alias("mean"), half_up(F.col("_std"), scale).alias("std"),
         *[F.col(x).cast("double").alias(x) for x in ("min", "p25", "p50", "p75", "max")])
 
 

@@ -542,6 +542,27 @@ def q_clustered_read(spark, sf_dir):
     return customers.unionByName(days).select("asked", "transaction_id", "customer_id", "amount")
 
 
+@query("landing_counts")
+def q_landing_counts(spark, sf_dir):
+    """The rows that each landing observed while it wrote, beside those that are there."""
+    driver, path = DriverTables(spark, sf_dir), scratch_path(spark, "bronze")
+    feeds = {"b1": driver.raw_ledger(), "b2": driver.raw_event_ledger(), "b3": driver.raw_event_ledger().limit(0)}
+    seen = {batch: landing.land(rows, path, batch, "driver") for batch, rows in feeds.items()}
+    counted = landing.read_bronze(spark, path).groupBy("_batch_id").agg(F.count(F.lit(1)).alias("counted"))
+    observed = spark.createDataFrame(list(seen.items()), "_batch_id string, observed long")
+    return observed.join(counted, "_batch_id", "left").select("_batch_id", "observed", F.coalesce("counted", F.lit(0)).alias("counted"))
+
+
+@query("layer_report")
+def q_layer_report(spark, sf_dir):
+    """Every layer's rows and contract columns, after its contract has been checked."""
+    lake = Lake(spark, sf_dir)
+    layers = {"silver_transactions": (lake.txn(), contracts.SILVER_TXN), "silver_customers": (lake.customers(), ["customer_id", "segment"]),
+              "gold_monthly": (lake.monthly_summary(), contracts.MONTHLY_SUMMARY)}
+    rows = [(name, tables.verify_layer(df, contract, name)["rows"], len(contract)) for name, (df, contract) in layers.items()]
+    return spark.createDataFrame(rows, "layer string, rows long, contract_columns int")
+
+
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")

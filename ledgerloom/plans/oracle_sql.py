@@ -599,3 +599,13 @@ SELECT 'customer' AS asked, transaction_id, customer_id, amount FROM silver WHER
 UNION ALL SELECT 'day', transaction_id, customer_id, amount FROM silver
 WHERE CAST(transaction_date AS DATE) IN (DATE '1995-03-15', DATE '1997-07-01')"""),
 })
+
+ORACLE.update({
+    "landing_counts": """
+SELECT 'b1' AS _batch_id, count(*) AS observed, count(*) AS counted FROM lineitem
+UNION ALL SELECT 'b2', count(*), count(*) FROM events UNION ALL SELECT 'b3', 0, 0""",
+    "layer_report": _monthly("""
+SELECT 'silver_transactions' AS layer, count(*) AS rows, 12 AS contract_columns FROM silver
+UNION ALL SELECT 'silver_customers', count(*), 2 FROM customers_silver
+UNION ALL SELECT 'gold_monthly', count(*), 14 FROM monthly""").replace("WITH ", "WITH " + CUSTOMERS.strip() + ",", 1),
+})

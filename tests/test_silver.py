@@ -158,3 +158,12 @@ def test_calendar_parts_do_not_follow_the_session_zone(spark, raw_txn):
         assert (r.txn_month, r.txn_day, r.txn_hour) == (1, 31, 23)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_dedup_of_rows_with_maps_and_variants(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, 2, map('b', 1), parse_json('{"x": 2}'), array(map('k', 1))),
+        (1, 2, map('a', 9), parse_json('{"x": 1}'), array(map('k', 2))), (1, 3, map('a', 0), parse_json('0'), NULL),
+        (2, NULL, NULL, NULL, NULL), (2, 1, NULL, NULL, NULL) AS t(id, n, m, v, a)""")
+    for parts in (1, 5):
+        got = {r.id: r for r in keep_first(df.repartition(parts), "id", ["n"]).selectExpr("*", "to_json(v) AS j").collect()}
+        assert (got[1].n, got[1].m, got[1].j, got[1].a) == (2, {"a": 9}, '{"x":1}', [{"k": 2}]) and got[2].n == 1
