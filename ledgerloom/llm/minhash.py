@@ -19,12 +19,15 @@ turned into n^2 pairs:
    largest buckets overall (the one nearest to the group's common text).
    Confirmed links give components.
 2. What a star leaves open are pairs of one bucket that lie in different
-   components.  All of these are tried, each once (in its first common band),
-   if their sizes allow the threshold and their estimate is within ``margin`` of it.
+   components.  All of these are tried, each once (in its first common band).
 
-Every link is confirmed on the full sets: 100 * intersection >= percent * union,
-with a ``percent`` of 85 unless the caller gives another.  So within the candidates
-of the bands the components are exact, without any cap.
+In both steps a pair goes on if its sizes allow the threshold and its estimate
+is within ``margin`` of it, and every link is confirmed on the full sets:
+100 * intersection >= percent * union, with a ``percent`` of 85 unless the caller
+gives another.  There is no cap.  What can be lost is a pair at the threshold
+without a common key (MISS) or with an estimate of DEVIATIONS standard deviations
+too low, about one in 10^9; a document is lost to its component only if that
+holds for all of its links.
 
 Defined cases: null or empty text, or text without words, has an empty set
 (n_shingles 0), is linked with nothing and kept; null doc_ids are never a
@@ -52,6 +55,7 @@ from ledgerloom.llm.text import LOWER, PRIME, hashes, mix, slices, spans, window
 SHINGLE = 5
 HASHES, BITS = 512, 2
 BAND_ROWS, MISS = 6, 2e-6
+DEVIATIONS = 6
 LANES = HASHES * BITS // 64
 PERCENT = 85
 CHANCE = 2.0 ** -BITS
@@ -69,9 +73,9 @@ def bands(percent: int) -> int:
 
 
 def margin(percent: int) -> float:
-    """Four standard deviations of the estimate at the threshold."""
+    """DEVIATIONS standard deviations of the estimate at the threshold."""
     match = CHANCE + (1 - CHANCE) * percent / 100
-    return 4 * (match * (1 - match) / HASHES) ** 0.5 / (1 - CHANCE)
+    return DEVIATIONS * (match * (1 - match) / HASHES) ** 0.5 / (1 - CHANCE)
 
 
 # ------------------------------------------------------------------ sets and signatures, in Arrow batches
@@ -195,6 +199,12 @@ def estimate(a: Column, b: Column) -> Column:
     return (equal / HASHES - CHANCE) / (1 - CHANCE)
 
 
+def possible(percent: int) -> Column:
+    """Whether the rows a and b (n_shingles, lanes) may be a pair, by their sizes and their estimate."""
+    sizes = [F.col(f"{x}.n_shingles") * 100 >= F.col(f"{y}.n_shingles") * percent for x, y in ("ab", "ba")]
+    return sizes[0] & sizes[1] & (estimate(F.col("a.lanes"), F.col("b.lanes")) >= percent / 100 - margin(percent))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("a_items"))
@@ -222,7 +232,10 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
     hubs = members.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
     stars = members.join(hubs, "key").filter("node <> hub").select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    first = store(confirmed(stars, sets, percent), "links")
+    lanes = classes.select("node", "n_shingles", "lanes")
+    a, b = lanes.alias("a"), lanes.alias("b")
+    likely = stars.alias("s").join(a, F.col("s.a") == F.col("a.node")).join(b, F.col("s.b") == F.col("b.node")).filter(possible(percent))
+    first = store(confirmed(likely.select("s.a", "s.b"), sets, percent), "links")
     roots = components(first)
 
     lanes = classes.select("node", "lanes", "bands")
@@ -232,8 +245,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
     rest = store(named.join(mixed, "key").join(lanes, "node"), "rest")
     a, b = rest.alias("a"), rest.alias("b")
     meets = (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
-    meets &= (F.col("a.n_shingles") * 100 >= F.col("b.n_shingles") * percent) & (F.col("b.n_shingles") * 100 >= F.col("a.n_shingles") * percent)
-    meets &= estimate(F.col("a.lanes"), F.col("b.lanes")) >= percent / 100 - margin(percent)
+    meets &= possible(percent)
     same = F.zip_with(F.col("a.bands"), F.col("b.bands"), lambda x, y: x == y)
     meets &= F.array_position(same, F.lit(True)) == F.col("a.band") + 1
     pairs = a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
