@@ -283,7 +283,8 @@ def duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: all without words, and of every component one row.
 
-    It is the row with the component's own id; of equal ids the lowest fingerprint, of repeated rows any one.
+    It is the row with the component's own id; of equal ids the lowest fingerprint; of rows with equal ids and
+    sets the least text, then the least of the other columns (by their JSON text).
     """
     rows, named = grouped(docs, percent)
     best = rows.filter("n_shingles > 0").select("doc_id", "node").join(named, "node").groupBy("root").agg(
@@ -299,5 +300,9 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     marked = map_rows(docs, run, [T.StructField("__node__", T.LongType())])
     marked = marked.withColumn("__key__", F.concat_ws("/", "__node__", F.col("doc_id").cast("long")))
-    own = marked.filter("__node__ IS NOT NULL").join(keep, "__key__", "left_semi").dropDuplicates(["__key__"])
-    return marked.filter("__node__ IS NULL").unionByName(own).drop("__node__", "__key__")
+    own = marked.filter("__node__ IS NOT NULL").join(keep, "__key__", "left_semi")
+    own = own.select(*marked.columns).toDF(*[f"c{i}" for i in range(len(marked.columns))])
+    row = [F.col(f"c{i}") for i in range(len(docs.columns))]
+    order = F.struct(row[text], F.to_json(F.struct(*[c for i, c in enumerate(row) if i != text])))
+    one = own.groupBy(own.columns[-1]).agg(F.min_by(F.struct(*row), order).alias("r")).select("r.*").toDF(*docs.columns)
+    return marked.filter("__node__ IS NULL").drop("__node__", "__key__").unionByName(one)

@@ -70,3 +70,13 @@ def test_itq_recall_with_a_common_direction(spark, share):
     near = (x @ x.T >= 0.98) & ~np.eye(len(x), dtype=bool)
     got = [r.n_links for r in itq.near_vectors(df).collect()]
     assert near.sum() >= len(x) and 0.96 * near.sum() <= sum(got) <= near.sum()
+
+
+def test_the_survivor_is_the_same_on_every_run(spark):
+    """Rows with one doc_id and equal sets but different texts, and rows that differ in other columns only."""
+    rows = [(1, "A b  c d e f", "x", {"k": 1}), (1, "a b c d e f", "x", {"k": 2}), (1, "A b  c d e f", "w", {"k": 0}), (2, "a B c d e f", "a", None),
+            (3, None, "n", None), (4, "other words altogether here now", "z", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, node map<string,int>")
+    seen = {tuple(sorted(str(r) for r in minhash.deduplicate(df.repartition(n)).collect())) for n in (1, 2, 5, 7)}
+    assert len(seen) == 1 and len(next(iter(seen))) == 3
+    assert "A b  c d e f" in str(seen) and "'w'" in str(seen)
