@@ -73,16 +73,17 @@ def month_channels(txn: DataFrame) -> DataFrame:
     return rows.groupBy(*MONTH).agg(F.array_sort(F.collect_list(F.struct("channel", "n"))).alias("channels"))
 
 
-def customer_months(txn: DataFrame, numbers: dict[str, DataFrame], ties: str = "one") -> DataFrame:
+def customer_months(txn: DataFrame, numbers: dict[str, DataFrame], ties: str = "one", summary: DataFrame | None = None) -> DataFrame:
     """K3 with what merges: the exact spend, the sets of SETS and the channels of every customer-month with debits.
 
+    ``summary`` is the stored monthly summary (made with the same ``ties``); without it the summary is computed here.
     With ``ties="all"`` a month of tied categories has several rows; those but the first carry nothing that adds up.
     """
     exact = debits(txn).groupBy(*MONTH).agg(F.sum("amount").alias("spend"))
     state = exact.join(month_channels(txn), MONTH)
     for name, column in SETS.items():
         state = state.join(month_sets(txn, column, numbers[name], name), MONTH, "left")
-    summary = marts.monthly_summary(txn, ties)
+    summary = marts.monthly_summary(txn, ties) if summary is None else summary
     if ties == "one":
         return summary.join(state, MONTH)
     first = summary.groupBy(*MONTH).agg(F.min("top_category").alias("_first"))

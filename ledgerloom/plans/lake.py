@@ -97,7 +97,8 @@ class Lake:
 
     def customer_months(self) -> DataFrame:
         """Gold customer months that merge, and customers, in the same buckets by customer."""
-        return self._bucketed("gold-customer-months", lambda: months.customer_months(self.txn(), self.numbers()))
+        return self._bucketed("gold-customer-months", lambda: months.customer_months(
+            self.txn(), self.numbers(), summary=self.monthly_summary()))
 
     def bucketed_customers(self) -> DataFrame:
         return self._bucketed("silver-customers-bucketed", self.customers)
