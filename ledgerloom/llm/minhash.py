@@ -301,7 +301,7 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     marked = map_rows(docs, run, [T.StructField("__node__", T.LongType())])
     marked = marked.withColumn("__key__", F.concat_ws("/", "__node__", F.col("doc_id").cast("long")))
     own = marked.filter("__node__ IS NOT NULL").join(keep, "__key__", "left_semi")
-    own = own.select(*marked.columns).toDF(*[f"c{i}" for i in range(len(marked.columns))])
+    own = own.select(*[F.col(f"`{c}`") for c in marked.columns]).toDF(*[f"c{i}" for i in range(len(marked.columns))])
     row = [F.col(f"c{i}") for i in range(len(docs.columns))]
     order = F.struct(row[text], F.to_json(F.struct(*[c for i, c in enumerate(row) if i != text])))
     one = own.groupBy(own.columns[-1]).agg(F.min_by(F.struct(*row), order).alias("r")).select("r.*").toDF(*docs.columns)
