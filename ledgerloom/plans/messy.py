@@ -17,6 +17,9 @@ FAULTY_AMOUNTS = [("100000000000000000", 23, 1), ("0.004", 23, 2), ("0.00001", 2
                   ("n/a", 23, 5), ("-3.50", 23, 6), ("", 23, 7)]
 
 
+LATE_YEAR = 1997
+
+
 def messy_ledger(tables: DriverTables) -> DataFrame:
     """The ledger as text.  Per order key: faulty amounts (FAULTY_AMOUNTS); a
     missing date (mod 29 = 1), a missing customer (29 = 2) and a missing channel
@@ -63,12 +66,12 @@ def catalogue_named(txn: DataFrame) -> DataFrame:
 
 
 def late_copies(tables: DriverTables, every: int) -> DataFrame:
-    """A later batch of the ledger as text, for order keys divisible by ``every``: each row 40 days earlier, a copy
-    without a date, and for order keys divisible by 4 also a transaction of a new id."""
+    """A later batch of the ledger as text, for the orders of LATE_YEAR with keys divisible by ``every``: each row 40 days
+    earlier, a copy without a date, and for order keys divisible by 4 also a transaction of a new id."""
     key = F.split("transaction_id", "-")[0].cast("long")
     ledger = ledger_from_tpch(unique_lines(tables.table("lineitem")), tables.table("orders"),
                               tables.table("part"), tables.table("supplier"))
-    rows = ledger.filter(key % every == 0).withColumns({
+    rows = ledger.filter((key % every == 0) & (F.year("transaction_date") == LATE_YEAR)).withColumns({
         "customer_id": F.col("customer_id").cast("string"), "amount": F.col("amount").cast("string"),
         "transaction_date": F.date_format(F.col("transaction_date") - F.expr("INTERVAL 40 DAYS"), "yyyy-MM-dd HH:mm:ss")})
     return (rows.unionByName(rows.withColumn("transaction_date", F.lit(None).cast("string")))

@@ -528,7 +528,7 @@ LATE = MESSY.replace("raw_ledger AS (", "first_batch AS (", 1) + """,
 late AS (
   SELECT transaction_id, CAST(customer_id AS VARCHAR) AS customer_id,
          strftime(transaction_date - INTERVAL 40 DAY, '%Y-%m-%d %H:%M:%S') AS transaction_date, CAST(amount AS VARCHAR) AS amount,
-         transaction_type, merchant_name, merchant_category, channel, k FROM keyed WHERE k % 10 = 0),
+         transaction_type, merchant_name, merchant_category, channel, k FROM keyed WHERE k % 10 = 0 AND year(transaction_date) = 1997),
 raw_ledger AS (
   SELECT * FROM first_batch UNION ALL SELECT * EXCLUDE (k) FROM late
   UNION ALL SELECT * EXCLUDE (k) REPLACE (CAST(NULL AS VARCHAR) AS transaction_date) FROM late
