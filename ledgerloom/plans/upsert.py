@@ -12,6 +12,9 @@ rebuild would, from the batch and the survivors' id column:
 3. the months in which changed ids stand, or stood, are rewritten in the
    survivors, in Silver and in the quarantine (``tables.replace_partitions``).
 
+The tables keep their columns: one that a batch brings and the survivors lack waits
+in Bronze for the next full build, one that the batch lacks is NULL.
+
 A run that is killed can be run again: what is replaced is found in every table
 by the ids that stand there, not remembered.  The months are the only thing that
 reaches the driver, a row per month touched.

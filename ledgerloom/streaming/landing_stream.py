@@ -40,8 +40,10 @@ def land_batches(stream: DataFrame, bronze_path: str, checkpoint: str,
     epochs: list[int] = []
 
     def _land(batch: DataFrame, epoch: int) -> None:
-        # The query's id, which its checkpoint keeps from before the first batch on.
-        stream_id = batch.sparkSession.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+        # The query's id, the same for all runs of a checkpoint; Spark hands it to the thread that runs the batch.
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream_id:
+            raise RuntimeError("a micro-batch without the id of its query")
         land(change(batch) if change else batch, bronze_path, epoch_batch_id(stream_id, epoch))
         epochs.append(epoch)
 

@@ -118,12 +118,21 @@ def test_a_killed_run_is_made_good_by_the_next(spark, raw_txn, layout, monkeypat
     same_as_rebuild(spark, layout)
 
 
-def test_a_batch_with_a_new_column_and_no_rows(spark, raw_txn, layout):
+def test_a_batch_without_rows(spark, raw_txn, layout):
     land(layout, raw_txn([]), "b3")
     assert upsert.upsert_silver(spark, layout, "b3").months == []
     same_as_rebuild(spark, layout)
 
 
+def test_a_batch_with_other_columns(spark, raw_txn, layout):
+    rows = raw_txn([txn_row("t20", "c2", "2024-06-02 10:00:00", "1.00")])
+    land(layout, rows.drop("channel").withColumn("store", rows.transaction_id), "b4")
+    upsert.upsert_silver(spark, layout, "b4")
+    silver = tables.read_table(spark, layout.path("silver", "transactions"))
+    new = silver.filter("transaction_id = 't20'").first()
+    assert new.channel is None and "store" not in silver.columns and silver.count() == 6
+
+
 def test_gold_months_follow(spark, raw_txn, layout):
     pipeline.build_gold(spark, layout)
     land(layout, raw_txn(LATE), "b2")
