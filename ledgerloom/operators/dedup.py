@@ -36,15 +36,19 @@ def keep_first(df: DataFrame, key: str | list[str], order_by: list[str | Column]
     """One row per ``key``: the smallest by ``order_by`` (names or expressions, ascending, NULLs
     last), then by every other column.  Column order of ``df`` is preserved."""
     keys = [key] if isinstance(key, str) else list(key)
-    order = [F.col(c) if isinstance(c, str) else c for c in (order_by or [])
-             if not isinstance(c, str) or (c in df.columns and c not in keys)]
+    named = [c for c in (order_by or []) if not isinstance(c, str) or (c in df.columns and c not in keys)]
+    order = [F.col(c) if isinstance(c, str) else c for c in named]
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
     ranks = [x for i, c in enumerate(order) for x in (c.isNull().alias(f"n{i}"), c.alias(f"o{i}"))]
     plain = [orderable(df.schema[c].dataType) for c in rest]
     ordered = [F.col(c) if ok else F.to_json(F.struct(c)) for c, ok in zip(rest, plain)]
-    packed = F.struct(*ranks, *[x for i, (c, o) in enumerate(zip(rest, ordered)) for x in (F.col(c).isNull().alias(f"m{i}"), o.alias(f"f{i}"))])
+    # Where the whole row is compared, a column that ranks by itself travels once, as its rank.
+    field = {c: f"o{i}" for i, c in enumerate(named) if isinstance(c, str)} if all(plain) else {}
+    packed = F.struct(*ranks, *[x for i, (c, o) in enumerate(zip(rest, ordered)) if c not in field
+                                for x in (F.col(c).isNull().alias(f"m{i}"), o.alias(f"f{i}"))])
+    field = {c: field.get(c, f"f{i}") for i, c in enumerate(rest)}
     least = F.min(packed) if all(plain) else F.min_by(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(rest)]), packed)
     winners = df.groupBy(*keys).agg(least.alias("_w"))
-    return winners.select(*[F.col(c) if c in keys else F.col(f"_w.f{rest.index(c)}").alias(c) for c in df.columns])
+    return winners.select(*[F.col(c) if c in keys else F.col(f"_w.{field[c]}").alias(c) for c in df.columns])

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.casts import MONEY
 from ledgerloom.operators.dedup import keep_first
+from ledgerloom.session import small_tasks
 
 # The event ledger's channel for JSON ``k`` modulo 4, in this order.
 EVENT_CHANNELS = ["POS", "MOBILE", "ONLINE", "ATM"]
@@ -138,6 +139,7 @@ class DriverTables:
     """Lazy access to one scale-factor directory and its canonical views."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        small_tasks(spark)
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
