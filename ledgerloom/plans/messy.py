@@ -38,9 +38,13 @@ def messy_ledger(tables: DriverTables) -> DataFrame:
         F.concat(F.lower("merchant_name"), F.lit("  ")).alias("merchant_name"),
         F.upper("merchant_category").alias("merchant_category"),
         F.when(key % 29 != 3, F.col("channel")).alias("channel"))
-    dateless = rows.filter(key % 3 == 0).withColumn("transaction_date", F.lit(None).cast("string"))
-    numberless = rows.filter(key % 3 == 1).withColumn("amount", F.lit("?"))
-    return rows.unionByName(dateless).unionByName(numberless)
+    # Copies are made of the finished row, so the tables are read, de-duplicated and joined once.
+    copies = F.when(key % 3 == 0, F.array(F.lit("row"), F.lit("dateless"))).when(
+        key % 3 == 1, F.array(F.lit("row"), F.lit("numberless"))).otherwise(F.array(F.lit("row")))
+    copied = rows.withColumn("_copy", F.explode(copies))
+    return copied.withColumns({
+        "transaction_date": F.when(F.col("_copy") != "dateless", F.col("transaction_date")),
+        "amount": F.when(F.col("_copy") == "numberless", F.lit("?")).otherwise(F.col("amount"))}).drop("_copy")
 
 
 def messy_customers(tables: DriverTables) -> DataFrame:
@@ -74,8 +78,13 @@ def late_copies(tables: DriverTables, every: int) -> DataFrame:
     rows = ledger.filter((key % every == 0) & (F.year("transaction_date") == LATE_YEAR)).withColumns({
         "customer_id": F.col("customer_id").cast("string"), "amount": F.col("amount").cast("string"),
         "transaction_date": F.date_format(F.col("transaction_date") - F.expr("INTERVAL 40 DAYS"), "yyyy-MM-dd HH:mm:ss")})
-    return (rows.unionByName(rows.withColumn("transaction_date", F.lit(None).cast("string")))
-            .unionByName(rows.filter(key % 4 == 0).withColumn("transaction_id", F.concat("transaction_id", F.lit("-late")))))
+    copies = F.when(key % 4 == 0, F.array(F.lit("row"), F.lit("dateless"), F.lit("late"))).otherwise(
+        F.array(F.lit("row"), F.lit("dateless")))
+    copied = rows.withColumn("_copy", F.explode(copies))
+    return copied.withColumns({
+        "transaction_date": F.when(F.col("_copy") != "dateless", F.col("transaction_date")),
+        "transaction_id": F.when(F.col("_copy") == "late", F.concat("transaction_id", F.lit("-late"))).otherwise(
+            F.col("transaction_id"))}).drop("_copy")
 
 
 def store_named(txn: DataFrame) -> DataFrame:
