@@ -24,7 +24,7 @@ are exact HALF_UP roundings (``half_up_quotient``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import month_index
@@ -112,26 +112,27 @@ def monthly_summary(txn: DataFrame, ties: str = "one", stamp: bool = False,
 
     ``ties="one"`` (default) keeps one top category, the smallest on ties;
     ``ties="all"`` reproduces ``rank() == 1``: a month repeats once per category
-    tied for the highest spend, by a join of the months with their category
-    totals.
+    tied for the highest spend; the month's measures are a window over its
+    category totals, which are made and shuffled once.
     """
     if ties not in ("one", "all"):
         raise ValueError("ties must be 'one' or 'all'")
     cats = _category_totals(txn, month_end_from)
     has_debit = F.col("n_debits") > 0
-    months = cats.groupBy(*MONTH).agg(
-        F.sum("spend").alias("spend"), F.sum("n_debits").alias("debit_txn_count"), F.max("max_spend").alias("max_spend"),
-        F.sum("month_end").alias("month_end"), F.sum("income").alias("income"), F.sum("n_credits").alias("n_credits"),
-        F.min(F.when(has_debit, F.struct((-F.col("spend")).alias("v"), F.col("merchant_category").alias("label")))).alias("_top"),
-    ).filter("debit_txn_count > 0")
-    merchants = debits(txn).groupBy(*MONTH).agg(F.count_distinct("merchant_name").alias("unique_merchants"))
-    joined = months.join(merchants, MONTH)
+    measures = {
+        "spend": F.sum("spend"), "debit_txn_count": F.sum("n_debits"), "max_spend": F.max("max_spend"),
+        "month_end": F.sum("month_end"), "income": F.sum("income"), "n_credits": F.sum("n_credits"),
+        "_top": F.min(F.when(has_debit, F.struct((-F.col("spend")).alias("v"), F.col("merchant_category").alias("label"))))}
     if ties == "all":
-        tops = cats.filter(has_debit).select(*MONTH, F.col("spend").alias("_cat"), F.col("merchant_category").alias("top_category"))
-        joined = joined.join(tops, MONTH).filter(F.col("_cat") == -F.col("_top.v"))
+        month = Window.partitionBy(*MONTH)
+        months = cats.select(*MONTH, *[m.over(month).alias(name) for name, m in measures.items()], has_debit.alias("_debit"),
+                             F.col("spend").alias("_cat"), F.col("merchant_category").alias("top_category"))
+        months = months.filter(F.col("_debit") & (F.col("_cat") == -F.col("_top.v"))).drop("_debit", "_cat")
     else:
-        joined = joined.withColumn("top_category", F.col("_top.label"))
-    out = joined.select(
+        months = cats.groupBy(*MONTH).agg(*[m.alias(name) for name, m in measures.items()]).filter("debit_txn_count > 0")
+        months = months.withColumn("top_category", F.col("_top.label"))
+    merchants = debits(txn).groupBy(*MONTH).agg(F.count_distinct("merchant_name").alias("unique_merchants"))
+    out = months.join(merchants, MONTH).select(
         *MONTH, F.col("spend").cast("double").alias("total_spend"), "debit_txn_count", "unique_merchants",
         exact_mean("spend", "debit_txn_count").alias("avg_txn_amount"),
         F.col("max_spend").cast("double").alias("max_txn_amount"),

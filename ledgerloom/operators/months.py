@@ -68,9 +68,12 @@ def month_sets(txn: DataFrame, column: str, numbers: DataFrame, name: str) -> Da
 
 
 def month_channels(txn: DataFrame) -> DataFrame:
-    """Per customer-month the debits of every channel, as an array of (channel, n)."""
-    rows = debits(txn).groupBy(*MONTH, "channel").agg(F.count(F.lit(1)).alias("n"))
-    return rows.groupBy(*MONTH).agg(F.array_sort(F.collect_list(F.struct("channel", "n"))).alias("channels"))
+    """Per customer-month the exact spend, and the debits of every channel as an array of (channel, n)."""
+    money = F.sum("amount")
+    rows = debits(txn).groupBy(*MONTH, "channel").agg(F.count(F.lit(1)).alias("n"), money.alias("_spend"))
+    kind = rows.schema["_spend"].dataType
+    return rows.groupBy(*MONTH).agg(F.sum("_spend").cast(kind).alias("spend"),
+                                    F.array_sort(F.collect_list(F.struct("channel", "n"))).alias("channels"))
 
 
 def customer_months(txn: DataFrame, numbers: dict[str, DataFrame], ties: str = "one", summary: DataFrame | None = None) -> DataFrame:
@@ -79,8 +82,7 @@ def customer_months(txn: DataFrame, numbers: dict[str, DataFrame], ties: str = "
     ``summary`` is the stored monthly summary (made with the same ``ties``); without it the summary is computed here.
     With ``ties="all"`` a month of tied categories has several rows; those but the first carry nothing that adds up.
     """
-    exact = debits(txn).groupBy(*MONTH).agg(F.sum("amount").alias("spend"))
-    state = exact.join(month_channels(txn), MONTH)
+    state = month_channels(txn).filter(F.col("customer_id").isNotNull() & F.col("txn_year").isNotNull() & F.col("txn_month").isNotNull())
     for name, column in SETS.items():
         state = state.join(month_sets(txn, column, numbers[name], name), MONTH, "left")
     summary = marts.monthly_summary(txn, ties) if summary is None else summary
