@@ -19,7 +19,15 @@ turned into n^2 pairs:
    largest buckets overall (the one nearest to the group's common text).
    Confirmed links give components.
 2. What a star leaves open are pairs of one bucket that lie in different
-   components.  All of these are tried, each once (in its first common band).
+   components.  The classes of such a bucket are taken as their symmetric
+   differences from one reference set, the class with the largest buckets in the
+   component of the bucket's hub.  With d the size of a difference, two sets x, y
+   are linked if their differences share at least c elements, where
+   2 c = d(x) + d(y) - (|x| + |y|) * (100 - percent) / (100 + percent), and c is
+   over 0 unless both are linked with the reference itself.  So with the elements
+   in one order, those seldom shared first, linked sets share one of the first
+   d(x) - c + 1 and d(y) - c + 1.  Only pairs that do are tried: copies of one
+   text with changes of their own share nothing there, however many they are.
 
 In both steps a pair goes on if its sizes allow the threshold and its estimate
 is within ``margin`` of it, and every link is confirmed on the full sets:
@@ -50,6 +58,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.llm.common import map_rows, store
 from ledgerloom.llm.graph import components
+from ledgerloom.llm.spread import spread_join
 from ledgerloom.llm.text import LOWER, PRIME, hashes, mix, slices, spans, windows
 
 SHINGLE = 5
@@ -214,6 +223,45 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(common * 100 >= union * percent).select("a", "b")
 
 
+def differences(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rest`` (node, ref and more) with n and ref_n, the sizes of both sets, and apart, the elements that only one of them has."""
+    own = rest.join(sets, "node")
+    refs = sets.select(F.col("node").alias("ref"), F.col("items").alias("ref_items"))
+    both = spread_join(own, refs, ["ref"], F.xxhash64("node"))
+    apart = F.concat(F.array_except("items", "ref_items"), F.array_except("ref_items", "items"))
+    return store(both.select(*rest.columns, F.size("items").cast("long").alias("n"),
+                             F.size("ref_items").cast("long").alias("ref_n"), apart.alias("apart")), "differences")
+
+
+def meeting(apart: DataFrame, lanes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of different roots and one ref that may be linked by the first common element of their differences.
+
+    With the elements of a difference in one order per ref, ``left`` of them from a common one on, a linked pair has
+    2 * left >= d + other d - (n + other n) * far / all at its first common one, on both sides.
+    """
+    far, every = 100 - percent, 100 + percent
+    each = apart.select("node", "root", "ref", F.explode("apart").alias("item"))
+    shared = each.groupBy("ref", "item").agg(F.count(F.lit(1)).alias("holders"), F.min("root").alias("least"), F.max("root").alias("most"))
+    shared = shared.filter("least <> most").select("ref", "item", "holders")
+    # Elements within one root join nothing; they are first in the order and go no further.
+    last = each.select("node", "ref", "item").join(shared, ["ref", "item"]).groupBy("node", "ref").agg(
+        F.array_sort(F.collect_list(F.struct("holders", "item"))).alias("last"))
+    rows = apart.withColumn("d", F.size("apart").cast("long")).drop("apart").join(last, ["node", "ref"])
+    rows = rows.select("*", F.posexplode("last")).withColumn("left", F.size("last") - F.col("pos")).withColumn("item", F.col("col.item"))
+    # Who is in the ref's component meets only sets that are not linked with the ref; of others, sizes and the
+    # triangle say how far the differences' sizes are apart.
+    inside = (2 * F.col("left") - F.col("d")) * every >= (F.col("ref_n") - F.col("n")) * far
+    outside = (F.col("d") - F.col("left")) * percent <= F.col("n") * far
+    rows = rows.filter(F.when(F.col("root") == F.col("ref_root"), inside).otherwise(outside))
+    rows = rows.select("node", "root", "ref", "item", "n", "d", "left").join(lanes, "node")
+    a, b = rows.alias("a"), rows.alias("b")
+    meets = (F.col("a.ref") == F.col("b.ref")) & (F.col("a.item") == F.col("b.item")) & (F.col("a.node") < F.col("b.node"))
+    meets &= F.col("a.root") != F.col("b.root")
+    meets &= (2 * F.least("a.left", "b.left") - F.col("a.d") - F.col("b.d")) * every + (F.col("a.n") + F.col("b.n")) * far >= 0
+    meets &= possible(percent)
+    return a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+
+
 def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """(node, root) of the linked classes; None without any.  ``classes``: node, rep, n_shingles, bands, lanes."""
     keys = classes.filter("n_shingles > 0").select("node", "n_shingles", F.posexplode("bands").alias("band", "key"))
@@ -238,18 +286,17 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
     first = store(confirmed(likely.select("s.a", "s.b"), sets, percent), "links")
     roots = components(first)
 
-    lanes = classes.select("node", "lanes", "bands")
-    named = members.select("key", "band", "node", "n_shingles").join(roots, "node", "left").withColumn(
-        "root", F.coalesce("root", "node"))
-    mixed = named.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("key")
-    rest = store(named.join(mixed, "key").join(lanes, "node"), "rest")
-    a, b = rest.alias("a"), rest.alias("b")
-    meets = (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
-    meets &= possible(percent)
-    same = F.zip_with(F.col("a.bands"), F.col("b.bands"), lambda x, y: x == y)
-    meets &= F.array_position(same, F.lit(True)) == F.col("a.band") + 1
-    pairs = a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-    second = store(confirmed(pairs.join(stars, ["a", "b"], "left_anti"), sets, percent), "links")
+    named = members.select("key", "node", "weight").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    most = F.max(F.struct("weight", "node", "root"))
+    mixed = named.groupBy("key").agg(most["root"].alias("ref_root"), F.min("root").alias("least"), F.max("root").alias("most"))
+    refs = named.groupBy("root").agg(most["node"].alias("ref")).withColumnRenamed("root", "ref_root")
+    mixed = mixed.filter("least <> most").join(refs, "ref_root").select("key", "ref", "ref_root")
+    rest = named.join(mixed, "key").select("node", "root", "ref", "ref_root").filter("node <> ref").distinct()
+    apart = differences(rest, sets)
+    near = apart.filter(F.size("apart") * (100 + percent) <= (F.col("n") + F.col("ref_n")) * (100 - percent))
+    near = near.filter("root <> ref_root").select(F.col("node").alias("a"), F.col("ref").alias("b"))
+    pairs = meeting(apart, lanes, percent).join(stars, ["a", "b"], "left_anti")
+    second = store(near.unionByName(confirmed(pairs, sets, percent)), "links")
     if second.isEmpty():
         return roots
     # The first components stand for all of their links.

@@ -35,6 +35,66 @@ def test_near_dedup_stage_takes_pairs_from_80_percent(spark):
     assert minhash.deduplicate(df).count() == len(texts) - 10      # op3's 85 stays
 
 
+def components(texts: dict[int, str], percent: int) -> dict[int, int]:
+    """doc_id -> smallest doc_id reachable, by brute force."""
+    root = {i: i for i in texts}
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for b in texts:
+        for a in range(b):
+            if 100 * jaccard(texts[a], texts[b]) >= percent:
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {i: top(i) for i in texts}
+
+
+def varied(rng: random.Random, words: list[str], changes: int, drop: bool = False) -> list[str]:
+    """The words with some of them changed (or dropped), six or more words apart."""
+    out = list(words)
+    for k in rng.sample(range(len(words) // 6), changes):
+        out[6 * k + 2] = "" if drop else f"v{rng.randint(0, 10**9)}"
+    return out
+
+
+def near_group(n: int) -> dict[int, str]:
+    """n copies linked with their text, n that are too far from it and from each other, near copies of some of these
+    that join them with each other or with the text, and n / 4 copies with words left out."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    rows = [base] + [varied(rng, base, 2) for _ in range(n)]
+    far = [varied(rng, base, 5) for _ in range(n)]
+    rows += far + [varied(rng, base, 4 + k % 3, drop=True) for k in range(n // 4)]
+    for k in range(0, n // 3, 3):
+        rows.append(varied(rng, far[k], 1))
+        rows.append([a if i < 100 else b for i, (a, b) in enumerate(zip(far[k + 1], base))])    # half of its changes
+    rng.shuffle(rows)
+    return {i: " ".join(w for w in r if w) for i, r in enumerate(rows)}
+
+
+def test_pairs_to_confirm_follow_the_group_not_its_square(spark, monkeypatch):
+    """Copies that are not linked with the hub are not tried with all that are, and no link is lost."""
+    tried, confirmed = [], minhash.confirmed
+
+    def counted(pairs, sets, percent):
+        tried.append(pairs.count())
+        return confirmed(pairs, sets, percent)
+
+    monkeypatch.setattr(minhash, "confirmed", counted)
+    more = []
+    for n in (30, 120):
+        texts = near_group(n)
+        df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in minhash.duplicates(df, corpus_pipeline.NEAR).collect()}
+        want = components(texts, corpus_pipeline.NEAR)
+        assert got == want and n // 2 < len(set(want.values())) < len(texts) - n
+        more.append(tried[-1])
+    assert more[0] < 5 * 30 and more[1] < 5 * 120, more
+
+
 def test_bands_and_margin_follow_the_threshold():
     assert minhash.bands(85) == 28
     for percent in (80, 85, 90):
