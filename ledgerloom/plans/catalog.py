@@ -21,7 +21,7 @@ from ledgerloom.operators import curate, marts, merchants, months, quality, recu
 from ledgerloom.plans import insights, messy, pipeline, upsert
 from ledgerloom.plans.lake import Lake
 from ledgerloom.session import scratch_path
-from ledgerloom.sources import contracts, evolution, landing, tables, zorder
+from ledgerloom.sources import contracts, evolution, files, landing, tables, zorder
 from ledgerloom.sources.bindings import DriverTables
 from ledgerloom.streaming.dedup_stream import dedup_stream
 from ledgerloom.streaming.landing_stream import land_stream
@@ -467,7 +467,8 @@ def _upserted(spark, sf_dir) -> pipeline.Layout:
     if state in _UPSERTED:
         return _UPSERTED[state]
     driver, layout = DriverTables(spark, sf_dir), pipeline.Layout(scratch_path(spark, "lake"))
-    pipeline.land_raw(messy.messy_ledger(driver), layout, "transactions", "b1", LEDGER_SOURCE)
+    ledger = tables.passes(messy.messy_ledger(driver), "transaction_id", files.size(spark, f"{driver.sf_dir}/lineitem.parquet"))
+    pipeline.land_raw(ledger, layout, "transactions", "b1", LEDGER_SOURCE)
     pipeline.land_raw(driver.raw_customers(), layout, "customers", "b1", "customer")
     pipeline.build_silver(spark, layout)
     for every in (5, 10):

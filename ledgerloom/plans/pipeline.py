@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.operators import curate, marts
-from ledgerloom.sources import landing, tables
+from ledgerloom.session import lean_disk
+from ledgerloom.sources import files, landing, tables
 
 
 MONTHS = ["txn_year", "txn_month"]
@@ -31,7 +32,7 @@ class Layout:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
 
-def land_raw(df: DataFrame, layout: Layout, name: str, batch_id: str, source: str | None = None) -> int:
+def land_raw(df: DataFrame | list[DataFrame], layout: Layout, name: str, batch_id: str, source: str | None = None) -> int:
     return landing.land(df, layout.path("bronze", name), batch_id, source)
 
 
@@ -55,16 +56,19 @@ def build_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Silver from all of Bronze: each table is replaced as a whole, so a row that
     has moved to another month leaves nothing behind.
 
-    Bronze is de-duplicated once, into a table of survivors; Silver, and what it
-    can't hold with its reason (Q10), are two filters of that table."""
-    raw = landing.read_bronze(spark, layout.path("bronze", "transactions"))
-    cust = curate.clean_customers(landing.read_bronze(spark, layout.path("bronze", "customers")))
-    counts = {"transactions_survivors": tables.write_table(
-        curate.surviving_transactions(raw), layout.path("silver", SURVIVORS), partition_by=MONTHS)}
-    silver, quarantine = silver_from_survivors(tables.read_table(spark, layout.path("silver", SURVIVORS)))
-    counts["transactions"] = tables.write_table(silver, layout.path("silver", "transactions"), partition_by=MONTHS)
-    counts["transactions_quarantine"] = tables.write_table(quarantine, layout.path("silver", QUARANTINE), partition_by=MONTHS)
-    return counts | {"customers": tables.write_table(cust, layout.path("silver", "customers"))}
+    Bronze is de-duplicated once, into a table of survivors, in parts by id so that the
+    whole of it is never on disk as shuffles; Silver, and what it can't hold with its
+    reason (Q10), are two filters of that table, whose files are by month already."""
+    bronze = layout.path("bronze", "transactions")
+    with lean_disk(spark):
+        survivors = curate.surviving_transactions(landing.read_bronze(spark, bronze))
+        cust = curate.clean_customers(landing.read_bronze(spark, layout.path("bronze", "customers")))
+        counts = {"transactions_survivors": tables.write_passes(
+            tables.passes(survivors, "transaction_id", files.size(spark, bronze)), layout.path("silver", SURVIVORS), MONTHS)}
+        silver, quarantine = silver_from_survivors(tables.read_table(spark, layout.path("silver", SURVIVORS)))
+        counts["transactions"] = tables.write_table(silver, layout.path("silver", "transactions"), MONTHS, grouped=True)
+        counts["transactions_quarantine"] = tables.write_table(quarantine, layout.path("silver", QUARANTINE), MONTHS, grouped=True)
+        return counts | {"customers": tables.write_table(cust, layout.path("silver", "customers"))}
 
 
 def build_gold(spark: SparkSession, layout: Layout, ties: str = "one") -> dict[str, int]:

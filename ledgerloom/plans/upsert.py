@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import curate, marts
 from ledgerloom.plans.pipeline import MONTHS, QUARANTINE, SURVIVORS, Layout, silver_from_survivors
+from ledgerloom.session import lean_disk
 from ledgerloom.sources import landing, tables
 
 ID = "transaction_id"
@@ -41,8 +42,14 @@ class Upsert:
     rows: dict[str, int]
 
 
+def _among(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``table`` with one of these ids.  The comparison, true of every id that can match, is what Spark asks
+    for to build a Bloom filter of the ids (``session.lean_disk``), so that a large table isn't shuffled for few ids."""
+    return table.join(ids.filter(F.length(F.col(ID).cast("string")) >= 0), ID, "left_semi")
+
+
 def _months_of(table: DataFrame, ids: DataFrame) -> set[tuple]:
-    found = table.join(ids, ID, "left_semi").select(*MONTHS).distinct().collect()
+    found = _among(table, ids).select(*MONTHS).distinct().collect()
     return {tuple(r) for r in found}
 
 
@@ -53,9 +60,9 @@ def changed_survivors(spark: SparkSession, layout: Layout, batch_id: str) -> tup
     incoming = landing.read_batch(spark, bronze, batch_id)
     batch = F.col(landing.BATCH_COLUMN) == batch_id
     taken_back = tables.stored(old.filter(batch).select(ID), "taken-back")
-    candidates = incoming.unionByName(old.filter(~batch).drop(*MONTHS).join(incoming.select(ID), ID, "left_semi"), allowMissingColumns=True)
+    candidates = incoming.unionByName(_among(old.filter(~batch).drop(*MONTHS), incoming.select(ID)), allowMissingColumns=True)
     if not taken_back.isEmpty():
-        rest = landing.read_bronze(spark, bronze).filter(~batch).join(taken_back, ID, "left_semi")
+        rest = _among(landing.read_bronze(spark, bronze).filter(~batch), taken_back)
         candidates = candidates.unionByName(rest, allowMissingColumns=True)
     winners = curate.surviving_transactions(candidates.select(*[c for c in old.columns if c not in MONTHS]))
     # A winner from another batch is the old survivor again, unless that one has been taken back.
@@ -66,19 +73,20 @@ def changed_survivors(spark: SparkSession, layout: Layout, batch_id: str) -> tup
 
 def upsert_silver(spark: SparkSession, layout: Layout, batch_id: str) -> Upsert:
     """Brings the survivors, Silver and the quarantine up to date with one (landed) batch of transactions."""
-    rows, ids = changed_survivors(spark, layout, batch_id)
-    path = {t: layout.path("silver", t) for t in (SURVIVORS, "transactions", QUARANTINE)}
-    table = {t: tables.read_table(spark, p) for t, p in path.items()}
-    come = {tuple(r) for r in rows.select(*MONTHS).distinct().collect()}
-    months = sorted(come | _months_of(table[SURVIVORS], ids), key=str)
-    # Months that an earlier, killed run has left behind in the two filters are found here.
-    touched = sorted({*months, *_months_of(table["transactions"], ids), *_months_of(table[QUARANTINE], ids)}, key=str)
-    here = table[SURVIVORS].filter(tables.in_partitions(months, MONTHS)).join(ids, ID, "left_anti")
-    written = {SURVIVORS: tables.replace_partitions(here.unionByName(rows), path[SURVIVORS], MONTHS, months)}
-    survivors = tables.read_table(spark, path[SURVIVORS]).filter(tables.in_partitions(touched, MONTHS))
-    for name, part in zip(("transactions", QUARANTINE), silver_from_survivors(survivors)):
-        written[name] = tables.replace_partitions(part.select(*table[name].columns), path[name], MONTHS, touched)
-    return Upsert(touched, written)
+    with lean_disk(spark):
+        rows, ids = changed_survivors(spark, layout, batch_id)
+        path = {t: layout.path("silver", t) for t in (SURVIVORS, "transactions", QUARANTINE)}
+        table = {t: tables.read_table(spark, p) for t, p in path.items()}
+        come = {tuple(r) for r in rows.select(*MONTHS).distinct().collect()}
+        months = sorted(come | _months_of(table[SURVIVORS], ids), key=str)
+        # Months that an earlier, killed run has left behind in the two filters are found here.
+        touched = sorted({*months, *_months_of(table["transactions"], ids), *_months_of(table[QUARANTINE], ids)}, key=str)
+        here = table[SURVIVORS].filter(tables.in_partitions(months, MONTHS)).join(ids, ID, "left_anti")
+        written = {SURVIVORS: tables.replace_partitions(here.unionByName(rows), path[SURVIVORS], MONTHS, months)}
+        survivors = tables.read_table(spark, path[SURVIVORS]).filter(tables.in_partitions(touched, MONTHS))
+        for name, part in zip(("transactions", QUARANTINE), silver_from_survivors(survivors)):
+            written[name] = tables.replace_partitions(part.select(*table[name].columns), path[name], MONTHS, touched, True)
+        return Upsert(touched, written)
 
 
 def upsert_gold_months(spark: SparkSession, layout: Layout, months: list[tuple], ties: str = "one") -> int:

@@ -1,4 +1,4 @@
-"""Folders of a table through Hadoop's file system API: listing, publishing, removing.
+"""Folders of a table through Hadoop's file system API: listing, sizes, publishing, removing.
 
 Only names are handled here, one call per folder; rows are Spark's.
 """
@@ -28,6 +28,12 @@ def publish(spark: SparkSession, staged: str, target: str) -> bool:
     return bool(fs.rename(_place(spark, staged)[0], place))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path, 0 if there is no such path."""
+    place, fs = _place(spark, path)
+    return fs.getContentSummary(place).getLength() if fs.exists(place) else 0
+
+
 def remove(spark: SparkSession, path: str) -> None:
     place, fs = _place(spark, path)
     fs.delete(place, True)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerloom.session import lean_disk
 from ledgerloom.sources import files
 from ledgerloom.sources.contracts import BRONZE_AUDIT, CORRUPT_RECORD, require_schema, with_corrupt_column
 from ledgerloom.sources.tables import observed
@@ -57,48 +58,55 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | No
     return reader.csv(path)
 
 
-def with_audit(df: DataFrame, batch_id: str, source: str | None = None) -> DataFrame:
+def with_audit(df: DataFrame, batch_id: str, source: str | None = None, at: datetime | None = None) -> DataFrame:
     """``_ingested_at``, ``_source_file``, ``_batch_id``.
 
     ``_source_file`` is ``source`` if given, else a column of that name that the
     frame already has, else the per-row file path from the scan metadata.
+    ``_ingested_at`` is ``at`` if given, else the time of the job.
     """
     if source is not None:
         src = F.lit(source)
     else:
         src = F.col("_source_file" if "_source_file" in df.columns else "_metadata.file_path")
     return df.withColumns({
-        "_ingested_at": F.current_timestamp(),
+        "_ingested_at": F.current_timestamp() if at is None else F.lit(at),
         "_source_file": src,
         BATCH_COLUMN: F.lit(batch_id),
     })
 
 
-def land(df: DataFrame, bronze_path: str, batch_id: str, source: str | None = None,
+def land(df: DataFrame | list[DataFrame], bronze_path: str, batch_id: str, source: str | None = None,
          expected: list[str] | None = None, fmt: str = "parquet", partition_by: list[str] | None = None) -> int:
     """S2 + S7: write one version of a batch of a Bronze table and return its row count.
 
     The count is observed during the write itself (no second pass).  Landing the
     same ``batch_id`` again supersedes that batch only.  ``partition_by`` adds
-    business columns below the version's folder.
+    business columns below the version's folder.  A batch may come in parts
+    (``tables.passes``): they are written one after the other, under one
+    ``_ingested_at``, and become visible together.
     """
     if not _BATCH_ID.fullmatch(batch_id):
         raise ValueError(f"a batch id is letters, digits, '.', '_' and '-': {batch_id!r}")
+    parts = df if isinstance(df, list) else [df]
     if expected:
-        require_schema(df, expected, "landed batch")
-    spark, root = df.sparkSession, bronze_path.rstrip("/")
-    obs = Observation(f"land_{batch_id}")
-    audited = with_audit(df, batch_id, source).drop(BATCH_COLUMN).observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = audited.write.format(fmt).option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    staged = f"{root}/{STAGING}/{uuid.uuid4().hex}"
-    writer.save(staged)
+        require_schema(parts[0], expected, "landed batch")
+    spark, root = parts[0].sparkSession, bronze_path.rstrip("/")
+    staged, rows, at = f"{root}/{STAGING}/{uuid.uuid4().hex}", 0, datetime.now(timezone.utc) if len(parts) > 1 else None
+    for part in parts:
+        obs = Observation(f"land_{batch_id}")
+        with lean_disk(spark):
+            audited = with_audit(part, batch_id, source, at).drop(BATCH_COLUMN).observe(obs, F.count(F.lit(1)).alias("rows"))
+            writer = audited.write.format(fmt).mode("append").option("partitionOverwriteMode", "static")
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.save(staged)
+        rows += int(observed(obs).get("rows", 0))
     # Versions ascend within the table, whatever the clock does; a place taken by another writer is passed over.
     version = max([time.time_ns() // 1000, *(int(v) + 1 for _, v in versions(spark, root)[-1:])])
     while not files.publish(spark, staged, f"{root}/{BATCH_COLUMN}={batch_id}/{VERSION_COLUMN}={version:020d}"):
         version += 1
-    return int(observed(obs).get("rows", 0))
+    return rows
 
 
 def versions(spark: SparkSession, bronze_path: str) -> list[tuple[str, str]]:

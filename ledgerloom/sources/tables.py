@@ -8,6 +8,7 @@ turns into partition pruning.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -34,31 +35,62 @@ def observed(obs: Observation) -> dict:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                dynamic: bool = False, sort_within: list[str] | None = None, fmt: str = "parquet") -> int:
+                dynamic: bool = False, sort_within: list[str] | None = None, fmt: str = "parquet",
+                grouped: bool = False, append: bool = False) -> int:
     """Overwrite ``path`` and return the number of rows written.
 
     ``fmt`` is any installed file source (``parquet``, ``orc``, or a table format whose package is there).
 
     ``dynamic=True`` replaces only the partitions present in ``df`` (one month,
     one batch).  ``sort_within`` orders rows inside each file (O5) without a
-    global sort.
+    global sort.  ``grouped`` says that the frame is read from a table with the same
+    partitions: its tasks hold few of them each, and no shuffle is needed.
+    ``append=True`` adds to what is there.
     """
     obs = Observation("write_table")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
+    if partition_by and not grouped:
         # Cluster rows of a partition value into few tasks (few files per
         # directory); REBALANCE lets AQE split a partition value that is skewed.
         out = out.hint("rebalance", *partition_by)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     # Explicit either way, whatever the session's default.
-    writer = out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    writer = out.write.format(fmt).mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
     return int(observed(obs).get("rows", 0))
 
 
+#: A pass reads at least so many bytes, and there are at most so many passes: a step's shuffles stand on disk for
+#: one pass at a time, and every pass reads the input again.
+PASS_BYTES, MOST_PASSES = 64 << 20, 4
+
+
+def passes(df: DataFrame, key: str, size: int) -> list[DataFrame]:
+    """The rows of ``df`` in parts by hash of ``key``, as many parts as ``size`` bytes of input ask for.
+
+    Where ``key`` groups or joins the rows below, the optimizer takes the choice of a part down to the scans, and each part
+    shuffles its share only.
+    """
+    n = max(1, min(MOST_PASSES, size // PASS_BYTES))
+    return [df] if n == 1 else [df.filter(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)]
+
+
+def write_passes(parts: list[DataFrame], path: str, partition_by: list[str] | None = None) -> int:
+    """``write_table`` for a table in parts, written one after the other beside ``path`` and published when all are there."""
+    if len(parts) == 1:
+        return write_table(parts[0], path, partition_by)
+    spark, (folder, name) = parts[0].sparkSession, path.rstrip("/").rsplit("/", 1)
+    staged = f"{folder}/_staging/{name}-{uuid.uuid4().hex}"
+    rows = sum(write_table(part, staged, partition_by, append=True) for part in parts)
+    files.remove(spark, path)
+    if not files.publish(spark, staged, path):
+        raise FileExistsError(f"{path} has been written by another run")
+    return rows
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """A table of the application: later steps share its rows, and a lost executor costs a read."""
     path = scratch_path(df.sparkSession, name)
@@ -86,18 +118,19 @@ def in_partitions(partitions: list[tuple], columns: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [one(p) for p in partitions], F.lit(False))
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str], partitions: list[tuple]) -> int:
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], partitions: list[tuple], grouped: bool = False) -> int:
     """Makes ``df`` the content of just these partitions of ``path`` and returns the number of rows written.
 
     All rows of ``df`` lie in them.  Other partitions keep their files; one that gets no rows is removed, which a
     dynamic overwrite alone would leave as it was.  ``df`` may read ``path``: folders change when all rows are written.
+    ``grouped`` as in ``write_table``.
     """
     if not partitions:
         return 0
     folder = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in partition_by])
     obs = Observation("replace_partitions")
     seen = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(folder).alias("folders"))
-    writer = seen.hint("rebalance", *partition_by).write.format("parquet").mode("overwrite")
+    writer = (seen if grouped else seen.hint("rebalance", *partition_by)).write.format("parquet").mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
     # One name per partition.
     written = observed(obs)
